@@ -42,4 +42,4 @@ def rfc822_date(c: Column) -> Column:
     bare = F.regexp_replace(F.trim(c), "^[A-Za-z]{3}, *", "")
     offset = F.try_to_timestamp(bare, F.lit("d MMM yyyy HH:mm:ss Z"))
     zone = F.try_to_timestamp(bare, F.lit("d MMM yyyy HH:mm:ss z"))
-    return F.coalesce(offset, zone).cast("date")
+    return F.to_utc_timestamp(F.coalesce(offset, zone), F.current_timezone()).cast("date")

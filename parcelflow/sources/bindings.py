@@ -142,7 +142,7 @@ VIEWS: dict[str, tuple[dict[str, str], str]] = {
     }, "lineitem"),
     "news": ({
         "article_id": "event_id",
-        "published_date": "CAST(ts AS date)",
+        "published_date": "CAST(ts AS date) + CAST((user_id % 6) * 31 AS int)",
         "event_code": """CASE event_type WHEN 'error' THEN 'GEO_RISK_ESCALATION' WHEN 'signup' THEN 'REGULATORY_EASING_RE'
             WHEN 'click' THEN 'NEW_SUPPLY_ANNOUNCEMENT' WHEN 'purchase' THEN 'OIL_PRICE_SHOCK_UP' ELSE 'unlisted' END""",
         "title": "concat(event_type, ' ', props, ' ', CAST(user_id % 40 AS string))",
