@@ -134,19 +134,23 @@ def growth_vs_history(forecast: DataFrame, history: DataFrame, key: str, month:
 
 
 def rebased(df: DataFrame, key: str, month: str, adj: str, pivot: Column, pivot_price: Column) -> DataFrame:
-    """After the pivot month: pivot price times the growth of an outside series.
+    """After the pivot month: pivot price times the growth of an outside series (missing values read 0).
 
-    The steps telescope to adj / base, where base is the series' last value at or before the pivot, or its first value
-    after the pivot when that one is missing or not positive.
+    The steps telescope to value / base, where base is the value at the pivot if positive, else the first positive value
+    after it. Months before the base keep the pivot price; a value of 0 after the base ends the series at 0.
     """
-    w = Window.partitionBy(key)
-    value = F.coalesce(F.col(adj), F.lit(0.0))
-    df = df.withColumns({"_v": value, "_at": F.col(month) <= pivot})
-    at_pivot = F.max_by(F.when(F.col("_at"), F.col("_v")), F.when(F.col("_at"), F.col(month))).over(w)
-    first_after = F.min_by(F.when(~F.col("_at"), F.col("_v")), F.when(~F.col("_at"), F.col(month))).over(w)
-    base = F.when(at_pivot > 0, at_pivot).otherwise(first_after)
-    df = df.withColumn("_base", base)
-    return df.where(~F.col("_at")).withColumn("rebased_price", pivot_price * F.col("_v") / F.col("_base")).drop("_v", "_at", "_base")
+    df = df.where(F.col(month) >= pivot).withColumn("_v", F.coalesce(F.col(adj), F.lit(0.0)))
+    whole = Window.partitionBy(key)
+    base_month = F.min(F.when(F.col("_v") > 0, F.col(month))).over(whole)
+    base = F.min_by("_v", F.when(F.col("_v") > 0, F.col(month))).over(whole)
+    df = df.withColumns({"_base_month": base_month, "_base": base})
+    so_far = whole.orderBy(month).rowsBetween(Window.unboundedPreceding, 0)
+    ended = F.max(((F.col(month) > F.col("_base_month")) & (F.col("_v") <= 0)).cast("int")).over(so_far)
+    price = (
+        F.when(F.col("_base_month").isNull() | (F.col(month) < F.col("_base_month")), pivot_price)
+        .when(ended == 1, F.lit(0.0)).otherwise(pivot_price * F.col("_v") / F.col("_base"))
+    )
+    return df.withColumn("rebased_price", price).where(F.col(month) > pivot).drop("_v", "_base", "_base_month")
 
 
 def clamp_last_step(
@@ -170,12 +174,17 @@ def clamp_last_step(
 
 
 def pivot_chain(df: DataFrame, key: str, month: str, price: str, adj: str, pivot: Column) -> DataFrame:
-    """From the pivot month on: macro price is the last known price, news price scales it by the step of adj."""
+    """From the pivot month on: macro price is the last known price, news price scales it by the step of adj.
+
+    Growth is relative, so a price of 0 stays 0.
+    """
     after = df.where(F.col(month) >= pivot)
     w = Window.partitionBy(key).orderBy(month)
     before = F.lag(adj).over(w)
     step = F.when(F.col(adj).isNotNull() & before.isNotNull() & (before != 0), F.col(adj) / before - 1).otherwise(0.0)
-    macro = F.last(price, True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    zero = F.max((F.col(price) == 0).cast("int")).over(so_far) == 1
+    macro = F.when(zero, F.lit(0.0)).otherwise(F.last(price, True).over(so_far))
     after = after.withColumns({"macro_forecast": macro, "_step": step})
     return after.withColumn("news_adjusted_forecast", F.col("macro_forecast") * (1 + F.col("_step"))).drop("_step")
 
@@ -184,7 +193,7 @@ def compound_chain(df: DataFrame, key: str, month: str, price: str, growth: str,
     """From the pivot month on: compound the given growth; a month without growth restarts from its raw step.
 
     A restart month keeps the raw price ratio, so a segment is one anchor price times the running product of growth.
-    Growth of -100 % or less makes the rest of the segment 0.
+    Growth of -100 % or less, or a price of 0, leaves 0 from there on.
     """
     w = Window.partitionBy(key).orderBy(month)
     df = df.where(F.col(month) >= pivot)
@@ -196,8 +205,10 @@ def compound_chain(df: DataFrame, key: str, month: str, price: str, growth: str,
     logs = F.sum(F.when(rate > -1, F.ln(1 + rate)).otherwise(0.0)).over(inside)
     dead = F.max((rate <= -1).cast("int")).over(inside)
     start = F.first(price).over(inside)
-    value = F.when(dead == 1, 0.0).otherwise(start * F.exp(logs))
-    return df.withColumn("macro_forecast", value).drop("_anchor", "_seg")
+    df = df.withColumn("_value", F.when(dead == 1, 0.0).otherwise(start * F.exp(logs)))
+    zero = F.max((F.col("_value") == 0).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    value = F.when(zero == 1, F.lit(0.0)).otherwise(F.col("_value"))
+    return df.withColumn("macro_forecast", value).drop("_anchor", "_seg", "_value")
 
 
 def pivot_price(df: DataFrame, key: str, month: str, price: str, pivot: Column, today: Column) -> DataFrame:
