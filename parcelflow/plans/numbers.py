@@ -101,16 +101,16 @@ def math_haversine(spark, sf_dir):
 @query("math_decay_curves", ctes=view_sql("news") + """,
 params(event_code, h, p) AS (VALUES ('GEO_RISK_ESCALATION', 1.5e0, 4e0), ('REGULATORY_EASING_RE', 3e0, 3e0), ('NEW_SUPPLY_ANNOUNCEMENT', 4e0, 6e0),
   ('OIL_PRICE_SHOCK_UP', 2e0, 3e0), ('unlisted', 3e0, 4e0)),
-x AS (SELECT article_id, CAST((year(published_date) - 2024) * 12 + month(published_date) - 1 AS double) AS t, ln(2) / h AS r, p * ln(2) / h AS k
+x AS (SELECT article_id, CAST((year(published_date) - 2001) * 12 + month(published_date) - 7 AS double) AS t, ln(2) / h AS r, p * ln(2) / h AS k
   FROM news JOIN params USING (event_code))""", sql="""
 SELECT article_id, round(exp(-r * t), 8) AS sentiment_decay, round(pow(t, k) * exp(-r * t) / (pow(k / r, k) * exp(-k) + 1e-9), 8) AS price_impact FROM x""")
 def math_decay_curves(spark, sf_dir):
-    """Months since January 2024 per article, with the parameters of its event code."""
+    """Months since July 2001 per article, with the parameters of its event code."""
     params = ev.decay_table(spark)
     codes = [r[0] for r in ev.fv.EVENT_DECAY]
     code = F.when(F.col("event_code").isin(codes), F.col("event_code")).otherwise("DEFAULT")
     rows = view(spark, sf_dir, "news").withColumn("event_code", code).join(F.broadcast(params), "event_code")
-    t = dates.month_diff(F.col("published_date"), F.lit("2024-01-01").cast("date"))
+    t = dates.month_diff(F.col("published_date"), F.lit("2001-07-01").cast("date"))
     return rows.select(
         "article_id", F.round(numeric.sentiment_decay(t, F.col("s_halflife")), 8).alias("sentiment_decay"),
         F.round(numeric.price_hump(t, F.col("s_halflife"), F.col("p_peak")), 8).alias("price_impact"),

@@ -136,10 +136,10 @@ x AS (SELECT g.series, g.month, price, row_number() OVER (PARTITION BY g.series
 y AS (SELECT *, last_value(CASE WHEN price IS NOT NULL THEN i END IGNORE NULLS) OVER b AS pi, last_value(price IGNORE NULLS) OVER b AS pv,
   first_value(CASE WHEN price IS NOT NULL THEN i END IGNORE NULLS) OVER a AS ni, first_value(price IGNORE NULLS) OVER a AS nv FROM x
   WINDOW b AS (PARTITION BY series ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY series ORDER BY month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))""", sql="""
-SELECT series, month, round(CASE WHEN price IS NOT NULL THEN price WHEN pv IS NULL THEN nv WHEN nv IS NULL THEN pv ELSE pv + (nv - pv) * (i - pi) / (ni - pi) END, 8) AS price FROM y""")
+SELECT series, month, round(CASE WHEN price IS NOT NULL THEN price WHEN pv IS NULL THEN nv WHEN nv IS NULL THEN pv ELSE pv + (nv - pv) * (i - pi) / (ni - pi) END, 6) AS price FROM y""")
 def win_interpolate_linear(spark, sf_dir):
     gridded = panel.on_grid(materialise(series(spark, sf_dir), "series").select("series", "month", "price"), "series")
-    return panel.interpolate(gridded, "series", "month", "price").withColumn("price", F.round("price", 8))
+    return panel.interpolate(gridded, "series", "month", "price").withColumn("price", F.round("price", 6))
 
 
 @query("win_ffill_bfill", ctes=SERIES_SQL, sql="""

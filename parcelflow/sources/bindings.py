@@ -142,7 +142,7 @@ VIEWS: dict[str, tuple[dict[str, str], str]] = {
     }, "lineitem"),
     "news": ({
         "article_id": "event_id",
-        "published_date": "CAST(ts AS date) + CAST((user_id % 6) * 31 AS int)",
+        "published_date": "CAST(ts AS date) + CAST((user_id % 6) * 31 - 8219 AS int)",
         "event_code": """CASE event_type WHEN 'error' THEN 'GEO_RISK_ESCALATION' WHEN 'signup' THEN 'REGULATORY_EASING_RE'
             WHEN 'click' THEN 'NEW_SUPPLY_ANNOUNCEMENT' WHEN 'purchase' THEN 'OIL_PRICE_SHOCK_UP' ELSE 'unlisted' END""",
         "title": "concat(event_type, ' ', props, ' ', CAST(user_id % 40 AS string))",
@@ -150,6 +150,20 @@ VIEWS: dict[str, tuple[dict[str, str], str]] = {
         "event_scale_weight": "CASE WHEN event_id % 11 = 0 THEN NULL ELSE (user_id % 10) / 5e0 END",
         "geo_relevance_weight": "CASE WHEN value > 100e0 THEN 1.5e0 ELSE 0.9e0 END",
     }, "events"),
+    "sensitivity_wide": ({
+        "area": "n_name",
+        "area_id": "concat(CAST(n_nationkey AS string), '.0')",
+        "sentiment": "(n_nationkey % 5) / 10e0",
+        "tourism": "(n_nationkey % 3) / 5e0",
+        "policy": "(n_nationkey % 4) / 8e0 - 0.2e0",
+        "supply": "(n_nationkey % 7) / 9e0",
+        "liquidity": "0.15e0 - (n_nationkey % 2) / 4e0",
+    }, "nation"),
+    "centres": ({
+        "area": "n_name",
+        "lat": "24.9e0 + (n_nationkey % 5) * 0.12e0",
+        "lon": "55.05e0 + CAST((n_nationkey - n_nationkey % 5) / 5 AS int) * 0.13e0",
+    }, "nation"),
     "requests": ({
         "request_id": "c_custkey",
         "area_name": "CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE n_name END",
