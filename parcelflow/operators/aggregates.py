@@ -56,12 +56,14 @@ def table_profile(df: DataFrame) -> DataFrame:
 def value_domain(df: DataFrame, area: str, features: list[str], first: int = 10) -> DataFrame:
     """Long table (area, feature, place, value): the first sorted distinct values of each feature.
 
-    Distinct values are counted before they are ranked and the rank is limited before the shuffle, so no task ever
+    Numbers sort by value, texts alphabetically. Distinct values are counted before they are ranked and the rank is limited before the shuffle, so no task ever
     holds all values of an area.
     """
     as_text = df.select(area, *(F.col(c).cast("string").alias(c) for c in features))
     seen = as_text.unpivot([area], features, "feature", "value").where(F.col("value").isNotNull()).distinct()
-    place = F.row_number().over(Window.partitionBy(area, "feature").orderBy("value"))
+    numbers = [c for c, t in df.select(*features).dtypes if t != "string"]
+    size = F.when(F.col("feature").isin(numbers), F.col("value").try_cast("double")) if numbers else F.lit(None)
+    place = F.row_number().over(Window.partitionBy(area, "feature").orderBy(size, "value"))
     return seen.withColumn("place", place).where(F.col("place") <= first)
 
 

@@ -1,14 +1,68 @@
-"""Unit-profile requests answered in batch: defaults, matching history, monthly series and the report."""
+"""Unit-profile requests answered in batch: defaults, matching history, monthly series and the report.
+
+Many requests share a profile, so work is done once per distinct profile. Matching never pairs requests with history
+rows: profiles and the distinct history combinations meet on subsets of equal columns (see nearest_combinations).
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow import fixed_values as fv
-from parcelflow.functions import numeric
+from parcelflow.functions import numeric, text
+from parcelflow.operators import forecast, joins, panel
+from parcelflow.operators.outliers import trim_middle
+from parcelflow.operators.quantiles import group_quantiles
 from parcelflow.session import materialise
 
+_ANY, _NONE, _SEP = "\x02", "\x03", "\x01"
+
+
+# --- requests -----------------------------------------------------------------------------------------------------
+
+
+def resolve_area(requests: DataFrame, centres: DataFrame, max_km: float = fv.MAX_MATCH_KM) -> DataFrame:
+    """area_name_en of a request: the named area, else the nearest centre within max_km, then its stand-in if any."""
+    near = joins.nearest_of_many(requests.where(F.col("area_name").isNull()), ["request_id"], "lat", "lon", centres, max_km)
+    named = requests.where(F.col("area_name").isNotNull()).withColumns(
+        {"nearest_area": F.lit(None).cast("string"), "distance_km": F.lit(None).cast("double")}
+    )
+    both = named.unionByName(near).withColumn("_area", F.coalesce("area_name", "nearest_area"))
+    return joins.resolve_alias(both, "_area", "area_name_en").drop("_area")
+
+
+def resolve_defaults(
+    requests: DataFrame, ranges: DataFrame, latest: DataFrame, fields: dict[str, str], locked: list[str] = (),
+    area: str = "area_name_en", literals: dict = fv.REQUEST_DEFAULTS,
+) -> DataFrame:
+    """Each field by tier: allowed request value, the area's first value, its latest row, any area's first, a constant.
+
+    ranges: one row per area with an array of allowed texts per field. latest: one row per area. fields: name -> type.
+    """
+    firsts = ranges.agg(
+        *(F.min_by(F.try_element_at(F.col(f), F.lit(1)), F.when(F.size(f) > 0, F.col(area))).alias(f) for f in fields)
+    )
+    firsts = materialise(firsts, "first-values")
+    allowed = ranges.select(area, *(F.col(f).alias(f"_allowed_{f}") for f in fields))
+    rows = latest.select(area, *(F.col(f).cast("string").alias(f"_row_{f}") for f in fields))
+    df = requests.join(materialise(allowed, "allowed"), area, "left").join(materialise(rows, "latest"), area, "left")
+    out = {}
+    for f, kind in fields.items():
+        wanted = F.lit(None).cast("string") if f in locked or f not in requests.columns else F.col(f).try_cast(kind).cast("string")
+        listed = F.col(f"_allowed_{f}")
+        no_range = listed.isNull() | (F.size(listed) == 0)
+        tiers = [
+            F.when(wanted.isNotNull() & (no_range | F.array_contains(listed, wanted)), wanted),
+            F.try_element_at(listed, F.lit(1)),
+            F.col(f"_row_{f}"),
+            firsts.select(f).scalar(),
+        ]
+        out[f] = F.coalesce(*(t.try_cast(kind) for t in tiers), F.lit(literals[f]).cast(kind))
+    return df.withColumns(out).drop(*(f"_allowed_{f}" for f in fields), *(f"_row_{f}" for f in fields))
+
 
 def clamp_requested_area(requests: DataFrame, limits: DataFrame, rooms: str = "rooms_en", area: str = "procedure_area") -> DataFrame:
     """Requested unit area within its room range, tightened by what the area has seen.
@@ -24,3 +78,111 @@ def clamp_requested_area(requests: DataFrame, limits: DataFrame, rooms: str = "r
     high = F.least(high, F.col("procedure_area_max"))
     value = numeric.clamp(F.coalesce(F.col(area), F.lit(fv.REQUEST_AREA_DEFAULT)), low, high)
     return df.withColumn(area, value).drop("procedure_area_min", "procedure_area_max")
+
+
+# --- matching history ---------------------------------------------------------------------------------------------
+
+
+def combination(area: str, cols: list[str]) -> Column:
+    """Exact key of an area and its column values, missing values included."""
+    return F.concat_ws(_SEP, F.col(area), *(F.coalesce(_text(c), F.lit(_NONE)) for c in cols))
+
+
+def _text(c: str) -> Column:
+    return text.strip(F.col(c).cast("string"))
+
+
+def _subsets(cols: list[str]) -> Column:
+    """All subsets of columns with known values, as (size, which columns, their values)."""
+    out = []
+    for mask in range(2 ** len(cols)):
+        chosen = [c for i, c in enumerate(cols) if mask >> i & 1]
+        known = reduce(lambda a, b: a & b, (_text(c).isNotNull() for c in chosen), F.lit(True))
+        values = F.concat_ws(_SEP, *(_text(c) if c in chosen else F.lit(_ANY) for c in cols))
+        entry = F.struct(F.lit(len(chosen)).alias("size"), F.lit(mask).alias("mask"), values.alias("values"))
+        out.append(F.when(known, entry))
+    return F.filter(F.array(*out), lambda s: s.isNotNull())
+
+
+def nearest_combinations(profiles: DataFrame, history: DataFrame, cols: list[str], area: str = "area_name_en") -> DataFrame:
+    """(profile, combination, mismatch): the history combinations of the profile's area with the fewest differing columns.
+
+    A column the profile leaves open counts as equal; a missing history value equals nothing. Fewest mismatches means the
+    largest subset of equal columns, so both sides list their subsets and meet by equality. Both tables are distinct
+    combinations of category values: their size follows the vocabulary, not the rows.
+    """
+    combos = history.select(area, *cols).distinct().withColumn("combination", combination(area, cols))
+    right = combos.select(area, "combination", F.explode(_subsets(cols)).alias("_s")).select(area, "combination", "_s.size", "_s.mask", "_s.values")
+    wanted = reduce(lambda a, b: a + b, (_text(c).isNotNull().cast("int") for c in cols))
+    left = profiles.withColumn("_wanted", wanted).select(area, "profile", "_wanted", F.explode(_subsets(cols)).alias("_s"))
+    left = left.select(area, "profile", "_wanted", "_s.size", "_s.mask", "_s.values")
+    right = materialise(right, "combinations")
+    meet = [area, "size", "mask", "values"]
+    shared = left.join(right.select(*meet).distinct(), meet, "left_semi")
+    best = shared.groupBy("profile").agg(F.max("size").alias("_best"))
+    top = left.join(materialise(best, "best"), "profile").where(F.col("size") == F.col("_best"))
+    return top.join(right, meet).select("profile", "combination", (F.col("_wanted") - F.col("_best")).alias("mismatch"))
+
+
+def with_profile(requests: DataFrame, cols: list[str], area: str = "area_name_en") -> DataFrame:
+    return requests.withColumn("profile", combination(area, cols))
+
+
+def history_window(history: DataFrame, date: str, start: str, end: str) -> DataFrame:
+    """Rows from the start day to the end of the end month; applied before matching, so profiles match what is used."""
+    kind = history.schema[date].dataType
+    after = F.add_months(F.trunc(F.lit(end).cast("date"), "MM"), 1).cast(kind)
+    return history.where((F.col(date) >= F.lit(start).cast(kind)) & (F.col(date) < after))
+
+
+def matching_history(profiles: DataFrame, history: DataFrame, cols: list[str], area: str = "area_name_en") -> DataFrame:
+    """History rows per profile. profiles has one row per profile."""
+    pairs = materialise(nearest_combinations(profiles, history, cols, area), "pairs")
+    return history.withColumn("combination", combination(area, cols)).join(pairs, "combination").drop("combination")
+
+
+def monthly_series(
+    matched: DataFrame, date: str = "instance_date", price: str = "meter_sale_price", start: str = fv.HISTORY_START, end: str | None = None,
+) -> DataFrame:
+    """Per profile: trimmed monthly median on every month end from start to end, gaps interpolated."""
+    kept = trim_middle(matched, ["profile"], price).withColumn("month", F.trunc(date, "MM"))
+    medians = group_quantiles(kept, ["profile", "month"], {"median_price": (price, 0.5)})
+    medians = materialise(medians, "medians")
+    full = panel.on_grid(medians, "profile", "month", start, end)
+    return panel.interpolate(full, "profile", "month", "median_price").withColumn("month", F.last_day("month"))
+
+
+# --- report -------------------------------------------------------------------------------------------------------
+
+
+def report(history: DataFrame, ahead: DataFrame, news: DataFrame, pivot: Column, today: Column) -> DataFrame:
+    """One row per profile: series before, at and after the pivot month, and the news-adjusted forecast.
+
+    history: (profile, month, median_price) up to the pivot; ahead: (profile, month, predictions); news: (profile, month,
+    adjusted_pred), at most one row per month. All months are month ends. A month in both keeps its forecast.
+    """
+    past = history.select("profile", "month", "median_price", F.lit(True).alias("is_history"))
+    rows = forecast.splice(past, ahead.select("profile", "month", "predictions", F.lit(False).alias("is_history")))
+    rows = joins.keep_one(rows, ["profile", "month"], [F.col("is_history"), F.col("median_price").desc_nulls_last()])
+    rows = materialise(rows, "spliced")
+    at = panel.pivot_price(rows, "profile", "month", "median_price", pivot, today)
+    rows = rows.join(news.select("profile", "month", "adjusted_pred"), ["profile", "month"], "left")
+    rows = rows.join(materialise(at, "pivots"), "profile")
+    chain = panel.pivot_chain(rows, "profile", "month", "median_price", "adjusted_pred", F.col("pivot_month"))
+    chain = chain.select("profile", "month", "macro_forecast", "news_adjusted_forecast")
+    rows = materialise(rows.join(chain, ["profile", "month"], "left"), "report-rows")
+    month, at_pivot = F.col("month"), F.col("pivot_month")
+    arrays = forecast.series_arrays(rows, "profile", "month", {
+        "before_prediction": (F.col("median_price"), F.col("is_history") & (month < at_pivot)),
+        "prediction_point": (F.col("median_price"), month == at_pivot),
+        "forecast": (F.col("macro_forecast"), month > at_pivot),
+        "news_adjusted_forecast": (F.col("news_adjusted_forecast"), month > at_pivot),
+    })
+    flags = rows.groupBy("profile").agg((F.count("adjusted_pred") > 0).alias("news_available"), F.first("pivot_month").alias("pivot_month"))
+    return arrays.join(flags, "profile")
+
+
+def area_catalog(latest: DataFrame, centres: DataFrame, area: str = "area_name_en") -> DataFrame:
+    """Known areas with their centre and default unit."""
+    places = centres.select(F.col("area").alias(area), "lat", "lon")
+    return latest.join(places, area, "left")

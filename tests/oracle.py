@@ -62,7 +62,7 @@ def compare(df, con, sql) -> list[str]:
     if s != d:
         only_s, only_d = sorted(set(s) - set(d)), sorted(set(d) - set(s))
         out.append(f"values differ in {len(only_s)}/{len(only_d)} rows; {sorted(df.columns)}")
-        out += [f"  spark {r}" for r in only_s[:4]] + [f"  duck  {r}" for r in only_d[:4]]
+        out += [f"  spark {r}"[:600] for r in only_s[:4]] + [f"  duck  {r}"[:600] for r in only_d[:4]]
     return out
 
 
