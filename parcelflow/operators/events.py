@@ -127,30 +127,29 @@ def decay_adjust(
     base_shock has one row per area with its last non-zero factor; event is the one-row dominant event. Months before
     the shock stay as predicted. signed=True lets positive events raise prices; the default lowers them as well.
     """
-    table = decay_table(forecast.sparkSession)
-    code = event.select("event_code").scalar()
-    known = F.coalesce(table.where(F.col("event_code") == event.select("event_code").scalar()).select("event_code").scalar(), F.lit("DEFAULT"))
-    params = materialise(table.where(F.col("event_code") == known), "decay")
-    halflife, peak, sens, way = (params.select(c).scalar() for c in ("s_halflife", "p_peak", "p_sensitivity", "direction"))
+    params = decay_table(forecast.sparkSession)
+    names = params.columns[1:]
+    own = event.join(F.broadcast(params), "event_code").agg(F.first(F.struct(*names))).scalar()
+    default = params.where("event_code = 'DEFAULT'").select(F.struct(*names)).scalar()
     shock = base_shock.select("area_id", F.col("macro_news_factor").alias("_v0"))
-    df = forecast.join(materialise(shock, "shock"), "area_id", "left").withColumns({
+    df = forecast.join(shock, "area_id", "left").withColumn("_params", F.coalesce(own, default)).withColumns({
         "_v0": F.coalesce("_v0", F.lit(0.0)), "_t": dates.month_diff(F.col("month"), shock_month),
-        "_halflife": halflife, "_peak": peak, "_sens": sens, "_way": way,
     })
+    halflife, peak, sens, way = (F.col("_params")[c] for c in names)
     after = F.col("_t") >= 0
-    sentiment = numeric.sentiment_decay(F.col("_t"), F.col("_halflife"))
-    hump = numeric.price_hump(F.greatest("_t", F.lit(0)), F.col("_halflife"), F.col("_peak"))
-    push = -F.col("_way") if signed else F.abs("_way")
+    sentiment = numeric.sentiment_decay(F.col("_t"), halflife)
+    hump = numeric.price_hump(F.greatest("_t", F.lit(0)), halflife, peak)
+    push = -way if signed else F.abs(way)
     df = df.withColumns({
         "sentiment_decay": F.when(after, sentiment).otherwise(1.0),
         "price_impact": F.when(after, hump).otherwise(0.0),
     })
-    structural = F.when(F.abs("_v0") > 0.0001, F.col("price_impact") * F.col("_sens") * push).otherwise(0.0)
+    structural = F.when(F.abs("_v0") > 0.0001, F.col("price_impact") * sens * push).otherwise(0.0)
     factor = F.when(after, 1 + F.col("_v0") * F.col("sentiment_decay") - structural).otherwise(1.0)
     out = {"adjusted_pred": F.col("predictions") * factor}
     if "macro_news_factor" in forecast.columns:
         out["macro_news_factor"] = F.when(after, F.col("_v0") * F.col("sentiment_decay")).otherwise(F.col("macro_news_factor"))
-    return df.withColumns(out).drop("_v0", "_t", "_halflife", "_peak", "_sens", "_way")
+    return df.withColumns(out).drop("_v0", "_t", "_params")
 
 
 def price_path(adjusted: DataFrame, area: str, start: Column, end: Column) -> DataFrame:

@@ -98,12 +98,15 @@ def splice(history: DataFrame, ahead: DataFrame, base: Column | None = None, pri
     return history.unionByName(ahead)
 
 
-def series_arrays(df: DataFrame, key: str, month: str, values: dict[str, tuple[str, Column]]) -> DataFrame:
+def series_arrays(
+    df: DataFrame, key: str, month: str, values: dict[str, tuple[Column, Column]], extra: list[Column] = ()
+) -> DataFrame:
     """One row per key with, for each output, the ordered array of {timestamp, value} over the rows that match.
 
-    values: output -> (value column, row condition). A series is bounded by its months.
+    values: output -> (value column, row condition); extra: further named aggregates. A series is bounded by its months.
     """
     point = lambda c: F.struct(F.date_format(month, "yyyy-MM-dd").alias("timestamp"), F.round(c, 2).alias("value"))
     return df.groupBy(key).agg(
-        *(F.array_sort(F.collect_list(F.when(cond, point(c)))).alias(out) for out, (c, cond) in values.items())
+        *(F.array_sort(F.collect_list(F.when(cond, point(c)))).alias(out) for out, (c, cond) in values.items()),
+        *extra,
     )

@@ -45,10 +45,10 @@ def resolve_defaults(
     firsts = ranges.agg(
         *(F.min_by(F.try_element_at(F.col(f), F.lit(1)), F.when(F.size(f) > 0, F.col(area))).alias(f) for f in fields)
     )
-    firsts = materialise(firsts, "first-values")
+    any_first = firsts.select(F.struct(*fields)).scalar()
     allowed = ranges.select(area, *(F.col(f).alias(f"_allowed_{f}") for f in fields))
     rows = latest.select(area, *(F.col(f).cast("string").alias(f"_row_{f}") for f in fields))
-    df = requests.join(materialise(allowed, "allowed"), area, "left").join(materialise(rows, "latest"), area, "left")
+    df = requests.join(allowed, area, "left").join(materialise(rows, "latest"), area, "left").withColumn("_any_first", any_first)
     out = {}
     for f, kind in fields.items():
         wanted = F.lit(None).cast("string") if f in locked or f not in requests.columns else F.col(f).try_cast(kind).cast("string")
@@ -58,10 +58,10 @@ def resolve_defaults(
             F.when(wanted.isNotNull() & (no_range | F.array_contains(listed, wanted)), wanted),
             F.try_element_at(listed, F.lit(1)),
             F.col(f"_row_{f}"),
-            firsts.select(f).scalar(),
+            F.col("_any_first")[f],
         ]
         out[f] = F.coalesce(*(t.try_cast(kind) for t in tiers), F.lit(literals[f]).cast(kind))
-    return df.withColumns(out).drop(*(f"_allowed_{f}" for f in fields), *(f"_row_{f}" for f in fields))
+    return df.withColumns(out).drop(*(f"_allowed_{f}" for f in fields), *(f"_row_{f}" for f in fields), "_any_first")
 
 
 def clamp_requested_area(requests: DataFrame, limits: DataFrame, rooms: str = "rooms_en", area: str = "procedure_area") -> DataFrame:
@@ -120,7 +120,7 @@ def nearest_combinations(profiles: DataFrame, history: DataFrame, cols: list[str
     meet = [area, "size", "mask", "values"]
     shared = left.join(right.select(*meet).distinct(), meet, "left_semi")
     best = shared.groupBy("profile").agg(F.max("size").alias("_best"))
-    top = left.join(materialise(best, "best"), "profile").where(F.col("size") == F.col("_best"))
+    top = left.join(best, "profile").where(F.col("size") == F.col("_best"))
     return top.join(right, meet).select("profile", "combination", (F.col("_wanted") - F.col("_best")).alias("mismatch"))
 
 
@@ -167,19 +167,18 @@ def report(history: DataFrame, ahead: DataFrame, news: DataFrame, pivot: Column,
     rows = materialise(rows, "spliced")
     at = panel.pivot_price(rows, "profile", "month", "median_price", pivot, today)
     rows = rows.join(news.select("profile", "month", "adjusted_pred"), ["profile", "month"], "left")
-    rows = rows.join(materialise(at, "pivots"), "profile")
+    rows = rows.join(at, "profile")
     chain = panel.pivot_chain(rows, "profile", "month", "median_price", "adjusted_pred", F.col("pivot_month"))
     chain = chain.select("profile", "month", "macro_forecast", "news_adjusted_forecast")
-    rows = materialise(rows.join(chain, ["profile", "month"], "left"), "report-rows")
     month, at_pivot = F.col("month"), F.col("pivot_month")
-    arrays = forecast.series_arrays(rows, "profile", "month", {
+    values = {
         "before_prediction": (F.col("median_price"), F.col("is_history") & (month < at_pivot)),
         "prediction_point": (F.col("median_price"), month == at_pivot),
         "forecast": (F.col("macro_forecast"), month > at_pivot),
         "news_adjusted_forecast": (F.col("news_adjusted_forecast"), month > at_pivot),
-    })
-    flags = rows.groupBy("profile").agg((F.count("adjusted_pred") > 0).alias("news_available"), F.first("pivot_month").alias("pivot_month"))
-    return arrays.join(flags, "profile")
+    }
+    facts = [(F.count("adjusted_pred") > 0).alias("news_available"), F.first("pivot_month").alias("pivot_month")]
+    return forecast.series_arrays(rows.join(chain, ["profile", "month"], "left"), "profile", "month", values, facts)
 
 
 def area_catalog(latest: DataFrame, centres: DataFrame, area: str = "area_name_en") -> DataFrame:

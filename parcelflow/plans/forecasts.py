@@ -129,7 +129,7 @@ def adjusted_forecast(spark, sf_dir):
     merged, scores = merged_forecast(spark, sf_dir)
     merged = materialise(merged, "merged")
     shock = panel.last_nonzero(merged, "area_id", "month", "macro_news_factor")
-    event = materialise(ev.dominant_event(view(spark, sf_dir, "news")), "event")
+    event = ev.dominant_event(view(spark, sf_dir, "news"))
     return ev.decay_adjust(merged, shock, event, scores.agg(F.max("month")).scalar())
 
 
@@ -340,7 +340,7 @@ def req_forecast_report(spark, sf_dir):
     pivot, today = F.last_day(F.lit(CUT).cast("date")), F.last_day(F.lit("2001-11-01").cast("date"))
     answers = profile.report(past, ahead.select("profile", "month", "predictions"), ahead.select("profile", "month", "adjusted_pred"), pivot, today)
     narrow = requests.select("request_id", "profile", "area_name_en")
-    out = narrow.join(materialise(answers, "answers"), "profile").drop("profile")
+    out = narrow.join(answers, "profile").drop("profile")
     line = lambda s: F.concat_ws(" ", s["timestamp"], s["value"].cast("string"))
     lists = ["before_prediction", "prediction_point", "forecast", "news_adjusted_forecast"]
     return out.withColumns({c: F.array_join(F.transform(c, line), "; ") for c in lists})
