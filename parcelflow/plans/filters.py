@@ -135,13 +135,13 @@ def filt_exact_count(spark, sf_dir):
 
 
 @query("filt_drop_sparse_cols", ctes=TXN_SQL, sql="""
-SELECT l_orderkey, l_partkey, l_linenumber, CASE WHEN rooms_en IS NOT DISTINCT FROM 'Studio' THEN 1 ELSE 0 END AS studio,
+SELECT l_orderkey, l_partkey, l_linenumber, CASE WHEN rooms_en IN ('Studio', '1 B/R', '2 B/R') THEN 1 ELSE 0 END AS small_home,
   CASE WHEN l_quantity = 7 THEN 1 ELSE 0 END AS kept_anyway FROM txn""")
 def filt_drop_sparse_cols(spark, sf_dir):
     """The share of zeros decides the columns: one is far above 90 %, one is protected."""
     facts = transactions(spark, sf_dir, *KEYS, "rooms_en", "l_quantity")
     flags = facts.select(
-        *KEYS, F.coalesce((F.col("rooms_en") == "Studio"), F.lit(False)).cast("int").alias("studio"),
+        *KEYS, F.coalesce(F.col("rooms_en").isin("Studio", "1 B/R", "2 B/R"), F.lit(False)).cast("int").alias("small_home"),
         (F.col("l_quantity") == 5).cast("int").alias("mostly_zero"), (F.col("l_quantity") == 7).cast("int").alias("kept_anyway"),
     )
     return filters.drop_sparse(flags, protected=[*KEYS, "kept_anyway"])

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from parcelflow import fixed_values as fv
 from parcelflow.operators import aggregates, events as ev
 from parcelflow.operators import filters, forecast, impute, joins, panel, profile
 from parcelflow.plans.events import channel_rows, month_scores, score_sql
@@ -22,27 +23,32 @@ def trend_sql(source, steps, name="trend"):
 
 
 def area_panel(spark, sf_dir):
-    return materialise(area_month_panel(spark, sf_dir).select("area_name_en", "month", "monthly_price"), "panel")
+    price = (F.col("monthly_price") * 0.7310585786).alias("monthly_price")
+    return materialise(area_month_panel(spark, sf_dir).select("area_name_en", "month", price), "panel")
 
 
-@query("split_backtest", ctes=FLAGSHIP_CTES + """,
-lastm AS (SELECT max(month) AS m FROM panel),
-marked AS (SELECT area_name_en, month, monthly_price, CASE WHEN month > m - INTERVAL 6 MONTH THEN 'test' ELSE 'train' END AS split FROM panel, lastm)""", sql="""
+PANEL_SQL = f"""{FLAGSHIP_CTES},
+series AS (SELECT area_name_en, month, monthly_price * 0.7310585786e0 AS monthly_price FROM panel)"""
+
+
+@query("split_backtest", ctes=PANEL_SQL + """,
+lastm AS (SELECT max(month) AS m FROM series),
+marked AS (SELECT area_name_en, month, monthly_price, CASE WHEN month > m - INTERVAL 6 MONTH THEN 'test' ELSE 'train' END AS split FROM series, lastm)""", sql="""
 SELECT * FROM marked WHERE area_name_en IN (SELECT area_name_en FROM marked WHERE split = 'test' GROUP BY 1 HAVING count(*) = 6)""")
 def split_backtest(spark, sf_dir):
     return impute.split_backtest(area_panel(spark, sf_dir), "area_name_en", "month")
 
 
-GRID_SQL = """span AS (SELECT area_name_en, min(month) AS lo, max(month) AS hi FROM panel GROUP BY 1),
+GRID_SQL = """span AS (SELECT area_name_en, min(month) AS lo, max(month) AS hi FROM series GROUP BY 1),
 g AS (SELECT area_name_en, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month FROM span),
-x AS (SELECT g.area_name_en, g.month, monthly_price AS p, row_number() OVER (PARTITION BY g.area_name_en ORDER BY g.month) AS i FROM g LEFT JOIN panel q ON g.area_name_en = q.area_name_en AND g.month = q.month),
+x AS (SELECT g.area_name_en, g.month, monthly_price AS p, row_number() OVER (PARTITION BY g.area_name_en ORDER BY g.month) AS i FROM g LEFT JOIN series q ON g.area_name_en = q.area_name_en AND g.month = q.month),
 y AS (SELECT *, last_value(CASE WHEN p IS NOT NULL THEN i END IGNORE NULLS) OVER b AS pi, last_value(p IGNORE NULLS) OVER b AS pv,
   first_value(CASE WHEN p IS NOT NULL THEN i END IGNORE NULLS) OVER a AS ni, first_value(p IGNORE NULLS) OVER a AS nv FROM x
   WINDOW b AS (PARTITION BY area_name_en ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY area_name_en ORDER BY month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
 filled AS (SELECT area_name_en, month, CASE WHEN p IS NOT NULL THEN p ELSE pv + (nv - pv) * (i - pi) / (ni - pi) END AS monthly_price FROM y)"""
 
 
-@query("fc_panel_forecast", ctes=f"{FLAGSHIP_CTES}, {GRID_SQL}, {trend_sql('filled', 6)}" + """,
+@query("fc_panel_forecast", ctes=f"{PANEL_SQL}, {GRID_SQL}, {trend_sql('filled', 6)}" + """,
 lastp AS (SELECT area_name_en, arg_max(monthly_price, month) AS p, max(month) AS m FROM filled GROUP BY 1),
 season AS (SELECT area_name_en, month(month) AS mm, arg_max(monthly_price, month) AS prediction FROM filled GROUP BY 1, 2),
 both_m AS (SELECT 'trend' AS method, * FROM trend UNION ALL SELECT 'seasonal_naive', t.area_name_en, t.month, s.prediction FROM trend t JOIN season s ON t.area_name_en = s.area_name_en AND month(t.month) = s.mm)""", sql="""
@@ -58,9 +64,9 @@ def fc_panel_forecast(spark, sf_dir):
     return out.withColumns({"prediction": F.round("prediction", 4), "predicted_mom_growth_pct": F.round("predicted_mom_growth_pct", 6)})
 
 
-BACKTEST_SQL = f"""{FLAGSHIP_CTES},
-lastm AS (SELECT max(month) AS m FROM panel),
-marked AS (SELECT area_name_en, month, monthly_price, month > m - INTERVAL 6 MONTH AS test FROM panel, lastm),
+BACKTEST_SQL = f"""{PANEL_SQL},
+lastm AS (SELECT max(month) AS m FROM series),
+marked AS (SELECT area_name_en, month, monthly_price, month > m - INTERVAL 6 MONTH AS test FROM series, lastm),
 usable AS (SELECT * FROM marked WHERE area_name_en IN (SELECT area_name_en FROM marked WHERE test GROUP BY 1 HAVING count(*) = 6)),
 train AS (SELECT * FROM usable WHERE NOT test),
 {trend_sql('train', 6)},
@@ -96,8 +102,8 @@ def ml_select_best(spark, sf_dir):
 
 # --- news-adjusted forecasts --------------------------------------------------------------------------------------
 
-NEWS_SQL = f"""{score_sql('month')}, {FLAGSHIP_CTES},
-past AS (SELECT * FROM panel WHERE month <= DATE '{CUT}'),
+NEWS_SQL = f"""{score_sql('month')}, {PANEL_SQL},
+past AS (SELECT * FROM series WHERE month <= DATE '{CUT}'),
 {trend_sql('past', 12)},
 merged AS (SELECT t.area_name_en, regexp_replace(w.area_id, '\\.0$', '') AS area_id, t.month, prediction AS predictions, s.drivers, coalesce(s.macro_news_factor, 0) AS macro_news_factor
   FROM trend t JOIN sensitivity_wide w ON t.area_name_en = w.area LEFT JOIN scores s ON s.area = t.area_name_en AND s.month = t.month),
@@ -188,9 +194,9 @@ def join_request_news(spark, sf_dir):
 SELECT area_name_en, coalesce(string_agg(concat(strftime(month, '%Y-%m-%d'), ' ', CAST(round(monthly_price, 2) AS string)), '; ' ORDER BY month) FILTER (WHERE month < DATE '{CUT}'), '') AS before_prediction,
   coalesce(string_agg(concat(strftime(month, '%Y-%m-%d'), ' ', CAST(round(monthly_price, 2) AS string)), '; ' ORDER BY month) FILTER (WHERE month = DATE '{CUT}'), '') AS prediction_point,
   coalesce(string_agg(concat(strftime(month, '%Y-%m-%d'), ' ', CAST(round(monthly_price, 2) AS string)), '; ' ORDER BY month) FILTER (WHERE month > DATE '{CUT}'), '') AS after_prediction
-FROM (SELECT area_name_en, month, monthly_price * 1.000037e0 AS monthly_price FROM panel) GROUP BY 1""")
+FROM (SELECT area_name_en, month, monthly_price FROM series) GROUP BY 1""")
 def arr_series_format(spark, sf_dir):
-    rows = area_panel(spark, sf_dir).withColumn("monthly_price", F.col("monthly_price") * 1.000037)
+    rows = area_panel(spark, sf_dir)
     price, month, cut = F.col("monthly_price"), F.col("month"), F.lit(CUT).cast("date")
     arrays = forecast.series_arrays(rows, "area_name_en", "month", {
         "before_prediction": (price, month < cut), "prediction_point": (price, month == cut), "after_prediction": (price, month > cut),
@@ -218,7 +224,7 @@ latest AS (SELECT * FROM hist QUALIFY row_number() OVER (PARTITION BY area_name_
 ) + """,
 resolved AS (SELECT request_id, req.area_name_en, req.procedure_area, """ + ", ".join(
     "coalesce(" + (f"CASE WHEN req.{f} IS NOT NULL AND (l_{f}.vals IS NULL OR list_contains(l_{f}.vals, CAST(req.{f} AS string))) THEN req.{f} END, " if f != "trans_group_en" else "")
-    + f"CAST(l_{f}.vals[1] AS {k}), latest.{f}, CAST((SELECT vals[1] FROM l_{f} ORDER BY area_name_en LIMIT 1) AS {k})) AS {f}"
+    + f"CAST(l_{f}.vals[1] AS {k}), latest.{f}, CAST((SELECT vals[1] FROM l_{f} ORDER BY area_name_en LIMIT 1) AS {k}), CAST('{fv.REQUEST_DEFAULTS[f]}' AS {k})) AS {f}"
     for f, k in FIELDS.items()
 ) + " FROM req " + " ".join(f"LEFT JOIN l_{f} ON req.area_name_en = l_{f}.area_name_en" for f in FIELDS) + " LEFT JOIN latest ON req.area_name_en = latest.area_name_en)"
 

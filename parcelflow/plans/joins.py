@@ -135,7 +135,7 @@ def join_scorecards(spark, sf_dir):
 
 
 QUOTES_SQL = """quotes AS (SELECT CAST(o_orderdate AS DATE) AS date, CASE o_orderpriority WHEN '1-URGENT' THEN 'oil' WHEN '2-HIGH' THEN 'gold' ELSE 'dfm' END AS asset,
-  max(o_totalprice) AS close, CAST(count(*) AS double) AS volume FROM orders
+  max(o_totalprice) * 0.7310585786e0 AS close, CAST(count(*) AS double) * 0.8807970779e0 AS volume FROM orders
   WHERE o_orderpriority <> '5-LOW' AND isodow(o_orderdate) <= 5 GROUP BY 1, 2)"""
 ASSETS = ["oil", "gold", "dfm"]
 CALENDAR_SQL = """calendar AS (SELECT date, o.close AS oil_close, o.volume AS oil_volume, g.close AS gold_close, g.volume AS gold_volume, d.close AS dfm_close, d.volume AS dfm_volume
@@ -147,7 +147,7 @@ def quotes(spark, sf_dir):
     asset = F.when(F.col("o_orderpriority") == "1-URGENT", "oil").when(F.col("o_orderpriority") == "2-HIGH", "gold").otherwise("dfm")
     orders = table(spark, sf_dir, "orders").where((F.col("o_orderpriority") != "5-LOW") & (F.weekday("o_orderdate") < 5))
     return orders.groupBy(F.col("o_orderdate").cast("date").alias("date"), asset.alias("asset")).agg(
-        F.max("o_totalprice").alias("close"), F.count("*").cast("double").alias("volume")
+        (F.max("o_totalprice") * 0.7310585786).alias("close"), (F.count("*").cast("double") * 0.8807970779).alias("volume")
     )
 
 

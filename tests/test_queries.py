@@ -7,6 +7,7 @@ from parcelflow.plans import ORACLES, RUNNERS
 from parcelflow.sources import bindings
 
 SF = "/root/testdata/sf0.001"
+SF_MODELS = "/root/testdata/sf0.01"  # the smallest scale at which every area group has rows
 SLOW = {"ml_segment_regress", "ml_random_search", "ml_log_target", "ml_batch_score"}
 
 
@@ -45,13 +46,13 @@ def test_partitioning_does_not_change_results(spark, monkeypatch, name):
 
 
 def test_model_metrics_are_sound(spark):
-    rows = RUNNERS["ml_segment_regress"](spark, SF).collect()
+    rows = RUNNERS["ml_segment_regress"](spark, SF_MODELS).collect()
     assert rows and all(r["test_samples"] > 0 and r["train_samples"] > 0 and r["test_mape"] >= 0 for r in rows)
     assert len({r["segment"] for r in rows}) == len(rows)
 
 
 def test_trial_log_is_ranked(spark):
-    rows = RUNNERS["ml_random_search"](spark, SF).collect()
+    rows = RUNNERS["ml_random_search"](spark, SF_MODELS).collect()
     assert sorted(r["cv_rank"] for r in rows) == list(range(1, len(rows) + 1))
     best = min(rows, key=lambda r: r["cv_rank"])
     assert best["cv_mean_mape"] == min(r["cv_mean_mape"] for r in rows)
