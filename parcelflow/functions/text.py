@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -88,7 +90,9 @@ def developer_from_project(name: Column, project: Column) -> Column:
 
 
 def _has_word(text: Column, words: list[str]) -> Column:
-    return text.rlike(f"(^|[^a-z0-9_])({'|'.join(words)})($|[^a-z0-9_])")
+    """Whole-word match; the plain substring test comes first because almost every text fails it."""
+    anywhere = reduce(lambda a, b: a | b, (text.contains(w) for w in words))
+    return anywhere & text.rlike(f"(^|[^a-z0-9_])({'|'.join(words)})($|[^a-z0-9_])")
 
 
 def geo_tag(title: Column, snippet: Column, source: Column) -> Column:

@@ -197,10 +197,10 @@ lm AS (SELECT area_name_en, max(month) AS lm FROM panel WHERE month <= DATE '{PI
 st AS (SELECT p.area_name_en, any_value(lm) AS lm, arg_max(monthly_price, month) AS last_p, arg_max(monthly_price, month) FILTER (WHERE month < lm) AS prev_p
   FROM panel p JOIN lm ON p.area_name_en = lm.area_name_en WHERE month <= lm GROUP BY 1),
 f AS (SELECT area_name_en, lm, CASE WHEN abs(last_p / prev_p - 1) > 0.05 THEN prev_p * (1 + sign(last_p - prev_p) * 0.0425e0) / last_p ELSE 1 END AS factor FROM st)""", sql="""
-SELECT p.area_name_en, month, round(monthly_price * CASE WHEN month >= lm THEN factor ELSE 1 END, 6) AS monthly_price FROM panel p JOIN f ON p.area_name_en = f.area_name_en""")
+SELECT p.area_name_en, month, round(monthly_price * 0.7310585786e0 * CASE WHEN month >= lm THEN factor ELSE 1 END, 5) AS monthly_price FROM panel p JOIN f ON p.area_name_en = f.area_name_en""")
 def win_last_step_clamp(spark, sf_dir):
     rows = panel.clamp_last_step(area_month_panel(spark, sf_dir), "area_name_en", "month", "monthly_price", day(PIVOT))
-    return rows.select("area_name_en", "month", F.round("monthly_price", 6).alias("monthly_price"))
+    return rows.select("area_name_en", "month", F.round(F.col("monthly_price") * 0.7310585786, 5).alias("monthly_price"))
 
 
 @query("win_dense_series_id", ctes=SERIES_SQL, sql="""
