@@ -158,26 +158,38 @@ def nearest_centre(
 
 
 def nearest_of_many(
-    points: DataFrame, key: list[str], lat: str, lon: str, centres: DataFrame, max_km: float = fv.MAX_MATCH_KM
+    points: DataFrame, key: list[str], lat: str, lon: str, centres: DataFrame, max_km: float = fv.MAX_MATCH_KM, levels: int = 3
 ) -> DataFrame:
-    """The same for a large table of centres (area, lat, lon): cells no smaller than max_km make it an equi-join.
+    """The same for a table of centres (area, lat, lon) of any size, through equality on grid cells.
 
-    A centre is entered in its own cell and the eight around it, so a point meets only centres of its neighbourhood.
-    Longitude cells are sized for the band of latitudes up to 60 degrees.
+    The search widens level by level: a point that has a centre within the small radius is settled there, and only the
+    rest look further. So dense neighbourhoods are searched at a scale that holds few centres, and the result is exact.
+    Centres at the same spot are one (the first by name, which is how ties are settled anyway).
     """
-    step_lat, step_lon = max_km / 111.0, max_km / 55.0
+    spots = centres.groupBy("lat", "lon").agg(F.min("area").alias("area"))
+    spots = materialise(spots.select("area", F.col("lat").alias("_lat"), F.col("lon").alias("_lon")), "centres")
+    waiting = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(*key, lat, lon)
+    found = None
+    for level in reversed(range(levels)):
+        best = materialise(_nearest_within(waiting, key, lat, lon, spots, max_km / 8**level), "nearest")
+        found = best if found is None else found.unionByName(best)
+        waiting = waiting.join(best.select(*key), key, "left_anti")
+    return points.join(found, key, "left")
+
+
+def _nearest_within(points: DataFrame, key: list[str], lat: str, lon: str, spots: DataFrame, radius: float) -> DataFrame:
+    """Nearest spot of the points that have one within radius. Cells are no smaller than the radius up to 60 degrees of
+    latitude, so a spot entered in its own cell and the eight around it meets every point that may match."""
+    step_lat, step_lon = radius / 111.0, radius / 55.0
     around = F.array(*(F.lit(i) for i in (-1, 0, 1)))
-    near = (
-        centres.select(F.col("area"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
-        .withColumn("_dy", F.explode(around)).withColumn("_dx", F.explode(around))
-        .withColumns({"_cy": F.floor(F.col("_lat") / step_lat) + F.col("_dy"), "_cx": F.floor(F.col("_lon") / step_lon) + F.col("_dx")})
+    near = spots.withColumn("_dy", F.explode(around)).withColumn("_dx", F.explode(around)).withColumns(
+        {"_cy": F.floor(F.col("_lat") / step_lat) + F.col("_dy"), "_cx": F.floor(F.col("_lon") / step_lon) + F.col("_dx")}
     )
     placed = points.withColumns({"_cy": F.floor(F.col(lat) / step_lat), "_cx": F.floor(F.col(lon) / step_lon)})
     km = numeric.haversine_km(F.col(lat), F.col(lon), F.col("_lat"), F.col("_lon"))
-    met = placed.join(materialise(near, "cells"), ["_cy", "_cx"]).withColumn("_km", km).where(F.col("_km") <= max_km)
+    met = placed.join(near, ["_cy", "_cx"]).withColumn("_km", km).where(F.col("_km") <= radius)
     best = met.groupBy(*key).agg(F.min(F.struct(F.col("_km").alias("km"), F.col("area"))).alias("_best"))
-    found = best.select(*key, F.col("_best.area").alias("nearest_area"), F.col("_best.km").alias("distance_km"))
-    return points.join(found, key, "left")
+    return best.select(*key, F.col("_best.area").alias("nearest_area"), F.col("_best.km").alias("distance_km"))
 
 
 def resolve_alias(df: DataFrame, area: str, out: str, stand_ins: list[tuple[str, str]] = fv.AREA_STAND_INS) -> DataFrame:

@@ -74,4 +74,5 @@ def medians(df: DataFrame, cols: list[str], max_group_rows: int = MAX_GROUP_ROWS
 def fill_medians(df: DataFrame, cols: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Missing numbers take the column's median."""
     mid = materialise(medians(df, cols, max_group_rows), "medians")
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), mid.select(c).scalar()) for c in cols})
+    df = df.withColumn("_mid", mid.select(F.struct(*cols)).scalar())
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col("_mid")[c]) for c in cols}).drop("_mid")
