@@ -11,11 +11,15 @@ from parcelflow.operators import joins, panel
 
 
 def fill_from_group(df: DataFrame, order: list[str], building: str = "building_name_en", project: str = "project_name_en") -> DataFrame:
-    """Missing values take the first one known in the same building or project: one aggregate per group key."""
+    """Missing values take the first one known in the same building or project: one aggregate per group key.
+
+    Both aggregates start from df itself, so neither waits for the other's join.
+    """
+    base = df
     for key, cols in ((building, fv.BUILDING_FILL), (project, fv.PROJECT_FILL)):
-        cols = [c for c in cols if c in df.columns]
+        cols = [c for c in cols if c in base.columns]
         if cols:
-            df = joins.fill_from(df, joins.first_known(df, key, cols, order), key, cols)
+            df = joins.fill_from(df, joins.first_known(base, key, cols, order), key, cols)
     return df
 
 

@@ -145,6 +145,7 @@ def monthly_series(
     matched: DataFrame, date: str = "instance_date", price: str = "meter_sale_price", start: str = fv.HISTORY_START, end: str | None = None,
 ) -> DataFrame:
     """Per profile: trimmed monthly median on every month end from start to end, gaps interpolated."""
+    matched = materialise(matched.select("profile", date, price), "matched")
     kept = trim_middle(matched, ["profile"], price).withColumn("month", F.trunc(date, "MM"))
     medians = group_quantiles(kept, ["profile", "month"], {"median_price": (price, 0.5)})
     medians = materialise(medians, "medians")

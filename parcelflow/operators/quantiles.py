@@ -16,7 +16,7 @@ from parcelflow.session import materialise
 Specs = dict[str, tuple[str, float]]
 
 MAX_GROUP_ROWS = 1_000_000
-_CELLS = 256
+_CELLS = 64
 _ALL = "_all_rows"
 
 

@@ -9,6 +9,7 @@ from parcelflow import fixed_values as fv
 from parcelflow import schemas
 from parcelflow.functions import dates, text
 from parcelflow.operators import filters, impute, joins, outliers
+from parcelflow.session import materialise
 
 PROJECT_DATES = ["project_start_date", "project_end_date", "completion_date", "cancellation_date", "registration_date"]
 MICRO_COLUMNS = [
@@ -78,7 +79,8 @@ def training_table(
     df = df.withColumn("trans_ubp_key", text.link_key(*map(F.col, parts)))
     micro = micro.drop("area_id_u", "project_number") if "project_number" in df.columns else micro
     df = joins.merge(df, micro, ["trans_ubp_key"], "left").drop(*MICRO_ONLY)
-    df = joins.enrich_developers(df, projects, developers)
+    # The link join is the one large shuffle. Five statistics and the result need its rows, so it is done once.
+    df = materialise(joins.enrich_developers(df, projects, developers), "linked")
     df = joins.backfill_developer_names(df, order)
     df = df.withColumn("developer_name_en", text.developer_from_project(F.col("developer_name_en"), F.col("project_name_en")))
     df = df.withColumns({c: text.strip(F.col(c)) for c in ("building_name_en", "developer_name_en", "project_name_en")})
@@ -123,10 +125,12 @@ def monthly_training_panel(cleaned: DataFrame, quotes: DataFrame, assets: list[s
     flags = [c for c in ("has_parking", "swimming_pool", "balcony", "elevator", "metro") if c in cleaned.columns]
     keep = dict.fromkeys(["area_name_en", "instance_date", "meter_sale_price", *flags, *order])
     facts = blocks.forward_fill(cleaned.select(*keep), ["area_name_en"], order, [*flags, "meter_sale_price"])
-    facts = joins.with_group_copies(joins.on_calendar(facts, "instance_date", calendar), "area_name_en", members)
+    closes = [f"{a}_close" for a in assets]
+    facts = joins.on_calendar(facts, "instance_date", calendar).select("area_name_en", "instance_date", "meter_sale_price", *flags, *closes)
+    facts = joins.with_group_copies(materialise(facts, "filled"), "area_name_en", members)
     groups = [r[0] for r in members.select("group").distinct().collect()]
     facts = filters.min_group_count(facts, "area_name_en", min_rows, groups)
-    rows = panel.month_panel(facts, flags=flags, closes=[f"{a}_close" for a in assets])
+    rows = panel.month_panel(facts, flags=flags, closes=closes)
     rows = panel.asset_moves(panel.lagged_returns(panel.next_return(rows)), assets)
     rows = rows.na.fill(0.0, subset=filters.numeric_columns(rows))
     return filters.min_group_count(rows, "area_name_en", min_months)

@@ -29,7 +29,7 @@ def scan_projected(spark, sf_dir):
 def scan_csv(spark, sf_dir):
     path = fresh_path(spark, "csv")
     sinks.write_csv(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars"), path)
-    return readers.read_csv(spark, path, "doc_id bigint, text string, lang string, n_chars bigint")
+    return readers.read_csv(spark, path, "doc_id bigint, text string, lang string, n_chars bigint", multi_line=True)
 
 
 @query("scan_scorecard", sql="""SELECT s_name AS "Developer Name", CAST(s_acctbal AS string) AS "Developer Score (0-100)",

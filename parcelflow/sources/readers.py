@@ -16,13 +16,13 @@ def read_parquet(spark: SparkSession, path: str, schema: str | None = None, colu
     return df.select(*columns) if columns else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Headed CSV, quoted texts may span lines; unreadable cells become null."""
-    return (
-        spark.read.schema(schema)
-        .options(header=True, mode="PERMISSIVE", multiLine=True, escape='"', ignoreLeadingWhiteSpace=False)
-        .csv(path)
-    )
+def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
+    """Headed CSV; unreadable cells become null.
+
+    Files are split between tasks by lines. Only texts with quoted line breaks need multi_line, which reads a file whole.
+    """
+    options = {"header": True, "mode": "PERMISSIVE", "escape": '"', "multiLine": multi_line}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def read_scorecard(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -30,7 +30,7 @@ def test_csv_round_trip(spark):
     rows = [(1, 'says "x", y', 1.5), (2, "two\nlines", None), (3, None, -2.0)]
     df = spark.createDataFrame(rows, "i int, t string, v double")
     sinks.write_csv(df, path)
-    assert sorted(tuple(r) for r in readers.read_csv(spark, path, "i int, t string, v double").collect()) == rows
+    assert sorted(tuple(r) for r in readers.read_csv(spark, path, "i int, t string, v double", multi_line=True).collect()) == rows
 
 
 def test_unfinished_runs_are_not_read(spark):
