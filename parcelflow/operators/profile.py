@@ -135,6 +135,14 @@ def history_window(history: DataFrame, date: str, start: str, end: str) -> DataF
     return history.where((F.col(date) >= F.lit(start).cast(kind)) & (F.col(date) < after))
 
 
+def group_history(history: DataFrame, area: str = "area_name_en") -> DataFrame:
+    """History plus, under each stand-in's name, the rows of its member areas (group names match in any letter case)."""
+    names = sorted({name for _, name in fv.AREA_STAND_INS})
+    pairs = [(name, member) for name in names for group, member in fv.AREA_GROUPS if group.lower() == name.lower()]
+    members = joins.literal_table(history.sparkSession, pairs, "group string, member string")
+    return joins.with_group_copies(history, area, members)
+
+
 def matching_history(profiles: DataFrame, history: DataFrame, cols: list[str], area: str = "area_name_en") -> DataFrame:
     """History rows per profile. profiles has one row per profile."""
     pairs = materialise(nearest_combinations(profiles, history, cols, area), "pairs")
@@ -182,6 +190,29 @@ def report(history: DataFrame, ahead: DataFrame, news: DataFrame, pivot: Column,
     return forecast.series_arrays(rows.join(chain, ["profile", "month"], "left"), "profile", "month", values, facts)
 
 
+def answer(
+    requests: DataFrame, history: DataFrame, ranges: DataFrame, latest: DataFrame, centres: DataFrame, adjusted: DataFrame,
+    fields: dict[str, str], cols: list[str], start: str, end: str, today: str, locked: list[str] = (),
+) -> DataFrame:
+    """Reports of a batch of requests. Requests whose area cannot be found get no row.
+
+    history: transactions with area_name_en, the match columns, instance_date and meter_sale_price. adjusted:
+    (area_name_en, month end, predictions, adjusted_pred). fields: request fields with their types; cols: the fields
+    history is matched on. start, end (the pivot month) and today bound the series.
+    """
+    resolved = resolve_defaults(resolve_area(requests, centres), ranges, latest, fields, locked)
+    keyed = with_profile(resolved.where(F.col("area_name_en").isNotNull()), cols).select("request_id", "profile", "area_name_en", *cols)
+    keyed = materialise(keyed, "requests")
+    profiles = materialise(keyed.select("profile", "area_name_en", *cols).distinct(), "profiles")
+    rows = group_history(history.select("area_name_en", *cols, "instance_date", "meter_sale_price"))
+    matched = matching_history(profiles, history_window(rows, "instance_date", start, end), cols)
+    past = monthly_series(matched, start=start, end=end)
+    ahead = profiles.select("profile", "area_name_en").join(adjusted, "area_name_en")
+    pivot, now = (F.last_day(F.lit(d).cast("date")) for d in (end, today))
+    answers = report(past, ahead.select("profile", "month", "predictions"), ahead.select("profile", "month", "adjusted_pred"), pivot, now)
+    return keyed.select("request_id", "profile", "area_name_en").join(answers, "profile").drop("profile")
+
+
 def area_catalog(latest: DataFrame, centres: DataFrame, area: str = "area_name_en") -> DataFrame:
     """Known areas with their centre and default unit."""
     places = centres.select(F.col("area").alias(area), "lat", "lon")

@@ -234,20 +234,20 @@ def history(spark, sf_dir):
     return facts.withColumns({"trans_group_en": F.trim("trans_group_en"), "meter_sale_price": F.col("meter_sale_price") * 0.7310585786})
 
 
-def located_requests(spark, sf_dir):
-    return profile.resolve_area(view(spark, sf_dir, "requests"), view(spark, sf_dir, "centres"))
-
-
 def latest_rows(hist):
     return joins.keep_one(hist, ["area_name_en"], [F.desc("instance_date"), *(F.col(c) for c in TXN_ORDER)])
 
 
-def resolved_requests(spark, sf_dir):
-    """Areas with enough rows have value ranges; the others fall back to their latest row, then to any area."""
+def request_tables(spark, sf_dir):
+    """History, and value ranges of the areas with enough rows; the others fall back to their latest row."""
     hist = history(spark, sf_dir)
     large = filters.min_group_count(hist.select("area_name_en", *FIELDS, "procedure_area"), "area_name_en", RANGE_ROWS)
-    ranges = materialise(aggregates.value_ranges(large, "area_name_en", list(FIELDS), "procedure_area"), "ranges")
-    requests = located_requests(spark, sf_dir)
+    return hist, materialise(aggregates.value_ranges(large, "area_name_en", list(FIELDS), "procedure_area"), "ranges")
+
+
+def resolved_requests(spark, sf_dir):
+    hist, ranges = request_tables(spark, sf_dir)
+    requests = profile.resolve_area(view(spark, sf_dir, "requests"), view(spark, sf_dir, "centres"))
     return profile.resolve_defaults(requests, ranges, latest_rows(hist), FIELDS, locked=["trans_group_en"])
 
 
@@ -279,13 +279,13 @@ def profiles_and_matches(spark, sf_dir):
     hist = history(spark, sf_dir).select("area_name_en", *COLS, "instance_date", "meter_sale_price")
     hist = profile.history_window(hist, "instance_date", SERIES_START, SERIES_END)
     matched = profile.matching_history(profiles, hist, COLS)
-    return profiles, matched.select("profile", "mismatch", "instance_date", "meter_sale_price"), requests
+    return profiles, matched.select("profile", "mismatch", "instance_date", "meter_sale_price")
 
 
 @query("req_nearest_profile", ctes=PROFILE_SQL, sql=f"""
 SELECT {AS_FIELDS}, max(mismatch) AS mismatch, count(*) AS n, min(meter_sale_price) AS lowest, max(meter_sale_price) AS highest FROM matched GROUP BY area_name_en, r, g, t, k""")
 def req_nearest_profile(spark, sf_dir):
-    profiles, matched, _ = profiles_and_matches(spark, sf_dir)
+    profiles, matched = profiles_and_matches(spark, sf_dir)
     sums = matched.groupBy("profile").agg(
         F.max("mismatch").alias("mismatch"), F.count("*").alias("n"), F.min("meter_sale_price").alias("lowest"), F.max("meter_sale_price").alias("highest")
     )
@@ -294,7 +294,7 @@ def req_nearest_profile(spark, sf_dir):
 
 @query("req_trim_5_95", ctes=PROFILE_SQL, sql=f"SELECT {AS_FIELDS}, count(*) AS n, min(meter_sale_price) AS lowest, max(meter_sale_price) AS highest FROM kept_rows GROUP BY area_name_en, r, g, t, k")
 def req_trim_5_95(spark, sf_dir):
-    profiles, matched, _ = profiles_and_matches(spark, sf_dir)
+    profiles, matched = profiles_and_matches(spark, sf_dir)
     kept = profile.trim_middle(matched, ["profile"], "meter_sale_price")
     sums = kept.groupBy("profile").agg(F.count("*").alias("n"), F.min("meter_sale_price").alias("lowest"), F.max("meter_sale_price").alias("highest"))
     return profiles.join(sums, "profile").drop("profile")
@@ -313,7 +313,7 @@ hs AS (SELECT area_name_en, r, g, t, k, last_day(month) AS month, CASE WHEN p IS
 
 @query("req_monthly_series", ctes=MONTHLY_SQL, sql=f"SELECT {AS_FIELDS}, month, round(median_price, 5) AS median_price FROM hs")
 def req_monthly_series(spark, sf_dir):
-    profiles, matched, _ = profiles_and_matches(spark, sf_dir)
+    profiles, matched = profiles_and_matches(spark, sf_dir)
     series = profile.monthly_series(matched, start=SERIES_START, end=SERIES_END)
     return profiles.join(series, "profile").drop("profile").withColumn("median_price", F.round("median_price", 5))
 
@@ -339,14 +339,12 @@ FROM resolved q LEFT JOIN h ON q.area_name_en = h.area_name_en AND rooms_en IS N
 JOIN f ON q.area_name_en = f.area_name_en AND rooms_en IS NOT DISTINCT FROM f.r AND reg_type_en IS NOT DISTINCT FROM f.g AND trans_group_en IS NOT DISTINCT FROM f.t AND has_parking IS NOT DISTINCT FROM f.k""")
 def req_forecast_report(spark, sf_dir):
     """One row per request: history, pivot, forecast and news-adjusted forecast of its profile."""
-    profiles, matched, requests = profiles_and_matches(spark, sf_dir)
-    past = profile.monthly_series(matched, start=SERIES_START, end=SERIES_END)
+    hist, ranges = request_tables(spark, sf_dir)
     adjusted = materialise(adjusted_forecast(spark, sf_dir).withColumn("month", F.last_day("month")), "adjusted")
-    ahead = profiles.select("profile", "area_name_en").join(adjusted, "area_name_en")
-    pivot, today = F.last_day(F.lit(CUT).cast("date")), F.last_day(F.lit("2001-11-01").cast("date"))
-    answers = profile.report(past, ahead.select("profile", "month", "predictions"), ahead.select("profile", "month", "adjusted_pred"), pivot, today)
-    narrow = requests.select("request_id", "profile", "area_name_en")
-    out = narrow.join(answers, "profile").drop("profile")
+    out = profile.answer(
+        view(spark, sf_dir, "requests"), hist, ranges, latest_rows(hist), view(spark, sf_dir, "centres"), adjusted, FIELDS, COLS,
+        SERIES_START, SERIES_END, "2001-11-01", locked=["trans_group_en"],
+    )
     line = lambda s: F.concat_ws(" ", s["timestamp"], s["value"].cast("string"))
     lists = ["before_prediction", "prediction_point", "forecast", "news_adjusted_forecast"]
     return out.withColumns({c: F.array_join(F.transform(c, line), "; ") for c in lists})

@@ -272,3 +272,12 @@ def test_string_dates_are_coerced(spark):
     df = spark.createDataFrame([("2020-01-05", " Sales "), ("bad", "Sales"), ("2009-12-31", "Sales"), ("2020-01-06", "Gifts")], "instance_date string, trans_group_en string")
     got = stages.clean_transactions(df)
     assert rows(got.select("instance_date", "trans_group_en", "quarter")) == [(date(2020, 1, 5), "Sales", 1)]
+
+
+def test_stand_ins_use_their_members_history(spark):
+    hist = spark.createDataFrame([("Jabal Ali", 1), ("Warsan Fourth", 2), ("Burj Khalifa", 3)], "area_name_en string, v int")
+    got = rows(profile.group_history(hist))
+    assert sorted(got) == sorted([("Jabal Ali", 1), ("Warsan Fourth", 2), ("Burj Khalifa", 3), ("G3", 1), ("G3", 2)])
+    requests = spark.createDataFrame([(1, "Jabal Ali", None, None), (2, None, 25.1971, 55.2745), (3, None, 10.0, 10.0)], "request_id int, area_name string, lat double, lon double")
+    centres = spark.createDataFrame([("Burj Khalifa", 25.1972, 55.2744)], "area string, lat double, lon double")
+    assert rows(profile.resolve_area(requests, centres).select("request_id", "area_name_en"), "request_id") == [(1, "G3"), (2, "Burj Khalifa"), (3, None)]
