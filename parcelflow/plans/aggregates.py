@@ -2,13 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from parcelflow.functions import dates
-from parcelflow.operators import aggregates, filters, joins, outliers, panel
+from parcelflow.operators import aggregates, joins, outliers, panel
 from parcelflow.plans.filters import KEYS
 from parcelflow.plans.flagship import FLAGSHIP_CTES, area_month_panel
 from parcelflow.plans.joins import ASSETS, CALENDAR_SQL, ENRICH_SQL, MEMBERS_SQL, QUOTES_SQL, enriched, members, quotes
 from parcelflow.plans.registry import query
-from parcelflow.sources.bindings import TXN_ORDER, TXN_ORDER_SQL, TXN_SQL, table, transactions, view, view_sql
+from parcelflow.sources.bindings import TXN_ORDER, TXN_ORDER_SQL, TXN_SQL, table, transactions
 
 K = "l_orderkey, l_partkey, l_linenumber"
 

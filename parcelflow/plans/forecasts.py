@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 from parcelflow import fixed_values as fv
 from parcelflow.operators import aggregates, events as ev
 from parcelflow.operators import filters, forecast, impute, joins, panel, profile
-from parcelflow.plans.events import channel_rows, month_scores, score_sql
+from parcelflow.plans.events import month_scores, score_sql
 from parcelflow.plans.flagship import FLAGSHIP_CTES, area_month_panel
 from parcelflow.plans.registry import query
 from parcelflow.session import materialise
-from parcelflow.sources.bindings import TXN_ORDER, TXN_ORDER_SQL, TXN_SQL, table, transactions, view, view_sql
+from parcelflow.sources.bindings import TXN_ORDER, TXN_ORDER_SQL, TXN_SQL, transactions, view, view_sql
 
 CUT = "2001-05-01"
 MONTH_T = "CAST((year({m}) - 2000) * 12 + month({m}) - 1 AS double)"

@@ -7,7 +7,7 @@ from parcelflow.operators import stages
 from parcelflow.plans.aggregates import TRIM_SQL
 from parcelflow.plans.events import IMPUTED
 from parcelflow.plans.filters import KEYS, quoted
-from parcelflow.plans.joins import ASSETS, CALENDAR_SQL, MEMBERS_SQL, QUOTES_SQL, members, quotes
+from parcelflow.plans.joins import ASSETS, MEMBERS_SQL, QUOTES_SQL, members, quotes
 from parcelflow.plans.registry import query
 from parcelflow.plans.texts import LINK_KEY_SQL, RULE_SQL
 from parcelflow.sources.bindings import TXN_ORDER, TXN_ORDER_SQL, TXN_SQL, transactions, view, view_sql

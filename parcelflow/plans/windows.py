@@ -10,7 +10,7 @@ from parcelflow.plans.flagship import FLAGSHIP_CTES, area_month_panel, area_retu
 from parcelflow.plans.joins import ASSETS, CALENDAR_SQL, QUOTES_SQL, quotes
 from parcelflow.plans.registry import query
 from parcelflow.session import materialise
-from parcelflow.sources.bindings import TXN_ORDER, TXN_ORDER_SQL, TXN_SQL, table, transactions
+from parcelflow.sources.bindings import TXN_ORDER, TXN_ORDER_SQL, TXN_SQL, transactions
 
 K = "l_orderkey, l_partkey, l_linenumber"
 PIVOT, TODAY = "1999-06-01", "2000-03-01"
