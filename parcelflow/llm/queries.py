@@ -5,16 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import sharding, simhash
+from parcelflow.llm import langid, sharding, simhash, topk
 from parcelflow.llm.common import read
 
 RUNNERS: dict = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(fn):
-    RUNNERS[fn.__name__] = fn
-    return fn
+def query(fn=None, *, sql: str | None = None):
+    def wrap(f):
+        RUNNERS[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return wrap(fn) if fn else wrap
 
 
 @query
@@ -33,3 +38,30 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query(sql="""
+WITH sound AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.r AS qr, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score,
+         row_number() OVER (PARTITION BY q.r ORDER BY list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) DESC, c.vec_id) AS n
+  FROM sound q JOIN sound c ON q.vec_id % 20 = 0 AND q.r <> c.r AND len(q.v) = len(c.v)
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM scored WHERE n <= 20
+""")
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best vectors for every vector whose id is divisible by 20."""
+    vectors = topk.quantised(read(spark, sf_dir, "embeddings"), scale=64)
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from documents that are not held out."""
+    docs = read(spark, sf_dir, "documents")
+    model = langid.train(docs)
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
