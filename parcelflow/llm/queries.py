@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import langid, sharding, simhash, topk
+from parcelflow.llm import decontaminate, langid, sharding, simhash, topk
 from parcelflow.llm.common import read
 
 RUNNERS: dict = {}
@@ -65,3 +65,27 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.train(docs)
     found = langid.predict(docs.select("doc_id", "text"), model)
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query(sql=r"""
+WITH d AS (
+  SELECT doc_id, text, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL
+), i AS (
+  SELECT *, least(len(w), 5) AS k
+  FROM (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark)
+  WHERE len(w) > 0
+), item_shingles AS (
+  SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda p: array_to_string(w[p : p + k - 1], ' '))) AS s FROM i
+), sizes AS (SELECT item_id, CAST(count(*) AS INTEGER) AS n FROM item_shingles GROUP BY item_id),
+doc_shingles AS (
+  SELECT DISTINCT doc_id, text, k, unnest(list_transform(range(1, len(w) - k + 2), lambda p: array_to_string(w[p : p + k - 1], ' '))) AS s
+  FROM d CROSS JOIN (SELECT DISTINCT k FROM i)
+)
+SELECT doc_id, item_id, n AS n_shingles, count(*) AS matched, count(*) / n AS containment
+FROM doc_shingles JOIN item_shingles USING (k, s) JOIN sizes USING (item_id)
+GROUP BY doc_id, text, item_id, n HAVING count(*) >= ceil(n * 0.8 - 1e-9)
+""")
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it contains."""
+    found = decontaminate.containments(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), threshold=0.8, shingle=5)
+    return found.drop("text_hash")
