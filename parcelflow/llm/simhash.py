@@ -26,7 +26,7 @@ from parcelflow.llm.common import byte_column, components, partitions, slices
 from parcelflow.session import materialise
 
 BITS = 64
-LANES = 1 << 16
+LANES = 1 << 12
 CHECK_EVERY = 8  # planes between two looks for lanes to abandon
 ALL = np.uint64(2**64 - 1)
 
