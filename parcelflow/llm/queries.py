@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import decontaminate, langid, sharding, simhash, topk
+from parcelflow.llm import decontaminate, langid, packing, sharding, simhash, topk
 from parcelflow.llm.common import read
 
 RUNNERS: dict = {}
@@ -89,3 +90,11 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of a document and a benchmark item that it contains."""
     found = decontaminate.containments(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), threshold=0.8, shingle=5)
     return found.drop("text_hash")
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of at most 2,048 ids."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), cut="space", end_id=0, size=2048)
+    return packing.pack(found, size=2048)
