@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import chat, decontaminate, langid, packing, sharding, simhash, topk
+from parcelflow.llm import chat, decontaminate, langid, licences, packing, sharding, simhash, topk
 from parcelflow.llm.common import read
 
 RUNNERS: dict = {}
@@ -107,3 +107,14 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     trap = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
     return chat.digests(chat.format_turns(given.unionByName(trap)))
+
+
+@query
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recognised licences of every document, and its known licence sentences in order."""
+    found = licences.scan(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.array_join(F.array_sort(F.array_distinct(F.col("licences.licence"))), ",").alias("licences"),
+        F.array_join(F.col("sentences.id"), ",").alias("sentence_ids"), F.size("sentences").alias("n_sentences"),
+        F.transform("licences", lambda x: F.struct(x["start"], x["length"])).alias("spans"),
+    )
