@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import chat, decontaminate, langid, licences, packing, sharding, simhash, topk
+from parcelflow.llm import chat, decontaminate, langid, licences, packing, quality, sharding, simhash, topk
 from parcelflow.llm.common import read
 
 RUNNERS: dict = {}
@@ -118,3 +118,10 @@ def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.col("sentences.id"), ",").alias("sentence_ids"), F.size("sentences").alias("n_sentences"),
         F.transform("licences", lambda x: F.struct(x["start"], x["length"])).alias("spans"),
     )
+
+
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under the model of trusted text, and whether it is kept."""
+    found = quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select("doc_id", "lang", "n_chars", F.round("perplexity", 6).alias("perplexity"), F.round("threshold", 6).alias("threshold"), "keep")
