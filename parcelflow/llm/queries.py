@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import chat, decontaminate, langid, licences, packing, quality, sharding, simhash, topk
+from parcelflow.llm import chat, decontaminate, langid, licences, packing, quality, sharding, simhash, tokenfiles, topk
 from parcelflow.llm.common import read
+from parcelflow.session import fresh_path
 
 RUNNERS: dict = {}
 ORACLES: dict[str, str] = {}
@@ -125,3 +126,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity of every document under the model of trusted text, and whether it is kept."""
     found = quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return found.select("doc_id", "lang", "n_chars", F.round("perplexity", 6).alias("perplexity"), F.round("threshold", 6).alias("threshold"), "keep")
+
+
+@query
+def op5_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place and checksum of every document's ids, read back from the files."""
+    path = fresh_path(spark, "ids")
+    tokenfiles.write(read(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.path("word_bpe_49k.json"), vocab=49_408, cut="white", end_id=2)
+    return tokenfiles.checksums(spark, path)
