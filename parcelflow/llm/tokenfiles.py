@@ -32,23 +32,23 @@ def write(docs: DataFrame, path: str, tokenizer: str, vocab: int, cut: str = "wh
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, cut)
-        end = np.array([end_id], "<u4").tobytes()
+        encoder = Encoder.kept(tokenizer, cut)
         names, parts, held = [], [], 0
 
         def block():
-            ids = np.frombuffer(b"".join(parts), "<u4")
-            lengths = [len(p) // 4 for p in parts]
+            ids = np.concatenate(parts)
+            lengths = [len(p) for p in parts]
             kinds = (pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary())
             columns = [pa.array([v], k) for v, k in zip((names, lengths, len(ids), coder.encode(ids, vocab)), kinds)]
             return pa.RecordBatch.from_arrays(columns, ["docs", "lengths", "n_ids", "block"])
 
-        for batch in slices(batches, "t", 1 << 22):
-            texts = [t or "" for t in batch.column("t").to_pylist()]
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids(texts)):
+        for batch in slices(batches, "t", 1 << 24):
+            every, offsets = encoder.closed(batch.column("t"), end_id)
+            ends = offsets.tolist()
+            for doc, a, b in zip(batch.column("doc_id").to_pylist(), ends, ends[1:]):
                 names.append(doc)
-                parts.append(ids + end)
-                held += len(ids) // 4 + 1
+                parts.append(every[a:b])
+                held += b - a
                 if held >= BLOCK_IDS:
                     yield block()
                     names, parts, held = [], [], 0

@@ -1,69 +1,121 @@
-"""Token ids of whole texts from a tokenizer file, with each distinct piece of text encoded once per task.
+"""Token ids of whole texts from a tokenizer file, with each distinct piece of text encoded once per worker.
 
 Pieces are cut where the tokenizer's own first split cuts in any case, so the ids equal those of the whole text:
 `space` files (byte-level, a space belongs to the next word) between a character and a single space, `white` files
 (white space dropped) at spaces and line feeds. Texts where that is not certain are encoded whole: texts that name a
-special token and, for `space` files, texts with two white spaces in a row.
+special token and, for `space` files, texts with a space at either end or beside another white space. Cutting, looking up
+and putting together are column operations; only new pieces go to the tokenizer.
 """
 
 from __future__ import annotations
 
 import os
-import re
+import sys
+from array import array
+from types import ModuleType
 
-TWO_SPACES = re.compile(r"\s\s")
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+MOST = 1_200_000  # pieces that a worker remembers
 
 
 class Encoder:
-    """Ids as bytes of little-endian unsigned 32-bit integers."""
+    """Pieces met so far and their ids; piece 0 has none."""
 
-    def __init__(self, path: str, cut: str, most: int = 400_000):
+    def __init__(self, path: str, cut: str, most: int = MOST):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cut, self.most = Tokenizer.from_file(path), cut, most
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        self._forget()
+
+    @classmethod
+    def kept(cls, path: str, cut: str) -> Encoder:
+        """The worker's encoder for a file: a reused Python worker goes on with what it knows."""
+        held = sys.modules.setdefault("_kept_token_encoders", ModuleType("_kept_token_encoders")).__dict__
+        if (path, cut) not in held:
+            held[path, cut] = cls(path, cut)
+        return held[path, cut]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
+    def _forget(self) -> None:
+        self.later: dict[str, int] = {}
+        self.first: dict[str, int] = {}
+        self.values, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _add(self, texts: list[str]) -> int:
+        """Number of the first of these texts, whose ids are added in order."""
+        number, ids, lengths = len(self.starts), array("I"), []
+        for i in range(0, len(texts), 50_000):
+            for e in self.tokenizer.encode_batch_fast(texts[i : i + 50_000], add_special_tokens=False):
+                found = e.ids
+                ids.extend(found)
+                lengths.append(len(found))
+        new = np.array(lengths, np.int64)
+        starts = len(self.values) + np.cumsum(new) - new
+        self.values = np.concatenate((self.values, np.frombuffer(ids, np.uint32)))
+        self.starts, self.lengths = np.concatenate((self.starts, starts)), np.concatenate((self.lengths, new))
+        return number
 
-    def _learn(self, known: dict[str, bytes], pieces: set[str], lead: str) -> None:
-        if len(known) > self.most:
-            known.clear()
-        new = [p for p in pieces if p not in known]
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            known.update(zip(part, self._encode([lead + p for p in part])))
+    def _numbers(self, known: dict[str, int], pieces: list[str], lead: str) -> np.ndarray:
+        new = [p for p in dict.fromkeys(pieces) if p not in known]
+        if new:
+            known.update(zip(new, range(at := self._add([lead + p for p in new]), at + len(new))))
+        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
 
-    def ids(self, texts: list[str]) -> list[bytes]:
+    def _uncertain(self, piece: str) -> bool:
+        return "<|" in piece or (self.cut == "space" and (not piece or piece[0].isspace() or piece[-1].isspace()))
+
+    def columns(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) of a string column; null counts as empty."""
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
+        texts = texts.cast(pa.large_string())
+        if texts.null_count:
+            texts = texts.fill_null("")
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        if len(self.starts) > self.most:
+            self._forget()
         space = self.cut == "space"
-        cuts: list = []
-        for t in texts:
-            if "<|" in t or (space and TWO_SPACES.search(t)):
-                cuts.append(None)
-            elif space:
-                cuts.append(t.split(" "))
-            else:
-                cuts.append([p for p in t.replace("\n", " ").split(" ") if p])
-        pieces: set[str] = set()
-        for c in cuts:
-            if c:
-                pieces.update(c[1:] if space else c)
-        self._learn(self.later, pieces, " " if space else "")
+        lists = pc.split_pattern(texts if space else pc.replace_substring(texts, "\n", " "), " ")
+        cuts = lists.offsets.to_numpy().astype(np.int64)
+        cuts -= cuts[0]
+        coded = lists.flatten().dictionary_encode()
+        place, pieces = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        doubt = np.fromiter(map(self._uncertain, pieces), bool, len(pieces))
+        usable = [p if p and not d else None for p, d in zip(pieces, doubt)]
+        numbers = np.zeros(len(pieces), np.int64)
+        some = np.flatnonzero([p is not None for p in usable])
+        numbers[some] = self._numbers(self.later, [usable[i] for i in some], " " if space else "")
+        which = numbers[place]
         if space:
-            self._learn(self.first, {c[0] for c in cuts if c}, "")
-        whole = iter(self._encode([t for t, c in zip(texts, cuts) if c is None]))
-        at = self.later.__getitem__
-        out = []
-        for c in cuts:
-            if c is None:
-                out.append(next(whole))
-            elif space:
-                out.append(self.first[c[0]] + b"".join(map(at, c[1:])))
-            else:
-                out.append(b"".join(map(at, c)))
-        return out
+            heads = [usable[i] for i in place[cuts[:-1]]]
+            some = np.flatnonzero([p is not None for p in heads])
+            which[cuts[some]] = self._numbers(self.first, [heads[i] for i in some], "")
+        in_doubt = np.flatnonzero(doubt[place])
+        size = len(self.values), len(self.starts)
+        if len(in_doubt):
+            rows = np.unique(np.searchsorted(cuts, in_doubt, "right") - 1)
+            for row, number in zip(rows, range(self._add(texts.take(pa.array(rows)).to_pylist()), len(self.starts))):
+                which[cuts[row] : cuts[row + 1]] = 0
+                which[cuts[row]] = number
+        lengths = self.lengths[which]
+        ends = np.cumsum(lengths)
+        at = np.repeat(self.starts[which] - ends + lengths, lengths)
+        at += np.arange(len(at))
+        ids, offsets = self.values[at], np.concatenate(([0], ends))[cuts]
+        if len(in_doubt):  # whole texts are not remembered
+            self.values, self.starts, self.lengths = self.values[: size[0]], self.starts[: size[1]], self.lengths[: size[1]]
+        return ids, offsets
+
+    def closed(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) with end_id after the ids of every text."""
+        ids, offsets = self.columns(texts)
+        n = len(offsets) - 1
+        out = np.empty(len(ids) + n, np.uint32)
+        out[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(offsets))] = ids
+        offsets = offsets + np.arange(n + 1)
+        out[offsets[1:] - 1] = end_id
+        return out, offsets
