@@ -25,8 +25,8 @@ from parcelflow.session import materialise
 
 BITS = 12
 OWN, SHARED = 3900, 190
-PIECE = 1 << 21
-BLOCK_BYTES = 1 << 25
+PIECE = 1 << 19
+BLOCK_BYTES = 1 << 24
 FILTER_BITS = 1 << 20  # size of the filter of trusted ids, whatever their number
 BANDS = (128, 512)  # lengths in characters at which a new band of thresholds begins
 STEPS = 1000  # steps of a threshold per bit
@@ -91,7 +91,7 @@ def _distinct(batch: pa.RecordBatch, order: int) -> tuple[np.ndarray, np.ndarray
         found = np.unique(key, return_counts=True)
         waiting.append(found)
         held += len(found[0])
-        if held > 1 << 21:
+        if held > 1 << 20:
             keys, counts = merged()
             waiting, held = [], 0
     return merged()
