@@ -6,26 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow import fixed_values as fv
-from parcelflow.operators.quantiles import MAX_GROUP_ROWS, column_quantiles, group_quantiles
+from parcelflow.operators.quantiles import column_quantiles, group_quantiles
 from parcelflow.session import materialise
 
 
 def trim_by_group(
     df: DataFrame, group: str = "area_name_en", value: str = "meter_sale_price", low: float = 0.01, high: float = 0.99,
-    min_rows: int = fv.MIN_TRIM_ROWS, max_group_rows: int = MAX_GROUP_ROWS,
+    min_rows: int = fv.MIN_TRIM_ROWS, max_group_rows: int | None = None,
 ) -> DataFrame:
     """Rows whose value lies within the group's quantiles; groups with few known values stay whole.
 
     Rows without a group are dropped; rows without a value survive only in the small groups.
     """
     specs = {"_lo": (value, low), "_hi": (value, high)}
-    bounds = group_quantiles(df, [group], specs, [F.count(value).alias("_n")], max_group_rows)
+    bounds = group_quantiles(df, [group], specs, (), max_group_rows, {"_n": value})
     inside = (F.col("_n") < min_rows) | F.col(value).between(F.col("_lo"), F.col("_hi"))
     return df.join(materialise(bounds, "bounds"), group).where(inside).select(*df.columns)
 
 
 def trim_area_by_rooms(
-    df: DataFrame, room: str = "rooms_en", area: str = "procedure_area", max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, room: str = "rooms_en", area: str = "procedure_area", max_group_rows: int | None = None
 ) -> DataFrame:
     """Unit areas between the room type's fixed minimum (else its p5) and its p99. Rows without a room type go."""
     bounds = group_quantiles(df, [room], {"_lo": (area, 0.05), "_hi": (area, 0.99)}, (), max_group_rows)
@@ -41,7 +41,7 @@ def trim_all(df: DataFrame) -> DataFrame:
     return trim_by_group(trim_area_by_rooms(df))
 
 
-def describe(df: DataFrame, group: str, value: str, suffix: str = "", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def describe(df: DataFrame, group: str, value: str, suffix: str = "", max_group_rows: int | None = None) -> DataFrame:
     """count, mean, std, min, quartiles and max of value per group."""
     specs = {f"{q}{suffix}": (value, p) for q, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))}
     extra = [
@@ -59,19 +59,19 @@ def describe_change(before: DataFrame, after: DataFrame, group: str, value: str)
 
 
 def trim_middle(
-    df: DataFrame, keys: list[str], value: str, low: float = 0.05, high: float = 0.95, max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, keys: list[str], value: str, low: float = 0.05, high: float = 0.95, max_group_rows: int | None = None
 ) -> DataFrame:
     """Rows between the two quantiles of their group, with no exception for small groups."""
     bounds = group_quantiles(df, keys, {"_lo": (value, low), "_hi": (value, high)}, (), max_group_rows)
     return df.join(materialise(bounds, "bounds"), keys).where(F.col(value).between(F.col("_lo"), F.col("_hi"))).select(*df.columns)
 
 
-def medians(df: DataFrame, cols: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def medians(df: DataFrame, cols: list[str], max_group_rows: int | None = None) -> DataFrame:
     """One row with the median of each column over the whole table."""
     return column_quantiles(df, {c: (c, 0.5) for c in cols}, (), max_group_rows)
 
 
-def fill_medians(df: DataFrame, cols: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def fill_medians(df: DataFrame, cols: list[str], max_group_rows: int | None = None) -> DataFrame:
     """Missing numbers take the column's median."""
     mid = materialise(medians(df, cols, max_group_rows), "medians")
     df = df.withColumn("_mid", mid.select(F.struct(*cols)).scalar())

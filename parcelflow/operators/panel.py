@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from parcelflow.functions import dates, numeric, text
-from parcelflow.operators.quantiles import MAX_GROUP_ROWS, group_quantiles
+from parcelflow.operators.quantiles import group_quantiles
 
 
 def month_panel(
     df: DataFrame, area: str = "area_name_en", date: str = "instance_date", price: str = "meter_sale_price",
-    flags: list[str] = (), closes: list[str] = (), max_group_rows: int = MAX_GROUP_ROWS,
+    flags: list[str] = (), closes: list[str] = (), max_group_rows: int | None = None,
 ) -> DataFrame:
     """Per (area, month): median price, row count and its log, share of each flag, median of each market close."""
     src = df.select(area, dates.month_start(F.col(date)).alias("month"), price, *flags, *closes)

@@ -1,9 +1,10 @@
 """Exact, linearly interpolated quantiles per group, safe for groups of any size.
 
-Spark's percentile keeps one counter per distinct value of a group in memory. That is right for groups of bounded size
-and fatal for one that holds a third of a very large table. Groups above `max_group_rows` are therefore solved by
-distributed selection: sketch splitters cut the group into cells, cell counts tell which cell holds the wanted rank,
-and only that cell is cut again until it is small enough to rank. Sketch errors move cell borders, never results.
+One pass over the rows counts each distinct value of each column and group; everything else works on these counts, so a value
+that fills most of a group is one row. Groups of up to `max_group_rows` distinct values go through Spark's percentile,
+which keeps one counter per distinct value in memory. Larger groups are range partitioned by value into blocks: the sums
+of the blocks tell which block holds a wanted rank, and only those blocks are ranked. That takes the same few steps for
+any data; the limit decides where a group is worked on, never its result.
 """
 
 from __future__ import annotations
@@ -16,35 +17,40 @@ from parcelflow.session import materialise
 Specs = dict[str, tuple[str, float]]
 
 MAX_GROUP_ROWS = 1_000_000
-_CELLS = 64
 _ALL = "_all_rows"
 
 
 def group_quantiles(
-    df: DataFrame, keys: list[str], specs: Specs, extra: list[Column] = (), max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, keys: list[str], specs: Specs, extra: list[Column] = (), max_group_rows: int | None = None,
+    counts: dict[str, str] = {},
 ) -> DataFrame:
     """One row per key with each output `name -> (column, probability)`. Null keys and null values are left out.
 
-    extra holds further named aggregates over all rows of the group; they share the scan of the quantiles.
+    counts holds `name -> column` for numbers of known values; they cost nothing. extra holds further named aggregates
+    over all rows of the group; they take a pass of their own.
     """
-    cols = sorted({c for c, _ in specs.values()})
+    limit = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
+    cols = sorted({c for c, _ in specs.values()} | set(counts.values()))
     src = df.dropna(subset=keys) if keys else df.withColumn(_ALL, F.lit(1))
-    keys = keys or [_ALL]
-    hot = _hot_groups(src, keys, cols, max_group_rows)
-    if hot is None:
-        return _in_memory(src, keys, specs, extra).drop(_ALL)
-    cold = _in_memory(src.join(hot, keys, "left_anti"), keys, specs, extra)
-    hot_rows = src.join(hot, keys, "left_semi")
-    large = hot_rows.groupBy(*keys).agg(F.count("*").alias("_rows"), *extra)
-    for c in cols:
-        wanted = {name: p for name, (col, p) in specs.items() if col == c}
-        large = large.join(_by_selection(hot_rows, keys, c, wanted, max_group_rows), keys, "left")
-    return cold.unionByName(large.select(cold.columns)).drop(_ALL)
-
-
-def column_quantiles(
-    df: DataFrame, specs: Specs, extra: list[Column] = (), max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+    by = keys or [_ALL]
+    entry = F.explode(F.array(*(F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols))))
+    stacked = src.select(*by, entry.alias("_e")).select(*by, "_e._c", "_e._v")
+    values = materialise(stacked.groupBy(*by, "_c", "_v").agg(F.count("*").alias("_n")), "values")
+    if not keys:  # an empty table still has its one row
+        none = [F.lit(1).alias(_ALL), *(F.lit(x).cast(t).alias(n) for x, t, n in ((0, "int", "_c"), (None, "double", "_v"), (0, "bigint", "_n")))]
+        values = values.unionByName(df.sparkSession.range(1).select(*none))
+    hot = _hot_groups(values, by, limit)
+    cold = values if hot is None else values.join(hot, by, "left_anti")
+    out = _in_memory(cold, by, cols, specs, counts)
+    if hot is not None:
+        out = out.unionByName(_by_blocks(values.join(hot, by, "left_semi"), by, cols, specs, counts))
+    if extra:
+        more = materialise(src.groupBy(*by).agg(*extra), "extra")
+        out = out.join(more, by, "left") if not keys else out.join(more, by)
+    return out.drop(_ALL)
+
+
+def column_quantiles(df: DataFrame, specs: Specs, extra: list[Column] = (), max_group_rows: int | None = None) -> DataFrame:
     """The same over the whole table: one row."""
     return group_quantiles(df, [], specs, extra, max_group_rows)
 
@@ -54,94 +60,62 @@ def bounded_quantile(c: Column | str, p: float) -> Column:
     return F.percentile(c, F.lit(p))
 
 
-def _hot_groups(src: DataFrame, keys: list[str], cols: list[str], limit: int) -> DataFrame | None:
-    sizes = src.groupBy(*keys).agg(F.greatest(*(F.count(c) for c in cols), F.lit(0)).alias("_n"))
-    over = sizes.where(F.col("_n") > limit).select(*keys)
-    if over.isEmpty():
-        return None
-    return materialise(over, "hot-groups")
+def _hot_groups(values: DataFrame, keys: list[str], limit: int) -> DataFrame | None:
+    sizes = values.groupBy(*keys, "_c").agg(F.count("_v").alias("_distinct"))
+    over = sizes.where(F.col("_distinct") > limit).select(*keys).distinct()
+    return None if over.isEmpty() else materialise(over, "hot-groups")
+
+
+def _number_known(cols: list[str], counts: dict[str, str]) -> list[Column]:
+    known = F.col("_v").isNotNull()
+    return [F.sum(F.when(known & (F.col("_c") == cols.index(c)), F.col("_n")).otherwise(0)).alias(name) for name, c in counts.items()]
 
 
-def _in_memory(src: DataFrame, keys: list[str], specs: Specs, extra: list[Column]) -> DataFrame:
+def _in_memory(values: DataFrame, keys: list[str], cols: list[str], specs: Specs, counts: dict[str, str]) -> DataFrame:
     probs: dict[str, list[float]] = {}
     for c, p in specs.values():
         if p not in probs.setdefault(c, []):
             probs[c].append(p)
-    agg = src.groupBy(*keys).agg(
-        *(
-            F.percentile(F.col(c).cast("double"), F.array(*(F.lit(p) for p in ps))).alias(f"_q_{c}")
-            for c, ps in probs.items()
-        ),
-        *extra,
-    )
+
+    def one(c, ps):
+        mine = F.col("_c") == cols.index(c)
+        return F.percentile(F.when(mine, F.col("_v")), F.array(*(F.lit(p) for p in ps)), F.when(mine, F.col("_n")).otherwise(0)).alias(f"_q_{c}")
+
+    agg = values.groupBy(*keys).agg(*(one(c, ps) for c, ps in probs.items()), *_number_known(cols, counts))
     picked = {name: F.col(f"_q_{c}")[probs[c].index(p)] for name, (c, p) in specs.items()}
-    return agg.withColumns(picked).drop(*(f"_q_{c}" for c in probs))
-
-
-def _by_selection(rows: DataFrame, keys: list[str], c: str, probs: dict[str, float], limit: int) -> DataFrame:
-    rows = rows.select(*keys, F.col(c).cast("double").alias("_v")).dropna(subset=["_v"])
-    sizes = rows.groupBy(*keys).agg(F.count("_v").alias("_n"))
-    places = None
-    for name, p in probs.items():
-        one = sizes.select(*keys, F.lit(name).alias("_name"), (F.lit(p) * (F.col("_n") - 1)).alias("_pos"))
-        places = one if places is None else places.unionByName(one)
-    places = materialise(places, "places")
-    ends = F.explode(F.array_distinct(F.array(F.floor("_pos"), F.ceil("_pos")))).alias("_rank")
-    ranks = places.select(*keys, ends).distinct()
-    found = _values_at(rows, keys, ranks, limit)
-    low = found.select(*keys, F.col("_rank").alias("_lo"), F.col("_v").alias("_lo_v"))
-    high = found.select(*keys, F.col("_rank").alias("_hi"), F.col("_v").alias("_hi_v"))
-    placed = (
-        places.withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos"))
-        .join(low, [*keys, "_lo"]).join(high, [*keys, "_hi"])
-    )
-    value = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo_v")).otherwise(
-        (F.col("_hi") - F.col("_pos")) * F.col("_lo_v") + (F.col("_pos") - F.col("_lo")) * F.col("_hi_v")
-    )
-    return placed.groupBy(*keys).agg(*(F.max(F.when(F.col("_name") == n, value)).alias(n) for n in probs))
-
-
-def _values_at(rows: DataFrame, keys: list[str], ranks: DataFrame, limit: int) -> DataFrame:
-    """Value at each 0-based rank of its group."""
-    cell = [*keys, "_cell"]
-    rows = rows.withColumn("_cell", F.lit(""))
-    open_ranks = materialise(ranks.withColumn("_cell", F.lit("")).withColumn("_at", F.col("_rank")), "ranks")
-    done: list[DataFrame] = []
-    while not open_ranks.isEmpty():
-        stats = rows.groupBy(*cell).agg(F.count("_v").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
-        stats = materialise(stats, "cells")
-        flat = stats.where(F.col("_min") == F.col("_max"))
-        small = stats.where((F.col("_min") < F.col("_max")) & (F.col("_n") <= limit)).select(*cell)
-        large = stats.where((F.col("_min") < F.col("_max")) & (F.col("_n") > limit)).select(*cell, "_max")
-        done.append(open_ranks.join(flat, cell).select(*keys, "_rank", F.col("_min").alias("_v")))
-
-        counts = rows.join(small, cell, "left_semi").groupBy(*cell, "_v").agg(F.count("*").alias("_c"))
-        to_here = F.sum("_c").over(Window.partitionBy(*cell).orderBy("_v"))
-        spans = counts.withColumn("_end", to_here).withColumn("_begin", to_here - F.col("_c"))
-        inside = (F.col("_at") >= F.col("_begin")) & (F.col("_at") < F.col("_end"))
-        done.append(spans.join(open_ranks, cell).where(inside).select(*keys, "_rank", "_v"))
-
-        cut = rows.join(large, cell, "left_semi").groupBy(*cell).agg(
-            F.approx_percentile("_v", [i / _CELLS for i in range(1, _CELLS)], 20 * _CELLS).alias("_cuts")
-        )
-        cut = cut.join(large, cell).withColumn("_cuts", F.array_distinct(F.array_append("_cuts", F.col("_max"))))
-        cut = materialise(cut.select(*cell, "_cuts"), "cuts")
-        if cut.isEmpty():
-            break
-        part = F.size(F.filter("_cuts", lambda x: x <= F.col("_v")))
-        parted = rows.join(cut, cell).withColumn("_part", part).drop("_cuts")
-        sizes = parted.groupBy(*cell, "_part").agg(F.count("*").alias("_c"))
-        to_part = F.sum("_c").over(Window.partitionBy(*cell).orderBy("_part"))
-        sizes = sizes.withColumn("_end", to_part).withColumn("_begin", to_part - F.col("_c"))
-        deeper = F.concat_ws(".", F.col("_cell"), F.col("_part").cast("string"))
-        next_ranks = sizes.join(open_ranks, cell).where(inside).select(
-            *keys, "_rank", deeper.alias("_cell"), (F.col("_at") - F.col("_begin")).alias("_at")
-        )
-        open_ranks = materialise(next_ranks, "ranks")
-        wanted_cells = open_ranks.select(*cell).distinct()
-        rows = parted.select(*keys, deeper.alias("_cell"), "_v").join(wanted_cells, cell, "left_semi")
-        rows = materialise(rows, "cell-rows")
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
+    return agg.select(*keys, *(v.alias(n) for n, v in picked.items()), *counts)
+
+
+def _by_blocks(values: DataFrame, keys: list[str], cols: list[str], specs: Specs, counts: dict[str, str]) -> DataFrame:
+    """Quantiles of large groups from the ranks of their distinct values."""
+    group = [*keys, "_c"]
+    known = values.where(F.col("_v").isNotNull())
+    n = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocked = known.repartitionByRange(n, *group, "_v").withColumn("_block", F.spark_partition_id())
+    blocked = materialise(blocked, "blocks")
+    sums = blocked.groupBy(*group, "_block").agg(F.sum("_n").alias("_rows"))
+    upto = F.sum("_rows").over(Window.partitionBy(*group).orderBy("_block"))
+    sums = materialise(sums.withColumn("_end", upto).withColumn("_begin", upto - F.col("_rows")), "sums")
+
+    wanted = F.array(*(F.struct(F.lit(name).alias("_name"), F.lit(cols.index(c)).alias("_c"), F.lit(p).alias("_p")) for name, (c, p) in specs.items()))
+    places = sums.groupBy(*group).agg(F.max("_end").alias("_all")).withColumn("_w", F.explode(wanted)).where("_c = _w._c")
+    places = places.select(*group, "_w._name", (F.col("_w._p") * (F.col("_all") - 1)).alias("_pos"))
+    places = materialise(places.withColumns({"_lo": F.floor("_pos"), "_hi": F.ceil("_pos")}), "places")
+    ranks = places.select(*group, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_rank")).distinct()
+    held = ranks.join(sums, group).where((F.col("_rank") >= F.col("_begin")) & (F.col("_rank") < F.col("_end")))
+    held = materialise(held.select(*group, "_block", "_begin", "_rank"), "ranks")
+
+    cell = [*group, "_block"]
+    to_here = F.sum("_n").over(Window.partitionBy(*cell).orderBy("_v"))
+    spans = blocked.join(held.select(*cell).distinct(), cell, "left_semi").withColumn("_to", to_here)
+    inside = (F.col("_rank") - F.col("_begin") < F.col("_to")) & (F.col("_rank") - F.col("_begin") >= F.col("_to") - F.col("_n"))
+    found = materialise(spans.join(held, cell).where(inside).select(*group, "_rank", "_v"), "found")
+
+    low = found.select(*group, F.col("_rank").alias("_lo"), F.col("_v").alias("_lo_v"))
+    high = found.select(*group, F.col("_rank").alias("_hi"), F.col("_v").alias("_hi_v"))
+    placed = places.join(low, [*group, "_lo"]).join(high, [*group, "_hi"])
+    between = (F.col("_hi") - F.col("_pos")) * F.col("_lo_v") + (F.col("_pos") - F.col("_lo")) * F.col("_hi_v")
+    value = F.when(F.col("_lo_v") == F.col("_hi_v"), F.col("_lo_v")).otherwise(between)
+    solved = placed.groupBy(*keys).agg(*(F.max(F.when(F.col("_name") == name, value)).alias(name) for name in specs))
+    numbers = values.groupBy(*keys).agg(F.count("*").alias("_rows"), *_number_known(cols, counts)).drop("_rows")
+    return numbers.join(solved, keys, "left").select(*keys, *specs, *counts)

@@ -42,6 +42,26 @@ def test_selection_equals_percentile(spark):
             assert x == (None if y is None else pytest.approx(y, rel=1e-12))
 
 
+def test_one_value_that_fills_a_group_takes_no_more_steps(spark):
+    """90 % zeros and 10,000 distinct others: the number of stored tables does not depend on the data."""
+    r = random.Random(5)
+    data = [("a", 0.0)] * 90_000 + [("a", r.random() * 1e6) for _ in range(10_000)] + [("b", float(i)) for i in range(3_000)]
+    df = spark.createDataFrame(data, "k string, v double").repartition(7)
+    specs = {"lo": ("v", 0.01), "mid": ("v", 0.5), "p95": ("v", 0.95), "hi": ("v", 0.9999)}
+    want = rows(group_quantiles(df, ["k"], specs), "k")
+    stored = []
+    from parcelflow.operators import quantiles
+
+    plain = quantiles.materialise
+    quantiles.materialise = lambda d, label="table": stored.append(label) or plain(d, label)
+    try:
+        got = rows(group_quantiles(df, ["k"], specs, max_group_rows=100), "k")
+    finally:
+        quantiles.materialise = plain
+    assert [g[0] for g in got] == [w[0] for w in want] and len(stored) <= 7
+    assert [g[1:] for g in got] == [pytest.approx(w[1:], rel=1e-12) for w in want]
+
+
 def test_selection_over_whole_table(spark):
     df = skewed(spark)
     specs = {"a": ("v", 0.5), "b": ("w", 0.9)}

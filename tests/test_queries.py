@@ -21,6 +21,22 @@ def test_query_equals_sql(spark, con, name):
     assert compare(RUNNERS[name](spark, SF), con, ORACLES[name]) == []
 
 
+QUANTILES = ["flagship_area_month_returns", "agg_quantile_bounds", "agg_describe", "agg_global_median", "agg_month_panel", "win_group_bounds_filter", "win_hard_min_filter",
+             "imp_median", "req_trim_5_95", "req_monthly_series", "dq_outlier_stages", "stage_training", "stage_panel"]
+
+
+@pytest.mark.parametrize("name", QUANTILES)
+def test_large_group_path_gives_the_same_rows(spark, con, monkeypatch, name):
+    from parcelflow.operators import quantiles
+
+    used = []
+    plain = quantiles._by_blocks
+    monkeypatch.setattr(quantiles, "MAX_GROUP_ROWS", 0)
+    monkeypatch.setattr(quantiles, "_by_blocks", lambda *a: used.append(1) or plain(*a))
+    assert compare(RUNNERS[name](spark, SF), con, ORACLES[name]) == []
+    assert used
+
+
 def test_only_model_fits_lack_sql():
     assert set(RUNNERS) - set(ORACLES) == SLOW
 
