@@ -16,6 +16,11 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(_SPACE))
 
 
+def name_key(c: Column) -> Column:
+    """Names are the same in any letter case and with blanks around them."""
+    return F.lower(strip(c))
+
+
 def first_number(c: Column, kind: str = "bigint") -> Column:
     """First run of digits in c, null when there is none."""
     return F.nullif(F.regexp_extract(c, r"([0-9]+)", 1), F.lit("")).try_cast(kind)

@@ -39,12 +39,13 @@ def trend(series: DataFrame, key: str, month: str, price: str, steps: int = fv.H
 
 
 def seasonal_naive(series: DataFrame, key: str, month: str, price: str, steps: int = fv.HORIZON) -> DataFrame:
-    """The latest known price of the same calendar month."""
+    """The latest known price of the same calendar month, else the last known price: every month ahead has a row."""
     known = series.where(F.col(price).isNotNull())
-    last = known.groupBy(key).agg(F.max(month).alias("_last"))
+    last = known.groupBy(key).agg(F.max(month).alias("_last"), F.max_by(price, month).alias("_price"))
     ahead = last.withColumn("_step", F.explode(F.sequence(F.lit(1), F.lit(steps)))).withColumn(month, F.add_months("_last", F.col("_step")))
     by_season = known.groupBy(key, F.month(month).alias("_m")).agg(F.max_by(price, month).alias("prediction"))
-    return ahead.withColumn("_m", F.month(month)).join(by_season, [key, "_m"]).select(key, month, "prediction")
+    both = ahead.withColumn("_m", F.month(month)).join(by_season, [key, "_m"], "left")
+    return both.select(key, month, F.coalesce("prediction", "_price").alias("prediction"))
 
 
 def custom(fn: Callable[[pd.DataFrame], pd.DataFrame], key_type: str = "string") -> Forecaster:
@@ -63,24 +64,34 @@ def custom(fn: Callable[[pd.DataFrame], pd.DataFrame], key_type: str = "string")
 FORECASTERS: dict[str, Forecaster] = {"trend": trend, "seasonal_naive": seasonal_naive}
 
 
-def forecast(series: DataFrame, key: str, month: str, price: str, steps: int = fv.HORIZON, method: str = "trend") -> DataFrame:
-    """(key, month, prediction, growth against the step before)."""
-    ahead = FORECASTERS[method](series, key, month, price, steps)
+def _forecaster(method: str | Forecaster) -> Forecaster:
+    return FORECASTERS[method] if isinstance(method, str) else method
+
+
+def forecast(series: DataFrame, key: str, month: str, price: str, steps: int = fv.HORIZON, method: str | Forecaster = "trend") -> DataFrame:
+    """(key, month, prediction, growth against the step before). method is a name of FORECASTERS or a forecaster itself."""
+    ahead = _forecaster(method)(series, key, month, price, steps)
     return panel.growth_vs_history(ahead, series, key, month, "prediction", price)
 
 
-def backtest(series: DataFrame, key: str, month: str, price: str, periods: int = fv.BACKTEST_MONTHS, method: str = "trend") -> DataFrame:
+def backtest(series: DataFrame, key: str, month: str, price: str, periods: int = fv.BACKTEST_MONTHS, method: str | Forecaster = "trend") -> DataFrame:
     """Errors per series on the held-out last months. Fits see the months up to the cutoff and nothing else."""
     marked = impute.split_backtest(series, key, month, periods)
-    guess = FORECASTERS[method](marked.where("split = 'train'"), key, month, price, periods)
+    guess = _forecaster(method)(marked.where("split = 'train'"), key, month, price, periods)
     truth = marked.where("split = 'test'").select(key, month, F.col(price).alias("truth"))
     return aggregates.error_metrics(truth.join(guess, [key, month]), key, "truth", "prediction")
 
 
 def select_best(metrics: DataFrame, key: str, score: str = "mape", name: str = "algorithm") -> DataFrame:
-    """The full metric row of the best algorithm per key (lowest score, ties by name)."""
+    """The full metric row of the best algorithm per key (lowest score, ties by name).
+
+    Only algorithms that were judged on as many rows as any other of the key are compared, if metrics tell that in `n`.
+    """
     rest = [c for c in metrics.columns if c != key]
     known = metrics.where(F.col(score).isNotNull())
+    if "n" in metrics.columns:
+        most = known.groupBy(key).agg(F.max("n").alias("n"))
+        known = known.join(most, [key, "n"], "left_semi")
     best = known.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(score, name)).alias("_best"))
     return best.select(key, *(F.col(f"_best.{c}").alias(c) for c in rest))
 

@@ -7,16 +7,21 @@ plain full join cannot be split by skew handling.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelflow import fixed_values as fv
 from parcelflow.functions import numeric, text
 from parcelflow.session import materialise
 
 
+_VARIABLE = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
+
+
 def _key_match(on: list[str], null_safe: bool, left: str = "l", right: str = "r") -> Column:
     def one(c):
         a, b = F.col(f"{left}.{c}"), F.col(f"{right}.{c}")
@@ -45,11 +50,24 @@ def keep_one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def first_known(df: DataFrame, key: str, cols: list[str], order: list[str]) -> DataFrame:
-    """(key, cols): the first known value of each column per key. One partial aggregate for all columns."""
+    """(key, cols): the first known value of each column per key, missing order values first.
+
+    The first order column decides nearly everywhere, and its least value per key is a hash aggregate. Only rows that
+    share it are compared by the rest of the order. Order columns of variable width are compared at once.
+    """
     at = F.struct(*order)
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(
-        *(F.min_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(c) for c in cols)
-    )
+    rows = df.where(F.col(key).isNotNull()).select(*dict.fromkeys([key, *order, *cols]))
+    if len(order) > 1 and not isinstance(df.schema[order[0]].dataType, _VARIABLE):
+        lead = F.col(order[0])
+        found = [F.min(F.when(F.col(c).isNotNull(), lead)).alias(f"_at_{i}") for i, c in enumerate(cols)]
+        open_ = [F.max(F.col(c).isNotNull() & lead.isNull()).alias(f"_open_{i}") for i, c in enumerate(cols)]
+        firsts = materialise(rows.groupBy(key).agg(*found, *open_), "firsts")
+        is_first = [F.col(c).isNotNull() & lead.eqNullSafe(F.when(~F.col(f"_open_{i}"), F.col(f"_at_{i}"))) for i, c in enumerate(cols)]
+        rows = rows.join(firsts, key).where(reduce(lambda x, y: x | y, is_first))
+        known = is_first
+    else:
+        known = [F.col(c).isNotNull() for c in cols]
+    return rows.groupBy(key).agg(*(F.min_by(F.col(c), F.when(k, at)).alias(c) for c, k in zip(cols, known)))
 
 
 def fill_from(df: DataFrame, known: DataFrame, key: str, cols: list[str]) -> DataFrame:
@@ -177,15 +195,38 @@ def nearest_of_many(
     return points.join(found, key, "left")
 
 
+def _grid(lat: Column, radius: float) -> tuple[Column, Column]:
+    """(band of latitude, number of cells around the globe in that band).
+
+    A band is no lower than the radius, and its cells are no narrower than the radius anywhere in it, so a circle
+    around a point stays within the point's cell and its neighbours; near the poles one cell is the whole band.
+    """
+    step = radius / 111.0
+    band = F.floor(lat / step)
+    return band, _cells(band, radius)
+
+
+def _cells(band: Column, radius: float) -> Column:
+    step = radius / 111.0
+    furthest = F.least(F.lit(90.0), F.greatest(F.abs(band * step), F.abs((band + 1) * step)))
+    shrink = F.cos(F.radians(furthest))
+    reach = math.sin(radius * 1.001 / fv.EARTH_RADIUS_KM)
+    width = F.degrees(F.asin(F.lit(reach) / F.greatest(shrink, F.lit(reach))))
+    return F.when(shrink <= reach, F.lit(1)).otherwise(F.greatest(F.lit(1), F.floor(360.0 / width))).cast("bigint")
+
+
 def _nearest_within(points: DataFrame, key: list[str], lat: str, lon: str, spots: DataFrame, radius: float) -> DataFrame:
-    """Nearest spot of the points that have one within radius. Cells are no smaller than the radius up to 60 degrees of
-    latitude, so a spot entered in its own cell and the eight around it meets every point that may match."""
-    step_lat, step_lon = radius / 111.0, radius / 55.0
+    """Nearest spot of the points that have one within radius. A spot is entered in the cells around it, over the date line
+    as well, so it meets every point that may match."""
+    cell = lambda lon, n: F.least(F.floor((lon + 180) / 360 * n), n - 1)
     around = F.array(*(F.lit(i) for i in (-1, 0, 1)))
-    near = spots.withColumn("_dy", F.explode(around)).withColumn("_dx", F.explode(around)).withColumns(
-        {"_cy": F.floor(F.col("_lat") / step_lat) + F.col("_dy"), "_cx": F.floor(F.col("_lon") / step_lon) + F.col("_dx")}
-    )
-    placed = points.withColumns({"_cy": F.floor(F.col(lat) / step_lat), "_cx": F.floor(F.col(lon) / step_lon)})
+    bands = F.transform(around, lambda d: F.floor(F.col("_lat") / (radius / 111.0)) + d)
+    near = spots.withColumn("_cy", F.explode(bands))
+    near = near.withColumn("_nx", _cells(F.col("_cy"), radius))
+    beside = F.transform(around, lambda d: F.pmod(cell(F.col("_lon"), F.col("_nx")) + d, F.col("_nx")))
+    near = near.withColumn("_cx", F.explode(F.array_distinct(beside))).drop("_nx")
+    band, cells = _grid(F.col(lat), radius)
+    placed = points.withColumn("_cy", band).withColumn("_cx", F.pmod(cell(F.col(lon), cells), cells))
     km = numeric.haversine_km(F.col(lat), F.col(lon), F.col("_lat"), F.col("_lon"))
     met = placed.join(near, ["_cy", "_cx"]).withColumn("_km", km).where(F.col("_km") <= radius)
     best = met.groupBy(*key).agg(F.min(F.struct(F.col("_km").alias("km"), F.col("area"))).alias("_best"))
@@ -193,12 +234,12 @@ def _nearest_within(points: DataFrame, key: list[str], lat: str, lon: str, spots
 
 
 def resolve_alias(df: DataFrame, area: str, out: str, stand_ins: list[tuple[str, str]] = fv.AREA_STAND_INS) -> DataFrame:
-    """The stand-in of an area that has one, else the area itself."""
-    value = F.col(area)
+    """The stand-in of an area that has one (in any letter case), else the area itself."""
+    value = text.name_key(F.col(area))
     found = F.lit(None).cast("string")
     for name, group in stand_ins:
-        found = F.when(value == name, F.lit(group)).otherwise(found)
-    return df.withColumn(out, F.coalesce(found, value))
+        found = F.when(value == name.strip().lower(), F.lit(group)).otherwise(found)
+    return df.withColumn(out, F.coalesce(found, F.col(area)))
 
 
 def latest_news(news: DataFrame, key: str, month: str, order: list[Column]) -> DataFrame:

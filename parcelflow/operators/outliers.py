@@ -59,10 +59,11 @@ def describe_change(before: DataFrame, after: DataFrame, group: str, value: str)
 
 
 def trim_middle(
-    df: DataFrame, keys: list[str], value: str, low: float = 0.05, high: float = 0.95, max_group_rows: int | None = None
+    df: DataFrame, keys: list[str], value: str, low: float = 0.05, high: float = 0.95, max_group_rows: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Rows between the two quantiles of their group, with no exception for small groups."""
-    bounds = group_quantiles(df, keys, {"_lo": (value, low), "_hi": (value, high)}, (), max_group_rows)
+    bounds = group_quantiles(df, keys, {"_lo": (value, low), "_hi": (value, high)}, (), max_group_rows, weight=weight)
     return df.join(materialise(bounds, "bounds"), keys).where(F.col(value).between(F.col("_lo"), F.col("_hi"))).select(*df.columns)
 
 

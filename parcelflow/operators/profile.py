@@ -41,14 +41,17 @@ def resolve_defaults(
     """Each field by tier: allowed request value, the area's first value, its latest row, any area's first, a constant.
 
     ranges: one row per area with an array of allowed texts per field. latest: one row per area. fields: name -> type.
+    An area is found in any letter case and takes the spelling of ranges, else of latest.
     """
     firsts = ranges.agg(
         *(F.min_by(F.try_element_at(F.col(f), F.lit(1)), F.when(F.size(f) > 0, F.col(area))).alias(f) for f in fields)
     )
     any_first = firsts.select(F.struct(*fields)).scalar()
-    allowed = ranges.select(area, *(F.col(f).alias(f"_allowed_{f}") for f in fields))
-    rows = latest.select(area, *(F.col(f).cast("string").alias(f"_row_{f}") for f in fields))
-    df = requests.join(allowed, area, "left").join(materialise(rows, "latest"), area, "left").withColumn("_any_first", any_first)
+    allowed = _by_name(ranges, area, "_ranges_area", [F.col(f).alias(f"_allowed_{f}") for f in fields])
+    rows = _by_name(latest, area, "_latest_area", [F.col(f).cast("string").alias(f"_row_{f}") for f in fields])
+    df = requests.withColumn("_name", text.name_key(F.col(area)))
+    df = df.join(materialise(allowed, "ranges"), "_name", "left").join(materialise(rows, "latest"), "_name", "left")
+    df = df.withColumn("_any_first", any_first).withColumn(area, F.coalesce("_ranges_area", "_latest_area", area))
     out = {}
     for f, kind in fields.items():
         wanted = F.lit(None).cast("string") if f in locked or f not in requests.columns else F.col(f).try_cast(kind).cast("string")
@@ -61,7 +64,13 @@ def resolve_defaults(
             F.col("_any_first")[f],
         ]
         out[f] = F.coalesce(*(t.try_cast(kind) for t in tiers), F.lit(literals[f]).cast(kind))
-    return df.withColumns(out).drop(*(f"_allowed_{f}" for f in fields), *(f"_row_{f}" for f in fields), "_any_first")
+    return df.withColumns(out).drop(*(f"_allowed_{f}" for f in fields), *(f"_row_{f}" for f in fields), "_any_first", "_name", "_ranges_area", "_latest_area")
+
+
+def _by_name(rows: DataFrame, area: str, out: str, cols: list[Column]) -> DataFrame:
+    """One row per area name, whatever its letter case: the first spelling in sorted order."""
+    named = rows.where(F.col(area).isNotNull()).select(text.name_key(F.col(area)).alias("_name"), F.col(area).alias(out), *cols)
+    return joins.keep_one(named, ["_name"], [F.col(out)])
 
 
 def clamp_requested_area(requests: DataFrame, limits: DataFrame, rooms: str = "rooms_en", area: str = "procedure_area") -> DataFrame:
@@ -111,7 +120,7 @@ def nearest_combinations(profiles: DataFrame, history: DataFrame, cols: list[str
     largest subset of equal columns, so both sides list their subsets and meet by equality. Both tables are distinct
     combinations of category values: their size follows the vocabulary, not the rows.
     """
-    combos = history.select(area, *cols).distinct().withColumn("combination", combination(area, cols))
+    combos = history.select(area, *(_text(c).alias(c) for c in cols)).distinct().withColumn("combination", combination(area, cols))
     right = combos.select(area, "combination", F.explode(_subsets(cols)).alias("_s")).select(area, "combination", "_s.size", "_s.mask", "_s.values")
     wanted = reduce(lambda a, b: a + b, (_text(c).isNotNull().cast("int") for c in cols))
     left = profiles.withColumn("_wanted", wanted).select(area, "profile", "_wanted", F.explode(_subsets(cols)).alias("_s"))
@@ -143,19 +152,26 @@ def group_history(history: DataFrame, area: str = "area_name_en") -> DataFrame:
     return joins.with_group_copies(history, area, members)
 
 
-def matching_history(profiles: DataFrame, history: DataFrame, cols: list[str], area: str = "area_name_en") -> DataFrame:
-    """History rows per profile. profiles has one row per profile."""
-    pairs = materialise(nearest_combinations(profiles, history, cols, area), "pairs")
-    return history.withColumn("combination", combination(area, cols)).join(pairs, "combination").drop("combination")
+def price_counts(history: DataFrame, cols: list[str], area: str = "area_name_en", date: str = "instance_date", price: str = "meter_sale_price") -> DataFrame:
+    """(area, cols, combination, month, price, n): how often each price occurs per combination and month."""
+    rows = history.select(area, *(_text(c).alias(c) for c in cols), F.trunc(date, "MM").alias("month"), F.col(price).alias("price"))
+    return rows.groupBy(area, *cols, "month", "price").agg(F.count("*").alias("n")).withColumn("combination", combination(area, cols))
 
 
-def monthly_series(
-    matched: DataFrame, date: str = "instance_date", price: str = "meter_sale_price", start: str = fv.HISTORY_START, end: str | None = None,
-) -> DataFrame:
+def matching_history(profiles: DataFrame, counts: DataFrame, cols: list[str], area: str = "area_name_en") -> DataFrame:
+    """(profile, mismatch, month, price, n) from price_counts. profiles has one row per profile.
+
+    Profiles meet counts, not rows: a combination that many profiles use brings each of its prices of a month once.
+    """
+    pairs = materialise(nearest_combinations(profiles, counts, cols, area), "pairs")
+    return counts.join(pairs, "combination").select("profile", "mismatch", "month", "price", "n")
+
+
+def monthly_series(matched: DataFrame, start: str = fv.HISTORY_START, end: str | None = None) -> DataFrame:
     """Per profile: trimmed monthly median on every month end from start to end, gaps interpolated."""
-    matched = materialise(matched.select("profile", date, price), "matched")
-    kept = trim_middle(matched, ["profile"], price).withColumn("month", F.trunc(date, "MM"))
-    medians = group_quantiles(kept, ["profile", "month"], {"median_price": (price, 0.5)})
+    matched = materialise(matched.select("profile", "month", "price", "n"), "matched")
+    kept = trim_middle(matched, ["profile"], "price", weight="n")
+    medians = group_quantiles(kept, ["profile", "month"], {"median_price": ("price", 0.5)}, weight="n")
     medians = materialise(medians, "medians")
     full = panel.on_grid(medians, "profile", "month", start, end)
     return panel.interpolate(full, "profile", "month", "median_price").withColumn("month", F.last_day("month"))
@@ -205,8 +221,8 @@ def answer(
     keyed = materialise(keyed, "requests")
     profiles = materialise(keyed.select("profile", "area_name_en", *cols).distinct(), "profiles")
     rows = group_history(history.select("area_name_en", *cols, "instance_date", "meter_sale_price"))
-    matched = matching_history(profiles, history_window(rows, "instance_date", start, end), cols)
-    past = monthly_series(matched, start=start, end=end)
+    counts = materialise(price_counts(history_window(rows, "instance_date", start, end), cols), "price-counts")
+    past = monthly_series(matching_history(profiles, counts, cols), start, end)
     ahead = profiles.select("profile", "area_name_en").join(adjusted, "area_name_en")
     pivot, now = (F.last_day(F.lit(d).cast("date")) for d in (end, today))
     answers = report(past, ahead.select("profile", "month", "predictions"), ahead.select("profile", "month", "adjusted_pred"), pivot, now)

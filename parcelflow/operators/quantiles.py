@@ -22,20 +22,21 @@ _ALL = "_all_rows"
 
 def group_quantiles(
     df: DataFrame, keys: list[str], specs: Specs, extra: list[Column] = (), max_group_rows: int | None = None,
-    counts: dict[str, str] = {},
+    counts: dict[str, str] = {}, weight: str | None = None,
 ) -> DataFrame:
     """One row per key with each output `name -> (column, probability)`. Null keys and null values are left out.
 
     counts holds `name -> column` for numbers of known values; they cost nothing. extra holds further named aggregates
-    over all rows of the group; they take a pass of their own.
+    over all rows of the group; they take a pass of their own. With weight, a row stands for as many rows as that column says.
     """
     limit = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
     cols = sorted({c for c, _ in specs.values()} | set(counts.values()))
     src = df.dropna(subset=keys) if keys else df.withColumn(_ALL, F.lit(1))
     by = keys or [_ALL]
     entry = F.explode(F.array(*(F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols))))
-    stacked = src.select(*by, entry.alias("_e")).select(*by, "_e._c", "_e._v")
-    values = materialise(stacked.groupBy(*by, "_c", "_v").agg(F.count("*").alias("_n")), "values")
+    stacked = src.select(*by, (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_n"), entry.alias("_e"))
+    counted = stacked.select(*by, "_n", "_e._c", "_e._v").groupBy(*by, "_c", "_v").agg(F.sum("_n").alias("_n"))
+    values = materialise(counted, "values")
     if not keys:  # an empty table still has its one row
         none = [F.lit(1).alias(_ALL), *(F.lit(x).cast(t).alias(n) for x, t, n in ((0, "int", "_c"), (None, "double", "_v"), (0, "bigint", "_n")))]
         values = values.unionByName(df.sparkSession.range(1).select(*none))

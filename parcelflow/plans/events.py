@@ -190,9 +190,11 @@ def imp_market_daily(spark, sf_dir):
 
 
 @query("split_last_month", ctes=TXN_SQL + """,
-lm AS (SELECT project_number, max(date_trunc('month', instance_date)) AS lm, count(DISTINCT date_trunc('month', instance_date)) AS k FROM txn WHERE project_number IS NOT NULL GROUP BY 1),
-cut AS (SELECT t.project_number, min(instance_date) AS cut FROM txn t JOIN lm ON t.project_number = lm.project_number WHERE k > 1 AND date_trunc('month', instance_date) = lm GROUP BY 1)""", sql=f"""
-SELECT {K}, t.project_number, CASE WHEN instance_date >= cut THEN 'test' ELSE 'train' END AS split FROM txn t JOIN cut ON t.project_number = cut.project_number""")
+seg AS (SELECT * REPLACE (coalesce(project_number, -1) AS project_number) FROM txn),
+lm AS (SELECT project_number, max(date_trunc('month', instance_date)) AS lm, count(DISTINCT date_trunc('month', instance_date)) AS k FROM seg GROUP BY 1),
+cut AS (SELECT t.project_number, min(instance_date) AS cut FROM seg t JOIN lm ON t.project_number = lm.project_number WHERE k > 1 AND date_trunc('month', instance_date) = lm GROUP BY 1)""", sql=f"""
+SELECT {K}, t.project_number, CASE WHEN instance_date >= cut THEN 'test' ELSE 'train' END AS split FROM seg t JOIN cut ON t.project_number = cut.project_number""")
 def split_last_month(spark, sf_dir):
-    facts = transactions(spark, sf_dir, *KEYS, "project_number", "instance_date").dropna(subset=["project_number"])
+    """Facts without a project are a segment of their own."""
+    facts = transactions(spark, sf_dir, *KEYS, "project_number", "instance_date").na.fill(-1, ["project_number"])
     return impute.split_last_month(facts, "project_number", "instance_date").drop("instance_date")

@@ -51,7 +51,7 @@ filled AS (SELECT area_name_en, month, CASE WHEN p IS NOT NULL THEN p ELSE pv +
 @query("fc_panel_forecast", ctes=f"{PANEL_SQL}, {GRID_SQL}, {trend_sql('filled', 6)}" + """,
 lastp AS (SELECT area_name_en, arg_max(monthly_price, month) AS p, max(month) AS m FROM filled GROUP BY 1),
 season AS (SELECT area_name_en, month(month) AS mm, arg_max(monthly_price, month) AS prediction FROM filled GROUP BY 1, 2),
-both_m AS (SELECT 'trend' AS method, * FROM trend UNION ALL SELECT 'seasonal_naive', t.area_name_en, t.month, s.prediction FROM trend t JOIN season s ON t.area_name_en = s.area_name_en AND month(t.month) = s.mm)""", sql="""
+both_m AS (SELECT 'trend' AS method, * FROM trend UNION ALL SELECT 'seasonal_naive', t.area_name_en, t.month, coalesce(s.prediction, l.p) FROM trend t JOIN lastp l USING (area_name_en) LEFT JOIN season s ON t.area_name_en = s.area_name_en AND month(t.month) = s.mm)""", sql="""
 SELECT method, area_name_en, month, round(prediction, 4) AS prediction,
   round((prediction / coalesce(lag(prediction) OVER (PARTITION BY method, area_name_en ORDER BY month), p) - 1) * 100, 6) AS predicted_mom_growth_pct
 FROM both_m JOIN lastp USING (area_name_en)""")
@@ -71,7 +71,8 @@ usable AS (SELECT * FROM marked WHERE area_name_en IN (SELECT area_name_en FROM
 train AS (SELECT * FROM usable WHERE NOT test),
 {trend_sql('train', 6)},
 season AS (SELECT area_name_en, month(month) AS mm, arg_max(monthly_price, month) AS prediction FROM train GROUP BY 1, 2),
-both_m AS (SELECT 'trend' AS algorithm, * FROM trend UNION ALL SELECT 'seasonal_naive', t.area_name_en, t.month, s.prediction FROM trend t JOIN season s ON t.area_name_en = s.area_name_en AND month(t.month) = s.mm),
+lastp AS (SELECT area_name_en, arg_max(monthly_price, month) AS p FROM train GROUP BY 1),
+both_m AS (SELECT 'trend' AS algorithm, * FROM trend UNION ALL SELECT 'seasonal_naive', t.area_name_en, t.month, coalesce(s.prediction, l.p) FROM trend t JOIN lastp l USING (area_name_en) LEFT JOIN season s ON t.area_name_en = s.area_name_en AND month(t.month) = s.mm),
 ev AS (SELECT algorithm, u.area_name_en, monthly_price AS y, prediction AS p FROM usable u JOIN both_m b ON u.area_name_en = b.area_name_en AND u.month = b.month WHERE test),
 m AS (SELECT algorithm, area_name_en, count(*) AS n, avg((y - p) ** 2) AS mse, avg(abs(y - p)) AS mae, avg(abs(y - p) / abs(y)) AS mape, sqrt(avg((y - p) ** 2)) AS rmse,
   1 - sum((y - p) ** 2) / (var_pop(y) * count(*)) AS r2 FROM ev GROUP BY 1, 2)"""
@@ -94,7 +95,7 @@ def fc_backtest(spark, sf_dir):
 
 
 @query("ml_select_best", ctes=BACKTEST_SQL, sql=f"""
-SELECT area_name_en, algorithm, n, {ROUNDED} FROM m QUALIFY row_number() OVER (PARTITION BY area_name_en ORDER BY mape, algorithm) = 1""")
+SELECT area_name_en, algorithm, n, {ROUNDED} FROM m QUALIFY row_number() OVER (PARTITION BY area_name_en ORDER BY n DESC, mape, algorithm) = 1""")
 def ml_select_best(spark, sf_dir):
     """The algorithm with the lowest held-out error per area."""
     return forecast.select_best(backtests(spark, sf_dir), "area_name_en").withColumns({c: F.round(c, 4) for c in METRICS})
@@ -230,8 +231,9 @@ resolved AS (SELECT request_id, req.area_name_en, req.procedure_area, """ + ", "
 
 
 def history(spark, sf_dir):
+    """The facts that requests need, joined once and stored."""
     facts = transactions(spark, sf_dir, *TXN_ORDER, "area_name_en", *FIELDS, "procedure_area", "meter_sale_price")
-    return facts.withColumns({"trans_group_en": F.trim("trans_group_en"), "meter_sale_price": F.col("meter_sale_price") * 0.7310585786})
+    return materialise(facts.withColumns({"trans_group_en": F.trim("trans_group_en"), "meter_sale_price": F.col("meter_sale_price") * 0.7310585786}), "history")
 
 
 def latest_rows(hist):
@@ -246,14 +248,15 @@ def request_tables(spark, sf_dir):
 
 
 def resolved_requests(spark, sf_dir):
+    """The history and the requests with all fields resolved."""
     hist, ranges = request_tables(spark, sf_dir)
     requests = profile.resolve_area(view(spark, sf_dir, "requests"), view(spark, sf_dir, "centres"))
-    return profile.resolve_defaults(requests, ranges, latest_rows(hist), FIELDS, locked=["trans_group_en"])
+    return hist, profile.resolve_defaults(requests, ranges, latest_rows(hist), FIELDS, locked=["trans_group_en"])
 
 
 @query("req_resolve_defaults", ctes=HISTORY_SQL, sql="SELECT request_id, area_name_en, rooms_en, reg_type_en, trans_group_en, has_parking FROM resolved")
 def req_resolve_defaults(spark, sf_dir):
-    return resolved_requests(spark, sf_dir).select("request_id", "area_name_en", *FIELDS)
+    return resolved_requests(spark, sf_dir)[1].select("request_id", "area_name_en", *FIELDS)
 
 
 PROFILE_SQL = f"""{HISTORY_SQL},
@@ -273,31 +276,31 @@ COLS = list(FIELDS)
 
 
 def profiles_and_matches(spark, sf_dir):
-    """One row per distinct profile of the resolved requests, and the history rows each of them uses."""
-    requests = profile.with_profile(resolved_requests(spark, sf_dir).where(F.col("area_name_en").isNotNull()), COLS)
+    """One row per distinct profile of the resolved requests, and the counted prices that each of them uses."""
+    hist, requests = resolved_requests(spark, sf_dir)
+    requests = profile.with_profile(requests.where(F.col("area_name_en").isNotNull()), COLS)
     profiles = materialise(requests.select("profile", "area_name_en", *COLS).distinct(), "profiles")
-    hist = history(spark, sf_dir).select("area_name_en", *COLS, "instance_date", "meter_sale_price")
-    hist = profile.history_window(hist, "instance_date", SERIES_START, SERIES_END)
-    matched = profile.matching_history(profiles, hist, COLS)
-    return profiles, matched.select("profile", "mismatch", "instance_date", "meter_sale_price")
+    window = profile.history_window(hist, "instance_date", SERIES_START, SERIES_END)
+    counts = materialise(profile.price_counts(window, COLS), "price-counts")
+    return profiles, profile.matching_history(profiles, counts, COLS)
+
+
+def sums():
+    return [F.sum("n").alias("n"), F.min("price").alias("lowest"), F.max("price").alias("highest")]
 
 
 @query("req_nearest_profile", ctes=PROFILE_SQL, sql=f"""
 SELECT {AS_FIELDS}, max(mismatch) AS mismatch, count(*) AS n, min(meter_sale_price) AS lowest, max(meter_sale_price) AS highest FROM matched GROUP BY area_name_en, r, g, t, k""")
 def req_nearest_profile(spark, sf_dir):
     profiles, matched = profiles_and_matches(spark, sf_dir)
-    sums = matched.groupBy("profile").agg(
-        F.max("mismatch").alias("mismatch"), F.count("*").alias("n"), F.min("meter_sale_price").alias("lowest"), F.max("meter_sale_price").alias("highest")
-    )
-    return profiles.join(sums, "profile").drop("profile")
+    return profiles.join(matched.groupBy("profile").agg(F.max("mismatch").alias("mismatch"), *sums()), "profile").drop("profile")
 
 
 @query("req_trim_5_95", ctes=PROFILE_SQL, sql=f"SELECT {AS_FIELDS}, count(*) AS n, min(meter_sale_price) AS lowest, max(meter_sale_price) AS highest FROM kept_rows GROUP BY area_name_en, r, g, t, k")
 def req_trim_5_95(spark, sf_dir):
     profiles, matched = profiles_and_matches(spark, sf_dir)
-    kept = profile.trim_middle(matched, ["profile"], "meter_sale_price")
-    sums = kept.groupBy("profile").agg(F.count("*").alias("n"), F.min("meter_sale_price").alias("lowest"), F.max("meter_sale_price").alias("highest"))
-    return profiles.join(sums, "profile").drop("profile")
+    kept = profile.trim_middle(matched, ["profile"], "price", weight="n")
+    return profiles.join(kept.groupBy("profile").agg(*sums()), "profile").drop("profile")
 
 
 MONTHLY_SQL = f"""{PROFILE_SQL},
@@ -328,15 +331,16 @@ ahead AS (SELECT area_name_en, r, g, t, k, month, predictions, predictions * (1
   FROM (SELECT p.area_name_en, p.rooms_en AS r, p.reg_type_en AS g, p.trans_group_en AS t, p.has_parking AS k, last_day(a.month) AS month, predictions, adjusted_pred FROM prof p JOIN adjusted a ON p.area_name_en = a.area_name_en)),
 h AS (SELECT area_name_en, r, g, t, k, {_listed('median_price', f"month < last_day(DATE '{CUT}')")} AS before_prediction, {_listed('median_price', f"month = last_day(DATE '{CUT}')")} AS prediction_point, true AS known FROM hs GROUP BY ALL),
 f AS (SELECT area_name_en, r, g, t, k, {_listed('predictions', 'true')} AS forecast, {_listed('news', 'true')} AS news, {_listed('predictions', f"month = {TODAY_SQL}")} AS point_2,
-  {_listed('predictions', f"month > {TODAY_SQL}")} AS forecast_2, {_listed('news', f"month > {TODAY_SQL}")} AS news_2 FROM ahead GROUP BY ALL)"""
+  {_listed('predictions', f"month > {TODAY_SQL}")} AS forecast_2, {_listed('news', f"month > {TODAY_SQL}")} AS news_2, count(news) > 0 AS has_news FROM ahead GROUP BY ALL)"""
 
 
 @query("req_forecast_report", ctes=REPORT_SQL, sql=f"""
 SELECT request_id, q.area_name_en, coalesce(before_prediction, '') AS before_prediction, CASE WHEN known THEN prediction_point ELSE point_2 END AS prediction_point,
-  CASE WHEN known THEN forecast ELSE forecast_2 END AS forecast, CASE WHEN known THEN news ELSE news_2 END AS news_adjusted_forecast, true AS news_available,
+  coalesce(CASE WHEN known THEN forecast ELSE forecast_2 END, '') AS forecast, coalesce(CASE WHEN known THEN news ELSE news_2 END, '') AS news_adjusted_forecast, coalesce(has_news, false) AS news_available,
   CASE WHEN known THEN last_day(DATE '{CUT}') ELSE {TODAY_SQL} END AS pivot_month
 FROM resolved q LEFT JOIN h ON q.area_name_en = h.area_name_en AND rooms_en IS NOT DISTINCT FROM h.r AND reg_type_en IS NOT DISTINCT FROM h.g AND trans_group_en IS NOT DISTINCT FROM h.t AND has_parking IS NOT DISTINCT FROM h.k
-JOIN f ON q.area_name_en = f.area_name_en AND rooms_en IS NOT DISTINCT FROM f.r AND reg_type_en IS NOT DISTINCT FROM f.g AND trans_group_en IS NOT DISTINCT FROM f.t AND has_parking IS NOT DISTINCT FROM f.k""")
+LEFT JOIN f ON q.area_name_en = f.area_name_en AND rooms_en IS NOT DISTINCT FROM f.r AND reg_type_en IS NOT DISTINCT FROM f.g AND trans_group_en IS NOT DISTINCT FROM f.t AND has_parking IS NOT DISTINCT FROM f.k
+WHERE known OR f.area_name_en IS NOT NULL""")
 def req_forecast_report(spark, sf_dir):
     """One row per request: history, pivot, forecast and news-adjusted forecast of its profile."""
     hist, ranges = request_tables(spark, sf_dir)

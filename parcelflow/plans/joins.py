@@ -112,19 +112,19 @@ def join_self_backfill(spark, sf_dir):
 
 
 @query("join_scorecards", ctes=f"""{TXN_SQL},
-b AS (SELECT p_brand AS k, p_type AS grade, p_retailprice AS score, row_number() OVER (PARTITION BY p_brand ORDER BY CAST(p_retailprice AS string), p_type) AS rn FROM part WHERE p_size > 25),
-d AS (SELECT s_name AS k, CASE WHEN s_acctbal > 5000 THEN 'A' END AS grade, TRY_CAST(CASE WHEN s_nationkey % 4 = 0 THEN 'n/a' ELSE CAST(s_acctbal AS string) END AS double) AS score FROM supplier WHERE s_nationkey <> 7),
+b AS (SELECT p_brand AS k, p_type AS grade, p_retailprice AS score, row_number() OVER (PARTITION BY p_brand ORDER BY CAST(p_retailprice AS string), p_type) AS rn FROM part WHERE p_brand NOT LIKE '%1'),
+d AS (SELECT s_name AS k, CASE WHEN s_acctbal > 5000 THEN 'A' END AS grade, TRY_CAST(CASE WHEN s_nationkey % 4 = 0 THEN 'n/a' ELSE CAST(s_acctbal AS string) END AS double) AS score FROM supplier WHERE s_suppkey % 9 <> 7),
 p AS (SELECT p_name AS k, p_type AS grade, row_number() OVER (PARTITION BY p_name ORDER BY p_type) AS rn FROM part)""", sql=f"""
 SELECT {K}, coalesce(b.grade, 'Unknown') AS "Grade", coalesce(b.score, 0) AS "Score", coalesce(d.grade, 'Unknown') AS "Developer_grade",
   coalesce(d.score, 0) AS "Developer Score (0-100)", coalesce(p.grade, 'Unknown') AS project_grade
 FROM txn LEFT JOIN b ON building_name_en = b.k AND b.rn = 1 LEFT JOIN d ON developer_name_en = d.k LEFT JOIN p ON trim(project_name_en) = p.k AND p.rn = 1""")
 def join_scorecards(spark, sf_dir):
-    """Three cards by stripped name. Cards repeat names; facts must not multiply."""
+    """Three cards by stripped name. Cards repeat names; facts must not multiply. Some cards carry names that no fact has."""
     facts = transactions(spark, sf_dir, *KEYS, "building_name_en", "developer_name_en", "project_name_en")
     part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
-    bld = part.where("p_size > 25").select(F.concat("p_brand", F.lit(" ")).alias("Building Name"), F.col("p_retailprice").cast("string").alias("Score"), F.col("p_type").alias("Grade"))
-    dev = supplier.where("s_nationkey <> 7").select(
-        F.col("s_name").alias("Developer Name"), F.when(F.col("s_acctbal") > 5000, "A").alias("Grade"),
+    bld = part.select(F.concat("p_brand", F.when(F.col("p_brand").endswith("1"), "/x").otherwise(" ")).alias("Building Name"), F.col("p_retailprice").cast("string").alias("Score"), F.col("p_type").alias("Grade"))
+    dev = supplier.select(
+        F.concat("s_name", F.when(F.col("s_suppkey") % 9 == 7, "/x").otherwise("")).alias("Developer Name"), F.when(F.col("s_acctbal") > 5000, "A").alias("Grade"),
         F.when(F.col("s_nationkey") % 4 == 0, "n/a").otherwise(F.col("s_acctbal").cast("string")).alias("Developer Score (0-100)"),
     )
     proj = part.select(F.concat(F.lit("  "), "p_name").alias("Project Name"), F.col("p_type").alias("Grade"))
@@ -136,7 +136,7 @@ def join_scorecards(spark, sf_dir):
 
 QUOTES_SQL = """quotes AS (SELECT CAST(o_orderdate AS DATE) AS date, CASE o_orderpriority WHEN '1-URGENT' THEN 'oil' WHEN '2-HIGH' THEN 'gold' ELSE 'dfm' END AS asset,
   max(o_totalprice) * 0.7310585786e0 AS close, CAST(count(*) AS double) * 0.8807970779e0 AS volume FROM orders
-  WHERE o_orderpriority <> '5-LOW' AND isodow(o_orderdate) <= 5 GROUP BY 1, 2)"""
+  WHERE isodow(o_orderdate) <= 5 GROUP BY 1, 2)"""
 ASSETS = ["oil", "gold", "dfm"]
 CALENDAR_SQL = """calendar AS (SELECT date, o.close AS oil_close, o.volume AS oil_volume, g.close AS gold_close, g.volume AS gold_volume, d.close AS dfm_close, d.volume AS dfm_volume
   FROM (SELECT * FROM quotes WHERE asset = 'oil') o JOIN (SELECT * FROM quotes WHERE asset = 'gold') g USING (date) JOIN (SELECT * FROM quotes WHERE asset = 'dfm') d USING (date))"""
@@ -145,7 +145,7 @@ CALENDAR_SQL = """calendar AS (SELECT date, o.close AS oil_close, o.volume AS oi
 def quotes(spark, sf_dir):
     """Daily market quotes: weekdays only, so the series has gaps."""
     asset = F.when(F.col("o_orderpriority") == "1-URGENT", "oil").when(F.col("o_orderpriority") == "2-HIGH", "gold").otherwise("dfm")
-    orders = table(spark, sf_dir, "orders").where((F.col("o_orderpriority") != "5-LOW") & (F.weekday("o_orderdate") < 5))
+    orders = table(spark, sf_dir, "orders").where(F.weekday("o_orderdate") < 5)
     return orders.groupBy(F.col("o_orderdate").cast("date").alias("date"), asset.alias("asset")).agg(
         (F.max("o_totalprice") * 0.7310585786).alias("close"), (F.count("*").cast("double") * 0.8807970779).alias("volume")
     )

@@ -47,15 +47,14 @@ def dt_add_months(spark, sf_dir):
 
 
 @query("dt_month_grid", ctes=f"""{TXN_SQL},
-m AS (SELECT area_name_en, project_number % 50 AS bucket, CAST(date_trunc('month', instance_date) AS DATE) AS month FROM txn
-  WHERE project_number IS NOT NULL GROUP BY ALL),
+m AS (SELECT area_name_en, coalesce(project_number % 50, -1) AS bucket, CAST(date_trunc('month', instance_date) AS DATE) AS month FROM txn GROUP BY ALL),
 span AS (SELECT concat(area_name_en, '/', CAST(bucket AS string)) AS series, min(month) AS lo, max(month) AS hi, count(*) AS n FROM m GROUP BY 1),
 g AS (SELECT series, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month FROM span)""", sql="""
 SELECT g.series, g.month, m.month IS NOT NULL AS known FROM g LEFT JOIN m ON g.series = concat(m.area_name_en, '/', CAST(m.bucket AS string)) AND g.month = m.month""")
 def dt_month_grid(spark, sf_dir):
-    """Series with real holes: 50 buckets of projects per area."""
-    facts = transactions(spark, sf_dir, "area_name_en", "project_number", "instance_date").dropna(subset=["project_number"])
-    series = F.concat(F.col("area_name_en"), F.lit("/"), (F.col("project_number") % 50).cast("string"))
+    """Series with real holes: 50 buckets of projects per area, and one of facts without a project."""
+    facts = transactions(spark, sf_dir, "area_name_en", "project_number", "instance_date")
+    series = F.concat(F.col("area_name_en"), F.lit("/"), F.coalesce(F.col("project_number") % 50, F.lit(-1)).cast("string"))
     months = facts.select(series.alias("series"), dates.month_start(F.col("instance_date")).alias("month")).distinct()
     return panel.on_grid(months.withColumn("known", F.lit(True)), "series").na.fill(False, ["known"])
 

@@ -15,17 +15,18 @@ from parcelflow.sources.bindings import TXN_ORDER, TXN_ORDER_SQL, TXN_SQL, trans
 K = "l_orderkey, l_partkey, l_linenumber"
 PIVOT, TODAY = "1999-06-01", "2000-03-01"
 
-# Sparse monthly series: 50 project buckets per area, with nullable outside prices and growth.
+# Sparse monthly series: 50 project buckets per area and one of facts without a project, with nullable outside prices and growth.
 SERIES_SQL = f"""{TXN_SQL},
-ser AS (SELECT concat(area_name_en, '/', CAST(project_number % 50 AS string)) AS series, CAST(date_trunc('month', instance_date) AS DATE) AS month,
+ser AS (SELECT concat(area_name_en, '/', coalesce(CAST(project_number % 50 AS string), 'none')) AS series, CAST(date_trunc('month', instance_date) AS DATE) AS month,
   CASE WHEN min(l_linenumber) = 7 THEN NULL ELSE max(meter_sale_price) * 0.7310585786e0 END AS price, CASE WHEN max(l_linenumber) = 7 THEN NULL ELSE min(meter_sale_price) * 0.8807970779e0 END AS adj,
-  CASE WHEN min(l_linenumber) < 3 THEN NULL ELSE (max(l_quantity) - 25e0) / 100e0 END AS growth FROM txn WHERE project_number IS NOT NULL GROUP BY 1, 2)"""
+  CASE WHEN min(l_linenumber) < 3 THEN NULL ELSE (max(l_quantity) - 25e0) / 100e0 END AS growth FROM txn GROUP BY 1, 2)"""
 
 
 def series(spark, sf_dir):
     fields = ["area_name_en", "project_number", "instance_date", "meter_sale_price", "l_linenumber", "l_quantity"]
-    facts = transactions(spark, sf_dir, *fields).dropna(subset=["project_number"])
-    name = F.concat(F.col("area_name_en"), F.lit("/"), (F.col("project_number") % 50).cast("string")).alias("series")
+    facts = transactions(spark, sf_dir, *fields)
+    bucket = F.coalesce((F.col("project_number") % 50).cast("string"), F.lit("none"))
+    name = F.concat(F.col("area_name_en"), F.lit("/"), bucket).alias("series")
     return facts.groupBy(name, dates.month_start(F.col("instance_date")).alias("month")).agg(
         F.when(F.min("l_linenumber") != 7, F.max("meter_sale_price") * 0.7310585786).alias("price"),
         F.when(F.max("l_linenumber") != 7, F.min("meter_sale_price") * 0.8807970779).alias("adj"),

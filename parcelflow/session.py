@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_fallback: dict[str, str] = {}
+_work_dirs: dict[str, str] = {}
 
 
 def local_session(app: str = "parcelflow", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -30,19 +34,56 @@ def local_session(app: str = "parcelflow", cores: str = "*", shuffle_partitions:
 def work_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the session names in spark.checkpoint.dir.
 
-    Only a local master may fall back to a temporary folder, since driver and tasks share one machine there.
+    Only a local master may do without it, since driver and tasks share one machine there: it gets one temporary folder
+    per application, removed when Python ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = _local_fallback.setdefault(master, tempfile.mkdtemp(prefix="parcelflow-"))
-    return f"{base.rstrip('/')}/parcelflow"
+    if base:
+        return f"{base.rstrip('/')}/parcelflow"
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    app = spark.sparkContext.applicationId
+    if app not in _work_dirs:
+        _work_dirs[app] = tempfile.mkdtemp(prefix="parcelflow-")
+        atexit.register(shutil.rmtree, _work_dirs[app], ignore_errors=True)
+    return f"{_work_dirs[app]}/parcelflow"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    for made in _open_scopes:
+        made.append(path)
+    return path
+
+
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are deleted at the end, also after a failure. What is still needed must be written elsewhere before."""
+    made: list[str] = []
+    _open_scopes.append(made)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(made)
+        drop(spark, made)
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables through Hadoop's file system, whatever store they lie in."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that df reads, by the planner's statistics of its leaves."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < 1 << 62)  # leaves without statistics carry a placeholder above this
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from parcelflow import schemas
 from parcelflow.functions import dates, text
+from parcelflow.operators import joins
 
 
 def read_parquet(spark: SparkSession, path: str, schema: str | None = None, columns: list[str] | None = None) -> DataFrame:
@@ -52,8 +53,8 @@ def feed_items(bodies: DataFrame, body: str, source: str) -> DataFrame:
 
 
 def news_items(items: DataFrame) -> DataFrame:
-    """Items once per (title, published date), with the date as a UTC day."""
-    once = items.dropDuplicates(["title", "published_date"])
+    """Items once per (title, published date), the first by all their values, with the date as a UTC day."""
+    once = joins.keep_one(items, ["title", "published_date"], [F.col(c).asc_nulls_last() for c in items.columns])
     return once.withColumn("published_date", dates.rfc822_date(F.col("published_date")))
 
 

@@ -6,6 +6,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelflow.functions import dates
+from parcelflow.operators import joins
+from parcelflow.session import materialise
 from parcelflow.sources import readers
 
 BODIES = "source string, body string"
@@ -24,11 +27,16 @@ def stored_items(spark: SparkSession, store: str) -> DataFrame | None:
 
 def _append(bodies: DataFrame, batch: int, store: str) -> None:
     """Store the batch's new items. A replayed batch overwrites its own files only, so nothing is stored twice."""
-    items = readers.feed_items(bodies, "body", "source").dropDuplicates(KEY)
+    found = readers.feed_items(bodies, "body", "source")
+    items = joins.keep_one(found, KEY, [F.col(c).asc_nulls_last() for c in found.columns])
+    month = F.date_format(dates.rfc822_date(F.col("published_date")), "yyyy-MM")
+    items = items.withColumn("month", F.coalesce(month, F.lit("none")))
     known = stored_items(bodies.sparkSession, store)
-    if known is not None:
-        items = items.join(known.where(F.col("batch") != batch).select(*KEY), KEY, "left_anti")
-    items.write.mode("overwrite").parquet(f"{store}/batch={batch}")
+    if known is not None:  # an item's month follows from its key, so only the batch's months of the store are read
+        months = materialise(items.select("month").distinct(), "months")
+        known = known.join(months, "month", "left_semi").where(F.col("batch") != batch)
+        items = items.join(known.select(*KEY), KEY, "left_anti")
+    items.write.mode("overwrite").partitionBy("month").parquet(f"{store}/batch={batch}")
 
 
 def poll(spark: SparkSession, incoming: str, store: str, state: str) -> None:

@@ -93,6 +93,87 @@ def test_forward_fill_matches_window(spark):
         assert rows(blocks.forward_fill(df, ["k"], ["o"], ["x", "y"], n), "k", "o") == rows(want, "k", "o")
 
 
+def test_forward_fill_of_rows_without_a_key(spark):
+    r = random.Random(4)
+    data = [(r.choice([None, "a"]), i, float(i) if i % 9 == 0 else None) for i in range(200)]
+    df = spark.createDataFrame(data, "k string, o int, x double").repartition(5)
+    one = rows(blocks.forward_fill(df, ["k"], ["o"], ["x"], 1), "o")
+    assert rows(blocks.forward_fill(df, ["k"], ["o"], ["x"], 6), "o") == one
+    w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    assert one == rows(df.select("k", "o", F.last("x", True).over(w)), "o")
+
+
+def test_blocks_follow_the_size_of_the_input(spark, monkeypatch, tmp_path):
+    spark.range(100_000).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 20_000)
+    assert blocks.ordered_blocks(df, [], ["id"]).select("_block").distinct().count() > 15
+
+
+def test_seasonal_forecast_has_every_month_ahead(spark):
+    known = [("s", date(2020, m, 1), 10.0 * m) for m in (1, 2, 3, 4)]
+    df = spark.createDataFrame(known, "k string, m date, p double")
+    got = rows(forecast.seasonal_naive(df, "k", "m", "p", 10), "m")
+    assert [r[2] for r in got] == [40.0] * 8 + [10.0, 20.0] and got[0][1] == date(2020, 5, 1)
+    assert [r[2] for r in rows(forecast.forecast(df, "k", "m", "p", 3, forecast.seasonal_naive), "m")] == [40.0] * 3
+
+
+def test_only_equally_judged_algorithms_compete(spark):
+    metrics = spark.createDataFrame([("s", "a", 6, 0.5), ("s", "b", 2, 0.1), ("t", "a", 6, 0.3), ("t", "b", 6, 0.2)], "k string, algorithm string, n bigint, mape double")
+    assert rows(forecast.select_best(metrics, "k").select("k", "algorithm"), "k") == [("s", "a"), ("t", "b")]
+
+
+def test_grid_search_at_high_latitudes_and_over_the_date_line(spark):
+    r = random.Random(8)
+    lats, lons = [-89.99, -75.0, -61.0, 0.0, 60.5, 64.9, 78.0, 89.95], [-180.0, -179.98, -0.01, 0.02, 55.0, 179.97, 180.0]
+    near = lambda x, s: max(-90.0, min(90.0, x + r.uniform(-s, s)))
+    cs = [(f"c{i}{j}", near(a, 0.03), b) for i, a in enumerate(lats) for j, b in enumerate(lons)]
+    pts = [(k, near(r.choice(lats), 0.05), ((r.choice(lons) + r.uniform(-0.1, 0.1) + 180) % 360) - 180) for k in range(400)]
+    points = spark.createDataFrame(pts, "i int, lat double, lon double")
+    for radius in (8.0, 2.0):
+        found = joins.nearest_of_many(points, ["i"], "lat", "lon", spark.createDataFrame(cs, "area string, lat double, lon double"), radius)
+        got = rows(found.select("i", F.round("distance_km", 6)), "i")
+        plain = joins.nearest_centre(points, "lat", "lon", cs, radius)
+        assert got == rows(plain.select("i", F.when(F.col("distance_km") <= radius, F.round("distance_km", 6))), "i")
+        assert sum(d is not None for _, d in got) > 50
+
+
+def test_first_known_keeps_the_total_order(spark):
+    r = random.Random(6)
+    data = [(r.choice(["a", "b", None]), r.choice([None, date(2020, 1, r.randint(1, 4))]), i, r.choice([None, f"v{i}"]), r.choice([None, i])) for i in range(300)]
+    df = spark.createDataFrame(data, "k string, d date, i int, t string, n int").repartition(4)
+    got = rows(joins.first_known(df, "k", ["t", "n"], ["d", "i"]), "k")
+    at = lambda x: (x[1] is not None, x[1] or date.min, x[2])
+    want = [(k, *(min((x for x in data if x[0] == k and x[c] is not None), key=at)[c] for c in (3, 4))) for k in ("a", "b")]
+    assert got == want
+
+
+def test_spelling_with_blanks_does_not_double_history(spark):
+    hist = spark.createDataFrame([("A", "Studio", 1.0), ("A", "Studio ", 2.0)], "area string, c string, price double").withColumn("d", F.lit("2020-01-05").cast("date"))
+    asked = profile.with_profile(spark.createDataFrame([("A", "Studio")], "area string, c string"), ["c"], "area")
+    matched = profile.matching_history(asked, profile.price_counts(hist, ["c"], "area", "d", "price"), ["c"], "area")
+    assert rows(matched.select("price", "n"), "price") == [(1.0, 1), (2.0, 1)]
+
+
+def test_counted_prices_give_the_quantiles_of_rows(spark):
+    r = random.Random(2)
+    data = [(r.choice("ab"), float(r.randint(1, 9))) for _ in range(500)]
+    df = spark.createDataFrame(data, "k string, v double")
+    counted = df.groupBy("k", "v").count()
+    specs = {"lo": ("v", 0.05), "mid": ("v", 0.5)}
+    assert rows(group_quantiles(counted, ["k"], specs, weight="count"), "k") == rows(group_quantiles(df, ["k"], specs), "k")
+
+
+def test_areas_are_found_in_any_letter_case(spark):
+    ranges = spark.createDataFrame([("Business Bay", ["x"]), ("Aaa", ["y"])], "area_name_en string, f array<string>")
+    latest = spark.createDataFrame([("Business Bay", "z"), ("Other Place", "w")], "area_name_en string, f string")
+    asked = spark.createDataFrame([(1, "business bay "), (2, "OTHER place"), (3, "nowhere"), (4, None)], "request_id int, area_name_en string")
+    got = rows(profile.resolve_defaults(asked, ranges, latest, {"f": "string"}, literals={"f": "d"}).select("request_id", "area_name_en", "f"), "request_id")
+    assert got == [(1, "Business Bay", "x"), (2, "Other Place", "w"), (3, "nowhere", "y"), (4, None, "y")]
+    named = spark.createDataFrame([("JABAL ali",)], "a string")
+    assert joins.resolve_alias(named, "a", "b").first()["b"] == "G3"
+
+
 def test_dense_ids(spark):
     df = spark.createDataFrame([(f"n{i % 37:02d}",) for i in range(200)] + [(None,)], "name string")
     assert rows(blocks.dense_ids(df, "name", 6), "id") == [(f"n{i:02d}", i) for i in range(37)]
@@ -268,7 +349,8 @@ def test_nearest_profile_equals_all_pairs(spark):
     h = spark.createDataFrame(hist, "area string, c1 string, c2 string, c3 string, c4 string, price double")
     p = profile.with_profile(spark.createDataFrame(prof, "area string, c1 string, c2 string, c3 string, c4 string"), cols, "area")
     got = {}
-    for row in profile.matching_history(p, h, cols, "area").select("profile", "price").collect():
+    counts = profile.price_counts(h.withColumn("d", F.lit("2020-01-05").cast("date")), cols, "area", "d", "price")
+    for row in profile.matching_history(p, counts, cols, "area").select("profile", "price").collect():
         got.setdefault(row["profile"], set()).add(row["price"])
     keys = {tuple(x)[:5]: x["profile"] for x in p.collect()}
     for q in prof:

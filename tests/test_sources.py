@@ -1,8 +1,10 @@
 """Readers, sinks, stored runs and feed polling."""
 
+import os
+
 import pytest
 
-from parcelflow.session import fresh_path, materialise, work_dir
+from parcelflow.session import fresh_path, materialise, scratch, work_dir
 from parcelflow.sources import readers, sinks
 from parcelflow.streaming import feed
 
@@ -63,3 +65,38 @@ def test_work_folder_is_the_sessions(spark):
         assert work_dir(spark).startswith(named.rstrip("/"))
     df = materialise(spark.range(3).toDF("i"))
     assert df.count() == 3 and df.inputFiles()[0].startswith("file:" if work_dir(spark).startswith("/") else "")
+
+
+def test_news_items_do_not_depend_on_arrival(spark):
+    data = [("t", "d1", f"link{i}") for i in range(30)] + [("u", "d2", None)]
+    df = spark.createDataFrame(data, "title string, published_date string, link string")
+    kept = {tuple(r) for n in (1, 7) for r in readers.news_items(df.repartition(n)).select("title", "link").collect()}
+    assert kept == {("t", "link0"), ("u", None)}
+
+
+def test_one_temporary_folder_per_application(spark, monkeypatch):
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        assert work_dir(spark) == work_dir(spark) and os.path.isdir(os.path.dirname(work_dir(spark)))
+
+
+def test_scratch_tables_are_deleted(spark):
+    with scratch(spark):
+        path = materialise(spark.range(5).toDF("i")).inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
+    with pytest.raises(ValueError), scratch(spark):
+        path = materialise(spark.range(5).toDF("i")).inputFiles()[0].removeprefix("file://")
+        raise ValueError
+    assert not os.path.exists(path)
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    class Context:
+        master, applicationId = "local-cluster[2,1,1024]", "x"
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError):
+        work_dir(Session())
