@@ -10,6 +10,7 @@ and putting together are column operations; only new pieces go to the tokenizer.
 from __future__ import annotations
 
 import os
+import re
 import sys
 from array import array
 from types import ModuleType
@@ -19,6 +20,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 MOST = 1_200_000  # pieces that a worker remembers
+JOINED = 1000  # new pieces that go to the tokenizer as one text
+WORDS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)?([!-/:-@\[-`{-~]*)")  # pieces whose words are certain in `white` files
 
 
 class Encoder:
@@ -29,6 +32,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cut, self.most = Tokenizer.from_file(path), cut, most
+        vocab = self.tokenizer.get_vocab()
+        self.marks = np.zeros(max(vocab.values()) + 1, bool)  # ids that begin a piece (space) or end a word (white)
+        self.marks[[i for t, i in vocab.items() if (t.startswith("\u0120") if cut == "space" else t.endswith("</w>"))]] = True
         self._forget()
 
     @classmethod
@@ -58,10 +64,39 @@ class Encoder:
         self.starts, self.lengths = np.concatenate((self.starts, starts)), np.concatenate((self.lengths, new))
         return number
 
+    def _add_joined(self, pieces: list[str], words: np.ndarray) -> int | None:
+        """Like _add, for many pieces in one text, told apart by the marks among the ids: one at the start of each piece
+        (space) or one at the end of each of its words (white). None if the marks do not fit."""
+        space = self.cut == "space"
+        texts = [" " * space + " ".join(pieces[i : i + JOINED]) for i in range(0, len(pieces), JOINED)]
+        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        wanted = np.add.reduceat(words, np.arange(0, len(pieces), JOINED))
+        edge = 0 if space else -1
+        if any(not len(f) or self.marks[f].sum() != n or not self.marks[f[edge]] for f, n in zip(found, wanted)):
+            return None
+        ids = np.concatenate(found)
+        marked = np.flatnonzero(self.marks[ids])
+        starts = marked if space else np.concatenate(([0], marked[np.cumsum(words)[:-1] - 1] + 1))
+        number = len(self.starts)
+        self.starts = np.concatenate((self.starts, len(self.values) + starts))
+        self.lengths = np.concatenate((self.lengths, np.diff(np.append(starts, len(ids)))))
+        self.values = np.concatenate((self.values, ids))
+        return number
+
     def _numbers(self, known: dict[str, int], pieces: list[str], lead: str) -> np.ndarray:
         new = [p for p in dict.fromkeys(pieces) if p not in known]
-        if new:
-            known.update(zip(new, range(at := self._add([lead + p for p in new]), at + len(new))))
+        if self.cut == "white":
+            matched = [WORDS.fullmatch(p) for p in new]
+            joined = [p for p, m in zip(new, matched) if m]
+            words = np.array([bool(m[1]) + bool(m[2]) for m in matched if m], np.int64)
+        else:
+            joined = new if lead else []
+            words = np.ones(len(joined), np.int64)
+        at = self._add_joined(joined, words) if joined else None
+        known.update(zip(joined if at else [], range(at or 0, (at or 0) + len(joined))))
+        rest = [p for p in new if p not in known]
+        if rest:
+            known.update(zip(rest, range(at := self._add([lead + p for p in rest]), at + len(rest))))
         return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
 
     def _uncertain(self, piece: str) -> bool:
