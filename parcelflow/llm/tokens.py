@@ -13,6 +13,7 @@ import os
 import re
 import sys
 from array import array
+from itertools import repeat
 from types import ModuleType
 
 import numpy as np
@@ -46,7 +47,7 @@ class Encoder:
         return held[path, cut]
 
     def _forget(self) -> None:
-        self.later: dict[str, int] = {}
+        self.later: dict[str, int] = {"": 0} if self.cut == "white" else {}
         self.first: dict[str, int] = {}
         self.values, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
@@ -83,8 +84,8 @@ class Encoder:
         self.values = np.concatenate((self.values, ids))
         return number
 
-    def _numbers(self, known: dict[str, int], pieces: list[str], lead: str) -> np.ndarray:
-        new = [p for p in dict.fromkeys(pieces) if p not in known]
+    def _learn(self, known: dict[str, int], new: list[str], lead: str) -> None:
+        """Number pieces that are not known yet."""
         if self.cut == "white":
             matched = [WORDS.fullmatch(p) for p in new]
             joined = [p for p, m in zip(new, matched) if m]
@@ -93,11 +94,21 @@ class Encoder:
             joined = new if lead else []
             words = np.ones(len(joined), np.int64)
         at = self._add_joined(joined, words) if joined else None
-        known.update(zip(joined if at else [], range(at or 0, (at or 0) + len(joined))))
+        if at is not None:
+            known.update(zip(joined, range(at, at + len(joined))))
         rest = [p for p in new if p not in known]
         if rest:
             known.update(zip(rest, range(at := self._add([lead + p for p in rest]), at + len(rest))))
-        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+
+    def _numbers(self, known: dict[str, int], pieces: list[str], lead: str) -> np.ndarray:
+        """Numbers of the pieces; -1 where a piece is uncertain."""
+        numbers = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        unknown = [pieces[i] for i in np.flatnonzero(numbers < 0)]
+        new = [p for p in dict.fromkeys(unknown) if not self._uncertain(p)]
+        if new:
+            self._learn(known, new, lead)
+            numbers[numbers < 0] = np.fromiter(map(known.get, unknown, repeat(-1)), np.int64, len(unknown))
+        return numbers
 
     def _uncertain(self, piece: str) -> bool:
         return "<|" in piece or (self.cut == "space" and (not piece or piece[0].isspace() or piece[-1].isspace()))
@@ -118,18 +129,12 @@ class Encoder:
         cuts = lists.offsets.to_numpy().astype(np.int64)
         cuts -= cuts[0]
         coded = lists.flatten().dictionary_encode()
-        place, pieces = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        doubt = np.fromiter(map(self._uncertain, pieces), bool, len(pieces))
-        usable = [p if p and not d else None for p, d in zip(pieces, doubt)]
-        numbers = np.zeros(len(pieces), np.int64)
-        some = np.flatnonzero([p is not None for p in usable])
-        numbers[some] = self._numbers(self.later, [usable[i] for i in some], " " if space else "")
-        which = numbers[place]
+        place = coded.indices.to_numpy()
+        which = self._numbers(self.later, coded.dictionary.to_pylist(), " " if space else "")[place]
         if space:
-            heads = [usable[i] for i in place[cuts[:-1]]]
-            some = np.flatnonzero([p is not None for p in heads])
-            which[cuts[some]] = self._numbers(self.first, [heads[i] for i in some], "")
-        in_doubt = np.flatnonzero(doubt[place])
+            heads = lists.flatten().take(pa.array(cuts[:-1])).to_pylist()
+            which[cuts[:-1]] = self._numbers(self.first, heads, "")
+        in_doubt = np.flatnonzero(which < 0)
         size = len(self.values), len(self.starts)
         if len(in_doubt):
             rows = np.unique(np.searchsorted(cuts, in_doubt, "right") - 1)
@@ -138,8 +143,9 @@ class Encoder:
                 which[cuts[row]] = number
         lengths = self.lengths[which]
         ends = np.cumsum(lengths)
-        at = np.repeat(self.starts[which] - ends + lengths, lengths)
-        at += np.arange(len(at))
+        kind = np.int32 if ends[-1] < 2**31 and len(self.values) < 2**31 else np.int64
+        at = np.repeat((self.starts[which] - ends + lengths).astype(kind), lengths)
+        at += np.arange(len(at), dtype=kind)
         ids, offsets = self.values[at], np.concatenate(([0], ends))[cuts]
         if len(in_doubt):  # whole texts are not remembered
             self.values, self.starts, self.lengths = self.values[: size[0]], self.starts[: size[1]], self.lengths[: size[1]]
@@ -149,8 +155,4 @@ class Encoder:
         """(ids, offsets) with end_id after the ids of every text."""
         ids, offsets = self.columns(texts)
         n = len(offsets) - 1
-        out = np.empty(len(ids) + n, np.uint32)
-        out[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(offsets))] = ids
-        offsets = offsets + np.arange(n + 1)
-        out[offsets[1:] - 1] = end_id
-        return out, offsets
+        return np.insert(ids, offsets[1:], np.uint32(end_id)), offsets + np.arange(n + 1)
