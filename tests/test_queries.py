@@ -1,14 +1,15 @@
 """Registered queries against SQL on the smallest tables, and independence from how the input is partitioned."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from oracle import compare, duck
+from parcelflow.operators import learn
 from parcelflow.plans import ORACLES, RUNNERS
+from parcelflow.session import fresh_path
 from parcelflow.sources import bindings
 
 SF = "/root/testdata/sf0.001"
-SF_MODELS = "/root/testdata/sf0.01"  # the smallest scale at which every area group has rows
-SLOW = {"ml_segment_regress", "ml_random_search", "ml_log_target", "ml_batch_score"}
 
 
 @pytest.fixture(scope="session")
@@ -37,8 +38,8 @@ def test_large_group_path_gives_the_same_rows(spark, con, monkeypatch, name):
     assert used
 
 
-def test_only_model_fits_lack_sql():
-    assert set(RUNNERS) - set(ORACLES) == SLOW
+def test_every_query_has_sql():
+    assert set(RUNNERS) == set(ORACLES)
 
 
 def test_entry_runs(spark):
@@ -61,30 +62,34 @@ def test_partitioning_does_not_change_results(spark, monkeypatch, name):
     assert sorted(map(str, RUNNERS[name](spark, SF).collect())) == want
 
 
-def test_model_metrics_are_sound(spark):
-    rows = RUNNERS["ml_segment_regress"](spark, SF_MODELS).collect()
-    assert rows and all(r["test_samples"] > 0 and r["train_samples"] > 0 and r["test_mape"] >= 0 for r in rows)
-    assert len({r["segment"] for r in rows}) == len(rows)
+def _training(spark, n=400, days=90):
+    data = [("A" if i % 2 else "B", f"2024-{1 + i % days // 30:02d}-{1 + i % 28:02d}", float(100 + (i * 37) % 50 + 30 * (i % 3)), "xyz"[i % 3], i) for i in range(n)]
+    return spark.createDataFrame(data, "area_name_en string, d string, price double, t string, i int").withColumn("d", F.col("d").cast("date"))
 
 
-def test_trial_log_is_ranked(spark):
-    rows = RUNNERS["ml_random_search"](spark, SF_MODELS).collect()
-    assert rows
-    for segment in {r["segment"] for r in rows}:
-        mine = sorted((r for r in rows if r["segment"] == segment), key=lambda r: r["cv_rank"])
-        assert [r["cv_rank"] for r in mine] == list(range(1, len(mine) + 1))
-        assert [r["cv_mean_mape"] for r in mine] == sorted(r["cv_mean_mape"] for r in mine)
+def test_search_survives_days_that_hold_everything(spark):
+    """All training rows on one day, fewer rows than folds, and a metric that cannot be judged."""
+    one_day = _training(spark, 30).withColumn("d", F.lit("2024-01-05").cast("date"))
+    ready = learn.encode(one_day, ["t"], []).transform(one_day)
+    folded = learn.with_folds(ready, ["d", "i"], 3)
+    assert sorted(r["count"] for r in folded.groupBy("fold").count().collect()) == [10, 10, 10]
+    log = learn.random_search(folded, "linear", "price", 2, 3)
+    assert [t["cv_rank"] for t in log] == [1, 2] and all(t["fold_sizes"] == [10, 10, 10] for t in log)
+    few = learn.with_folds(ready.limit(2), ["d", "i"], 3)
+    assert learn.random_search(few, "linear", "price", 1, 3)[0]["cv_mean_mape"] is not None
+    alone = learn.with_folds(ready.limit(1), ["d", "i"], 3)
+    assert learn.random_search(alone, "linear", "price", 1, 3)[0]["cv_mean_mape"] is None
 
 
-def test_stored_models_score_like_fitted_ones(spark):
-    from parcelflow.operators import learn
-    from parcelflow.plans import models
-    from parcelflow.session import fresh_path
-
+def test_a_group_may_be_called_like_an_area(spark):
+    members = spark.createDataFrame([("A", "B"), ("a/b c", "A"), ("a_b c", "B")], "group string, member string")
     root = fresh_path(spark, "models")
-    _, _, fitted = models.fit_groups(spark, SF_MODELS, algorithms=["linear"], n_settings=1, folds=2, root=root)
-    rows = models.training_rows(spark, SF_MODELS).limit(20).withColumn("key", models.F.lit("grouped1"))
-    names = (models.MODEL_TEXTS, models.MODEL_NUMBERS)
-    a = learn.batch_score(rows, "key", {"grouped1": fitted["grouped1"]}, *names).collect()
-    b = learn.batch_score(rows, "key", {"grouped1": learn.load_model(root, "grouped1")}, *names).collect()
-    assert sorted(r["prediction"] for r in a) == sorted(r["prediction"] for r in b) and len(a) == 20
+    trials, metrics, models = learn.train_segments(
+        _training(spark), members, ["t"], [], "price", "d", order=["i"], min_rows=100, root=root, algorithms=["linear"], n_settings=1, folds=2)
+    assert set(models) == {"area:A", "area:B", "group:A", "group:a/b c", "group:a_b c"}
+    assert len({learn.model_path(root, m) for m in models}) == 5 and {r["segment"] for r in metrics.collect()} == set(models)
+    rows = _training(spark, 40).withColumn("key", F.when(F.col("i") % 2 == 0, "group:A").otherwise("area:A"))
+    a = learn.batch_score(rows, "key", models, ["t"], []).collect()
+    b = learn.batch_score(rows, "key", {m: learn.load_model(root, m) for m in models}, ["t"], []).collect()
+    assert sorted((r["i"], r["prediction"]) for r in a) == sorted((r["i"], r["prediction"]) for r in b) and len(a) == 40
+    assert learn.batch_score(rows, "key", {}, ["t"], []).collect() == []
