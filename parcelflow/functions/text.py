@@ -125,6 +125,11 @@ def share_name(c: Column) -> Column:
     return F.lower(F.replace(F.replace(c, F.lit(" "), F.lit("_")), F.lit("/"), F.lit("")))
 
 
+def share_label(feature: str, value: str) -> str:
+    """Name of the share column of one category value."""
+    return f"pct_{feature}_{value.replace(' ', '_').replace('/', '').lower()}"
+
+
 def norm_id(c: Column) -> Column:
     return F.regexp_replace(strip(c.cast("string")), r"\.0$", "")
 

@@ -41,6 +41,16 @@ def trim_all(df: DataFrame) -> DataFrame:
     return trim_by_group(trim_area_by_rooms(df))
 
 
+def trim_counted(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both treatments, and one row with the rows before and after each and what each removed."""
+    roomed = materialise(trim_area_by_rooms(df), "roomed")
+    trimmed = materialise(trim_by_group(roomed), "trimmed")
+    n = lambda rows: rows.agg(F.count("*")).scalar()
+    counts = df.agg(F.count("*").alias("rows_before")).withColumns({"rows_after_rooms": n(roomed), "rows_after_groups": n(trimmed)})
+    removed = {"removed_by_rooms": F.col("rows_before") - F.col("rows_after_rooms"), "removed_by_groups": F.col("rows_after_rooms") - F.col("rows_after_groups")}
+    return trimmed, counts.withColumns(removed)
+
+
 def describe(df: DataFrame, group: str, value: str, suffix: str = "", max_group_rows: int | None = None) -> DataFrame:
     """count, mean, std, min, quartiles and max of value per group."""
     specs = {f"{q}{suffix}": (value, p) for q, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))}

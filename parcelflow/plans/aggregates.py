@@ -62,6 +62,19 @@ def dq_outlier_stages(spark, sf_dir):
     return _rounded_stats(change)
 
 
+@query("dq_outlier_pipeline", ctes=TRIM_SQL, sql=f"""
+SELECT b.*, a.* EXCLUDE (area_name_en), n.* FROM {_stats_sql('txn', '_before')} b LEFT JOIN {_stats_sql('trimmed', '_after')} a ON a.area_name_en = b.area_name_en,
+(SELECT x AS rows_before, y AS rows_after_rooms, z AS rows_after_groups, x - y AS removed_by_rooms, y - z AS removed_by_groups
+  FROM (SELECT (SELECT count(*) FROM txn) AS x, (SELECT count(*) FROM roomed) AS y, (SELECT count(*) FROM trimmed) AS z)) n""")
+def dq_outlier_pipeline(spark, sf_dir):
+    """The whole outlier stage: statistics per area before and after, with the number of rows that each treatment removed."""
+    facts = transactions(spark, sf_dir, *TRIM_FIELDS)
+    trimmed, counts = outliers.trim_counted(facts)
+    counts = materialise(counts, "counts")
+    stats = _rounded_stats(outliers.describe_change(facts, trimmed, "area_name_en", "meter_sale_price"))
+    return stats.select("*", *(counts.select(c).scalar().alias(c) for c in counts.columns))
+
+
 MISSING_SQL = "count(*) FILTER (WHERE {c} IS NULL OR trim(CAST({c} AS string)) = '' OR CAST({c} AS string) = 'Missing_{n}') AS {a}"
 
 

@@ -48,10 +48,13 @@ y AS (SELECT *, last_value(CASE WHEN p IS NOT NULL THEN i END IGNORE NULLS) OVER
 filled AS (SELECT area_name_en, month, CASE WHEN p IS NOT NULL THEN p ELSE pv + (nv - pv) * (i - pi) / (ni - pi) END AS monthly_price FROM y)"""
 
 
-@query("fc_panel_forecast", ctes=f"{PANEL_SQL}, {GRID_SQL}, {trend_sql('filled', 6)}" + """,
+FORECAST_SQL = f"{PANEL_SQL}, {GRID_SQL}, {trend_sql('filled', 6)}" + """,
 lastp AS (SELECT area_name_en, arg_max(monthly_price, month) AS p, max(month) AS m FROM filled GROUP BY 1),
 season AS (SELECT area_name_en, month(month) AS mm, arg_max(monthly_price, month) AS prediction FROM filled GROUP BY 1, 2),
-both_m AS (SELECT 'trend' AS method, * FROM trend UNION ALL SELECT 'seasonal_naive', t.area_name_en, t.month, coalesce(s.prediction, l.p) FROM trend t JOIN lastp l USING (area_name_en) LEFT JOIN season s ON t.area_name_en = s.area_name_en AND month(t.month) = s.mm)""", sql="""
+both_m AS (SELECT 'trend' AS method, * FROM trend UNION ALL SELECT 'seasonal_naive', t.area_name_en, t.month, coalesce(s.prediction, l.p) FROM trend t JOIN lastp l USING (area_name_en) LEFT JOIN season s ON t.area_name_en = s.area_name_en AND month(t.month) = s.mm)"""
+
+
+@query("fc_panel_forecast", ctes=FORECAST_SQL, sql="""
 SELECT method, area_name_en, month, round(prediction, 4) AS prediction,
   round((prediction / coalesce(lag(prediction) OVER (PARTITION BY method, area_name_en ORDER BY month), p) - 1) * 100, 6) AS predicted_mom_growth_pct
 FROM both_m JOIN lastp USING (area_name_en)""")

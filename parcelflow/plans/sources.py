@@ -153,8 +153,9 @@ SELECT concat('{"developer_id":', CAST(developer_id AS string), ',"developer_nam
   '","registration_date":"', strftime(CAST(registration_date AS DATE), '%Y-%m-%d'), '"}') AS record
 FROM developers ORDER BY CAST(registration_date AS DATE) DESC, developer_id LIMIT 10""")
 def sink_json_records(spark, sf_dir):
+    """The newest records written as JSON, and read back as they lie in the files."""
     devs = filters.coerce_dates(view(spark, sf_dir, "developers"), ["registration_date"])
-    return sinks.top_json_records(
-        devs.select("developer_id", "developer_name_en", "registration_date"),
-        [F.desc_nulls_last("registration_date"), F.col("developer_id")], 10,
-    )
+    path = fresh_path(spark, "records")
+    newest = [F.desc_nulls_last("registration_date"), F.col("developer_id")]
+    sinks.write_json_records(devs.select("developer_id", "developer_name_en", "registration_date"), path, newest, 10)
+    return spark.read.text(path).withColumnRenamed("value", "record")

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from parcelflow import fixed_values as fv
 from parcelflow.operators import stages
 from parcelflow.plans.aggregates import TRIM_SQL
-from parcelflow.plans.events import IMPUTED
 from parcelflow.plans.filters import KEYS, quoted
 from parcelflow.plans.joins import ASSETS, MEMBERS_SQL, QUOTES_SQL, members, quotes
+from parcelflow.plans.events import IMPUTED, channels, sensitivity
+from parcelflow.plans.forecasts import BACKTEST_SQL, FORECAST_SQL, NEWS_SQL, area_forecast, area_panel
 from parcelflow.plans.registry import query
 from parcelflow.plans.texts import LINK_KEY_SQL, RULE_SQL
 from parcelflow.sources.bindings import TXN_ORDER, TXN_ORDER_SQL, TXN_SQL, transactions, view, view_sql
@@ -112,20 +113,49 @@ y AS (SELECT *, last_value(CASE WHEN close IS NOT NULL THEN i END IGNORE NULLS)
   first_value(close IGNORE NULLS) OVER a AS nv FROM x WINDOW b AS (PARTITION BY asset ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY asset ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
 z AS (SELECT asset, date, CASE WHEN close IS NOT NULL THEN close WHEN pv IS NULL THEN nv WHEN nv IS NULL THEN pv ELSE pv + (nv - pv) * (i - pi) / (ni - pi) END AS close FROM y),
 cal AS (SELECT date, max(close) FILTER (WHERE asset = 'oil') AS oil_close, max(close) FILTER (WHERE asset = 'gold') AS gold_close, max(close) FILTER (WHERE asset = 'dfm') AS dfm_close FROM z GROUP BY 1 HAVING count(*) = 3),
-ff AS (SELECT area_name_en, instance_date, meter_sale_price, last_value(has_parking IGNORE NULLS) OVER (PARTITION BY area_name_en ORDER BY {TXN_ORDER_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS has_parking FROM txn),
+ff AS (SELECT area_name_en, instance_date, meter_sale_price, rooms_en, last_value(has_parking IGNORE NULLS) OVER (PARTITION BY area_name_en ORDER BY {TXN_ORDER_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS has_parking FROM txn),
 fc AS (SELECT ff.*, oil_close, gold_close, dfm_close FROM ff JOIN cal ON CAST(instance_date AS DATE) = date),
 st AS (SELECT * FROM fc UNION ALL SELECT "group", fc.* EXCLUDE (area_name_en) FROM fc JOIN members ON area_name_en = member),
 kp AS (SELECT * FROM st WHERE area_name_en IN (SELECT area_name_en FROM st GROUP BY 1 HAVING count(*) >= 2000) OR area_name_en IN (SELECT "group" FROM members)),
 mp AS (SELECT area_name_en, CAST(date_trunc('month', instance_date) AS DATE) AS month, median(meter_sale_price) AS monthly_price, count(*) AS txn_count, avg(has_parking) AS pct, median(oil_close) AS oil FROM kp GROUP BY 1, 2),
 nx AS (SELECT *, lead(ln(monthly_price)) OVER w - ln(monthly_price) AS nr FROM mp WINDOW w AS (PARTITION BY area_name_en ORDER BY month)),
 lg AS (SELECT *, lag(nr) OVER w AS l1, lag(nr, 2) OVER w AS l2 FROM nx WINDOW w AS (PARTITION BY area_name_en ORDER BY month)),
-dr AS (SELECT *, oil / lag(oil) OVER w - 1 AS oil_ret FROM lg WHERE nr IS NOT NULL AND l1 IS NOT NULL AND l2 IS NOT NULL WINDOW w AS (PARTITION BY area_name_en ORDER BY month))""", sql="""
-SELECT area_name_en, month, monthly_price, txn_count, round(pct, 8) AS pct_has_parking, round(nr, 8) AS future_log_return_1m, round(l2, 8) AS lag_2_return, round(coalesce(oil_ret, 0), 8) AS oil_return,
+sh AS (SELECT area_name_en, CAST(date_trunc('month', instance_date) AS DATE) AS month, count(*) + count(DISTINCT rooms_en) AS total,
+  count(*) FILTER (WHERE rooms_en = 'Studio') AS studio, count(*) FILTER (WHERE rooms_en = '2 B/R') AS two FROM kp GROUP BY 1, 2),
+dr AS (SELECT *, oil / lag(oil) OVER w - 1 AS oil_ret FROM lg WHERE nr IS NOT NULL AND l1 IS NOT NULL AND l2 IS NOT NULL WINDOW w AS (PARTITION BY area_name_en ORDER BY month)),
+pn AS (SELECT area_name_en, month, monthly_price, txn_count, round(pct, 8) AS pct_has_parking, round(nr, 8) AS future_log_return_1m, round(l2, 8) AS lag_2_return, round(coalesce(oil_ret, 0), 8) AS oil_return,
   round(coalesce(avg(oil_ret) OVER w3, 0), 8) AS oil_return_3m, round(coalesce(stddev_samp(oil_ret) OVER w3, 0), 8) AS oil_vol_3m
-FROM dr WINDOW w3 AS (PARTITION BY area_name_en ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) QUALIFY count(*) OVER (PARTITION BY area_name_en) >= 50""")
+FROM dr WINDOW w3 AS (PARTITION BY area_name_en ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) QUALIFY count(*) OVER (PARTITION BY area_name_en) >= 50)""", sql="""
+SELECT pn.*, round(CASE WHEN studio > 0 THEN (studio + 1e0) / total ELSE 0 END, 8) AS pct_rooms_en_studio, round(CASE WHEN two > 0 THEN (two + 1e0) / total ELSE 0 END, 8) AS pct_rooms_en_2_br,
+  dense_rank() OVER (ORDER BY pn.area_name_en) - 1 AS area_number, false AS has_castles FROM pn JOIN sh ON pn.area_name_en = sh.area_name_en AND pn.month = sh.month""")
 def stage_panel(spark, sf_dir):
-    """The forecasting panel: filled facts, market calendar, group copies, minimum sizes, returns and covariates."""
-    facts = transactions(spark, sf_dir, *TXN_ORDER, "area_name_en", "meter_sale_price", "has_parking")
-    rows = stages.monthly_training_panel(facts, quotes(spark, sf_dir), ASSETS, members(spark), TXN_ORDER, min_rows=2000)
-    eight = ["pct_has_parking", "future_log_return_1m", "lag_2_return", "oil_return", "oil_return_3m", "oil_vol_3m"]
-    return rows.select("area_name_en", "month", "monthly_price", "txn_count", *(F.round(c, 8).alias(c) for c in eight))
+    """The forecasting panel: filled facts, market calendar, group copies, minimum sizes, shares, returns, covariates and area
+    numbers. A category that no fact has gives a column of zeros, which is dropped."""
+    facts = transactions(spark, sf_dir, *TXN_ORDER, "area_name_en", "meter_sale_price", "has_parking", "rooms_en")
+    rows = stages.monthly_training_panel(
+        facts, quotes(spark, sf_dir), ASSETS, members(spark), TXN_ORDER, min_rows=2000, categories={"rooms_en": ["Studio", "2 B/R", "Castle"]})
+    eight = ["pct_has_parking", "future_log_return_1m", "lag_2_return", "oil_return", "oil_return_3m", "oil_vol_3m", "pct_rooms_en_studio", "pct_rooms_en_2_br"]
+    castles = F.lit("pct_rooms_en_castle" in rows.columns).alias("has_castles")
+    return rows.select("area_name_en", "month", "monthly_price", "txn_count", *(F.round(c, 8).alias(c) for c in eight), "area_number", castles)
+
+
+@query("stage_forecast", ctes=f"""best AS (WITH {BACKTEST_SQL} SELECT area_name_en, algorithm, mape FROM m QUALIFY row_number() OVER (PARTITION BY area_name_en ORDER BY n DESC, mape, algorithm) = 1),
+ahead AS (WITH {FORECAST_SQL} SELECT method, area_name_en, month, prediction FROM both_m)""", sql="""
+SELECT area_name_en, month, method AS algorithm, round(prediction, 4) AS predictions, round(mape, 4) AS mape FROM ahead LEFT JOIN best USING (area_name_en) WHERE method = coalesce(algorithm, 'trend')""")
+def stage_forecast(spark, sf_dir):
+    """Every area continued by the method that did best on its held-out months."""
+    ahead, best = stages.area_forecasts(area_panel(spark, sf_dir))
+    rows = ahead.join(best.select("area_name_en", "mape"), "area_name_en", "left")
+    return rows.select("area_name_en", "month", "algorithm", F.round("predictions", 4).alias("predictions"), F.round("mape", 4).alias("mape"))
+
+
+@query("stage_news", ctes=NEWS_SQL, sql="""
+SELECT area_id, month, round(predictions, 4) AS predictions, round(adjusted_pred, 4) AS adjusted_pred, round(macro_news_factor, 8) AS macro_news_factor FROM adjusted""")
+def stage_news(spark, sf_dir):
+    """Raw news to adjusted forecasts in one call."""
+    news = view(spark, sf_dir, "news")
+    weights = news.select("article_id", "entity_tier_weight", "event_scale_weight", "geo_relevance_weight")
+    items = news.select("article_id", "published_date", "event_code", "title")
+    ids = view(spark, sf_dir, "sensitivity_wide").select("area", "area_id")
+    rows = stages.news_adjusted(area_forecast(spark, sf_dir), items, weights, channels(spark), sensitivity(spark, sf_dir), ids)
+    return rows.select("area_id", "month", F.round("predictions", 4).alias("predictions"), F.round("adjusted_pred", 4).alias("adjusted_pred"), F.round("macro_news_factor", 8).alias("macro_news_factor"))

@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +57,7 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 _open_scopes: list[list[str]] = []
+observers: list[Callable[[DataFrame, str], None]] = []  # called with every table before it is stored
 
 
 @contextmanager
@@ -94,5 +95,7 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     spark.sql.autoBroadcastJoinThreshold and shuffles (with skew splitting) above it.
     """
     path = fresh_path(df.sparkSession, label)
+    for seen in observers:
+        seen(df, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -25,11 +25,6 @@ def write_run(df: DataFrame, root: str, run_id: str) -> None:
     done.write.mode("append").parquet(f"{root}/runs")
 
 
-def top_json_records(df: DataFrame, order: list[Column], n: int) -> DataFrame:
-    """The first n rows as JSON texts with ISO dates, for a report."""
-    top = df.orderBy(*order).limit(n)
-    return top.select(F.to_json(F.struct(*top.columns)).alias("record"))
-
-
 def write_json_records(df: DataFrame, path: str, order: list[Column], n: int) -> None:
+    """The first n rows as JSON records with ISO dates, for a report."""
     df.orderBy(*order).limit(n).write.mode("overwrite").json(path)
