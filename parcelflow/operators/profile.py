@@ -152,13 +152,13 @@ def group_history(history: DataFrame, area: str = "area_name_en") -> DataFrame:
     return joins.with_group_copies(history, area, members)
 
 
-def price_counts(history: DataFrame, cols: list[str], area: str = "area_name_en", date: str = "instance_date", price: str = "meter_sale_price") -> DataFrame:
+def price_counts(history: DataFrame, cols: list[str] = fv.PROFILE_COLUMNS, area: str = "area_name_en", date: str = "instance_date", price: str = "meter_sale_price") -> DataFrame:
     """(area, cols, combination, month, price, n): how often each price occurs per combination and month."""
     rows = history.select(area, *(_text(c).alias(c) for c in cols), F.trunc(date, "MM").alias("month"), F.col(price).alias("price"))
     return rows.groupBy(area, *cols, "month", "price").agg(F.count("*").alias("n")).withColumn("combination", combination(area, cols))
 
 
-def matching_history(profiles: DataFrame, counts: DataFrame, cols: list[str], area: str = "area_name_en") -> DataFrame:
+def matching_history(profiles: DataFrame, counts: DataFrame, cols: list[str] = fv.PROFILE_COLUMNS, area: str = "area_name_en") -> DataFrame:
     """(profile, mismatch, month, price, n) from price_counts. profiles has one row per profile.
 
     Profiles meet counts, not rows: a combination that many profiles use brings each of its prices of a month once.

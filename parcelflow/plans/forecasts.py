@@ -257,9 +257,64 @@ def resolved_requests(spark, sf_dir):
     return hist, profile.resolve_defaults(requests, ranges, latest_rows(hist), FIELDS, locked=["trans_group_en"])
 
 
-@query("req_resolve_defaults", ctes=HISTORY_SQL, sql="SELECT request_id, area_name_en, rooms_en, reg_type_en, trans_group_en, has_parking FROM resolved")
+# All request fields: (type, SQL over the facts, SQL over a request; None for fields that a request never sets).
+ALL_FIELDS = {
+    "rooms_en": ("string", "rooms_en", "rooms_en"),
+    "reg_type_en": ("string", "reg_type_en", "reg_type_en"),
+    "floor_bin": ("string", "CASE WHEN l_suppkey % 4 = 0 THEN NULL WHEN l_suppkey % 4 = 1 THEN '1-10' ELSE '11-20' END", "CASE WHEN request_id % 3 = 0 THEN NULL WHEN request_id % 3 = 1 THEN '11-20' ELSE '91-100' END"),
+    "Grade": ("string", "CASE WHEN l_partkey % 5 = 0 THEN NULL WHEN l_partkey % 5 = 1 THEN 'A' ELSE 'C' END", "CASE WHEN request_id % 4 = 0 THEN NULL WHEN request_id % 4 = 1 THEN 'C' ELSE 'Z' END"),
+    "project_grade": ("string", "CASE WHEN l_partkey % 3 = 0 THEN 'A' ELSE 'B' END", "CASE WHEN request_id % 2 = 0 THEN 'B' END"),
+    "Developer_grade": ("string", "CASE WHEN l_suppkey % 6 = 0 THEN NULL ELSE concat('G', CAST(l_suppkey % 3 AS string)) END", "CASE WHEN request_id % 5 = 0 THEN 'G2' END"),
+    "Developer Reputation Tier": ("string", "concat('Tier ', CAST(l_suppkey % 2 AS string))", None),
+    "trans_group_en": ("string", "trim(trans_group_en)", None),
+    "Locality Zone": ("string", "CASE WHEN l_linenumber = 1 THEN NULL ELSE concat('Zone ', CAST(l_suppkey % 4 AS string)) END", None),
+    "Price Tier": ("string", "CASE WHEN l_linenumber < 3 THEN 'Low' ELSE 'High' END", None),
+    "Developer Tier": ("string", "CAST(NULL AS string)", None),
+    "Reputation": ("string", "CASE WHEN l_suppkey % 7 = 0 THEN 'Good' END", None),
+    "Score": ("double", "CASE WHEN l_linenumber = 2 THEN NULL ELSE (l_partkey % 9) / 2e0 END", None),
+    "has_parking": ("int", "CAST(has_parking AS int)", "has_parking"),
+    "swimming_pool": ("int", "CASE WHEN swimming_pools IS NULL THEN NULL WHEN swimming_pools > 0 THEN 1 ELSE 0 END", "CASE WHEN request_id % 3 = 1 THEN 0 WHEN request_id % 3 = 2 THEN 5 END"),
+    "balcony": ("int", "CASE WHEN unit_balcony_area > 3 THEN 1 ELSE 0 END", "CASE WHEN request_id % 2 = 1 THEN 1 END"),
+    "elevators": ("int", "CAST(elevators AS int)", "CASE WHEN request_id % 6 = 1 THEN 2 END"),
+    "metro": ("int", "CASE WHEN l_linenumber = 4 THEN 0 ELSE 1 END", "CAST(NULL AS int)"),
+}
+assert set(ALL_FIELDS) == set(fv.REQUEST_DEFAULTS) and {f for f, (_, _, asked) in ALL_FIELDS.items() if asked is None} == set(fv.LOCKED_REQUEST_FIELDS)
+
+
+def _all_fields_sql():
+    lists, values = [], []
+    for i, (f, (kind, _, asked)) in enumerate(ALL_FIELDS.items()):
+        by = "v" if kind == "string" else "CAST(v AS double)"
+        lists.append(f"""l{i} AS (SELECT area_name_en, list(v ORDER BY {by}) AS vals FROM (SELECT DISTINCT area_name_en, CAST("{f}" AS string) AS v FROM hist18
+  WHERE "{f}" IS NOT NULL AND area_name_en IN (SELECT area_name_en FROM big)) GROUP BY 1)""")
+        own = "" if asked is None else f"""CASE WHEN q."{f}" IS NOT NULL AND (l{i}.vals IS NULL OR list_contains(l{i}.vals, CAST(q."{f}" AS string))) THEN CAST(q."{f}" AS {kind}) END, """
+        text_default = str(fv.REQUEST_DEFAULTS[f]).replace("'", "''")
+        values.append(f"""coalesce({own}CAST(l{i}.vals[1] AS {kind}), latest18."{f}", CAST((SELECT vals[1] FROM l{i} ORDER BY area_name_en LIMIT 1) AS {kind}), CAST('{text_default}' AS {kind})) AS "{f}\"""")
+    hist = ", ".join(f'{sql} AS "{f}"' for f, (_, sql, _) in ALL_FIELDS.items())
+    asked = ", ".join(f'{sql} AS "{f}"' for f, (_, _, sql) in ALL_FIELDS.items() if sql is not None)
+    return f"""{HISTORY_SQL},
+hist18 AS (SELECT {TXN_ORDER_SQL}, area_name_en, {hist} FROM txn),
+latest18 AS (SELECT * FROM hist18 QUALIFY row_number() OVER (PARTITION BY area_name_en ORDER BY instance_date DESC, {TXN_ORDER_SQL}) = 1),
+{", ".join(lists)},
+q AS (SELECT request_id, area_name_en, {asked} FROM req),
+all_fields AS (SELECT request_id, q.area_name_en, {", ".join(values)} FROM q {" ".join(f"LEFT JOIN l{i} ON q.area_name_en = l{i}.area_name_en" for i in range(len(ALL_FIELDS)))}
+  LEFT JOIN latest18 ON q.area_name_en = latest18.area_name_en)"""
+
+
+@query("req_resolve_defaults", ctes=_all_fields_sql(), sql="SELECT * FROM all_fields")
 def req_resolve_defaults(spark, sf_dir):
-    return resolved_requests(spark, sf_dir)[1].select("request_id", "area_name_en", *FIELDS)
+    """All fields of every request, by tier; locked fields never come from the request."""
+    needed = ["area_name_en", "rooms_en", "reg_type_en", "trans_group_en", "has_parking", "swimming_pools", "unit_balcony_area", "elevators", "procedure_area"]
+    facts = transactions(spark, sf_dir, *TXN_ORDER, *needed)
+    exprs = [F.expr(sql).alias(f) for f, (_, sql, _) in ALL_FIELDS.items()]
+    hist = materialise(facts.select(*TXN_ORDER, "area_name_en", "procedure_area", *exprs), "history")
+    large = filters.min_group_count(hist.drop(*TXN_ORDER), "area_name_en", RANGE_ROWS)
+    ranges = materialise(aggregates.value_ranges(large, "area_name_en", list(ALL_FIELDS), "procedure_area"), "ranges")
+    asked = profile.resolve_area(view(spark, sf_dir, "requests"), view(spark, sf_dir, "centres"))
+    asked = asked.select("request_id", "area_name_en", *(F.expr(sql).alias(f) for f, (_, _, sql) in ALL_FIELDS.items() if sql is not None))
+    kinds = {f: kind for f, (kind, _, _) in ALL_FIELDS.items()}
+    resolved = profile.resolve_defaults(asked, ranges, latest_rows(hist), kinds, locked=fv.LOCKED_REQUEST_FIELDS)
+    return resolved.select("request_id", "area_name_en", *ALL_FIELDS)
 
 
 PROFILE_SQL = f"""{HISTORY_SQL},

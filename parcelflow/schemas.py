@@ -11,17 +11,7 @@ from pyspark.sql.types import StructType
 from parcelflow.functions.numeric import null_if_nan
 
 
-SCORECARD_BUILDING = (
-    "`Building Name` string, `Price/sqft (AED)` string, `Locality Zone` string, Score string, Grade string, "
-    "`Price Tier` string, Reputation string"
-)
 SCORECARD_DEVELOPER = "`Developer Name` string, `Developer Score (0-100)` string, Grade string, `Developer Tier` string"
-SCORECARD_PROJECT = (
-    "`Project Name` string, `Developer Reputation Tier` string, `Location / Positioning Tier` string, "
-    "`Est. Gross Rental Yield (%)` string, `Composite Score (0-100)` string, Grade string"
-)
-DEVELOPERS = "developer_id bigint, developer_number bigint, developer_name_en string, registration_date string"
-FORECAST = "area_id string, area_name string, month date, predicted_monthly_price double"
 FEED = (
     "channel struct<item: array<struct<title: string, link: string, description: string, pubDate: string, category: string>>>"
 )
