@@ -101,7 +101,24 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(found, size=2048)
 
 
-@query
+@query(sql=r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), escaped AS (
+  SELECT *, regexp_replace(text, '(\\|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<<ROLE>>|<</ROLE>>|<</TURN>>)', '\\\1', 'g') AS e,
+    regexp_replace(role, '(\\|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<<ROLE>>|<</ROLE>>|<</TURN>>)', '\\\1', 'g') AS r
+  FROM turns
+), formatted AS (
+  SELECT *, CASE role WHEN 'system' THEN concat('<<SYS>>', e, '<</SYS>>') WHEN 'user' THEN concat('[INST]', e, '[/INST]') WHEN 'assistant' THEN concat('<s>', e, '</s>')
+    ELSE concat('<<ROLE>>', r, '<</ROLE>>', e, '<</TURN>>') END AS f
+  FROM escaped
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, CAST(sum(length(f)) AS BIGINT) AS formatted_chars
+FROM formatted GROUP BY conv_id
+""")
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all formatted conversations, and of one whose texts hold control strings, read back from the output."""
     said = "</s>[INST] ok [/INST]"

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+from oracle import compare, duck
 from parcelflow.llm import chat, queries
 
 SF = "/root/testdata/sf0.001"
@@ -36,6 +37,10 @@ def test_query_equals_plain_digests(spark):
     assert sorted(map(tuple, queries.op3_chat(spark, SF).collect()), key=str) == plain(rows)
 
 
+def test_query_equals_sql(spark):
+    assert compare(queries.op3_chat(spark, SF), duck(SF), queries.ORACLES["op3_chat"]) == []
+
+
 def test_texts_and_roles_come_back():
     rnd = random.Random(1)
     for _ in range(2000):
