@@ -26,7 +26,7 @@ BOTTOM = np.uint64(1 << 44)
 TOP = np.uint64(48)
 WORD = np.uint64(16)
 CONTEXTS = 18  # bits of the order-2 table
-EVERY = 32  # steps between two updates of order 0 and the weights
+EVERY = 64  # steps between two updates of order 0 and the weights
 
 
 class Model:
@@ -53,18 +53,18 @@ class Model:
         room = (1 << ORDER0) - self.vocab
         self.cum = summed * room // max(1, int(summed[-1])) + np.arange(self.vocab + 1)
         self.cum[-1] = 1 << ORDER0
-        self.share = np.diff(self.cum)
+        self.share, self.narrow = np.diff(self.cum), self.cum.astype(np.int32)
         self.weights = np.clip(self.right / self.tried * (1 << MIX), 16, 50_000).astype(np.int64)
 
     def predict(self, a: np.ndarray, b: np.ndarray) -> None:
         """Predictions after the ids a, b of each lane: self.ids and self.cuts, the shares of order 2 and of both orders."""
         self.at = ((a * 0x9E3779B1 + b) * 0x2545F491 & 0xFFFFFFFF) >> (32 - CONTEXTS)
         self.last = b
-        self.found = self.two[self.at], self.one[b]
+        self.found = self.two.take(self.at), self.one.take(b)
         self.ids = self.found[0] >> 4, self.found[1] >> 4
         self.sure = self.found[0] & 15, self.found[1] & 15
-        first = self.weights[0][self.sure[0]]
-        second = (((1 << MIX) - first) * self.weights[1][self.sure[1]]) >> MIX
+        first = self.weights[0].take(self.sure[0])
+        second = (((1 << MIX) - first) * self.weights[1].take(self.sure[1])) >> MIX
         self.cuts = first, first + second * (self.ids[0] != self.ids[1])
 
     def learn(self, x: np.ndarray) -> None:
@@ -129,15 +129,15 @@ def encode(ids: np.ndarray, vocab: int) -> bytes:
             model.predict(a, b)
             first, both = model.cuts
             two, one = x == model.ids[0], x == model.ids[1]
-            start = np.where(two, 0, np.where(one, first, both)).astype(np.uint64)
-            share = np.where(two, first, np.where(one, both - first, (1 << MIX) - both)).astype(np.uint64)
+            start = np.where(two, 0, np.where(one, first, both)).view(np.uint64)
+            share = np.where(two, first, np.where(one, both - first, (1 << MIX) - both)).view(np.uint64)
             part = size >> np.uint64(MIX)
             low += part * start
             np.multiply(part, share, out=size)
             escaped = np.flatnonzero(~(two | one))
-            part = size[escaped] >> np.uint64(ORDER0)
-            low[escaped] += part * model.cum[x[escaped]].astype(np.uint64)
-            size[escaped] = part * model.share[x[escaped]].astype(np.uint64)
+            part, found = size.take(escaped) >> np.uint64(ORDER0), x.take(escaped)
+            low[escaped] += part * model.cum.take(found).view(np.uint64)
+            size[escaped] = part * model.share.take(found).view(np.uint64)
             _normalised(low, size, moved)
             model.learn(x)
             a, b = b, x
@@ -187,20 +187,22 @@ def decode(block: bytes) -> np.ndarray:
         model.predict(a, b)
         first, both = model.cuts
         part = size >> np.uint64(MIX)
-        target = ((code - low) // part).astype(np.int64)
+        target = ((code - low) // part).view(np.int64)
         two, one = target < first, target < both
         x = np.where(two, model.ids[0], model.ids[1])
-        start = np.where(two, 0, np.where(one, first, both)).astype(np.uint64)
-        share = np.where(two, first, np.where(one, both - first, (1 << MIX) - both)).astype(np.uint64)
+        start = np.where(two, 0, np.where(one, first, both)).view(np.uint64)
+        share = np.where(two, first, np.where(one, both - first, (1 << MIX) - both)).view(np.uint64)
         low += part * start
         np.multiply(part, share, out=size)
         escaped = np.flatnonzero(~one)
-        part = size[escaped] >> np.uint64(ORDER0)
-        target = ((code[escaped] - low[escaped]) // part).astype(np.int64)
-        found = np.searchsorted(model.cum, target, "right") - 1
+        part, base = size.take(escaped) >> np.uint64(ORDER0), low.take(escaped)
+        target = ((code.take(escaped) - base) // part).astype(np.int32)
+        order = np.argsort(target)  # ascending targets are found faster
+        found = np.empty(len(order), np.int64)
+        found[order] = np.searchsorted(model.narrow, target.take(order), "right") - 1
         x[escaped] = found
-        low[escaped] += part * model.cum[found].astype(np.uint64)
-        size[escaped] = part * model.share[found].astype(np.uint64)
+        low[escaped] = base + part * model.cum.take(found).view(np.uint64)
+        size[escaped] = part * model.share.take(found).view(np.uint64)
         _normalised(low, size, moved)
         out[starts + t] = x
         model.learn(x)

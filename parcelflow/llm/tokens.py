@@ -9,9 +9,12 @@ and putting together are column operations; only new pieces go to the tokenizer.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import sys
+import threading
+import time
 from array import array
 from itertools import repeat
 from types import ModuleType
@@ -20,7 +23,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MOST = 1_200_000  # pieces that a worker remembers
+MOST = 800_000  # pieces that a worker remembers
+IDLE_SECONDS = 10  # after which it forgets them
 JOINED = 1000  # new pieces that go to the tokenizer as one text
 WORDS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)?([!-/:-@\[-`{-~]*)")  # pieces whose words are certain in `white` files
 
@@ -34,18 +38,33 @@ class Encoder:
 
         self.tokenizer, self.cut, self.most = Tokenizer.from_file(path), cut, most
         vocab = self.tokenizer.get_vocab()
+        self.lock, self.used, self.watched = threading.Lock(), time.monotonic(), False
         self.marks = np.zeros(max(vocab.values()) + 1, bool)  # ids that begin a piece (space) or end a word (white)
         self.marks[[i for t, i in vocab.items() if (t.startswith("\u0120") if cut == "space" else t.endswith("</w>"))]] = True
         self._forget()
 
     @classmethod
     def kept(cls, path: str, cut: str) -> Encoder:
-        """The worker's encoder for a file: a reused Python worker goes on with what it knows."""
+        """The worker's encoder for a file: a reused Python worker goes on with what it knows.
+
+        What is known is let go once no task has used it for a while, so it takes no memory from later stages.
+        """
         held = sys.modules.setdefault("_kept_token_encoders", ModuleType("_kept_token_encoders")).__dict__
         if (path, cut) not in held:
             held[path, cut] = cls(path, cut)
         return held[path, cut]
 
+    def _let_go(self) -> None:
+        while True:
+            time.sleep(1)
+            with self.lock:
+                if time.monotonic() - self.used > IDLE_SECONDS:
+                    self._forget()
+                    self.watched = False
+                    break
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
     def _forget(self) -> None:
         self.later: dict[str, int] = {"": 0} if self.cut == "white" else {}
         self.first: dict[str, int] = {}
@@ -115,6 +134,15 @@ class Encoder:
 
     def columns(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of a string column; null counts as empty."""
+        with self.lock:
+            if not self.watched:
+                self.watched = True
+                threading.Thread(target=self._let_go, daemon=True).start()
+            found = self._columns(texts)
+            self.used = time.monotonic()
+        return found
+
+    def _columns(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
         texts = texts.cast(pa.large_string())
