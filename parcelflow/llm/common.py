@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,18 @@ from parcelflow.session import materialise
 ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits and the place in it below
 
 
+@contextmanager
+def text_batches(spark, rows: int = 2000) -> Iterator[None]:
+    """Smaller Arrow batches for the actions inside: rows that carry texts are wide, and a batch is held on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def read(spark, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import byte_column, components, partitions, slices
+from parcelflow.llm.common import byte_column, components, partitions, slices, text_batches
 from parcelflow.session import materialise
 
 BITS = 64
@@ -239,7 +239,12 @@ def groups(prints: DataFrame, radius: int = 2, most: int = 2000) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, most: int = 2000) -> DataFrame:
     """(doc_id, fp, component_id) of every row of docs(doc_id, text)."""
-    return groups(materialise(fingerprints(docs, shingle), "prints"), radius, most)
+    return groups(_stored(fingerprints(docs, shingle)), radius, most)
+
+
+def _stored(prints: DataFrame) -> DataFrame:
+    with text_batches(prints.sparkSession):
+        return materialise(prints, "prints")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, most: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -250,7 +255,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, most: int = 200
     placed = docs.withColumn("_row", F.monotonically_increasing_id())
     prints = fingerprints(placed.select(F.col("_row").alias("doc_id"), F.col(text_col).alias("text")), shingle)
     named = placed.select(F.col("_row").alias("doc_id"), F.col(id_col).alias("_id"))
-    groups_ = materialise(groups(materialise(prints, "prints"), radius, most).select("doc_id", "component_id").join(named, "doc_id"), "groups")
+    groups_ = materialise(groups(_stored(prints), radius, most).select("doc_id", "component_id").join(named, "doc_id"), "groups")
     first = groups_.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "doc_id")).alias("first"))
     kept = first.select("component_id", F.col("first.doc_id").alias("doc_id"))
     gone = materialise(groups_.join(kept, ["component_id", "doc_id"], "left_anti").select(F.col("doc_id").alias("_row")), "gone")

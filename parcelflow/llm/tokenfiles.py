@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.llm import coder
-from parcelflow.llm.common import ROW_BITS, partitions, slices
+from parcelflow.llm.common import ROW_BITS, partitions, slices, text_batches
 from parcelflow.llm.tokens import Encoder
 from parcelflow.session import materialise
 
@@ -58,7 +58,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, vocab: int, cut: str = "wh
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("hash"), F.monotonically_increasing_id().alias("tie"), F.col(text_col).cast("string").alias("t"))
     order = [F.col(c).asc_nulls_first() for c in ("doc_id", "hash", "tie")]
     placed = rows.repartitionByRange(partitions(docs), *order).sortWithinPartitions(*order).select("doc_id", "t")
-    placed.mapInArrow(run, FILE).withColumn("place", F.monotonically_increasing_id()).write.parquet(path)
+    with text_batches(docs.sparkSession):
+        placed.mapInArrow(run, FILE).withColumn("place", F.monotonically_increasing_id()).write.parquet(path)
 
 
 def read(spark, path: str) -> DataFrame:

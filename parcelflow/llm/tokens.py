@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MOST = 800_000  # pieces that a worker remembers
+MOST = 800_000  # pieces that a worker remembers; beyond that it keeps those met most often
 IDLE_SECONDS = 10  # after which it forgets them
 JOINED = 1000  # new pieces that go to the tokenizer as one text
 WORDS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)?([!-/:-@\[-`{-~]*)")  # pieces whose words are certain in `white` files
@@ -69,12 +69,26 @@ class Encoder:
         self.later: dict[str, int] = {"": 0} if self.cut == "white" else {}
         self.first: dict[str, int] = {}
         self.values, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.met = np.zeros(0, np.int32)  # batches that held each piece, halved whenever pieces are dropped
+
+    def _shrink(self) -> None:
+        """Keep the pieces that were met most often, two fifths of what may be remembered."""
+        keep = np.sort(np.argsort(-self.met[1:], kind="stable")[: 2 * self.most // 5] + 1)
+        keep = np.concatenate(([0], keep[self.met[keep] > 1]))
+        renumbered = np.full(len(self.starts), -1, np.int64)
+        renumbered[keep] = np.arange(len(keep))
+        lengths = self.lengths[keep]
+        ends = np.cumsum(lengths)
+        self.values = self.values[np.repeat(self.starts[keep] - ends + lengths, lengths) + np.arange(ends[-1])]
+        self.starts, self.lengths, self.met = ends - lengths, lengths, self.met[keep] // 2
+        new = renumbered.tolist()
+        self.later, self.first = ({p: new[n] for p, n in known.items() if new[n] >= 0} for known in (self.later, self.first))
 
     def _add(self, texts: list[str]) -> int:
         """Number of the first of these texts, whose ids are added in order."""
         number, ids, lengths = len(self.starts), array("I"), []
-        for i in range(0, len(texts), 50_000):
-            for e in self.tokenizer.encode_batch_fast(texts[i : i + 50_000], add_special_tokens=False):
+        for i in range(0, len(texts), 10_000):
+            for e in self.tokenizer.encode_batch_fast(texts[i : i + 10_000], add_special_tokens=False):
                 found = e.ids
                 ids.extend(found)
                 lengths.append(len(found))
@@ -89,7 +103,9 @@ class Encoder:
         (space) or one at the end of each of its words (white). None if the marks do not fit."""
         space = self.cut == "space"
         texts = [" " * space + " ".join(pieces[i : i + JOINED]) for i in range(0, len(pieces), JOINED)]
-        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = []
+        for i in range(0, len(texts), 16):  # an encoding holds far more than its ids
+            found += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts[i : i + 16], add_special_tokens=False)]
         wanted = np.add.reduceat(words, np.arange(0, len(pieces), JOINED))
         edge = 0 if space else -1
         if any(not len(f) or self.marks[f].sum() != n or not self.marks[f[edge]] for f, n in zip(found, wanted)):
@@ -151,14 +167,17 @@ class Encoder:
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
         if len(self.starts) > self.most:
-            self._forget()
+            self._shrink()
         space = self.cut == "space"
         lists = pc.split_pattern(texts if space else pc.replace_substring(texts, "\n", " "), " ")
         cuts = lists.offsets.to_numpy().astype(np.int64)
         cuts -= cuts[0]
         coded = lists.flatten().dictionary_encode()
         place = coded.indices.to_numpy()
-        which = self._numbers(self.later, coded.dictionary.to_pylist(), " " if space else "")[place]
+        numbers = self._numbers(self.later, coded.dictionary.to_pylist(), " " if space else "")
+        self.met = np.concatenate((self.met, np.zeros(len(self.starts) - len(self.met), np.int32)))
+        self.met[numbers[numbers > 0]] += 1
+        which = numbers[place]
         if space:
             heads = lists.flatten().take(pa.array(cuts[:-1])).to_pylist()
             which[cuts[:-1]] = self._numbers(self.first, heads, "")
