@@ -157,7 +157,6 @@ METRICS_SQL = """SELECT area_name_en, count(*) AS n, avg((truth - guess) ** 2) A
 
 
 def naive_pairs(spark, sf_dir):
-
     base = materialise(area_month_panel(spark, sf_dir), "panel")
     earlier = base.select("area_name_en", F.add_months("month", 12).alias("month"), F.col("monthly_price").alias("guess"))
     truth = base.select("area_name_en", "month", F.col("monthly_price").alias("truth"))
