@@ -16,19 +16,39 @@ import sys
 import threading
 import time
 from array import array
-from itertools import repeat
 from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MOST = 800_000  # pieces that a worker remembers; beyond that it keeps those met most often
+from parcelflow.llm.common import byte_column
+
+MOST = 1_000_000  # pieces that a worker remembers; beyond that it keeps those met most often
 IDLE_SECONDS = 10  # after which it forgets them
+LONGEST = 96  # bytes of a piece that is remembered; texts with longer ones are encoded whole
 JOINED = 1000  # new pieces that go to the tokenizer as one text
 WORDS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)?([!-/:-@\[-`{-~]*)")  # pieces whose words are certain in `white` files
 
 
+def _hashed(pieces: pa.Array, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes, lengths in bytes) of a string column; only the first LONGEST bytes are hashed."""
+    data, offsets = byte_column(pieces)
+    lengths = np.diff(offsets)
+    order = np.argsort(-lengths, kind="stable")
+    starts, sizes = offsets[:-1][order], np.minimum(lengths[order], LONGEST)
+    h = np.full(len(order), salt * 0xD6E8FEB86659FD93 % 2**64, np.uint64)
+    for k in range(int(sizes[0]) if len(sizes) else 0):
+        n = int(np.searchsorted(-sizes, -k, "left"))  # pieces of more than k bytes
+        h[:n] = (h[:n] ^ data[starts[:n] + k]) * np.uint64(0x9E3779B97F4A7C15)
+        h[:n] ^= h[:n] >> np.uint64(32)
+    h = (h ^ lengths[order].astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(29)
+    out = np.empty(len(order), np.uint64)
+    out[order] = h
+    return out, lengths
+
+
 class Encoder:
     """Pieces met so far and their ids; piece 0 has none."""
 
@@ -66,23 +86,22 @@ class Encoder:
         pa.default_memory_pool().release_unused()
 
     def _forget(self) -> None:
-        self.later: dict[str, int] = {"": 0} if self.cut == "white" else {}
-        self.first: dict[str, int] = {}
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes of known pieces, ascending
         self.values, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
-        self.met = np.zeros(0, np.int32)  # batches that held each piece, halved whenever pieces are dropped
+        self.met = np.zeros(1, np.int32)  # batches that held each piece, halved whenever pieces are dropped
 
     def _shrink(self) -> None:
-        """Keep the pieces that were met most often, two fifths of what may be remembered."""
-        keep = np.sort(np.argsort(-self.met[1:], kind="stable")[: 2 * self.most // 5] + 1)
+        """Keep the pieces that were met most often, half of what may be remembered."""
+        keep = np.sort(np.argsort(-self.met[1:], kind="stable")[: self.most // 2] + 1)
         keep = np.concatenate(([0], keep[self.met[keep] > 1]))
-        renumbered = np.full(len(self.starts), -1, np.int64)
+        renumbered = np.full(len(self.starts), -1, np.int32)
         renumbered[keep] = np.arange(len(keep))
         lengths = self.lengths[keep]
         ends = np.cumsum(lengths)
         self.values = self.values[np.repeat(self.starts[keep] - ends + lengths, lengths) + np.arange(ends[-1])]
         self.starts, self.lengths, self.met = ends - lengths, lengths, self.met[keep] // 2
-        new = renumbered.tolist()
-        self.later, self.first = ({p: new[n] for p, n in known.items() if new[n] >= 0} for known in (self.later, self.first))
+        kept = renumbered[self.numbers] >= 0
+        self.keys, self.numbers = self.keys[kept], renumbered[self.numbers[kept]]
 
     def _add(self, texts: list[str]) -> int:
         """Number of the first of these texts, whose ids are added in order."""
@@ -119,30 +138,44 @@ class Encoder:
         self.values = np.concatenate((self.values, ids))
         return number
 
-    def _learn(self, known: dict[str, int], new: list[str], lead: str) -> None:
-        """Number pieces that are not known yet."""
+    def _learn(self, new: list[str], lead: str) -> np.ndarray:
+        """Numbers of pieces that are not known yet."""
         if self.cut == "white":
             matched = [WORDS.fullmatch(p) for p in new]
-            joined = [p for p, m in zip(new, matched) if m]
-            words = np.array([bool(m[1]) + bool(m[2]) for m in matched if m], np.int64)
+            words = np.array([bool(m[1]) + bool(m[2]) if m else 0 for m in matched], np.int64)
         else:
-            joined = new if lead else []
-            words = np.ones(len(joined), np.int64)
-        at = self._add_joined(joined, words) if joined else None
+            words = np.full(len(new), int(bool(lead)), np.int64)
+        numbers = np.full(len(new), -1, np.int64)
+        joined = np.flatnonzero(words)
+        at = self._add_joined([new[i] for i in joined], words[joined]) if len(joined) else None
         if at is not None:
-            known.update(zip(joined, range(at, at + len(joined))))
-        rest = [p for p in new if p not in known]
-        if rest:
-            known.update(zip(rest, range(at := self._add([lead + p for p in rest]), at + len(rest))))
-
-    def _numbers(self, known: dict[str, int], pieces: list[str], lead: str) -> np.ndarray:
-        """Numbers of the pieces; -1 where a piece is uncertain."""
-        numbers = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64, len(pieces))
-        unknown = [pieces[i] for i in np.flatnonzero(numbers < 0)]
-        new = [p for p in dict.fromkeys(unknown) if not self._uncertain(p)]
-        if new:
-            self._learn(known, new, lead)
-            numbers[numbers < 0] = np.fromiter(map(known.get, unknown, repeat(-1)), np.int64, len(unknown))
+            numbers[joined] = at + np.arange(len(joined))
+        rest = np.flatnonzero(numbers < 0)
+        if len(rest):
+            numbers[rest] = self._add([lead + new[i] for i in rest]) + np.arange(len(rest))
+        return numbers
+
+    def _numbers(self, pieces: pa.Array, lead: str) -> np.ndarray:
+        """Numbers of distinct pieces; -1 where a piece is uncertain."""
+        hashes, lengths = _hashed(pieces, len(lead) + 1)
+        at = np.minimum(np.searchsorted(self.keys, hashes), max(0, len(self.keys) - 1))
+        known = self.keys[at] == hashes if len(self.keys) else np.zeros(len(hashes), bool)
+        numbers = np.full(len(hashes), -1, np.int64)
+        numbers[known] = self.numbers[at[known]]
+        if self.cut == "white":
+            numbers[lengths == 0] = 0
+        unknown = np.flatnonzero((numbers < 0) & (lengths > 0) & (lengths <= LONGEST))
+        texts = pieces.take(pa.array(unknown)).to_pylist()
+        sure = [i for i, t in enumerate(texts) if not self._uncertain(t)]
+        if sure:
+            new = unknown[sure]
+            numbers[new] = self._learn([texts[i] for i in sure], lead)
+            order = np.argsort(hashes[new])
+            place = np.searchsorted(self.keys, hashes[new][order])
+            self.keys = np.insert(self.keys, place, hashes[new][order])
+            self.numbers = np.insert(self.numbers, place, numbers[new][order].astype(np.int32))
+        self.met = np.concatenate((self.met, np.zeros(len(self.starts) - len(self.met), np.int32)))
+        self.met[numbers[numbers > 0]] += 1
         return numbers
 
     def _uncertain(self, piece: str) -> bool:
@@ -174,13 +207,10 @@ class Encoder:
         cuts -= cuts[0]
         coded = lists.flatten().dictionary_encode()
         place = coded.indices.to_numpy()
-        numbers = self._numbers(self.later, coded.dictionary.to_pylist(), " " if space else "")
-        self.met = np.concatenate((self.met, np.zeros(len(self.starts) - len(self.met), np.int32)))
-        self.met[numbers[numbers > 0]] += 1
-        which = numbers[place]
+        which = self._numbers(coded.dictionary, " " if space else "")[place]
         if space:
-            heads = lists.flatten().take(pa.array(cuts[:-1])).to_pylist()
-            which[cuts[:-1]] = self._numbers(self.first, heads, "")
+            heads = lists.flatten().take(pa.array(cuts[:-1])).dictionary_encode()
+            which[cuts[:-1]] = self._numbers(heads.dictionary, "")[heads.indices.to_numpy()]
         in_doubt = np.flatnonzero(which < 0)
         size = len(self.values), len(self.starts)
         if len(in_doubt):
