@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -15,6 +16,24 @@ from parcelflow.session import materialise
 ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits and the place in it below
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are reused, and what one stage held counts against the next."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not every C library has it
+        pass
+
+
+def releasing(run):
+    """A function over Arrow batches that gives memory back when its task ends."""
+
+    def released(batches):
+        yield from run(batches)
+        give_back()
+
+    return released
+
+
 @contextmanager
 def text_batches(spark, rows: int = 2000) -> Iterator[None]:
     """Smaller Arrow batches for the actions inside: rows that carry texts are wide, and a batch is held on both sides."""

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import slices
+from parcelflow.llm.common import give_back, releasing, slices
 
 COLUMNS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -72,7 +72,7 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(seen[some])], ["c", "n"])
 
     texts = docs.filter(F.col(text_col).isNotNull()).select(F.col(text_col).cast("string").alias("t"))
-    summed = texts.mapInArrow(run, "c int, n bigint").groupBy("c").agg(F.sum("n").alias("n")).collect()  # COLUMNS + 1 rows at most
+    summed = texts.mapInArrow(releasing(run), "c int, n bigint").groupBy("c").agg(F.sum("n").alias("n")).collect()  # COLUMNS + 1 rows at most
     df = np.zeros(COLUMNS + 1, np.int64)
     for r in summed:
         df[r["c"]] = r["n"]
@@ -164,7 +164,7 @@ def train(docs: DataFrame, per_label: int = 1500, epochs: int = 3, alpha: float
             columns = [c.astype(np.int32).tobytes() for c, _ in made], [v.astype(np.float32).tobytes() for _, v in made]
             yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("y"), *map(pa.array, columns)], ["h", "y", "c", "v"])
 
-    fitted = sample.mapInArrow(vectors, "h bigint, y string, c binary, v binary").repartition(1).mapInArrow(run, "m binary").first()
+    fitted = sample.mapInArrow(releasing(vectors), "h bigint, y string, c binary, v binary").repartition(1).mapInArrow(run, "m binary").first()
     if fitted is None:
         return Model([], idf, np.zeros((COLUMNS, 0)), np.zeros(0), 1.0)
     weights, bias, temperature = pickle.loads(fitted["m"])
@@ -187,6 +187,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             columns, values = _vector(text, model.idf)
             p = _softmax((values @ model.weights[columns] + model.bias) / model.temperature)
             found.append((model.labels[int(p.argmax())], float(p.max())))
+        give_back()
         return pd.DataFrame(found, columns=["lang_pred", "score"])
 
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import byte_column, slices
+from parcelflow.llm.common import byte_column, give_back, releasing, slices
 from parcelflow.session import materialise
 
 BITS = 12
@@ -133,8 +133,8 @@ def trusted_counts(docs: DataFrame, trusted: DataFrame, order: int) -> DataFrame
 
     rows = docs.filter(F.col("doc_id").isNotNull() & F.col("t").isNotNull()).select("doc_id", place.alias("p"), "t")
     # always a shuffled join: compressing and counting then run in stages of their own, with one Python worker per core
-    chosen = rows.mapInArrow(pressed, "doc_id bigint, z binary").join(trusted.hint("merge"), "doc_id")
-    return chosen.select("z").mapInArrow(counted, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    chosen = rows.mapInArrow(releasing(pressed), "doc_id bigint, z binary").join(trusted.hint("merge"), "doc_id")
+    return chosen.select("z").mapInArrow(releasing(counted), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def _mask(order: int):
@@ -224,13 +224,14 @@ def score(docs: DataFrame, trusted: DataFrame, order: int = 4) -> DataFrame:
                 columns = [part.column(c) for c in ("doc_id", "text_hash", "lang")] + [pa.array(count), pa.array(total)]
                 out.append(pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "lang", "n_chars", "bits"]))
         kinds = [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("lang", pa.string()), ("n_chars", pa.int64()), ("bits", pa.float64())]
+        give_back()
         return pa.Table.from_batches(out, pa.schema(kinds))
 
     train = trusted.filter(~held_out("doc_id"))
     counts = trusted_counts(docs.select("doc_id", "t"), train, order)
-    asked = materialise(keyed.mapInArrow(asking, "block bigint, key bigint"), "requests")
+    asked = materialise(keyed.mapInArrow(releasing(asking), "block bigint, key bigint"), "requests")
     answers = asked.join(log_probabilities(counts, asked, order), "key")
-    texts = keyed.mapInArrow(packing, "block bigint, z binary")
+    texts = keyed.mapInArrow(releasing(packing), "block bigint, z binary")
     both = texts.groupBy("block").cogroup(answers.groupBy("block"))
     return both.applyInArrow(summing, "doc_id bigint, text_hash bigint, lang string, n_chars bigint, bits double")
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import byte_column, components, partitions, slices, text_batches
+from parcelflow.llm.common import byte_column, components, partitions, releasing, slices, text_batches
 from parcelflow.session import materialise
 
 BITS = 64
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: str
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("t"))
-    return source.mapInArrow(run, "doc_id bigint, fp bigint")
+    return source.mapInArrow(releasing(run), "doc_id bigint, fp bigint")
 
 
 def _widths(bits: int, parts: int) -> list[int]:

@@ -22,9 +22,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from parcelflow.llm.common import byte_column
+from parcelflow.llm.common import byte_column, give_back
 
-MOST = 1_000_000  # pieces that a worker remembers; beyond that it keeps those met most often
+MOST = 800_000  # pieces that a worker remembers; beyond that it keeps those met most often
 IDLE_SECONDS = 10  # after which it forgets them
 LONGEST = 96  # bytes of a piece that is remembered; texts with longer ones are encoded whole
 JOINED = 1000  # new pieces that go to the tokenizer as one text
@@ -84,6 +84,7 @@ class Encoder:
                     break
         gc.collect()
         pa.default_memory_pool().release_unused()
+        give_back()
 
     def _forget(self) -> None:
         self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes of known pieces, ascending
