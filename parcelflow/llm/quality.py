@@ -6,8 +6,8 @@ tables that are spread by n-gram: no task holds the model. Documents are scored
 n-grams, gets their log-probabilities by a join, and meets them again in one task, which sums them per document.
 
 An n-gram is one long: 12 bits per character. Code points below 3,900 have a code of their own, the others share 190 codes
-by remainder; code 0 stands before the text. Thresholds are quantiles, per language and length band, of the perplexities of
-trusted documents that were kept out of the counts.
+by remainder; code 0 stands before the text. Thresholds are quantiles, per language and adjusted to the length, of the
+perplexities of trusted documents that were kept out of the counts.
 """
 
 from __future__ import annotations
@@ -236,37 +236,56 @@ def score(docs: DataFrame, trusted: DataFrame, order: int = 4) -> DataFrame:
     return both.applyInArrow(summing, "doc_id bigint, text_hash bigint, lang string, n_chars bigint, bits double")
 
 
-def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float, least: int) -> DataFrame:
-    """(lang, band, step): the largest step of bits per character that is still kept.
+def _quantile(counted: DataFrame, keys: list[str], value: str, share: float, name: str) -> DataFrame:
+    """(keys, name, n): the value at a share of the rows of each group, from counted(keys, value, n)."""
+    by = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    sums = counted.groupBy(*keys, value).agg(F.sum("n").alias("n"))
+    ranked = sums.withColumn("upto", F.sum("n").over(by.orderBy(value))).withColumn("all", F.sum("n").over(by))
+    at = F.min(F.when(F.col("upto") >= F.ceil(F.col("all") * share), F.col(value)))
+    return ranked.groupBy(*keys).agg(at.alias(name), F.first("all").alias("n"))
 
-    A quantile over trusted rows that were not counted, by language and band; with fewer than `least` of them over all
-    languages of the band, else over all. Counts per step make it exact and bounded: no group is gathered.
+
+def _beside(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with the other columns of found(keys, ...), whose keys are unique; null keys match."""
+    renamed = materialise(found, "found").withColumnsRenamed({k: f"_{k}" for k in keys})
+    return rows.join(renamed, [rows[k].eqNullSafe(renamed[f"_{k}"]) for k in keys], "left").drop(*(f"_{k}" for k in keys))
+
+
+def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float, least: int, alone: int | None = None) -> DataFrame:
+    """(lang, band, limit, centre, rise): the largest step of bits per character that is still kept.
+
+    It is `limit`, or without one centre + rise / sqrt(n_chars). A cell of at least `least` trusted rows that were not counted
+    has the quantile of its steps. Otherwise a language with at least `alone` such rows (as many as `least` if not given) is
+    judged by its own rows of all lengths: the spread of bits per character falls with the root of the length, so `centre` is
+    the language's median step and `rise` the quantile of its rows' distances from it times that root, shrunk towards that
+    of all languages' distances, each from its own centre, as if `least` such rows were added. Only other languages the quantile over all languages of the band, or over all rows if the band has fewer than `least`.
+    Counts per step make the quantiles exact and bounded: no group is gathered.
     """
-    sample = scored.join(trusted.filter(held_out("doc_id")), "doc_id", "left_semi").filter("n_chars > 0")
+    kept_out = scored.join(trusted.filter(held_out("doc_id")), "doc_id", "left_semi").filter("n_chars > 0")
+    sample = materialise(kept_out.select("lang", "band", "step", "n_chars"), "sample")
     counted = materialise(sample.groupBy("lang", "band", "step").agg(F.count(F.lit(1)).alias("n")), "steps")
     places = materialise(scored.filter("n_chars > 0").select("lang", "band").distinct(), "places")
-    out = places
-    for level, keys in enumerate((["lang", "band"], ["band"], [])):
-        sums = counted.groupBy(*keys, "step").agg(F.sum("n").alias("n"))
-        by = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-        ranked = sums.withColumn("upto", F.sum("n").over(by.orderBy("step"))).withColumn("all", F.sum("n").over(by))
-        found = ranked.filter(F.col("upto") >= F.ceil(F.col("all") * quantile)).groupBy(*keys).agg(F.min("step").alias(f"s{level}"), F.first("all").alias(f"n{level}"))
-        if keys:
-            renamed = found.select(*(F.col(k).alias(f"_{k}") for k in keys), f"s{level}", f"n{level}")
-            same = [out[k].eqNullSafe(renamed[f"_{k}"]) for k in keys]
-            out = out.join(renamed, same, "left").drop(*(f"_{k}" for k in keys))
-        else:
-            only = found.first()
-            out = out.withColumn("s2", F.lit(only["s2"] if only else None).cast("bigint"))
-    chosen = F.when(F.col("n0") >= least, F.col("s0")).when(F.col("n1") >= least, F.col("s1")).otherwise(F.col("s2"))
-    return out.select("lang", "band", chosen.alias("limit"))
+    centred = _beside(sample, _quantile(counted, ["lang"], "step", 0.5, "centre").drop("n"), ["lang"])
+    distance = F.ceil((F.col("step") - F.col("centre")) * F.sqrt("n_chars")).cast("bigint")
+    distances = materialise(centred.groupBy("lang", "centre", distance.alias("distance")).agg(F.count(F.lit(1)).alias("n")), "distances")
+    every = _quantile(distances, [], "distance", quantile, "rise").first()
+    shrunk = (F.col("n") * F.col("rise") + least * F.lit(every["rise"] if every else None)) / (F.col("n") + least)
+    own = _quantile(distances, ["lang", "centre"], "distance", quantile, "rise").select("lang", "centre", shrunk.alias("rise"), F.col("n").alias("n_lang"))
+    out = _beside(places, _quantile(counted, ["lang", "band"], "step", quantile, "s0").withColumnRenamed("n", "n0"), ["lang", "band"])
+    out = _beside(out, own, ["lang"])
+    out = _beside(out, _quantile(counted, ["band"], "step", quantile, "s1").withColumnRenamed("n", "n1"), ["band"])
+    only = _quantile(counted, [], "step", quantile, "s2").first()
+    by_lang = F.coalesce(F.col("n_lang") >= (least if alone is None else alone), F.lit(False))
+    pooled = F.when(F.col("n1") >= least, F.col("s1")).otherwise(F.lit(only["s2"] if only else None).cast("bigint"))
+    chosen = F.when(F.col("n0") >= least, F.col("s0")).when(~by_lang, pooled)
+    return out.select("lang", "band", chosen.alias("limit"), *(F.when(by_lang, F.col(c)).alias(c) for c in ("centre", "rise")))
 
 
 def judge(docs: DataFrame, labels: DataFrame, order: int = 4, quantile: float = 0.999, least: int = 200, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(doc_id, text_hash, lang, n_chars, perplexity, threshold, keep) of every row of docs.
 
     Trusted are rows that labels call quality 1 and not toxic. keep is false above the threshold of the row's language and
-    length band, and for null or empty texts, whose perplexity is null. Without any trusted text all other rows are kept.
+    length (see thresholds; languages are pooled only for one without any trusted row that was not counted), and for null or empty texts, whose perplexity is null. Without any trusted text all other rows are kept.
     Null languages are a language of their own; repeated rows are judged alike. docs must be a stored table.
     """
     trusted = labels.filter("quality = 1 AND coalesce(toxic, 0) = 0").select(F.col("doc_id").cast("bigint").alias("doc_id")).dropna().distinct()
@@ -276,8 +295,9 @@ def judge(docs: DataFrame, labels: DataFrame, order: int = 4, quantile: float =
     step = F.ceil(F.try_divide("bits", "n_chars") * STEPS).cast("bigint")
     scored = score(source, trusted, order).withColumn("band", band).withColumn("step", F.when(F.col("n_chars") > 0, step))
     scored = materialise(scored, "scored")
-    limits = materialise(thresholds(scored, trusted, quantile, least), "limits").select(F.col("lang").alias("_lang"), F.col("band").alias("_band"), "limit")
+    limits = materialise(thresholds(scored, trusted, quantile, least, alone=1), "limits").withColumnsRenamed({"lang": "_lang", "band": "_band"})
     judged = scored.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("band") == F.col("_band")), "left")
+    judged = judged.withColumn("limit", F.coalesce("limit", F.floor(F.col("centre") + F.col("rise") / F.sqrt("n_chars"))))
     return judged.select(
         "doc_id", "text_hash", "lang", "n_chars", F.when(F.col("n_chars") > 0, F.pow(F.lit(2.0), F.try_divide("bits", "n_chars"))).alias("perplexity"),
         F.pow(F.lit(2.0), F.col("limit") / STEPS).alias("threshold"), ((F.col("n_chars") > 0) & F.coalesce(F.col("step") <= F.col("limit"), F.lit(True))).alias("keep"),

@@ -126,3 +126,23 @@ def test_empty_tables(spark, docs):
     assert quality.judge(docs([]), none).collect() == []
     kept = {r["doc_id"]: r["keep"] for r in quality.judge(docs([(1, "abc"), (2, None), (None, "x")]), none).collect()}
     assert kept == {1: True, 2: False, None: True}
+
+
+def test_small_languages_are_judged_by_their_own_rows(spark, docs):
+    """The trusted rows of zz are noise; a rare language beside it must not inherit what they allow."""
+    rnd = random.Random(5)
+    words = "the cat sat on a mat and dog ran by old barn".split()
+
+    def plain(n):
+        return " ".join(rnd.choice(words) for _ in range(n))
+
+    def noise(n):
+        return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz 0123456789") for _ in range(n))
+
+    rows = [(i, plain(rnd.choice([20, 60, 200])), "en") for i in range(150)] + [(i, noise(rnd.choice([90, 300, 900])), "zz") for i in range(200, 350)]
+    rows += [(i, noise(n), "en") for i, n in ((1000, 100), (1001, 300), (1002, 900))] + [(1003, noise(300), "zz"), (1004, noise(300), None)]
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in rows if r[0] < 1000], LABELS)
+    kept = {r["doc_id"]: r["keep"] for r in quality.judge(docs(rows), labels).collect()}
+    assert not kept[1000] and not kept[1001] and not kept[1002]
+    assert kept[1003] and kept[1004]
+    assert np.mean([kept[i] for i in range(150)]) > 0.95
