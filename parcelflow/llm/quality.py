@@ -5,8 +5,10 @@ neighbours. The probabilities of exactly those n-grams that the documents hold a
 tables that are spread by n-gram: no task holds the model. Documents are scored in blocks: a block asks for its distinct
 n-grams, gets their log-probabilities by a join, and meets them again in one task, which sums them per document.
 
-An n-gram is one long: 12 bits per character. Code points below 3,900 have a code of their own, the others share 190 codes
-by remainder; code 0 stands before the text. Thresholds are quantiles, per language and adjusted to the length, of the
+An n-gram is one long. Every character of the counted text has a code of its own, by falling frequency, in as many bits as
+they need; code 0 stands before the text, and code 1 is any other character: the model has seen none of these, so all have
+the same probabilities and one code loses nothing. Only if the counted text has more characters than fit (65,534 at order
+4), the rarest of them share code 1 as well. Thresholds are quantiles, per language and adjusted to the length, of the
 perplexities of trusted documents that were kept out of the counts.
 """
 
@@ -23,8 +25,7 @@ from pyspark.sql import functions as F
 from parcelflow.llm.common import byte_column, give_back, releasing, slices
 from parcelflow.session import materialise
 
-BITS = 12
-OWN, SHARED = 3900, 190
+OWN = 0x110000  # code points; each may have a code of its own
 PIECE = 1 << 19
 BLOCK_BYTES = 1 << 24
 FILTER_BITS = 1 << 20  # size of the filter of trusted ids, whatever their number
@@ -32,9 +33,27 @@ BANDS = (128, 512)  # lengths in characters at which a new band of thresholds be
 STEPS = 1000  # steps of a threshold per bit
 
 
-def codes(data: bytes) -> np.ndarray:
-    points = np.frombuffer(data.decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.int64)
-    return np.where(points < OWN, points + 1, OWN + 1 + points % SHARED)
+def code_points(data: bytes) -> np.ndarray:
+    return np.frombuffer(data.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+
+
+class Alphabet:
+    """Codes of characters: 2 and up for the given code points, most frequent first, and 1 for all others."""
+
+    def __init__(self, points: np.ndarray, order: int):
+        self.order = order
+        self.bits = min((len(points) + 1).bit_length(), 64 // order)
+        self.points = points[: (1 << self.bits) - 2]
+        self._table = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"_table": None}  # each task fills its own
+
+    def codes(self, data: bytes) -> np.ndarray:
+        if self._table is None:
+            self._table = np.ones(OWN, np.int32)
+            self._table[self.points] = np.arange(2, len(self.points) + 2)
+        return self._table[code_points(data)].astype(np.int64)
 
 
 def _cuts(data: np.ndarray, a: int, b: int) -> Iterator[tuple[int, int]]:
@@ -47,15 +66,15 @@ def _cuts(data: np.ndarray, a: int, b: int) -> Iterator[tuple[int, int]]:
         a = c
 
 
-def grams(data: np.ndarray, offsets: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def grams(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(row of each character, its n-gram) over all rows of a byte column, some pieces at a time."""
-    row = 0
+    row, order = 0, alphabet.order
     while row < len(offsets) - 1:
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + PIECE, "right")) - 1)
         whole = offsets[end] - offsets[row] <= PIECE
         before = np.zeros(order - 1, np.int64)
         for a, b in [(offsets[row], offsets[end])] if whole else _cuts(data, offsets[row], offsets[end]):
-            part = codes(data[a:b].tobytes())
+            part = alphabet.codes(data[a:b].tobytes())
             if whole:
                 starts = (data[a:b] & 0xC0) != 0x80
                 counted = np.concatenate(([0], np.cumsum(starts)))
@@ -69,14 +88,14 @@ def grams(data: np.ndarray, offsets: np.ndarray, order: int) -> Iterator[tuple[n
             padded[at] = part
             key = padded[at - order + 1]
             for i in range(order - 2, -1, -1):
-                key = (key << BITS) | padded[at - i]
+                key = (key << alphabet.bits) | padded[at - i]
             if not whole:
                 before = padded[len(padded) - order + 1 :]
             yield of + row, key
         row = end
 
 
-def _distinct(batch: pa.RecordBatch, order: int) -> tuple[np.ndarray, np.ndarray]:
+def _distinct(batch: pa.RecordBatch, alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray]:
     """(n-grams, counts) of a batch's texts."""
     keys, counts, waiting = np.zeros(0, np.int64), np.zeros(0, np.int64), []
     held = 0
@@ -87,7 +106,7 @@ def _distinct(batch: pa.RecordBatch, order: int) -> tuple[np.ndarray, np.ndarray
         found, place = np.unique(every, return_inverse=True)
         return found, np.bincount(place, weights=weight, minlength=len(found)).astype(np.int64)
 
-    for _, key in grams(*byte_column(batch.column("t")), order):
+    for _, key in grams(*byte_column(batch.column("t")), alphabet):
         found = np.unique(key, return_counts=True)
         waiting.append(found)
         held += len(found[0])
@@ -102,8 +121,8 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(True))
 
 
-def trusted_counts(docs: DataFrame, trusted: DataFrame, order: int) -> DataFrame:
-    """(key, n) over the texts of trusted rows; docs(doc_id, t), trusted(doc_id).
+def trusted_counts(docs: DataFrame, trusted: DataFrame, order: int) -> tuple[DataFrame, Alphabet]:
+    """(key, n) over the texts of trusted rows, and the alphabet of the keys; docs(doc_id, t), trusted(doc_id).
 
     A bitmap of fixed size over hashes of the trusted ids first leaves out most other rows, and texts are compressed, so
     that little text moves to the join that decides.
@@ -124,21 +143,34 @@ def trusted_counts(docs: DataFrame, trusted: DataFrame, order: int) -> DataFrame
                 texts = [press(t) for t in part.column("t").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "z"])
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             texts = pa.array([expand(z) for z in batch.column("z").to_pylist()], pa.large_binary())
-            for part in slices([pa.RecordBatch.from_arrays([texts], ["t"])], "t", BLOCK_BYTES):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _distinct(part, order)], ["key", "n"])
+            yield from slices([pa.RecordBatch.from_arrays([texts], ["t"])], "t", BLOCK_BYTES)
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uses = np.zeros(OWN, np.int64)
+        for part in expanded(batches):
+            data, _ = byte_column(part.column("t"))
+            for a, b in _cuts(data, 0, len(data)):
+                found = np.bincount(code_points(data[a:b].tobytes()))
+                uses[: len(found)] += found
+        points = np.flatnonzero(uses)
+        yield pa.RecordBatch.from_arrays([pa.array(points), pa.array(uses[points])], ["point", "n"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in expanded(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _distinct(part, alphabet)], ["key", "n"])
 
     rows = docs.filter(F.col("doc_id").isNotNull() & F.col("t").isNotNull()).select("doc_id", place.alias("p"), "t")
     # always a shuffled join: compressing and counting then run in stages of their own, with one Python worker per core
     chosen = rows.mapInArrow(releasing(pressed), "doc_id bigint, z binary").join(trusted.hint("merge"), "doc_id")
-    return chosen.select("z").mapInArrow(releasing(counted), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def _mask(order: int):
-    return F.lit((1 << (BITS * order)) - 1).cast("bigint")
+    chosen = materialise(chosen.select("z"), "counted_texts")
+    uses = chosen.mapInArrow(releasing(spelled), "point bigint, n bigint").groupBy("point").agg(F.sum("n").alias("n"))
+    most = uses.orderBy(F.desc("n"), "point").select("point").collect()  # no more than there are characters
+    alphabet = Alphabet(np.array([r["point"] for r in most], np.int64), order)
+    return chosen.mapInArrow(releasing(counted), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")), alphabet
 
 
 def _discounts(table: DataFrame) -> tuple[float, float, float]:
@@ -149,15 +181,21 @@ def _discounts(table: DataFrame) -> tuple[float, float, float]:
     return tuple(min(float(i), max(0.05, d)) for i, d in zip((1, 2, 3), found))
 
 
-def log_probabilities(counts: DataFrame, asked: DataFrame, order: int) -> DataFrame:
+def log_probabilities(counts: DataFrame, asked: DataFrame, alphabet: Alphabet) -> DataFrame:
     """(key, bits) for asked(key): minus the binary logarithm of the last character's probability after the others.
 
     counts(key, n) are n-grams of the highest order. Every table here is spread by n-gram or context.
     """
+    order, bits = alphabet.order, alphabet.bits
+
+    def shorter(k: int):
+        return F.col("key").bitwiseAND(F.lit((1 << (bits * k)) - 1).cast("bigint"))
+
+    context = F.shiftrightunsigned("key", bits)
     tables = {order: materialise(counts, "grams")}
     wanted = {order: materialise(asked.select("key").distinct(), "asked")}
     for k in range(order - 1, 0, -1):
-        short = F.col("key").bitwiseAND(_mask(k))
+        short = shorter(k)
         tables[k] = materialise(tables[k + 1].groupBy(short.alias("key")).agg(F.count(F.lit(1)).alias("n")), "grams")
         wanted[k] = materialise(wanted[k + 1].select(short.alias("key")).distinct(), "asked")
     known = None
@@ -173,9 +211,9 @@ def log_probabilities(counts: DataFrame, asked: DataFrame, order: int) -> DataFr
             p = F.coalesce(own, F.lit(0.0)) / total + left / total / v
             known = materialise(rows.select("key", p.alias("p")), "known")
             continue
-        contexts = tables[k].groupBy(F.shiftright("key", BITS).alias("ctx")).agg(*sums)
-        rows = rows.withColumn("ctx", F.shiftright("key", BITS)).join(contexts, "ctx", "left")
-        rows = rows.withColumn("short", F.col("key").bitwiseAND(_mask(k - 1))).join(known.select(F.col("key").alias("short"), F.col("p").alias("lower")), "short")
+        contexts = tables[k].groupBy(context.alias("ctx")).agg(*sums)
+        rows = rows.withColumn("ctx", context).join(contexts, "ctx", "left")
+        rows = rows.withColumn("short", shorter(k - 1)).join(known.select(F.col("key").alias("short"), F.col("p").alias("lower")), "short")
         p = F.coalesce(own / F.col("total"), F.lit(0.0)) + F.coalesce(F.col("left") / F.col("total"), F.lit(1.0)) * F.col("lower")
         known = materialise(rows.select("key", p.alias("p")), "known")
     return known.select("key", (-F.log2("p")).alias("bits"))
@@ -194,7 +232,7 @@ def score(docs: DataFrame, trusted: DataFrame, order: int = 4) -> DataFrame:
 
     def asking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, part in blocks(batches):
-            keys = _distinct(part, order)[0]
+            keys = _distinct(part, alphabet)[0]
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block)), pa.array(keys)], ["block", "key"])
 
     def packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +252,7 @@ def score(docs: DataFrame, trusted: DataFrame, order: int = 4) -> DataFrame:
             for part in pa.ipc.open_stream(z):
                 data, offsets = byte_column(part.column("t"))
                 total, count = np.zeros(part.num_rows), np.zeros(part.num_rows, np.int64)
-                for row, key in grams(data, offsets, order):
+                for row, key in grams(data, offsets, alphabet):
                     at = np.searchsorted(keys, key)
                     if len(key) and (at[key.argmax()] >= len(keys) or not np.array_equal(keys[at], key)):
                         raise RuntimeError("the documents changed between asking and scoring")
@@ -228,9 +266,9 @@ def score(docs: DataFrame, trusted: DataFrame, order: int = 4) -> DataFrame:
         return pa.Table.from_batches(out, pa.schema(kinds))
 
     train = trusted.filter(~held_out("doc_id"))
-    counts = trusted_counts(docs.select("doc_id", "t"), train, order)
+    counts, alphabet = trusted_counts(docs.select("doc_id", "t"), train, order)
     asked = materialise(keyed.mapInArrow(releasing(asking), "block bigint, key bigint"), "requests")
-    answers = asked.join(log_probabilities(counts, asked, order), "key")
+    answers = asked.join(log_probabilities(counts, asked, alphabet), "key")
     texts = keyed.mapInArrow(releasing(packing), "block bigint, z binary")
     both = texts.groupBy("block").cogroup(answers.groupBy("block"))
     return both.applyInArrow(summing, "doc_id bigint, text_hash bigint, lang string, n_chars bigint, bits double")
@@ -258,7 +296,8 @@ def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float, least: in
     has the quantile of its steps. Otherwise a language with at least `alone` such rows (as many as `least` if not given) is
     judged by its own rows of all lengths: the spread of bits per character falls with the root of the length, so `centre` is
     the language's median step and `rise` the quantile of its rows' distances from it times that root, shrunk towards that
-    of all languages' distances, each from its own centre, as if `least` such rows were added. Only other languages the quantile over all languages of the band, or over all rows if the band has fewer than `least`.
+    of all languages' distances, each from its own centre, as if `least` such rows were added. Only other languages take
+    the quantile over all languages of the band, or over all rows if the band has fewer than `least`.
     Counts per step make the quantiles exact and bounded: no group is gathered.
     """
     kept_out = scored.join(trusted.filter(held_out("doc_id")), "doc_id", "left_semi").filter("n_chars > 0")
@@ -285,7 +324,8 @@ def judge(docs: DataFrame, labels: DataFrame, order: int = 4, quantile: float =
     """(doc_id, text_hash, lang, n_chars, perplexity, threshold, keep) of every row of docs.
 
     Trusted are rows that labels call quality 1 and not toxic. keep is false above the threshold of the row's language and
-    length (see thresholds; languages are pooled only for one without any trusted row that was not counted), and for null or empty texts, whose perplexity is null. Without any trusted text all other rows are kept.
+    length (see thresholds; languages are pooled only for one without any trusted row that was not counted), and for null or empty
+    texts, whose perplexity is null. Without any trusted text all other rows are kept.
     Null languages are a language of their own; repeated rows are judged alike. docs must be a stored table.
     """
     trusted = labels.filter("quality = 1 AND coalesce(toxic, 0) = 0").select(F.col("doc_id").cast("bigint").alias("doc_id")).dropna().distinct()
@@ -297,7 +337,7 @@ def judge(docs: DataFrame, labels: DataFrame, order: int = 4, quantile: float =
     scored = materialise(scored, "scored")
     limits = materialise(thresholds(scored, trusted, quantile, least, alone=1), "limits").withColumnsRenamed({"lang": "_lang", "band": "_band"})
     judged = scored.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("band") == F.col("_band")), "left")
-    judged = judged.withColumn("limit", F.coalesce("limit", F.floor(F.col("centre") + F.col("rise") / F.sqrt("n_chars"))))
+    judged = judged.withColumn("limit", F.coalesce("limit", F.floor(F.col("centre") + F.try_divide("rise", F.sqrt("n_chars")))))
     return judged.select(
         "doc_id", "text_hash", "lang", "n_chars", F.when(F.col("n_chars") > 0, F.pow(F.lit(2.0), F.try_divide("bits", "n_chars"))).alias("perplexity"),
         F.pow(F.lit(2.0), F.col("limit") / STEPS).alias("threshold"), ((F.col("n_chars") > 0) & F.coalesce(F.col("step") <= F.col("limit"), F.lit(True))).alias("keep"),

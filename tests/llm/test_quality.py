@@ -146,3 +146,27 @@ def test_small_languages_are_judged_by_their_own_rows(spark, docs):
     assert not kept[1000] and not kept[1001] and not kept[1002]
     assert kept[1003] and kept[1004]
     assert np.mean([kept[i] for i in range(150)]) > 0.95
+
+
+def test_characters_of_every_script_stay_distinct(spark, docs):
+    """Each character of a Chinese text moved by 190 code points is another text, and 16 bits a character fill the long."""
+    rnd = random.Random(6)
+    clean = [0x4E00 + i for i in range(120)]
+    rows = [(i, "".join(chr(rnd.choice(clean)) for _ in range(200)), "zh") for i in range(60)]
+    rows += [(100, rows[0][1], "zh"), (101, "".join(chr(ord(c) + 190) for c in rows[0][1]), "zh"), (102, "ab", "zh")]
+    judged = {r["doc_id"]: r for r in quality.judge(docs(rows), spark.createDataFrame([(i, 1, 0) for i in range(60)], LABELS)).collect()}
+    model = PlainModel([t for i, t, _ in rows[:60] if zlib.crc32(str(i).encode()) % 5], 4)
+    for i, text, _ in rows:
+        assert math.isclose(math.log2(judged[i]["perplexity"]) * len(text), model.bits(text), rel_tol=1e-9)
+    assert judged[101]["perplexity"] > 2 * judged[100]["perplexity"] and judged[100]["keep"] and not judged[101]["keep"]
+
+
+def test_large_alphabets_use_whole_longs(spark, docs):
+    points = [p for p in range(0x4E00, 0x4E00 + 40_000) if not 0xD800 <= p < 0xE000]
+    text = "".join(map(chr, points))
+    rows = [(i, text[i * 7 :] + text[: i * 7]) for i in range(1, 5)] + [(50, text[100:300] + "z" + text[5:50])]
+    judged = {r["doc_id"]: r for r in quality.judge(docs(rows), spark.createDataFrame([(i, 1, 0) for i in range(1, 5)], LABELS)).collect()}
+    model = PlainModel([t for i, t in rows[:4] if zlib.crc32(str(i).encode()) % 5], 4)
+    assert quality.Alphabet(np.array(points), 4).bits == 16
+    for i, t in rows:
+        assert math.isclose(math.log2(judged[i]["perplexity"]) * len(t), model.bits(t), rel_tol=1e-9)
