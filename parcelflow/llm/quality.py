@@ -14,6 +14,7 @@ perplexities of trusted documents that were kept out of the counts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,7 @@ BLOCK_BYTES = 1 << 24
 FILTER_BITS = 1 << 20  # size of the filter of trusted ids, whatever their number
 BANDS = (128, 512)  # lengths in characters at which a new band of thresholds begins
 STEPS = 1000  # steps of a threshold per bit
+ABOVE = 3  # rows that must lie above a rank for a quantile to be read there
 
 
 def code_points(data: bytes) -> np.ndarray:
@@ -275,12 +277,31 @@ def score(docs: DataFrame, trusted: DataFrame, order: int = 4) -> DataFrame:
 
 
 def _quantile(counted: DataFrame, keys: list[str], value: str, share: float, name: str) -> DataFrame:
-    """(keys, name, n): the value at a share of the rows of each group, from counted(keys, value, n)."""
+    """(keys, name, n): the value at a share of the rows of each group, from counted(keys, value, n).
+
+    A rank that has fewer than ABOVE rows above it is set by single odd rows. The value is then read where that many lie above,
+    and carried on from there by an exponential tail whose scale is its distance from the median. Groups of less than
+    4 * ABOVE rows tell no tail: they have their largest value.
+    """
     by = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     sums = counted.groupBy(*keys, value).agg(F.sum("n").alias("n"))
     ranked = sums.withColumn("upto", F.sum("n").over(by.orderBy(value))).withColumn("all", F.sum("n").over(by))
-    at = F.min(F.when(F.col("upto") >= F.ceil(F.col("all") * share), F.col(value)))
-    return ranked.groupBy(*keys).agg(at.alias(name), F.first("all").alias("n"))
+
+    def at(rank):
+        return F.min(F.when(F.col("upto") >= rank, F.col(value)))
+
+    whole = F.ceil(F.col("all") * share)
+    read = F.greatest(F.ceil(F.col("all") / 2), F.least(whole, F.col("all") - ABOVE))
+    found = ranked.groupBy(*keys).agg(at(whole).alias("_whole"), at(read).alias("_read"), at(F.ceil(F.col("all") / 2)).alias("_middle"), F.first("all").alias("n"))
+    beyond = F.log(ABOVE / (F.col("n") * max(1 - share, 1e-9))) / F.log(F.greatest(F.col("n"), F.lit(4 * ABOVE)) / (2 * ABOVE))
+    carried = F.ceil(F.col("_read") + (F.col("_read") - F.col("_middle")) * beyond).cast("bigint")
+    tail = (F.col("n") >= 4 * ABOVE) & (F.col("n") < _defined(share))
+    return found.select(*keys, F.when(tail, carried).otherwise(F.col("_whole")).alias(name), "n")
+
+
+def _defined(share: float) -> int:
+    """The least number of rows of which ABOVE lie above the quantile."""
+    return math.ceil(round(ABOVE / max(1 - share, 1e-9), 6))
 
 
 def _beside(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
@@ -292,13 +313,13 @@ def _beside(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
 def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float, least: int, alone: int | None = None) -> DataFrame:
     """(lang, band, limit, centre, rise): the largest step of bits per character that is still kept.
 
-    It is `limit`, or without one centre + rise / sqrt(n_chars). A cell of at least `least` trusted rows that were not counted
-    has the quantile of its steps. Otherwise a language with at least `alone` such rows (as many as `least` if not given) is
+    It is `limit`, or without one centre + rise / sqrt(n_chars). A cell of at least `least` trusted rows that were not counted,
+    and of enough for ABOVE of them to lie above the quantile, has the quantile of its steps. Otherwise a language with at least `alone` such rows (as many as `least` if not given) is
     judged by its own rows of all lengths: the spread of bits per character falls with the root of the length, so `centre` is
     the language's median step and `rise` the quantile of its rows' distances from it times that root, shrunk towards that
     of all languages' distances, each from its own centre, as if `least` such rows were added. Only other languages take
     the quantile over all languages of the band, or over all rows if the band has fewer than `least`.
-    Counts per step make the quantiles exact and bounded: no group is gathered.
+    Counts per step make the quantiles bounded: no group is gathered.
     """
     kept_out = scored.join(trusted.filter(held_out("doc_id")), "doc_id", "left_semi").filter("n_chars > 0")
     sample = materialise(kept_out.select("lang", "band", "step", "n_chars"), "sample")
@@ -308,7 +329,8 @@ def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float, least: in
     distance = F.ceil((F.col("step") - F.col("centre")) * F.sqrt("n_chars")).cast("bigint")
     distances = materialise(centred.groupBy("lang", "centre", distance.alias("distance")).agg(F.count(F.lit(1)).alias("n")), "distances")
     every = _quantile(distances, [], "distance", quantile, "rise").first()
-    shrunk = (F.col("n") * F.col("rise") + least * F.lit(every["rise"] if every else None)) / (F.col("n") + least)
+    weight = F.when(F.col("n") >= 4 * ABOVE, F.col("n")).otherwise(0)  # fewer rows tell a centre, but no tail
+    shrunk = (weight * F.col("rise") + least * F.lit(every["rise"] if every else None)) / (weight + least)
     own = _quantile(distances, ["lang", "centre"], "distance", quantile, "rise").select("lang", "centre", shrunk.alias("rise"), F.col("n").alias("n_lang"))
     out = _beside(places, _quantile(counted, ["lang", "band"], "step", quantile, "s0").withColumnRenamed("n", "n0"), ["lang", "band"])
     out = _beside(out, own, ["lang"])
@@ -316,7 +338,7 @@ def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float, least: in
     only = _quantile(counted, [], "step", quantile, "s2").first()
     by_lang = F.coalesce(F.col("n_lang") >= (least if alone is None else alone), F.lit(False))
     pooled = F.when(F.col("n1") >= least, F.col("s1")).otherwise(F.lit(only["s2"] if only else None).cast("bigint"))
-    chosen = F.when(F.col("n0") >= least, F.col("s0")).when(~by_lang, pooled)
+    chosen = F.when(F.col("n0") >= max(least, _defined(quantile)), F.col("s0")).when(~by_lang, pooled)
     return out.select("lang", "band", chosen.alias("limit"), *(F.when(by_lang, F.col(c)).alias(c) for c in ("centre", "rise")))
 
 

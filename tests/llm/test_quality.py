@@ -170,3 +170,20 @@ def test_large_alphabets_use_whole_longs(spark, docs):
     assert quality.Alphabet(np.array(points), 4).bits == 16
     for i, t in rows:
         assert math.isclose(math.log2(judged[i]["perplexity"]) * len(t), model.bits(t), rel_tol=1e-9)
+
+
+def test_one_odd_row_sets_no_threshold(spark):
+    """Up to 3,000 rows, the 0.999 quantile follows the tail of the rows and not the largest of them."""
+    rng = np.random.default_rng(3)
+    steps = [int(s) for s in rng.normal(2300, 35, 2000)]
+    ids = spark.createDataFrame([(i,) for i in range(2000)], "doc_id bigint")
+
+    def limit(odd):
+        rows = [(i, "en", 2, odd if odd and i == first else s, 1600) for i, s in enumerate(steps)]
+        scored = spark.createDataFrame(rows, "doc_id bigint, lang string, band int, step bigint, n_chars bigint")
+        (r,) = quality.thresholds(scored, ids, 0.999, 200, alone=1).collect()
+        return r["centre"] + r["rise"] / 40 if r["limit"] is None else r["limit"]
+
+    first = next(i for i in range(2000) if zlib.crc32(str(i).encode()) % 5 == 0)
+    assert 2300 + 3 * 35 < limit(None) < 2300 + 7 * 35
+    assert abs(limit(9000) - limit(None)) < 35
