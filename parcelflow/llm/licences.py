@@ -81,8 +81,8 @@ RULES = [
     ("all-rights-reserved", ("all-rights-reserved",)),
 ]
 
-# Every known sentence holds one of these, so texts without any are not cut up.
-TRIGGERS = ("licen", "permission", "copyright", "redistribution", "warrant", "in no event", "public domain", "all rights reserved", "neither the name", "advertising materials", "anyone is free")
+# Every known sentence, once normalised, holds one of these, so texts without any are not cut up.
+TRIGGERS = (" under cc", " under the cc", " under a cc", " under terms of the cc", " under the terms of the cc", " under a terms of the cc", "creative commons", "licen", "permission", "copyright", "redistribution", "warrant", "in no event", "public domain", "all rights reserved", "neither the name", "advertising materials", "anyone is free")
 FAMILY = {"lesser": "l", "library": "l", "affero": "a", "": ""}
 
 PATTERNS = [(name, re.compile(pattern)) for name, pattern in SENTENCES]
@@ -94,6 +94,10 @@ LINE_START = re.compile(
 LINE_MARK = re.compile(r"(?:^|\n)[ \t]*(?:(?:#+|//+|\*+/?|/\*+|--+|;+|%+|>+|<!--)[ \t]*)?")
 BULLET = re.compile(r"^(?:[-*•]|\(?\d{1,2}[.)]|\(?[a-z]\))\s+")
 SPACE = re.compile(r"\s+")
+# A trigger in a raw text: its words, with white space and comment marks where normalising leaves one space. The words alone
+# are looked for first, which is much faster.
+TRIGGER_WORDS = [t.split() for t in TRIGGERS]
+TRIGGER = re.compile("|".join(r"\s[\s#/*;%<>!-]*".join(map(re.escape, words)) for words in TRIGGER_WORDS))
 QUOTES = str.maketrans({c: "'" for c in "\"“”‘’`´"})
 
 
@@ -166,7 +170,7 @@ FOUND = "sentences array<struct<id:string,start:int,length:int>>, licences array
 
 def _scan(text: str | None) -> tuple[list, list]:
     low = (text or "").lower()
-    if not any(t in low for t in TRIGGERS):
+    if not any(all(w in low for w in words) for words in TRIGGER_WORDS) or not TRIGGER.search(low):
         return [], []
     known = []
     for a, b in sentences(text):

@@ -121,3 +121,13 @@ def test_edge_rows(spark, docs):
     out = licences.scan(docs(rows).withColumnRenamed("lang", "licences").withColumnRenamed("source", "t")).collect()
     assert sorted(((r["doc_id"], len(r["licences"])) for r in out), key=str) == sorted([(1, 0), (None, 1), (2, 0), (3, 1), (3, 1), (4, 0)], key=str)
     assert licences.scan(docs([])).collect() == []
+
+
+@pytest.mark.parametrize("text,want", [
+    ("Released under CC BY 4.0.", ["cc-by-4.0"]), ("Content is available under CC BY-SA 4.0.", ["cc-by-sa-4.0"]), ("Available under a CC-BY 3.0.", ["cc-by-3.0"]),
+    ("Distributed under the terms of the CC BY 4.0.", ["cc-by-4.0"]), ("Released under Creative\nCommons BY 4.0.", ["cc-by-4.0"]),
+    ("# This file is in the public\n# domain.\nx = 1", ["public-domain"]), ("All rights\nreserved.", ["all-rights-reserved"]),
+    (" * This code has been placed in the\n * public\n * domain.", ["public-domain"]), ("// All  rights\n// reserved.\n", ["all-rights-reserved"]),
+])
+def test_every_wording_passes_the_prefilter(text, want):
+    assert names(text) == want
