@@ -40,6 +40,8 @@ SENTENCES = [
     ("bsd/liability", r"in no event shall .+ be liable for any direct, indirect, incidental, special, exemplary, or consequential damages .+"),
     ("ref=bsd-{0}-clause", r"(?:this \w+ is |it is )?(?:licensed|released|distributed|available) under (?:the terms of )?the (?:bsd[ -])?([234])-clause (?:bsd )?licen[sc]e"),
     ("gpl/{0}/{1}", r"this (?:program|file|software|library) is free software[:;,] you can redistribute it and/or modify it under the terms of the gnu (lesser |library |affero )?general public license as published by the free software foundation[,;:] (?:either )?version (2\.1|2|3)(?:\.0)? of the license,? or (?:\(at your option\) |at your option,? )any later version"),
+    ("gpl-only/{0}/{1}", r"this (?:program|file|software|library) is free software[:;,] you can redistribute it and/or modify it under the terms of the gnu (lesser |library |affero )?general public license,? (?:as published by the free software foundation[,;:]? )?version (2\.1|2|3)(?:\.0)?(?: of the license)?(?:,? as published by the free software foundation)?(?:[,;] and no later version)?"),
+    ("gpl-only/{0}/{1}", r"this (?:program|file|software|library) is free software[:;,] you can redistribute it and/or modify it under the terms of the gnu (lesser |library |affero )?general public license,? as published by the free software foundation[,;:] version (2\.1|2|3)(?:\.0)? of the license(?:,? only)?"),
     ("gpl/hope", r"this (?:program|file|software|library) is distributed in the hope that it will be useful, but without any warranty[;,] without even the implied warranty of merchantability or fitness for a particular purpose"),
     ("gpl/see", r"see the gnu (?:lesser |library |affero )?general public license for more details"),
     ("gpl/copy", r"you should have received a copy of the gnu (?:lesser |library |affero )?general public license along with this (?:program|file|software|library).*"),
@@ -72,6 +74,9 @@ RULES = [
     ("{0}gpl-{1}-or-later", ("gpl/{0}/{1}", "gpl/hope", "gpl/see", "gpl/copy")),
     ("{0}gpl-{1}-or-later", ("gpl/{0}/{1}", "gpl/hope", "gpl/see")),
     ("{0}gpl-{1}-or-later", ("gpl/{0}/{1}",)),
+    ("{0}gpl-{1}-only", ("gpl-only/{0}/{1}", "gpl/hope", "gpl/see", "gpl/copy")),
+    ("{0}gpl-{1}-only", ("gpl-only/{0}/{1}", "gpl/hope", "gpl/see")),
+    ("{0}gpl-{1}-only", ("gpl-only/{0}/{1}",)),
     ("unlicense", ("unlicense/free", "unlicense/anyone")),
     ("unlicense", ("unlicense/free",)),
     ("isc", ("isc/grant", "isc/as-is")),

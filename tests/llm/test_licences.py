@@ -131,3 +131,22 @@ def test_edge_rows(spark, docs):
 ])
 def test_every_wording_passes_the_prefilter(text, want):
     assert names(text) == want
+
+
+@pytest.mark.parametrize("version", ["2", "3"])
+def test_notices_of_one_version_only(version):
+    either = GPL.index("either version"), GPL.index("later version.") + len("later version.")
+    assert names(GPL[: either[0]] + f"version {version} of the License.\n" + GPL[either[1] :]) == [f"gpl-{version}-only"]
+    kernel = f"""/*
+ * This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License version {version} as
+ * published by the Free Software Foundation.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details.
+ */
+"""
+    assert names(kernel) == [f"gpl-{version}-only"]
+    assert names(kernel.replace("General", "Lesser General").replace(f"version {version}", "version 2.1")) == ["lgpl-2.1-only"]
