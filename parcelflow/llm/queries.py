@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import chat, decontaminate, langid, licences, packing, quality, sharding, simhash, tokenfiles, topk
+from parcelflow.llm import chat, decontaminate, langid, licences, packing, quality, runs, sharding, simhash, tokenfiles, topk
 from parcelflow.llm.common import read
 from parcelflow.session import fresh_path
 
@@ -151,3 +151,25 @@ def op5_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "ids")
     tokenfiles.write(read(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.path("word_bpe_49k.json"), vocab=49_408, cut="white", end_id=2)
     return tokenfiles.checksums(spark, path)
+
+
+@query
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, with a period planted where the id's checksum ends in 0."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    digest = F.crc32(F.col("doc_id").cast("string"))
+    split = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    planted = docs.withColumn("words", F.when(digest % 10 == 0, split)).withColumns({"n": F.size("words"), "g": F.floor(digest / 10)})
+    planted = planted.withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    planted = planted.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    cycle = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    text = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(cycle, F.lit(1), rest)), " ")
+    found = runs.runs(planted.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text")))
+    longest = F.element_at(F.array_sort("runs", lambda x, y: F.when(x["length"] != y["length"], F.sign(y["length"] - x["length"])).when(
+        x["start"] != y["start"], F.sign(x["start"] - y["start"])).otherwise(F.sign(x["period"] - y["period"])).cast("int")), 1)
+    found = found.withColumn("top", F.when(F.size("runs") > 0, longest))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"), "runs_sha256", F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
