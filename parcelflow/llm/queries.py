@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import chat, decontaminate, langid, licences, packing, quality, runs, sharding, simhash, tokenfiles, topk
+from parcelflow.llm import alignment, chat, decontaminate, langid, licences, packing, quality, runs, sharding, simhash, tokenfiles, topk
 from parcelflow.llm.common import read
 from parcelflow.session import fresh_path
 
@@ -173,3 +173,10 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "top.start", "top.length", "top.period",
         F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"), "runs_sha256", F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers for every document."""
+    found, _ = alignment.aligned(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
