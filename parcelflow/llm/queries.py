@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import alignment, chat, decontaminate, langid, licences, packing, quality, runs, sharding, simhash, tokenfiles, topk
+from parcelflow.llm import alignment, chat, decontaminate, langid, licences, packing, quality, runs, sharding, simhash, suffixtree, tokenfiles, topk
 from parcelflow.llm.common import read
 from parcelflow.session import fresh_path
 
@@ -180,3 +180,9 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links between the tokens of two tokenizers for every document."""
     found, _ = alignment.aligned(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query
+def op13_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and suffix-tree log-probabilities of every document."""
+    return suffixtree.scores(read(spark, sf_dir, "documents").select("doc_id", "text"), depth=2, least=500)
