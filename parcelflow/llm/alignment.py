@@ -130,37 +130,48 @@ class Spaced(Encoder):
         return ids, offsets, sound
 
 
+def _names(n: int) -> pa.Array:
+    return pa.array(map(str, range(n)), pa.large_string())
+
+
+def _lists(sizes: np.ndarray, values: pa.Array) -> pa.LargeListArray:
+    return pa.LargeListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes)))), values)
+
+
 class Windows:
     """Alignments of id windows met so far."""
 
     def __init__(self, a_sizes: np.ndarray, b_sizes: np.ndarray):
-        self.a_sizes, self.b_sizes = a_sizes.tolist(), b_sizes.tolist()
+        self.sizes, self.names = (a_sizes, b_sizes), (_names(len(a_sizes)), _names(len(b_sizes)))
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.texts: list[bytes] = []
-        self.links: list[int] = []  # a << 32 | b of the tokens that end together, one for each group
-        self.counts: list[int] = []
-
-    def _align(self, key: bytes) -> None:
-        ids = np.frombuffer(key, np.uint32).tolist()
-        n = ids[0] + 1
-        a, b = ids[1:n], ids[n:]
-        groups, links = [], []
-        j = at_a = at_b = first_a = first_b = 0
-        for i, token in enumerate(a, 1):
-            at_a += self.a_sizes[token]
-            while at_b < at_a:
-                at_b += self.b_sizes[b[j]]
-                j += 1
-            if at_a == at_b:
-                groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-                links.append(token << 32 | b[j - 1])
-                first_a, first_b = i, j
-        self.texts.append(";".join(groups).encode())
-        self.links += links
-        self.counts.append(len(links))
+        self.texts = pa.array([], pa.large_string())
+        self.links = np.zeros(0, np.int64)  # a << 32 | b of the tokens that end together, one for each group
+        self.counts = np.zeros(0, np.int64)
+
+    def _align(self, keys: pa.Array) -> None:
+        """Add the alignments of new keys: what both sides hold is as long, so bytes can be counted through all of them."""
+        data, offsets = byte_column(keys)
+        data, starts = data.view(np.uint32).astype(np.int64), offsets // 4
+        n_a = data[starts[:-1]]
+        n_b = np.diff(starts) - 1 - n_a
+        ids = data[gathered(starts[:-1] + 1, n_a)], data[gathered(starts[:-1] + 1 + n_a, n_b)]
+        ends = [np.cumsum(size[i]) for size, i in zip(self.sizes, ids)]
+        cuts, parts = [], []
+        for own, other, i, names in ((0, 1, ids[0], self.names[0]), (1, 0, ids[1], self.names[1])):
+            shared = np.zeros(int(ends[own][-1]) + 1, bool)
+            shared[ends[other]] = True
+            cut = np.flatnonzero(shared[ends[own]])  # the last token of each group
+            cuts.append(cut)
+            parts.append(pc.binary_join(_lists(np.diff(cut, prepend=-1), names.take(pa.array(i))), pa.scalar(",", pa.large_string())))
+        groups = pc.binary_join_element_wise(*parts, pa.scalar("|", pa.large_string()))
+        upto = np.searchsorted(cuts[0], np.cumsum(n_a) - 1, "right")
+        counts = np.diff(upto, prepend=0)
+        self.texts = pa.concat_arrays([self.texts, pc.binary_join(_lists(counts, groups), pa.scalar(";", pa.large_string()))])
+        self.links = np.concatenate((self.links, ids[0][cuts[0]] << 32 | ids[1][cuts[1]]))
+        self.counts = np.concatenate((self.counts, counts))
 
     def numbers(self, keys: pa.Array) -> np.ndarray:
         """Number of the alignment of each key: the count of A ids, the A ids and the B ids as 32-bit integers."""
@@ -168,14 +179,13 @@ class Windows:
         distinct = coded.dictionary.to_pylist()
         if len(self.known) + len(distinct) > WINDOWS and self.known:
             self._forget()
-        out = np.empty(len(distinct), np.int64)
-        for k, key in enumerate(distinct):
-            n = self.known.get(key)
-            if n is None:
-                n = self.known[key] = len(self.texts)
-                self._align(key)
-            out[k] = n
-        return out[coded.indices.to_numpy()]
+        numbers = np.array([self.known.get(key, -1) for key in distinct], np.int64)
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            numbers[new] = np.arange(len(self.counts), len(self.counts) + len(new))
+            self.known.update(zip(map(distinct.__getitem__, new.tolist()), numbers[new].tolist()))
+            self._align(coded.dictionary.take(pa.array(new)))
+        return numbers[coded.indices.to_numpy()]
 
 
 def _tokens(ids: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,14 +230,12 @@ def align(texts: pa.Array, a: Spaced, b: Spaced, windows: Windows) -> dict[str,
         bounds = np.append(starts, len(data)) * 4
         keys = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)])
         which = windows.numbers(keys)
-        counts = np.array(windows.counts, np.int64)
+        counts = windows.counts
         first = np.cumsum(counts) - counts
-        links = np.array(windows.links, np.int64)[gathered(first[which], counts[which])]
+        links = windows.links[gathered(first[which], counts[which])]
         doc_ends = np.searchsorted(last_a, at_a[1:] - 1, "right")  # windows up to the end of each text
         per_doc = np.concatenate(([0], doc_ends))
-        joined = pc.binary_join(
-            pa.LargeListArray.from_arrays(pa.array(per_doc.astype(np.int64)), pa.array(windows.texts, pa.large_binary()).take(pa.array(which))),
-            pa.scalar(b";", pa.large_binary()))
+        joined = pc.binary_join(_lists(np.diff(per_doc), windows.texts.take(pa.array(which))), pa.scalar(";", pa.large_string())).cast(pa.large_binary())
         for row, text in zip(rows.tolist(), joined.to_pylist()):
             strings[row] = text
         out["n_a"][rows], out["n_b"][rows] = np.diff(at_a), np.diff(at_b)
