@@ -46,7 +46,22 @@ SENTENCES = [
     ("gpl/see", r"see the gnu (?:lesser |library |affero )?general public license for more details"),
     ("gpl/copy", r"you should have received a copy of the gnu (?:lesser |library |affero )?general public license along with this (?:program|file|software|library).*"),
     ("ref={0}gpl-{1}", r"(?:this \w+ is |it is )?(?:licensed|released|distributed|available) under (?:the terms of )?the gnu (lesser |affero )?general public licen[sc]e,? (?:version |v\.? ?)(2\.1|2|3)(?:\.0)?(?: or later)?"),
-    ("ref=mpl-{0}", r"this source code form is subject to the terms of the mozilla public license, v\. ?(2\.0|1\.1)"),
+    ("gpl-text/{0}/{1}", r"gnu (lesser |library |affero )?general public license,? version (2\.1|2|3)(?:\.0)?(?:, (?:\d{1,2} )?[a-z]+ \d{4})?"),
+    ("fsf/verbatim", r"(?:<?https?://\S+>? )?everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed"),
+    ("gpl/preamble", r"the gnu (?:affero )?general public license is a free, copyleft license for software and other kinds of works(?:, specifically designed to ensure cooperation with the community in the case of network server software)?"),
+    ("apache-text/{0}", r"apache license,? version (2\.0|1\.1|1\.0)(?:, january 2004)?(?: https?://www\.apache\.org/licenses/?\S*)?"),
+    ("apache-terms", r"terms and conditions for use, reproduction, and distribution"),
+    ("mit/title", r"(?:the )?(?:mit|expat) licen[sc]e(?: \(mit\))?"),
+    ("boost/title", r"boost software license -? ?version 1\.0(?: - august 17th, 2003)?"),
+    ("ref=boost-1.0", r"(?:this \w+ is |it is |use, modification and distribution (?:is|are) )?(?:licensed|released|distributed|available|subject) (?:under|to) (?:the terms of )?the boost software licen[sc]e,? version 1\.0"),
+    ("boost/grant", r"permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license \(the 'software'\) to use, reproduce, display, distribute, execute, and transmit the software, and to prepare derivative works of the software, and to permit third-parties to whom the software is furnished to do so, all subject to the following"),
+    ("epl-title/{0}", r"eclipse public license,? (?:[-–] )?(?:version |v\.? ?)([12]\.0)"),
+    ("epl/program", r"the accompanying program is provided under the terms of this eclipse public license \('agreement'\)"),
+    ("mpl-title/{0}", r"mozilla public license,? version (2\.0|1\.1)(?: =+)?"),
+    ("ref=cc-by{0}{1}{2}-{3}", r"(?:creative commons )?attribution(-noncommercial)?(-noderivatives|-noderivs)?(-sharealike)? ([1-4]\.[05]) (?:international|unported|generic)(?: public)?(?: licen[sc]e)?"),
+    ("ref=cc0-1.0", r"(?:creative commons )?cc0 1\.0 universal(?: public domain dedication)?"),
+    ("mpl/{0}", r"this source code form is subject to the terms of the mozilla public license, v\. ?(2\.0|1\.1)"),
+    ("mpl-copy", r"if a copy of the mpl was not distributed with this file,? you can obtain one at:? https?://(?:www\.)?mozilla\.org/mpl/(?:2\.0|1\.1)/?"),
     ("ref=cc-{0}-{1}", r"(?:this (?:\w+ )?is |it is |content is )?(?:licensed|released|distributed|available) under (?:a |the )?(?:terms of the )?(?:cc|creative commons)[ -](by(?:-nc|-nd|-sa)*|zero|0)[ -]?(?:license )?(?:version )?([1-4]\.[05])(?: international)?(?: licen[sc]e)?"),
     ("unlicense/free", r"this is free and unencumbered software released into the public domain"),
     ("unlicense/anyone", r"anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means"),
@@ -63,6 +78,12 @@ RULES = [
     ("apache-2.0", ("apache-2.0/grant", "apache-2.0/copy", "apache-2.0/as-is", "apache-2.0/see")),
     ("apache-2.0", ("apache-2.0/grant", "apache-2.0/copy")),
     ("apache-2.0", ("apache-2.0/grant",)),
+    ("apache-{0}", ("apache-text/{0}", "apache-terms")),
+    ("apache-{0}", ("apache-text/{0}",)),
+    ("mit", ("mit/title", "mit/grant", "mit/notice", "mit/as-is", "mit/liability")),
+    ("mit", ("mit/title", "mit/grant", "mit/notice", "mit/as-is")),
+    ("mit", ("mit/title", "mit/grant", "mit/notice")),
+    ("mit", ("mit/title",)),
     ("mit", ("mit/grant", "mit/notice", "mit/as-is", "mit/liability")),
     ("mit", ("mit/grant", "mit/notice", "mit/as-is")),
     ("mit-like", ("mit/grant", "mit/notice")),
@@ -71,12 +92,24 @@ RULES = [
     ("bsd-3-clause", ("bsd/grant", "bsd/source", "bsd/binary", "bsd/endorse")),
     ("bsd-2-clause", ("bsd/grant", "bsd/source", "bsd/binary", "bsd/as-is", "bsd/liability")),
     ("bsd-2-clause", ("bsd/grant", "bsd/source", "bsd/binary")),
+    ("{0}gpl-{1}", ("gpl-text/{0}/{1}", "fsf/verbatim", "gpl/preamble")),
+    ("{0}gpl-{1}", ("gpl-text/{0}/{1}", "fsf/verbatim")),
+    ("{0}gpl-{1}", ("gpl-text/{0}/{1}",)),
     ("{0}gpl-{1}-or-later", ("gpl/{0}/{1}", "gpl/hope", "gpl/see", "gpl/copy")),
     ("{0}gpl-{1}-or-later", ("gpl/{0}/{1}", "gpl/hope", "gpl/see")),
     ("{0}gpl-{1}-or-later", ("gpl/{0}/{1}",)),
     ("{0}gpl-{1}-only", ("gpl-only/{0}/{1}", "gpl/hope", "gpl/see", "gpl/copy")),
     ("{0}gpl-{1}-only", ("gpl-only/{0}/{1}", "gpl/hope", "gpl/see")),
     ("{0}gpl-{1}-only", ("gpl-only/{0}/{1}",)),
+    ("boost-1.0", ("boost/title", "boost/grant")),
+    ("boost-1.0", ("boost/title",)),
+    ("boost-1.0", ("boost/grant",)),
+    ("epl-{0}", ("epl-title/{0}", "epl/program")),
+    ("epl-{0}", ("epl-title/{0}",)),
+    ("epl", ("epl/program",)),
+    ("mpl-{0}", ("mpl/{0}", "mpl-copy")),
+    ("mpl-{0}", ("mpl/{0}",)),
+    ("mpl-{0}", ("mpl-title/{0}",)),
     ("unlicense", ("unlicense/free", "unlicense/anyone")),
     ("unlicense", ("unlicense/free",)),
     ("isc", ("isc/grant", "isc/as-is")),
@@ -87,15 +120,17 @@ RULES = [
 ]
 
 # Every known sentence, once normalised, holds one of these, so texts without any are not cut up.
-TRIGGERS = (" under cc", " under the cc", " under a cc", " under terms of the cc", " under the terms of the cc", " under a terms of the cc", "creative commons", "licen", "permission", "copyright", "redistribution", "warrant", "in no event", "public domain", "all rights reserved", "neither the name", "advertising materials", "anyone is free")
-FAMILY = {"lesser": "l", "library": "l", "affero": "a", "": ""}
+TRIGGERS = (" under cc", " under the cc", " under a cc", " under terms of the cc", " under the terms of the cc", " under a terms of the cc", "creative commons", "licen", "permission", "copyright", "redistribution", "warrant", "in no event", "public domain", "all rights reserved", "neither the name", "advertising materials", "anyone is free", "copy of the mpl", "cc0 1.0", "attribution", "terms and conditions for use")
+FAMILY = {"lesser": "l", "library": "l", "affero": "a", "": "", "-noncommercial": "-nc", "-noderivatives": "-nd", "-noderivs": "-nd", "-sharealike": "-sa"}
+LONGEST = 4000  # characters of the longest known sentence, once normalised, whatever names it holds
 
 PATTERNS = [(name, re.compile(pattern)) for name, pattern in SENTENCES]
-SENTENCE_END = re.compile(r"[.!?]['\")\]]*(?=\s|$)|:(?=[ \t]*\n)|\n[ \t#*/;-]*(?=\n|(?:\(?\d{1,2}[.)]|\(?[a-z]\))\s)|\n(?=[ \t]*(?:#+|//+|\*+|/\*+|--+|;+)?[ \t]*(?:spdx|copyright))", re.I)
+SENTENCE_END = re.compile(r"(?<![\s,(]v)[.!?]['\")\]]*(?=\s|$)|:(?=[ \t]*\n)|\n[ \t#*/;-]*(?=\n|(?:\(?\d{1,2}[.)]|\(?[a-z]\))\s)|\n(?=[ \t]*(?:#+|//+|\*+|/\*+|--+|;+)?[ \t]*(?:spdx|copyright))", re.I)
 # How a known sentence may begin on a new line after text that no mark has closed.
 LINE_START = re.compile(
     r"\n(?=[ \t#*/;-]*(?:(?:licensed|released|distributed|available) under|this (?:\w+ )?is|this source code form|the (?:above copyright|software is)|permission|redistribution|"
-    r"unless required|you (?:may|should)|anyone is|all rights|all advertising|neither the|in no event|see the))", re.I)
+    r"unless required|you (?:may|should)|anyone is|all rights|all advertising|neither the|in no event|see the|"
+    r"everyone is|if a copy|gnu (?:lesser |library |affero )?general|the (?:gnu|mit|accompanying)|(?:mit|apache) licen|(?:mozilla|eclipse) public|boost software|creative commons|attribution))", re.I)
 LINE_MARK = re.compile(r"(?:^|\n)[ \t]*(?:(?:#+|//+|\*+/?|/\*+|--+|;+|%+|>+|<!--)[ \t]*)?")
 BULLET = re.compile(r"^(?:[-*•]|\(?\d{1,2}[.)]|\(?[a-z]\))\s+")
 SPACE = re.compile(r"\s+")
@@ -125,7 +160,7 @@ def sentences(text: str) -> Iterator[tuple[int, int]]:
 
 def identifier(sentence: str) -> str | None:
     """Identifier of a normalised sentence, if it is known."""
-    if not any(t in sentence for t in TRIGGERS):
+    if len(sentence) > LONGEST or not any(t in sentence for t in TRIGGERS):
         return None
     for name, pattern in PATTERNS:
         m = pattern.fullmatch(sentence)
@@ -170,6 +205,24 @@ def recognised(ids: list[str]) -> list[tuple[str, int, int]]:
     return found
 
 
+def _openings(text: str, a: int, b: int) -> list[int]:
+    """Places in a sentence, in order, where a known sentence that ends with it may begin on a new line: what follows is not longer than one.
+
+    Lines are measured from the end and no further than that, so a text without sentence ends costs as much as any other.
+    """
+    starts = [m.end() for m in LINE_START.finditer(text, a, b)]
+    end = a + len(text[a:b].rstrip(".!?: \t\r\n*/"))
+    length, found = 0, []
+    for at in reversed(starts):
+        if at < end:
+            length += len(SPACE.sub(" ", LINE_MARK.sub(" ", text[at:end])))
+            end = at
+        if length > 2 * LONGEST:
+            break
+        found.append(at)
+    return found[::-1]
+
+
 FOUND = "sentences array<struct<id:string,start:int,length:int>>, licences array<struct<licence:string,start:int,length:int>>"
 
 
@@ -180,10 +233,10 @@ def _scan(text: str | None) -> tuple[list, list]:
     known = []
     for a, b in sentences(text):
         name = identifier(normalised(text[a:b]))
-        for m in [] if name else LINE_START.finditer(text, a, b):
-            name = identifier(normalised(text[m.end() : b]))
+        for at in [] if name else _openings(text, a, b):
+            name = identifier(normalised(text[at:b]))
             if name:
-                a = m.end()
+                a = at
                 break
         if name:
             a += len(text[a:b]) - len(text[a:b].lstrip())

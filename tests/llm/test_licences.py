@@ -150,3 +150,42 @@ def test_notices_of_one_version_only(version):
 """
     assert names(kernel) == [f"gpl-{version}-only"]
     assert names(kernel.replace("General", "Lesser General").replace(f"version {version}", "version 2.1")) == ["lgpl-2.1-only"]
+
+
+FULL_TEXTS = [
+    ("   GNU GENERAL PUBLIC LICENSE\n      Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>\n Everyone is permitted to copy and distribute verbatim copies\n"
+     " of this license document, but changing it is not allowed.\n\n Preamble\n\n  The GNU General Public License is a free, copyleft license for\nsoftware and other kinds of works.\n", ["gpl-3"]),
+    ("  GNU GENERAL PUBLIC LICENSE\n  Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.,\n 51 Franklin Street\n Everyone is permitted to copy and distribute verbatim copies\n"
+     " of this license document, but changing it is not allowed.\n", ["gpl-2"]),
+    ("GNU LESSER GENERAL PUBLIC LICENSE\n Version 2.1, February 1999\n\n", ["lgpl-2.1"]), ("GNU AFFERO GENERAL PUBLIC LICENSE\n Version 3, 19 November 2007\n\n", ["agpl-3"]),
+    ("   Apache License\n  Version 2.0, January 2004\n  http://www.apache.org/licenses/\n\n TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n", ["apache-2.0"]),
+    ("Mozilla Public License Version 2.0\n==================================\n\n1. Definitions", ["mpl-2.0"]),
+    ("/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */\n", ["mpl-2.0"]),
+    ("Eclipse Public License - v 2.0\n\n THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE\n PUBLIC LICENSE (\"AGREEMENT\"). ANY USE", ["epl-2.0"]),
+    ("Attribution-NonCommercial-ShareAlike 4.0 International\n\nCreative", ["cc-by-nc-sa-4.0"]), ("Creative Commons Attribution 4.0 International Public License\n\n", ["cc-by-4.0"]),
+    ("CC0 1.0 Universal\n\n", ["cc0-1.0"]), ("Boost Software License - Version 1.0 - August 17th, 2003\n\nPermission", ["boost-1.0"]),
+    ("// Distributed under the Boost Software License, Version 1.0.\n", ["boost-1.0"]), ("The MIT License (MIT)\n\nCopyright (c) X\n", ["mit"]),
+]
+
+
+@pytest.mark.parametrize("text,want", FULL_TEXTS)
+def test_titles_and_first_sentences_of_whole_licences(text, want):
+    assert names(text) == want
+    assert names("Some text before it ends. More\n\n" + text) == want
+
+
+@pytest.mark.parametrize("line", ["this is a licence note\n", "in no event shall x be liable for any direct ", "permission and copyright\n", "see the license\n# "])
+def test_texts_without_sentence_ends_take_linear_time(line):
+    import time
+
+    text = line * (1_000_000 // len(line))
+    began = time.process_time()
+    assert names(text) == []
+    assert time.process_time() - began < 10
+    assert names(text + ".\n\n" + MIT) == ["mit"] and names(text + "\nReleased under the MIT License. Then") == ["mit"]
+
+
+def test_a_known_sentence_ends_a_long_one():
+    """What stands before the last lines of a long sentence does not matter, comment marks and white space do not count."""
+    text = "word word\n" * 50_000 + "   //  Released under  \n  //    the   MIT License.\n"
+    assert names(text) == ["mit"]
