@@ -9,7 +9,6 @@ sampled documents that the fit has not seen.
 from __future__ import annotations
 
 import pickle
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +22,6 @@ from parcelflow.llm.common import give_back, releasing, slices
 
 COLUMNS = 1 << 15
 ORDERS = (1, 2, 3)
-LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass
@@ -40,6 +38,11 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(True))
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is of one of Unicode's letter categories; numbers that look like letters are none."""
+    return any(map(str.isalpha, text))
+
+
 def term_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(columns, counts) of the n-grams of a whole text."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -181,7 +184,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     def judged(texts: pd.Series) -> pd.DataFrame:
         found = []
         for text in texts:
-            if text is None or not model.labels or not LETTER.search(text):
+            if text is None or not model.labels or not has_letter(text):
                 found.append(("und", 1.0))
                 continue
             columns, values = _vector(text, model.idf)

@@ -74,3 +74,88 @@ def test_edge_rows(spark, docs):
     empty = docs([])
     assert langid.predict(empty, langid.train(empty)).collect() == []
     assert langid.predict(frame, langid.train(empty)).first()["lang_pred"] == "und"
+
+
+@pytest.mark.parametrize("text,letter", [("½ ² Ⅷ ① ٣", False), ("_ - ", False), ("½ª", True), ("ж", True), ("日", True), ("ʰ", True), ("\u0301", False)])
+def test_letters_are_unicode_letters(text, letter):
+    import unicodedata
+
+    assert langid.has_letter(text) == letter == any(unicodedata.category(c).startswith("L") for c in text)
+
+
+def plain_columns(text):
+    """n-gram columns of a text, one gram after the other."""
+    found = {}
+    points = [ord(c) for c in text.lower()]
+    for n in (1, 2, 3):
+        for i in range(len(points) - n + 1):
+            h = 0
+            for k in range(1, n + 1):
+                h = (h * 0x01000193 + points[i + k - 1] + k) % 2**32
+            h = (h ^ (h >> 15)) * 0x85EBCA6B % 2**32
+            found[h >> 17] = found.get(h >> 17, 0) + 1
+    return found
+
+
+def plain_model(rows, epochs=3, alpha=0.5, beta=1.0, l1=0.02, l2=0.05):
+    """(labels, idf, weights, bias, temperature) from rows of (hash, label, text), coordinate by coordinate."""
+    import math
+
+    labels = sorted({y for _, y, _ in rows})
+    df = {}
+    for _, _, t in rows:
+        for c in plain_columns(t):
+            df[c] = df.get(c, 0) + 1
+    idf = lambda c: math.log((1 + len(rows)) / (1 + df.get(c, 0))) + 1
+
+    def vector(t):
+        x = {c: n * idf(c) for c, n in plain_columns(t).items()}
+        size = math.sqrt(sum(v * v for v in x.values()))
+        return {c: float(np.float32(v / size)) for c, v in x.items()}
+
+    z, n, zb, nb = {}, {}, [0.0] * len(labels), [0.0] * len(labels)
+
+    def weight(c, k):
+        a, b = z.get((c, k), 0.0), n.get((c, k), 0.0)
+        return 0.0 if abs(a) <= l1 else -(a - math.copysign(l1, a)) / ((beta + math.sqrt(b)) / alpha + l2)
+
+    def scores(x):
+        return [sum(v * weight(c, k) for c, v in x.items()) - zb[k] / ((beta + math.sqrt(nb[k])) / alpha) for k in range(len(labels))]
+
+    def softmax(s):
+        e = [math.exp(v - max(s)) for v in s]
+        return [v / sum(e) for v in e]
+
+    rows = sorted(rows)
+    fit, rest = [r for i, r in enumerate(rows) if i % 5], [r for i, r in enumerate(rows) if not i % 5]
+    for _ in range(epochs):
+        for _, y, t in fit:
+            x = vector(t)
+            p = softmax(scores(x))
+            b = [-zb[k] / ((beta + math.sqrt(nb[k])) / alpha) for k in range(len(labels))]
+            for k in range(len(labels)):
+                e = p[k] - (labels[k] == y)
+                for c, v in x.items():
+                    w, g, old = weight(c, k), v * e, n.get((c, k), 0.0)
+                    z[c, k] = z.get((c, k), 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / alpha * w
+                    n[c, k] = old + g * g
+                grown = nb[k] + e * e
+                zb[k] += e - (math.sqrt(grown) - math.sqrt(nb[k])) / alpha * b[k]
+                nb[k] = grown
+    held = np.array([scores(vector(t)) for _, _, t in rest])
+    temperature = langid.calibrated(held, np.array([labels.index(y) for _, y, _ in rest]))
+    return labels, lambda t: softmax([s / temperature for s in scores(vector(t))])
+
+
+def test_model_equals_plain_regression(spark, docs):
+    """Training and prediction of a small table, n-gram by n-gram and coordinate by coordinate."""
+    words = {"en": "the house and town of people is", "de": "das haus und die stadt von leuten ist", "fr": "la maison et ville des gens est"}
+    rows = [(i, " ".join(w.split()[(i * k) % 6] for k in range(1, 8)) + "é" * (i % 2), y) for i, (y, w) in enumerate(sorted(words.items()) * 14)]
+    table = docs(rows)
+    model = langid.train(table)
+    known = table.filter(~langid.held_out()).select(langid.F.xxhash64("doc_id", "text"), "lang", "text").collect()
+    labels, p = plain_model([tuple(r) for r in known])
+    assert labels == model.labels
+    for r in langid.predict(table, model).collect():
+        want = p(r["text"])
+        assert r["lang_pred"] == labels[int(np.argmax(want))] and abs(r["score"] - max(want)) < 1e-6
