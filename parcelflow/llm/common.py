@@ -54,6 +54,19 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, or it with underscores behind it, that no column of df has in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def every_column(df: DataFrame) -> list:
+    """All columns of df by their exact names, which may hold dots."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
 def number_rows(df: DataFrame, order: list[str], name: str = "row_no") -> DataFrame:
     """df with gapless numbers from 0 in the order of the given columns, nulls first.
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelflow.llm.common import unused
 from parcelflow.session import materialise
 
 WORD = r"[^\p{L}\p{N}]+"
@@ -113,6 +114,7 @@ def containments(docs: DataFrame, items: DataFrame, threshold: float = 0.8, shin
 
 def clean(docs: DataFrame, items: DataFrame, threshold: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows that contain an item; all other rows and all columns stay as they are."""
-    found = containments(docs, items, threshold, shingle, id_col, text_col).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).distinct()
+    d, t = unused(docs, "leak_id"), unused(docs, "leak_hash")
+    found = containments(docs, items, threshold, shingle, id_col, text_col).select(F.col("doc_id").alias(d), F.col("text_hash").alias(t)).distinct()
     found = materialise(found, "leaks")
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("_d")) & (F.xxhash64(text_col) == F.col("_t")), "left_anti")
+    return docs.join(found, F.col(id_col).eqNullSafe(F.col(d)) & (F.xxhash64(text_col) == F.col(t)), "left_anti")

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import byte_column, give_back, releasing, slices
+from parcelflow.llm.common import byte_column, give_back, releasing, slices, unused
 from parcelflow.session import materialise
 
 OWN = 0x110000  # code points; each may have a code of its own
@@ -32,6 +32,7 @@ BLOCK_BYTES = 1 << 24
 FILTER_BITS = 1 << 20  # size of the filter of trusted ids, whatever their number
 BANDS = (128, 512)  # lengths in characters at which a new band of thresholds begins
 STEPS = 1000  # steps of a threshold per bit
+GRID = 200  # steps of a distance per factor of e, so that a language has a bounded number of different ones
 ABOVE = 3  # rows that must lie above a rank for a quantile to be read there
 
 
@@ -304,6 +305,14 @@ def _defined(share: float) -> int:
     return math.ceil(round(ABOVE / max(1 - share, 1e-9), 6))
 
 
+def _gridded(distance):
+    """A distance rounded up to a grid whose steps are 1 near zero and grow in proportion."""
+    size = F.abs(distance)
+    at = F.log1p(size) * GRID
+    up = F.when(distance >= 0, F.ceil(at)).otherwise(F.floor(at))  # up is away from zero above it, towards zero below
+    return F.when(distance >= 0, F.ceil(F.expm1(up / GRID))).otherwise(-F.floor(F.expm1(up / GRID))).cast("bigint")
+
+
 def _beside(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
     """rows with the other columns of found(keys, ...), whose keys are unique; null keys match."""
     renamed = materialise(found, "found").withColumnsRenamed({k: f"_{k}" for k in keys})
@@ -319,14 +328,14 @@ def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float, least: in
     the language's median step and `rise` the quantile of its rows' distances from it times that root, shrunk towards that
     of all languages' distances, each from its own centre, as if `least` such rows were added. Only other languages take
     the quantile over all languages of the band, or over all rows if the band has fewer than `least`.
-    Counts per step make the quantiles bounded: no group is gathered.
+    Steps and distances are counted on grids of bounded size before they are ranked: no group is gathered.
     """
     kept_out = scored.join(trusted.filter(held_out("doc_id")), "doc_id", "left_semi").filter("n_chars > 0")
     sample = materialise(kept_out.select("lang", "band", "step", "n_chars"), "sample")
     counted = materialise(sample.groupBy("lang", "band", "step").agg(F.count(F.lit(1)).alias("n")), "steps")
     places = materialise(scored.filter("n_chars > 0").select("lang", "band").distinct(), "places")
     centred = _beside(sample, _quantile(counted, ["lang"], "step", 0.5, "centre").drop("n"), ["lang"])
-    distance = F.ceil((F.col("step") - F.col("centre")) * F.sqrt("n_chars")).cast("bigint")
+    distance = _gridded((F.col("step") - F.col("centre")) * F.sqrt("n_chars"))
     distances = materialise(centred.groupBy("lang", "centre", distance.alias("distance")).agg(F.count(F.lit(1)).alias("n")), "distances")
     every = _quantile(distances, [], "distance", quantile, "rise").first()
     weight = F.when(F.col("n") >= 4 * ABOVE, F.col("n")).otherwise(0)  # fewer rows tell a centre, but no tail
@@ -366,9 +375,10 @@ def judge(docs: DataFrame, labels: DataFrame, order: int = 4, quantile: float =
     )
 
 
-def keep(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
+def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **how) -> DataFrame:
     """docs without the rows that judge rejects; all columns stay as they are."""
-    gone = judge(docs, labels, **how).filter(~F.col("keep")).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), F.col("lang").alias("_l")).distinct()
-    gone = materialise(gone, "rejected")
-    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col("_d")) & (F.xxhash64(docs["text"].cast("binary")) == F.col("_t")) & docs["lang"].eqNullSafe(F.col("_l"))
+    d, t, of = (unused(docs, c) for c in ("rejected_id", "rejected_hash", "rejected_lang"))
+    judged = judge(docs, labels, id_col=id_col, text_col=text_col, lang_col=lang_col, **how).filter(~F.col("keep"))
+    gone = materialise(judged.select(F.col("doc_id").alias(d), F.col("text_hash").alias(t), F.col("lang").alias(of)).distinct(), "rejected")
+    same = F.col(id_col).cast("bigint").eqNullSafe(F.col(d)) & (F.xxhash64(F.col(text_col).cast("binary")) == F.col(t)) & F.col(lang_col).cast("string").eqNullSafe(F.col(of))
     return docs.join(gone, same, "left_anti")

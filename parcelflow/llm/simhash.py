@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import byte_column, components, partitions, releasing, slices, text_batches
+from parcelflow.llm.common import byte_column, components, every_column, partitions, releasing, slices, text_batches, unused
 from parcelflow.session import materialise
 
 BITS = 64
@@ -252,11 +252,12 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, most: int = 200
 
     All columns stay as they are. docs must be a stored table, since it is read twice and rows are told apart by their place.
     """
-    placed = docs.withColumn("_row", F.monotonically_increasing_id())
-    prints = fingerprints(placed.select(F.col("_row").alias("doc_id"), F.col(text_col).alias("text")), shingle)
-    named = placed.select(F.col("_row").alias("doc_id"), F.col(id_col).alias("_id"))
+    row, place = unused(docs, "row"), F.monotonically_increasing_id()
+    placed = docs.select(*every_column(docs), place.alias(row))
+    prints = fingerprints(docs.select(place.alias("doc_id"), F.col(text_col).alias("text")), shingle)
+    named = docs.select(place.alias("doc_id"), F.col(id_col).alias("_id"))
     groups_ = materialise(groups(_stored(prints), radius, most).select("doc_id", "component_id").join(named, "doc_id"), "groups")
     first = groups_.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "doc_id")).alias("first"))
     kept = first.select("component_id", F.col("first.doc_id").alias("doc_id"))
-    gone = materialise(groups_.join(kept, ["component_id", "doc_id"], "left_anti").select(F.col("doc_id").alias("_row")), "gone")
-    return placed.join(gone, "_row", "left_anti").select(*docs.columns)
+    gone = materialise(groups_.join(kept, ["component_id", "doc_id"], "left_anti").select(F.col("doc_id").alias(row)), "gone")
+    return placed.join(gone, row, "left_anti").select(*every_column(docs))

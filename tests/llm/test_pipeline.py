@@ -1,8 +1,10 @@
 """Every stage of the pipeline on its own input, against a plain version."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from parcelflow.llm import quality
 from parcelflow.session import materialise
 from test_decontaminate import brute as contained
 from test_packing import sound
@@ -73,3 +75,33 @@ def test_edge_rows_pass_through_all_stages(spark, docs, tmp_path):
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"{folder}/{t}.parquet").limit(0).write.parquet(f"{empty}/{t}.parquet")
     assert corpus_pipeline.run(spark, empty).collect() == []
+
+
+def test_columns_of_any_name_pass_unchanged(spark, docs, tmp_path):
+    """Every filtering stage returns extra columns as they were, whatever they are called."""
+    good = "the house is in the town and the people of the town are in the house " * 4
+    extra = {"_row": 9, "row": 8, "_d": 7, "_t": 6, "_l": 5, "_id": 4, "_text": 3, "score": 2, "Lang_Pred": 1, "a.b": 0, "leak_id": 11, "rejected_id": 12, "group": 13}
+    table = docs([(i, f"{good} {i} {'word ' * (i % 9)}", "en", "s", 1) for i in range(20)])
+    for name, value in extra.items():
+        table = table.withColumn(name, F.lit(value) + F.col("doc_id"))
+    folder = f"{tmp_path}/in"
+    table.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, "quite another text that no document holds")], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    given = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, given, folder)
+        assert left.columns == given.columns, name
+        rows = left.collect()
+        assert rows and all(r[n] == v + r["doc_id"] for r in rows for n, v in extra.items()), name
+    assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+def test_quality_reads_columns_of_other_names(spark, docs):
+    good = "the house is in the town and the people of the town are in the house " * 4
+    table = docs([(i, f"{good} {i}", "en", "s", 1) for i in range(20)] + [(50, None, "en", "s", 1)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id bigint, quality int, toxic int")
+    stored = materialise(table.withColumnsRenamed({"doc_id": "id", "text": "body", "lang": "tongue"}), "renamed")
+    got = quality.keep(stored, labels, id_col="id", text_col="body", lang_col="tongue")
+    want = quality.keep(materialise(table, "plain"), labels)
+    assert sorted(r["id"] for r in got.collect()) == sorted(r["doc_id"] for r in want.collect()) != []
