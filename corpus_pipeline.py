@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.llm import decontaminate, langid, packing, quality, simhash
+from parcelflow.llm.common import every_column
 from parcelflow.session import materialise
 
 MIN_LANGUAGE_SCORE = 0.5
@@ -14,8 +15,9 @@ MIN_LANGUAGE_SCORE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised: texts without letters and uncertain ones go."""
-    found = langid.predict(docs.withColumn("_text", F.col("text")), langid.train(docs), text_col="_text")
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    whole = docs.select(F.struct(*every_column(docs)).alias("row"), F.col("text").alias("text"))
+    found = langid.predict(whole, langid.train(docs))
+    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("row.*")
 
 
 def clean_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
