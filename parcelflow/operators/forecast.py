@@ -8,16 +8,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow import fixed_values as fv
 from parcelflow.functions import dates, numeric
-from parcelflow.operators import aggregates, impute, panel
+from parcelflow.operators import aggregates, impute, linear, panel
+from parcelflow.session import materialise
 
 Forecaster = Callable[[DataFrame, str, str, str, int], DataFrame]
 
 _EPOCH = "2000-01-01"
+ROWS_PER_FEATURE = 10
 
 
 def gridded(series: DataFrame, key: str, month: str, price: str) -> DataFrame:
@@ -61,7 +63,57 @@ def custom(fn: Callable[[pd.DataFrame], pd.DataFrame], key_type: str = "string")
     return run
 
 
-FORECASTERS: dict[str, Forecaster] = {"trend": trend, "seasonal_naive": seasonal_naive}
+def panel_regression(covariates: list[str] = (), lags: int = 2, ridge: float = 0.01) -> Forecaster:
+    """Forecaster from one regression over all series: a month's log return on the returns of the months before it and on
+    covariates of the month before, such as shares and market moves.
+
+    The regression is least squares on sums over all rows, so series are read once however many there are, with a light ridge that settles it when
+    features are alike; fewer than ROWS_PER_FEATURE rows for each feature tell nothing, and prices stay. Each step ahead uses
+    the predicted returns as lags; covariates stay at each series' last known values. Rows that lack any feature are not fitted on; a series
+    without a known return or covariate goes on from 0 there. Months of a series are taken in order, gaps do not count.
+    """
+
+    def run(series: DataFrame, key: str, month: str, price: str, steps: int = fv.HORIZON) -> DataFrame:
+        w = Window.partitionBy(key).orderBy(month)
+        known = series.where(F.col(price).isNotNull()).select(
+            F.col(key).alias("_key"), F.col(month).alias("_month"), numeric.log_price(F.col(price)).alias("_lp"),
+            *(F.last(F.col(c).cast("double"), True).over(w).alias(f"_x{i}") for i, c in enumerate(covariates)))
+        own = Window.partitionBy("_key").orderBy("_month")
+        rows = known.withColumn("_r", F.col("_lp") - F.lag("_lp").over(own))
+        features = [F.lag("_r", k).over(own) for k in range(1, lags + 1)] + [F.lag(f"_x{i}").over(own) for i in range(len(covariates))]
+        rows = rows.withColumns({f"_f{i}": f for i, f in enumerate(features)})
+        entries = F.array(*(F.struct(F.lit(i).alias("slot"), F.col(f"_f{i}").alias("x")) for i in range(len(features))))
+        fitted = rows.dropna(subset=["_r", *(f"_f{i}" for i in range(len(features)))])
+        fitted = fitted.select(F.lit(0).alias("_all"), F.lit(0).alias("_fold"), "_r", entries.alias("_entries"))
+        sums = materialise(linear.sums_of_products(fitted, "_all", "_fold", "_r"), "panel-sums")
+        enough = F.coalesce(sums.where((F.col("i") == linear.ONE) & (F.col("j") == linear.ONE)).agg(F.max("s")).scalar() >= ROWS_PER_FEATURE * len(features), F.lit(False))
+        fits = linear.fits(sums, "_all", "_fold", [{"regParam": ridge, "elasticNetParam": 0.0}], 1)
+        model = materialise(fits.where(F.col("_fold") == linear.ALL_FOLDS).select(F.struct("intercept", "coefficients").alias("m")), "panel-fit").scalar()
+
+        past = F.array(F.coalesce("_r", F.lit(0.0)), *(F.coalesce(f"_f{i}", F.lit(0.0)) for i in range(lags - 1)))
+        state = F.struct("_lp", past.alias("past"), F.array(*(F.coalesce(f"_x{i}", F.lit(0.0)) for i in range(len(covariates))) or [F.lit(0.0)]).alias("x"))
+        last = rows.groupBy("_key").agg(F.max("_month").alias("_last"), F.max_by(state, "_month").alias("_s")).withColumn("_m", F.when(enough, model))
+        weight = lambda i: F.coalesce(F.col("_m.coefficients")[i], F.lit(0.0))
+        fixed = F.coalesce("_m.intercept", F.lit(0.0))
+        for i in range(len(covariates)):
+            fixed = fixed + weight(lags + i) * F.col("_s.x")[i]
+
+        def step(acc, _):
+            r = F.col("_fixed")
+            for k in range(lags):
+                r = r + weight(k) * acc["past"][k]
+            now = acc["lp"] + r
+            return F.struct(now.alias("lp"), F.concat(F.array(r), F.slice(acc["past"], 1, lags - 1)).alias("past"), F.concat(acc["path"], F.array(now)).alias("path"))
+
+        start = F.struct(F.col("_s._lp").alias("lp"), F.col("_s.past").alias("past"), F.array().cast("array<double>").alias("path"))
+        ahead = last.withColumn("_fixed", fixed).withColumn("_path", F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda acc: acc["path"]))
+        return ahead.select("_key", "_last", F.posexplode("_path").alias("_at", "_now")).select(
+            F.col("_key").alias(key), F.add_months("_last", F.col("_at") + 1).alias(month), F.exp("_now").alias("prediction"))
+
+    return run
+
+
+FORECASTERS: dict[str, Forecaster] = {"trend": trend, "seasonal_naive": seasonal_naive, "panel_regression": panel_regression()}
 
 
 def _forecaster(method: str | Forecaster) -> Forecaster:

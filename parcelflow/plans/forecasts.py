@@ -7,11 +7,13 @@ from parcelflow.operators import aggregates, events as ev
 from parcelflow.operators import filters, forecast, impute, joins, panel, profile
 from parcelflow.plans.events import month_scores, score_sql
 from parcelflow.plans.flagship import FLAGSHIP_CTES, area_month_panel
+from parcelflow.plans.joins import ASSETS, CALENDAR_SQL, QUOTES_SQL, quotes
 from parcelflow.plans.registry import query
 from parcelflow.session import materialise
 from parcelflow.sources.bindings import TXN_ORDER, TXN_ORDER_SQL, TXN_SQL, transactions, view, view_sql
 
 CUT = "2001-05-01"
+SINGLE = ("trend", "seasonal_naive")  # methods that see one series at a time
 MONTH_T = "CAST((year({m}) - 2000) * 12 + month({m}) - 1 AS double)"
 
 
@@ -61,12 +63,77 @@ FROM both_m JOIN lastp USING (area_name_en)""")
 def fc_panel_forecast(spark, sf_dir):
     series = materialise(forecast.gridded(area_panel(spark, sf_dir), "area_name_en", "month", "monthly_price"), "grid")
     out = None
-    for method in forecast.FORECASTERS:
+    for method in SINGLE:
         one = forecast.forecast(series, "area_name_en", "month", "monthly_price", 6, method).withColumn("method", F.lit(method))
         out = one if out is None else out.unionByName(one)
     return out.withColumns({"prediction": F.round("prediction", 4), "predicted_mom_growth_pct": F.round("predicted_mom_growth_pct", 6)})
 
 
+def regression_sql(source):
+    """One regression over all rows of source(area_name_en, month, monthly_price, share, move): log return on the return, share and move of the month before, rolled on for six months."""
+    x = ("f1", "f2", "f3")
+    cov = {(a, b): f"(sum({a} * {b}) / count(*) - avg({a}) * avg({b}))" + (" * (1 + 0.01e0 / stddev_pop(r))" if a == b else "") for i, a in enumerate(x) for b in (*x[i:], "r")}
+    c = lambda a, b: cov[min(a, b), max(a, b)] if b != "r" else cov[a, b]
+
+    def det(m):
+        (p, q, r), (s, t, u), (v, w, z) = m
+        return f"({p} * ({t} * {z} - {u} * {w}) - {q} * ({s} * {z} - {u} * {v}) + {r} * ({s} * {w} - {t} * {v}))"
+
+    names = {(a, b): f"c_{a}_{b}" for a in x for b in (*x, "r")}
+    whole = [[names[a, b] for b in x] for a in x]
+    solved = [det([[names[a, "r"] if j == k else whole[i][j] for j in range(3)] for i, a in enumerate(x)]) for k in range(3)]
+    return f"""known AS (SELECT area_name_en, month, monthly_price, last_value(share IGNORE NULLS) OVER w AS share, last_value(move IGNORE NULLS) OVER w AS move FROM {source} WHERE monthly_price IS NOT NULL WINDOW w AS (PARTITION BY area_name_en ORDER BY month)),
+moves AS (SELECT *, ln(greatest(monthly_price, 1e-9)) AS lp, ln(greatest(monthly_price, 1e-9)) - lag(ln(greatest(monthly_price, 1e-9))) OVER w AS r FROM known WINDOW w AS (PARTITION BY area_name_en ORDER BY month)),
+lagged AS (SELECT *, lag(r) OVER w AS f1, lag(share) OVER w AS f2, lag(move) OVER w AS f3 FROM moves WINDOW w AS (PARTITION BY area_name_en ORDER BY month)),
+covs AS (SELECT count(*) AS n, avg(r) AS mr, avg(f1) AS m1, avg(f2) AS m2, avg(f3) AS m3, {", ".join(f"{c(a, b)} AS {n}" for (a, b), n in names.items())} FROM lagged WHERE r IS NOT NULL AND f1 IS NOT NULL AND f2 IS NOT NULL AND f3 IS NOT NULL),
+slopes AS (SELECT *, {", ".join(f"{s} / {det(whole)} AS b{k + 1}" for k, s in enumerate(solved))} FROM covs),
+solved AS (SELECT CASE WHEN n >= 30 THEN b1 ELSE 0 END AS b1, CASE WHEN n >= 30 THEN b2 ELSE 0 END AS b2, CASE WHEN n >= 30 THEN b3 ELSE 0 END AS b3, n, mr, m1, m2, m3 FROM slopes),
+coefs AS (SELECT b1, b2, b3, CASE WHEN n >= 30 THEN mr - b1 * m1 - b2 * m2 - b3 * m3 ELSE 0 END AS b0 FROM solved),
+ends AS (SELECT area_name_en, max(month) AS lastm, arg_max(lp, month) AS lp, coalesce(arg_max(r, month), 0) AS r, coalesce(arg_max(share, month), 0) AS share, coalesce(arg_max(move, month), 0) AS move FROM moves GROUP BY 1),
+roll AS (SELECT area_name_en, lastm, 0 AS step, lp, r, b0 + b2 * share + b3 * move AS fixed, b1 FROM ends, coefs
+  UNION ALL SELECT area_name_en, lastm, step + 1, lp + fixed + b1 * r, fixed + b1 * r, fixed, b1 FROM roll WHERE step < 6),
+regressed AS (SELECT area_name_en, CAST(lastm + to_months(CAST(step AS int)) AS DATE) AS month, exp(lp) AS prediction FROM roll WHERE step > 0)"""
+
+
+COVARIATE_SQL = f"""{TXN_SQL}, {QUOTES_SQL}, {CALENDAR_SQL},
+monthly AS (SELECT area_name_en, CAST(date_trunc('month', instance_date) AS DATE) AS month, median(meter_sale_price) AS monthly_price, avg(has_parking) AS share, median(oil_close) AS oil_close
+  FROM txn JOIN calendar ON CAST(instance_date AS DATE) = date GROUP BY 1, 2),
+series AS (SELECT area_name_en, month, monthly_price, share, oil_close / lag(oil_close) OVER (PARTITION BY area_name_en ORDER BY month) - 1 AS move FROM monthly)"""
+
+
+def covariate_panel(spark, sf_dir):
+    """Monthly prices with the share of units with parking and the change of the oil price."""
+    facts = transactions(spark, sf_dir, "area_name_en", "instance_date", "meter_sale_price", "has_parking")
+    facts = joins.on_calendar(facts, "instance_date", joins.asset_calendar(quotes(spark, sf_dir), ASSETS))
+    rows = panel.month_panel(facts, flags=["has_parking"], closes=["oil_close"])
+    rows = rows.withColumn("oil_return", panel.pct_change("oil_close", panel.by_month()))
+    return materialise(rows.select("area_name_en", "month", "monthly_price", "pct_has_parking", "oil_return"), "panel")
+
+
+REGRESSION = forecast.panel_regression(["pct_has_parking", "oil_return"], lags=1)
+
+
+@query("fc_covariate_forecast", ctes="RECURSIVE " + COVARIATE_SQL + ", " + regression_sql("series"), sql="SELECT area_name_en, month, round(prediction, 3) AS prediction FROM regressed")
+def fc_covariate_forecast(spark, sf_dir):
+    """Six months ahead by one regression over all areas on lagged returns, a share and a market move."""
+    ahead = forecast.forecast(covariate_panel(spark, sf_dir), "area_name_en", "month", "monthly_price", 6, REGRESSION)
+    return ahead.select("area_name_en", "month", F.round("prediction", 3).alias("prediction"))
+
+
+@query("fc_covariate_backtest", ctes="RECURSIVE " + COVARIATE_SQL + f""",
+lastm AS (SELECT max(month) AS m FROM series),
+marked AS (SELECT series.*, month > m - INTERVAL 6 MONTH AS test FROM series, lastm),
+usable AS (SELECT * FROM marked WHERE area_name_en IN (SELECT area_name_en FROM marked WHERE test GROUP BY 1 HAVING count(*) = 6)),
+train AS (SELECT * FROM usable WHERE NOT test),
+{regression_sql("train")}""", sql="""
+SELECT u.area_name_en, count(*) AS n, round(avg((monthly_price - prediction) ** 2), 2) AS mse, round(avg(abs(monthly_price - prediction)), 3) AS mae, round(avg(abs(monthly_price - prediction) / abs(monthly_price)), 6) AS mape
+FROM usable u JOIN regressed USING (area_name_en, month) WHERE test GROUP BY 1""")
+def fc_covariate_backtest(spark, sf_dir):
+    """Errors of the last six months by a regression that sees the months before them only."""
+    found = forecast.backtest(covariate_panel(spark, sf_dir), "area_name_en", "month", "monthly_price", 6, REGRESSION)
+    return found.select("area_name_en", "n", F.round("mse", 2).alias("mse"), F.round("mae", 3).alias("mae"), F.round("mape", 6).alias("mape"))
+
+
 BACKTEST_SQL = f"""{PANEL_SQL},
 lastm AS (SELECT max(month) AS m FROM series),
 marked AS (SELECT area_name_en, month, monthly_price, month > m - INTERVAL 6 MONTH AS test FROM series, lastm),
@@ -86,7 +153,7 @@ ROUNDED = ", ".join(f"round({c}, 4) AS {c}" for c in METRICS)
 def backtests(spark, sf_dir):
     series = area_panel(spark, sf_dir)
     out = None
-    for method in forecast.FORECASTERS:
+    for method in SINGLE:
         one = forecast.backtest(series, "area_name_en", "month", "monthly_price", 6, method).withColumn("algorithm", F.lit(method))
         out = one if out is None else out.unionByName(one)
     return out

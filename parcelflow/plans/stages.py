@@ -3,12 +3,12 @@
 from pyspark.sql import functions as F
 
 from parcelflow import fixed_values as fv
-from parcelflow.operators import stages
+from parcelflow.operators import forecast, stages
 from parcelflow.plans.aggregates import TRIM_SQL
 from parcelflow.plans.filters import KEYS, quoted
 from parcelflow.plans.joins import ASSETS, MEMBERS_SQL, QUOTES_SQL, members, quotes
 from parcelflow.plans.events import IMPUTED, channels, sensitivity
-from parcelflow.plans.forecasts import BACKTEST_SQL, FORECAST_SQL, NEWS_SQL, area_forecast, area_panel
+from parcelflow.plans.forecasts import BACKTEST_SQL, FORECAST_SQL, NEWS_SQL, SINGLE, area_forecast, area_panel
 from parcelflow.plans.registry import query
 from parcelflow.plans.texts import LINK_KEY_SQL, RULE_SQL
 from parcelflow.sources.bindings import TXN_ORDER, TXN_ORDER_SQL, TXN_SQL, transactions, view, view_sql
@@ -144,7 +144,7 @@ ahead AS (WITH {FORECAST_SQL} SELECT method, area_name_en, month, prediction FRO
 SELECT area_name_en, month, method AS algorithm, round(prediction, 4) AS predictions, round(mape, 4) AS mape FROM ahead LEFT JOIN best USING (area_name_en) WHERE method = coalesce(algorithm, 'trend')""")
 def stage_forecast(spark, sf_dir):
     """Every area continued by the method that did best on its held-out months."""
-    ahead, best = stages.area_forecasts(area_panel(spark, sf_dir))
+    ahead, best = stages.area_forecasts(area_panel(spark, sf_dir), {m: forecast.FORECASTERS[m] for m in SINGLE})
     rows = ahead.join(best.select("area_name_en", "mape"), "area_name_en", "left")
     return rows.select("area_name_en", "month", "algorithm", F.round("predictions", 4).alias("predictions"), F.round("mape", 4).alias("mape"))
 
