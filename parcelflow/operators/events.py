@@ -13,14 +13,34 @@ from parcelflow.operators.quantiles import bounded_quantile
 from parcelflow.session import materialise
 
 
+_CORRUPT = "_corrupt_record"
+
+
+def read_documents(docs: DataFrame, doc: str) -> DataFrame:
+    """docs with the parsed document `_d` and `_reason`: why it cannot be read (missing, empty, malformed) or is not wanted (irrelevant), else null."""
+    schema = f"{schemas.EVENT_DOCUMENT}, {_CORRUPT} string"
+    parsed = docs.withColumn("_d", F.from_json(F.col(doc), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}))
+    reason = (
+        F.when(F.col(doc).isNull(), "missing").when(F.trim(F.col(doc)) == "", "empty").when(F.col(f"_d.{_CORRUPT}").isNotNull(), "malformed")
+        .when(~F.coalesce(F.col("_d.has_relevant_event"), F.lit(False)), "irrelevant")
+    )
+    return parsed.withColumn("_reason", reason)
+
+
+def document_rejects(docs: DataFrame, doc: str, article: str) -> DataFrame:
+    """(article_id, doc, reason) of event documents that cannot be read; those without a relevant event are no rejects."""
+    broken = read_documents(docs, doc).where(F.col("_reason").isNotNull() & (F.col("_reason") != "irrelevant"))
+    return broken.select(F.col(article).cast("string").alias("article_id"), F.col(doc).alias("doc"), F.col("_reason").alias("reason"))
+
+
 def parse_documents(docs: DataFrame, doc: str, article: str, date: str, title: str) -> DataFrame:
     """Event documents (JSON) with absent fields taken from the row; only those with a relevant event.
 
-    Unreadable documents carry no relevant event and drop out. The event code is the first event's.
+    Unreadable documents drop out here; document_rejects has them. The event code is the first event's.
     """
-    parsed = docs.withColumn("_d", F.from_json(F.col(doc), schemas.EVENT_DOCUMENT, {"mode": "PERMISSIVE"}))
+    parsed = read_documents(docs, doc)
     events = F.coalesce(F.col("_d.events"), F.array().cast(parsed.schema["_d"].dataType["events"].dataType))
-    out = parsed.where(F.coalesce(F.col("_d.has_relevant_event"), F.lit(False))).select(
+    out = parsed.where(F.col("_reason").isNull()).select(
         F.coalesce(F.col("_d.article_id"), F.col(article).cast("string")).alias("article_id"),
         F.coalesce(F.col("_d.published_date"), F.col(date).cast("string")).try_cast("date").alias("published_date"),
         F.coalesce(F.col("_d.title"), F.col(title)).alias("title"),

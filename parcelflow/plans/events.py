@@ -125,6 +125,12 @@ SELECT CASE WHEN article_id % 4 = 1 THEN concat('A', CAST(article_id AS string))
 FROM news WHERE article_id % 7 <> 3 AND article_id % 10 <> 7 AND article_id % 11 <> 5""")
 def json_event_parse(spark, sf_dir):
     """Documents with missing keys, empty event lists, irrelevant ones and broken ones."""
+    return ev.parse_documents(_documents(spark, sf_dir), "doc", "article_id", "published_date", "title").select(
+        "article_id", "published_date", "title", "event_code", F.size("events").alias("n_events")
+    )
+
+
+def _documents(spark, sf_dir):
     i = F.col("article_id")
     event = F.concat(F.lit('{"event_code": "'), "event_code", F.lit('", "confidence": 0.5, "countries": ["AE"]}'))
     listed = F.when(i % 9 == 4, "[]").when(i % 9 == 5, F.concat(F.lit("["), event, F.lit(', {"event_code": "second"}]'))).otherwise(F.concat(F.lit("["), event, F.lit("]")))
@@ -134,10 +140,14 @@ def json_event_parse(spark, sf_dir):
         F.when(i % 7 == 3, '"has_relevant_event": false, ').when(i % 10 == 7, "").otherwise('"has_relevant_event": true, '),
         F.lit('"events": '), listed, F.when(i % 11 == 5, "").otherwise("}"),
     )
-    docs = view(spark, sf_dir, "news").withColumn("doc", doc)
-    return ev.parse_documents(docs, "doc", "article_id", "published_date", "title").select(
-        "article_id", "published_date", "title", "event_code", F.size("events").alias("n_events")
-    )
+    return view(spark, sf_dir, "news").withColumn("doc", doc)
+
+
+@query("json_event_rejects", ctes=view_sql("news"), sql="""
+SELECT CAST(article_id AS string) AS article_id, 'malformed' AS reason FROM news WHERE article_id % 11 = 5""")
+def json_event_rejects(spark, sf_dir):
+    """Event documents that cannot be read, for the reject table."""
+    return ev.document_rejects(_documents(spark, sf_dir), "doc", "article_id").select("article_id", "reason")
 
 
 @query("arr_driver_snapshot", ctes=score_sql("month"), sql="""

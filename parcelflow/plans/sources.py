@@ -83,7 +83,7 @@ tagged AS (SELECT *, concat(' ', lower(concat(CASE doc_id % 4 WHEN 0 THEN 'Doha
   CAST(doc_id AS string), ' ', body)), ' ') AS t FROM bodies)"""
 
 
-def _feed_bodies(spark, sf_dir):
+def _feed_bodies(spark, sf_dir, *more):
     """One feed document per text, with markup characters escaped as a feed would carry them."""
     docs = table(spark, sf_dir, "documents")
     plain = F.regexp_replace(F.regexp_replace("text", "[^ -~]+", " "), " +", " ")
@@ -96,7 +96,7 @@ def _feed_bodies(spark, sf_dir):
         F.lit("</description><pubDate>"), date, F.lit("</pubDate></item></channel></rss>"),
     )
     source = F.when(F.col("doc_id") % 9 == 0, "Khaleej Times").otherwise(F.col("source"))
-    return docs.select(source.alias("source"), body.alias("body"))
+    return docs.select(source.alias("source"), body.alias("body"), *more)
 
 
 @query("scan_feed_items", ctes=FEED_SQL, sql=r"""
@@ -113,6 +113,23 @@ def scan_feed_items(spark, sf_dir):
     return items.drop("country").join(day, "title")
 
 
+def _some_broken(bodies):
+    """Feed documents of which some are cut off, empty, missing, or no feed at all."""
+    kind = F.col("doc_id") % 13
+    cut = F.substr("body", F.lit(1), F.length("body") - 8)
+    body = F.when(kind == 1, cut).when(kind == 2, F.lit(None)).when(kind == 3, "  ").when(kind == 4, "<rss><other/></rss>")
+    return bodies.select("source", body.when(kind == 5, "<rss><channel><title>no items</title></channel></rss>").otherwise(F.col("body")).alias("body"))
+
+
+@query("scan_feed_rejects", ctes=FEED_SQL, sql="""
+SELECT source, CASE doc_id % 13 WHEN 1 THEN 'malformed' WHEN 2 THEN 'missing' WHEN 3 THEN 'empty' WHEN 4 THEN 'no channel' END AS reason,
+  count(*) AS documents, CAST(count(*) FILTER (WHERE doc_id % 13 NOT IN (1, 2, 3, 4, 5)) AS bigint) AS items FROM bodies GROUP BY 1, 2""")
+def scan_feed_rejects(spark, sf_dir):
+    """What came in by source and fate: items of readable documents, and documents that went to the reject table."""
+    documents = readers.feed_documents(_some_broken(_feed_bodies(spark, sf_dir, "doc_id")), "body", "source")
+    return readers.feed_counts(documents)
+
+
 @query("scan_with_fallback", sql="SELECT s_suppkey AS developer_id, s_name AS developer_name_en FROM supplier")
 def scan_with_fallback(spark, sf_dir):
     """The first root was never written, so its archive is read."""

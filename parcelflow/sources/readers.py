@@ -40,11 +40,43 @@ def read_channel_map(spark: SparkSession, path: str) -> DataFrame:
     return outer.select("key", F.explode("channels").alias("channel", "weight"))
 
 
-def feed_items(bodies: DataFrame, body: str, source: str) -> DataFrame:
-    """Raw feed documents to one row per item, texts stripped, absent texts ''."""
-    parsed = bodies.select(
-        F.col(source).alias("source"), F.explode(F.from_xml(F.col(body), schemas.FEED)["channel"]["item"]).alias("item")
+_CORRUPT = "_corrupt_record"
+
+
+def feed_documents(bodies: DataFrame, body: str, source: str) -> DataFrame:
+    """(source, body, items, reason) of raw feed documents, each read once.
+
+    reason tells why a document cannot be read (missing, empty, malformed, no channel) and is null for all others; a readable feed may hold no items.
+    """
+    schema = f"{schemas.FEED}, {_CORRUPT} string"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    parsed = bodies.select(F.col(source).alias("source"), F.col(body).alias("body"), F.from_xml(F.col(body), schema, options).alias("_feed"))
+    reason = (
+        F.when(F.col("body").isNull(), "missing").when(F.trim("body") == "", "empty").when(F.col(f"_feed.{_CORRUPT}").isNotNull(), "malformed")
+        .when(F.col("_feed.channel").isNull(), "no channel")
     )
+    return parsed.select("source", "body", F.col("_feed.channel.item").alias("items"), reason.alias("reason"))
+
+
+def feed_rejects(documents: DataFrame) -> DataFrame:
+    """(source, body, reason) of the documents that could not be read, whole, for a reject table."""
+    return documents.where(F.col("reason").isNotNull()).select("source", "body", "reason")
+
+
+def feed_counts(documents: DataFrame) -> DataFrame:
+    """Per source and reason (null: read) the documents and their items, so that what came in can be held against what went on."""
+    size = F.when(F.col("reason").isNull(), F.coalesce(F.size("items"), F.lit(0))).otherwise(0)
+    return documents.groupBy("source", "reason").agg(F.count("*").alias("documents"), F.sum(size).alias("items"))
+
+
+def feed_items(bodies: DataFrame, body: str, source: str) -> DataFrame:
+    """Raw feed documents to one row per item, texts stripped, absent texts ''. Unreadable documents have none; see feed_rejects."""
+    return items_of(feed_documents(bodies, body, source))
+
+
+def items_of(documents: DataFrame) -> DataFrame:
+    """The items of readable documents as feed_items returns them."""
+    parsed = documents.where(F.col("reason").isNull()).select("source", F.explode("items").alias("item"))
     fields = {"title": "title", "link": "link", "snippet": "description", "published_date": "pubDate", "category": "category"}
     clean = [F.coalesce(text.strip(F.col(f"item.{tag}")), F.lit("")).alias(name) for name, tag in fields.items()]
     items = parsed.select("source", *clean)
