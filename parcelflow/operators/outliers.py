@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from parcelflow import fixed_values as fv
@@ -18,22 +18,36 @@ def trim_by_group(
 
     Rows without a group are dropped; rows without a value survive only in the small groups.
     """
+    return _within_group(df, _group_bounds(df, group, value, low, high, max_group_rows), group, value, min_rows)
+
+
+def _group_bounds(df: DataFrame, group: str, value: str, low: float, high: float, max_group_rows: int | None) -> DataFrame:
     specs = {"_lo": (value, low), "_hi": (value, high)}
-    bounds = group_quantiles(df, [group], specs, (), max_group_rows, {"_n": value})
+    return materialise(group_quantiles(df, [group], specs, (), max_group_rows, {"_n": value}), "bounds")
+
+
+def _within_group(df: DataFrame, bounds: DataFrame, group: str, value: str, min_rows: int) -> DataFrame:
     inside = (F.col("_n") < min_rows) | F.col(value).between(F.col("_lo"), F.col("_hi"))
-    return df.join(materialise(bounds, "bounds"), group).where(inside).select(*df.columns)
+    return df.join(bounds, group).where(inside).select(*df.columns)
 
 
 def trim_area_by_rooms(
     df: DataFrame, room: str = "rooms_en", area: str = "procedure_area", max_group_rows: int | None = None
 ) -> DataFrame:
     """Unit areas between the room type's fixed minimum (else its p5) and its p99. Rows without a room type go."""
+    return _within_rooms(df, _room_bounds(df, room, area, max_group_rows), room, area)
+
+
+def _room_bounds(df: DataFrame, room: str, area: str, max_group_rows: int | None) -> DataFrame:
     bounds = group_quantiles(df, [room], {"_lo": (area, 0.05), "_hi": (area, 0.99)}, (), max_group_rows)
     fixed = F.lit(None).cast("double")
     for label, room_id in fv.ROOM_IDS.items():
         fixed = F.when(F.col(room) == label, F.lit(float(fv.MIN_AREA_BY_ROOM_ID[room_id]))).otherwise(fixed)
-    bounds = bounds.select(room, F.coalesce(fixed, F.col("_lo")).alias("_lo"), "_hi")
-    return df.join(materialise(bounds, "bounds"), room).where(F.col(area).between(F.col("_lo"), F.col("_hi"))).select(*df.columns)
+    return materialise(bounds.select(room, F.coalesce(fixed, F.col("_lo")).alias("_lo"), "_hi"), "bounds")
+
+
+def _within_rooms(df: DataFrame, bounds: DataFrame, room: str, area: str) -> DataFrame:
+    return df.join(bounds, room).where(F.col(area).between(F.col("_lo"), F.col("_hi"))).select(*df.columns)
 
 
 def trim_all(df: DataFrame) -> DataFrame:
@@ -41,14 +55,28 @@ def trim_all(df: DataFrame) -> DataFrame:
     return trim_by_group(trim_area_by_rooms(df))
 
 
-def trim_counted(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both treatments, and one row with the rows before and after each and what each removed."""
-    roomed = materialise(trim_area_by_rooms(df), "roomed")
-    trimmed = materialise(trim_by_group(roomed), "trimmed")
-    n = lambda rows: rows.agg(F.count("*")).scalar()
-    counts = df.agg(F.count("*").alias("rows_before")).withColumns({"rows_after_rooms": n(roomed), "rows_after_groups": n(trimmed)})
-    removed = {"removed_by_rooms": F.col("rows_before") - F.col("rows_after_rooms"), "removed_by_groups": F.col("rows_after_rooms") - F.col("rows_after_groups")}
-    return trimmed, counts.withColumns(removed)
+def trim_counted(
+    df: DataFrame, room: str = "rooms_en", area: str = "procedure_area", group: str = "area_name_en", value: str = "meter_sale_price",
+    low: float = 0.01, high: float = 0.99, min_rows: int = fv.MIN_TRIM_ROWS, max_group_rows: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Both treatments, and one row with the rows before and after each and what each removed.
+
+    Rows are counted inside the one write of the trimmed table, where they pass; no table is stored or read for it. Bounds
+    are small and joined without a shuffle below the broadcast threshold, so a repeated task counts once; above it, rows of a map stage that is
+    run again after a lost executor may be counted again in rows_before and rows_after_rooms.
+    """
+    seen = {name: Observation(name) for name in ("rows_before", "rows_after_rooms", "rows_after_groups")}
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        return rows.observe(seen[name], F.count(F.lit(1)).alias("n"))
+
+    by_room = _room_bounds(df, room, area, max_group_rows)
+    by_group = _group_bounds(_within_rooms(df, by_room, room, area), group, value, low, high, max_group_rows)
+    roomed = counted(_within_rooms(counted(df, "rows_before"), by_room, room, area), "rows_after_rooms")
+    trimmed = materialise(counted(_within_group(roomed, by_group, group, value, min_rows), "rows_after_groups"), "trimmed")
+    n = [int(seen[name].get["n"]) for name in seen]
+    names = [*seen, "removed_by_rooms", "removed_by_groups"]
+    return trimmed, df.sparkSession.createDataFrame([(*n, n[0] - n[1], n[1] - n[2])], ", ".join(f"{c} bigint" for c in names))
 
 
 def describe(df: DataFrame, group: str, value: str, suffix: str = "", max_group_rows: int | None = None) -> DataFrame:

@@ -1,10 +1,9 @@
 """Exact, linearly interpolated quantiles per group, safe for groups of any size.
 
-One pass over the rows counts each distinct value of each column and group; everything else works on these counts, so a value
-that fills most of a group is one row. Groups of up to `max_group_rows` distinct values go through Spark's percentile,
-which keeps one counter per distinct value in memory. Larger groups are range partitioned by value into blocks: the sums
-of the blocks tell which block holds a wanted rank, and only those blocks are ranked. That takes the same few steps for
-any data; the limit decides where a group is worked on, never its result.
+A first pass over the keys alone finds groups of more than `max_group_rows` rows. All others are one aggregate with partial
+sums: Spark's percentile, which keeps one counter per distinct value in memory, beside any further aggregates of the caller. Rows of
+larger groups are counted by value and range partitioned into blocks of bounded size: the sums of the blocks tell which
+block holds a wanted rank, and only those blocks are ranked. The limit decides where a group is worked on, never its result.
 """
 
 from __future__ import annotations
@@ -12,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelflow.session import materialise
+from parcelflow.session import input_bytes, materialise
 
 Specs = dict[str, tuple[str, float]]
 
 MAX_GROUP_ROWS = 1_000_000
+BLOCK_BYTES = 64 << 20
 _ALL = "_all_rows"
 
 
@@ -26,31 +26,32 @@ def group_quantiles(
 ) -> DataFrame:
     """One row per key with each output `name -> (column, probability)`. Null keys and null values are left out.
 
-    counts holds `name -> column` for numbers of known values; they cost nothing. extra holds further named aggregates
-    over all rows of the group; they take a pass of their own. With weight, a row stands for as many rows as that column says.
+    counts holds `name -> column` for numbers of known values; extra holds further named
+    aggregates over all rows of the group. Both come from the same pass. With weight, a row stands for as many rows as that column says.
     """
     limit = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
-    cols = sorted({c for c, _ in specs.values()} | set(counts.values()))
     src = df.dropna(subset=keys) if keys else df.withColumn(_ALL, F.lit(1))
     by = keys or [_ALL]
+    hot = _hot_groups(src, by, limit)
+    if hot is None:
+        return _in_memory(src, keys, specs, counts, extra, weight)
+    large = src.join(hot, by, "left_semi")
+    cols = sorted({c for c, _ in specs.values()} | set(counts.values()))
     entry = F.explode(F.array(*(F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols))))
-    stacked = src.select(*by, (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_n"), entry.alias("_e"))
-    counted = stacked.select(*by, "_n", "_e._c", "_e._v").groupBy(*by, "_c", "_v").agg(F.sum("_n").alias("_n"))
-    values = materialise(counted, "values")
-    if not keys:  # an empty table still has its one row
-        none = [F.lit(1).alias(_ALL), *(F.lit(x).cast(t).alias(n) for x, t, n in ((0, "int", "_c"), (None, "double", "_v"), (0, "bigint", "_n")))]
-        values = values.unionByName(df.sparkSession.range(1).select(*none))
-    hot = _hot_groups(values, by, limit)
-    cold = values if hot is None else values.join(hot, by, "left_anti")
-    out = _in_memory(cold, by, cols, specs, counts)
-    if hot is not None:
-        out = out.unionByName(_by_blocks(values.join(hot, by, "left_semi"), by, cols, specs, counts))
+    stacked = large.select(*by, _times(weight).alias("_n"), entry.alias("_e")).select(*by, "_n", "_e._c", "_e._v")
+    values = materialise(stacked.groupBy(*by, "_c", "_v").agg(F.sum("_n").alias("_n")), "values")
+    out = _by_blocks(values, by, cols, specs, counts)
     if extra:
-        more = materialise(src.groupBy(*by).agg(*extra), "extra")
-        out = out.join(more, by, "left") if not keys else out.join(more, by)
+        out = out.join(materialise(large.groupBy(*by).agg(*extra), "extra"), by)
+    if keys:
+        out = _in_memory(src.join(hot, by, "left_anti"), keys, specs, counts, extra, weight).unionByName(out)
     return out.drop(_ALL)
 
 
+def _times(weight: str | None) -> Column:
+    return (F.col(weight) if weight else F.lit(1)).cast("bigint")
+
+
 def column_quantiles(df: DataFrame, specs: Specs, extra: list[Column] = (), max_group_rows: int | None = None) -> DataFrame:
     """The same over the whole table: one row."""
     return group_quantiles(df, [], specs, extra, max_group_rows)
@@ -61,9 +62,8 @@ def bounded_quantile(c: Column | str, p: float) -> Column:
     return F.percentile(c, F.lit(p))
 
 
-def _hot_groups(values: DataFrame, keys: list[str], limit: int) -> DataFrame | None:
-    sizes = values.groupBy(*keys, "_c").agg(F.count("_v").alias("_distinct"))
-    over = sizes.where(F.col("_distinct") > limit).select(*keys).distinct()
+def _hot_groups(rows: DataFrame, keys: list[str], limit: int) -> DataFrame | None:
+    over = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit).select(*keys)
     return None if over.isEmpty() else materialise(over, "hot-groups")
 
 
@@ -72,26 +72,27 @@ def _number_known(cols: list[str], counts: dict[str, str]) -> list[Column]:
     return [F.sum(F.when(known & (F.col("_c") == cols.index(c)), F.col("_n")).otherwise(0)).alias(name) for name, c in counts.items()]
 
 
-def _in_memory(values: DataFrame, keys: list[str], cols: list[str], specs: Specs, counts: dict[str, str]) -> DataFrame:
+def _in_memory(rows: DataFrame, keys: list[str], specs: Specs, counts: dict[str, str], extra: list[Column], weight: str | None) -> DataFrame:
+    """Everything in one aggregate; without keys also an empty table has its one row."""
     probs: dict[str, list[float]] = {}
     for c, p in specs.values():
         if p not in probs.setdefault(c, []):
             probs[c].append(p)
-
-    def one(c, ps):
-        mine = F.col("_c") == cols.index(c)
-        return F.percentile(F.when(mine, F.col("_v")), F.array(*(F.lit(p) for p in ps)), F.when(mine, F.col("_n")).otherwise(0)).alias(f"_q_{c}")
-
-    agg = values.groupBy(*keys).agg(*(one(c, ps) for c, ps in probs.items()), *_number_known(cols, counts))
+    times = _times(weight)
+    repeated = [times] if weight else []
+    found = [F.percentile(F.col(c).cast("double"), F.array(*(F.lit(p) for p in ps)), *repeated).alias(f"_q_{c}") for c, ps in probs.items()]
+    known = [F.coalesce(F.sum(F.when(F.col(c).cast("double").isNotNull(), times)), F.lit(0)).alias(name) for name, c in counts.items()]
+    agg = rows.groupBy(*keys).agg(*found, *known, *extra)
     picked = {name: F.col(f"_q_{c}")[probs[c].index(p)] for name, (c, p) in specs.items()}
-    return agg.select(*keys, *(v.alias(n) for n, v in picked.items()), *counts)
+    rest = [c for c in agg.columns if c not in keys and not c.startswith("_q_") and c not in counts]
+    return agg.select(*keys, *(v.alias(n) for n, v in picked.items()), *counts, *rest)
 
 
 def _by_blocks(values: DataFrame, keys: list[str], cols: list[str], specs: Specs, counts: dict[str, str]) -> DataFrame:
     """Quantiles of large groups from the ranks of their distinct values."""
     group = [*keys, "_c"]
     known = values.where(F.col("_v").isNotNull())
-    n = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(values) // BLOCK_BYTES))
     blocked = known.repartitionByRange(n, *group, "_v").withColumn("_block", F.spark_partition_id())
     blocked = materialise(blocked, "blocks")
     sums = blocked.groupBy(*group, "_block").agg(F.sum("_n").alias("_rows"))

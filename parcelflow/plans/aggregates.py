@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from parcelflow.operators import aggregates, joins, outliers, panel
+from parcelflow.operators import aggregates, drift, joins, outliers, panel, sketches
 from parcelflow.plans.filters import KEYS
 from parcelflow.plans.flagship import FLAGSHIP_CTES, area_month_panel
 from parcelflow.plans.joins import ASSETS, CALENDAR_SQL, ENRICH_SQL, MEMBERS_SQL, QUOTES_SQL, enriched, members, quotes
@@ -76,6 +76,59 @@ def dq_outlier_pipeline(spark, sf_dir):
     return stats.select("*", *(counts.select(c).scalar().alias(c) for c in counts.columns))
 
 
+DRIFT_COLS = ["meter_sale_price", "procedure_area"]
+DRIFT_CUT = "1996-01-01"
+_DECILES = "[" + ", ".join(f"{k / 10}" for k in range(1, 10)) + "]"
+
+
+@query("dq_drift_psi", ctes=TXN_SQL + """,
+ref AS (SELECT * FROM txn WHERE instance_date < TIMESTAMP '1996-01-01'), cur AS (SELECT * FROM txn WHERE instance_date >= TIMESTAMP '1996-01-01'),
+edges AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS col, list_sort(list_distinct(quantile_cont({c}, {_DECILES}))) AS edges FROM ref" for c in DRIFT_COLS) + """),
+long_ref AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS double) AS v FROM ref" for c in DRIFT_COLS) + """),
+long_cur AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS col, CAST(date_trunc('month', instance_date) AS DATE) AS period, CAST({c} AS double) AS v FROM cur" for c in DRIFT_COLS) + """),
+n_ref AS (SELECT col, CASE WHEN v IS NULL THEN -1 ELSE len(list_filter(edges, lambda e: e < v)) END AS bucket, count(*) AS n FROM long_ref JOIN edges USING (col) GROUP BY 1, 2),
+n_cur AS (SELECT col, period, CASE WHEN v IS NULL THEN -1 ELSE len(list_filter(edges, lambda e: e < v)) END AS bucket, count(*) AS n FROM long_cur JOIN edges USING (col) GROUP BY 1, 2, 3),
+every AS (SELECT col, unnest(generate_series(-1, len(edges))) AS bucket FROM edges),
+cells AS (SELECT p.col, p.period, e.bucket, coalesce(r.n, 0) AS nr, coalesce(c.n, 0) AS nc FROM (SELECT DISTINCT col, period FROM n_cur) p JOIN every e USING (col)
+  LEFT JOIN n_ref r ON r.col = p.col AND r.bucket = e.bucket LEFT JOIN n_cur c ON c.col = p.col AND c.period = p.period AND c.bucket = e.bucket),
+shares AS (SELECT *, (nr + 0.5e0) / (sum(nr) OVER w + 0.5e0 * count(*) OVER w) AS p, (nc + 0.5e0) / (sum(nc) OVER w + 0.5e0 * count(*) OVER w) AS q FROM cells WINDOW w AS (PARTITION BY col, period))""", sql="""
+SELECT col AS "column", period, CAST(sum(nc) AS bigint) AS rows, round(sum((q - p) * ln(q / p)), 8) AS psi FROM shares GROUP BY 1, 2""")
+def dq_drift_psi(spark, sf_dir):
+    """Population stability of prices and areas per month against the years before; empty buckets count half a row."""
+    facts = transactions(spark, sf_dir, "instance_date", *DRIFT_COLS)
+    cut = F.lit(DRIFT_CUT).cast("timestamp_ntz")
+    month = F.trunc("instance_date", "MM")
+    found = drift.stability(facts.where(F.col("instance_date") < cut), facts.where(F.col("instance_date") >= cut), DRIFT_COLS, month)
+    return found.select("column", "period", "rows", F.round("psi", 8).alias("psi"))
+
+
+@query("agg_quantile_sketch", ctes=TXN_SQL, sql="SELECT area_name_en, count(meter_sale_price) AS n, true AS lo_close, true AS mid_close, true AS hi_close FROM txn GROUP BY 1 HAVING count(meter_sale_price) > 0")
+def agg_quantile_sketch(spark, sf_dir):
+    """Quantiles per area from stored sketches per area and month, and whether their ranks lie within three times the error that 99 of 100 keep."""
+    facts = transactions(spark, sf_dir, "area_name_en", "instance_date", "meter_sale_price")
+    monthly = sketches.quantile_sketches(facts.withColumn("month", F.trunc("instance_date", "MM")), ["area_name_en", "month"], "meter_sale_price")
+    probabilities = {"lo": 0.01, "mid": 0.5, "hi": 0.99}
+    found = materialise(sketches.rolled_up_quantiles(materialise(monthly, "sketches"), ["area_name_en"], probabilities), "rolled")
+    value = F.col("meter_sale_price")
+    placed = facts.join(found, "area_name_en").groupBy("area_name_en", "n").agg(*(
+        F.struct(F.count_if(value < F.col(c)).alias("below"), F.count_if(value <= F.col(c)).alias("upto")).alias(c) for c in probabilities))
+    slack = 3 * sketches.rank_error() * F.col("n") + 1
+    close = [((F.col(f"{c}.below") <= p * F.col("n") + slack) & (F.col(f"{c}.upto") >= p * F.col("n") - slack)).alias(f"{c}_close") for c, p in probabilities.items()]
+    return placed.select("area_name_en", "n", *close)
+
+
+@query("agg_distinct_sketch", ctes=TXN_SQL, sql="SELECT count(DISTINCT project_number) AS project_number, count(DISTINCT project_name_en) AS project_name_en, true AS project_number_close, true AS project_name_en_close FROM txn")
+def agg_distinct_sketch(spark, sf_dir):
+    """Distinct values over all months from stored sketches per month, beside the exact counts."""
+    cols = ["project_number", "project_name_en"]
+    facts = transactions(spark, sf_dir, "instance_date", *cols)
+    monthly = materialise(sketches.distinct_sketches(facts, [F.trunc("instance_date", "MM").alias("month")], cols), "sketches")
+    about = sketches.rolled_up_distinct(monthly, [], cols).select(*(F.col(c).alias(f"_{c}") for c in cols))
+    exact = aggregates.distinct_counts(facts, cols).drop("rows")
+    both = exact.select(*cols, *(about.select(f"_{c}").scalar().alias(f"_{c}") for c in cols))
+    return both.select(*cols, *((F.abs(F.col(f"_{c}") - F.col(c)) <= sketches.distinct_error() * F.col(c) + 1).alias(f"{c}_close") for c in cols))
+
+
 MISSING_SQL = "count(*) FILTER (WHERE {c} IS NULL OR trim(CAST({c} AS string)) = '' OR CAST({c} AS string) = 'Missing_{n}') AS {a}"
 
 

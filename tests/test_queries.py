@@ -39,7 +39,8 @@ def test_large_group_path_gives_the_same_rows(spark, con, monkeypatch, name):
 
 
 def test_every_query_has_sql():
-    assert set(RUNNERS) == set(ORACLES)
+    """All but the whole output of the model search, which tests/test_models.py holds against plain fits."""
+    assert set(RUNNERS) - set(ORACLES) == {"ml_trial_log", "ml_segment_metrics", "ml_request_prices"} and set(ORACLES) <= set(RUNNERS)
 
 
 def test_entry_runs(spark):
