@@ -11,8 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelflow.session import materialise
+from parcelflow.session import input_bytes, materialise
 
+RANGE_BYTES = 128 << 20
 ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits and the place in it below
 
 
@@ -51,7 +52,8 @@ def read(spark, sf_dir: str, table: str) -> DataFrame:
 
 
 def partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Ranges to deal df into: enough for each to stem from RANGE_BYTES of input at most, and no fewer than shuffle partitions."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // RANGE_BYTES))
 
 
 def unused(df: DataFrame, name: str) -> str:

@@ -21,7 +21,7 @@ from parcelflow.llm.common import ROW_BITS, partitions, slices, text_batches
 from parcelflow.llm.tokens import Encoder
 from parcelflow.session import materialise
 
-BLOCK_IDS = 1 << 21
+BLOCK_IDS = 1 << 22
 FILE = "docs array<bigint>, lengths array<bigint>, n_ids bigint, block binary"
 
 

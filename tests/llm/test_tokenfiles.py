@@ -23,6 +23,16 @@ def test_round_trip(n, kind):
     assert np.array_equal(coder.decode(block), ids)
 
 
+@pytest.mark.parametrize("vocab", [2, 3, 90, 5000, 49_408, 1 << 20])
+def test_round_trip_of_few_and_of_very_frequent_ids(vocab):
+    """One or two ids that hold nearly all of the block, with all others now and then, in vocabularies of any size."""
+    rng = np.random.default_rng(vocab)
+    for share in (0.5, 0.99, 0.9999):
+        ids = np.where(rng.random(30_000) < share, rng.integers(0, 2, 30_000), rng.integers(0, vocab, 30_000))
+        ids[15_000:20_000] = vocab - 1
+        assert np.array_equal(coder.decode(coder.encode(ids, vocab)), ids)
+
+
 def test_predictions_shorten_what_repeats():
     rng = np.random.default_rng(0)
     noise = rng.integers(0, 49_408, 60_000)
