@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -55,6 +56,14 @@ def trim_all(df: DataFrame) -> DataFrame:
     return trim_by_group(trim_area_by_rooms(df))
 
 
+def _seen(observed: Observation, rows: DataFrame) -> int:
+    """The observed count; where the planner left the observation out of a plan that holds no rows, rows are counted."""
+    try:
+        return int(observed.get["n"])
+    except Py4JJavaError:
+        return rows.count()
+
+
 def trim_counted(
     df: DataFrame, room: str = "rooms_en", area: str = "procedure_area", group: str = "area_name_en", value: str = "meter_sale_price",
     low: float = 0.01, high: float = 0.99, min_rows: int = fv.MIN_TRIM_ROWS, max_group_rows: int | None = None,
@@ -74,7 +83,8 @@ def trim_counted(
     by_group = _group_bounds(_within_rooms(df, by_room, room, area), group, value, low, high, max_group_rows)
     roomed = counted(_within_rooms(counted(df, "rows_before"), by_room, room, area), "rows_after_rooms")
     trimmed = materialise(counted(_within_group(roomed, by_group, group, value, min_rows), "rows_after_groups"), "trimmed")
-    n = [int(seen[name].get["n"]) for name in seen]
+    plain = _within_rooms(df, by_room, room, area)
+    n = [_seen(seen[name], rows) for name, rows in zip(seen, (df, plain, trimmed))]
     names = [*seen, "removed_by_rooms", "removed_by_groups"]
     return trimmed, df.sparkSession.createDataFrame([(*n, n[0] - n[1], n[1] - n[2])], ", ".join(f"{c} bigint" for c in names))
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from parcelflow import fixed_values as fv
 from parcelflow.functions import text
-from parcelflow.operators import joins
+from parcelflow.operators import joins, layout
 from parcelflow.plans.filters import KEYS
 from parcelflow.plans.registry import query
 from parcelflow.plans.texts import TXN_KEY_SQL
@@ -67,12 +67,27 @@ def join_full_parent(spark, sf_dir):
     return joins.merge(units, right, ["parent_property_id"], "full")
 
 
-@query("join_left_linkkey", ctes=f"""{TXN_SQL},
+LINK_CTES = f"""{TXN_SQL},
 keyed AS (SELECT *, {TXN_KEY_SQL} AS link_key FROM txn),
 marked AS (SELECT *, CASE WHEN l_linenumber IN (2, 4) THEN concat(link_key, '/maid') ELSE link_key END AS unit_key FROM keyed),
-micro AS (SELECT unit_key, floor_key, unit_balcony_area, row_number() OVER (PARTITION BY unit_key ORDER BY {TXN_ORDER_SQL}) AS rn FROM marked)""", sql=f"""
-SELECT {K}, link_key, m.floor_key, m.unit_balcony_area FROM keyed k LEFT JOIN micro m ON k.link_key = m.unit_key AND m.rn = 1""")
+micro AS (SELECT unit_key, floor_key, unit_balcony_area, row_number() OVER (PARTITION BY unit_key ORDER BY {TXN_ORDER_SQL}) AS rn FROM marked)"""
+LINK_SQL = f"""
+SELECT {K}, link_key, m.floor_key, m.unit_balcony_area FROM keyed k LEFT JOIN micro m ON k.link_key = m.unit_key AND m.rn = 1"""
+
+
+@query("join_left_linkkey", ctes=LINK_CTES, sql=LINK_SQL)
 def join_left_linkkey(spark, sf_dir):
+    return joins.merge(*_linked_sides(spark, sf_dir), ["link_key"], "left")
+
+
+@query("join_left_linkkey_stored", ctes=LINK_CTES, sql=LINK_SQL)
+def join_left_linkkey_stored(spark, sf_dir):
+    """The same join from a layout that both sides are stored in, with frequent keys spread."""
+    facts, dim = layout.store_sides(*_linked_sides(spark, sf_dir), "link_key", buckets=8, most_rows=1000, salts=4)
+    return layout.merge_stored(spark, facts, dim)
+
+
+def _linked_sides(spark, sf_dir):
     """Transactions with their unit record. Unit records are deduplicated, so transactions never multiply."""
     parts = ["property_sub_type_id", "area_id", "project_number", "rooms_en", "procedure_area"]
     txn = transactions(spark, sf_dir, *TXN_ORDER, *parts, "floor_key", "unit_balcony_area")
@@ -80,7 +95,7 @@ def join_left_linkkey(spark, sf_dir):
     maid = F.when(F.col("l_linenumber").isin(2, 4), F.concat("link_key", F.lit("/maid"))).otherwise(F.col("link_key"))
     units = keyed.withColumn("link_key", maid).select("link_key", "floor_key", "unit_balcony_area", *TXN_ORDER)
     micro = joins.keep_one(units, ["link_key"], [F.col(c) for c in TXN_ORDER])
-    return joins.merge(keyed.select(*KEYS, "link_key"), micro.select("link_key", "floor_key", "unit_balcony_area"), ["link_key"], "left")
+    return keyed.select(*KEYS, "link_key"), micro.select("link_key", "floor_key", "unit_balcony_area")
 
 
 ENRICH_SQL = f"""{TXN_SQL}, {view_sql("projects")}, {view_sql("developers")},
