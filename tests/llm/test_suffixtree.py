@@ -129,7 +129,7 @@ def test_without_training_rows(spark, docs):
 def test_query(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     out = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
-    plain = Plain([r["text"] for r in rows if not out(r["doc_id"])], 2, 500, 10.0)
+    plain = Plain([r["text"] for r in rows if not out(r["doc_id"])], 2, suffixtree.SEEN, 10.0)
     got = {r["doc_id"]: r for r in queries.op13_lmscore(spark, SF).collect()}
     assert len(got) == len(rows)
     for r in rows:
@@ -137,3 +137,14 @@ def test_query(spark):
         have = got[r["doc_id"]]
         assert (have["held_out"], have["n_tokens"], have["n_known"], have["train_tokens"]) == (out(r["doc_id"]), n, known, plain.n)
         assert math.isclose(have["base_score"], base, rel_tol=1e-9) and math.isclose(have["score"], full, rel_tol=1e-5, abs_tol=1e-5)
+
+
+def test_query_learns_from_words_and_contexts_that_occur_twice(spark, docs, tmp_path):
+    """A training text that occurs twice is likelier than its words alone; with a large least count every word of a small table is rare."""
+    draw = random.Random(4)
+    text = {i: " ".join(f"word{draw.randrange(10**6)}" for _ in range(40)) for i in range(60)}
+    train = [i for i in text if zlib.crc32(str(i).encode()) % 7 != 2]
+    text[train[1]] = text[train[0]]
+    docs(list(text.items())).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["score"] - r["base_score"] for r in queries.op13_lmscore(spark, str(tmp_path)).collect()}
+    assert min(got[train[0]], got[train[1]]) > 40 and max(got[i] for i in text if i not in train[:2]) < 10
