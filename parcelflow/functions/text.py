@@ -102,7 +102,15 @@ def _has_word(text: Column, words: list[str]) -> Column:
 
 def geo_tag(title: Column, snippet: Column, source: Column) -> Column:
     """(region, country) of a news item by whole-word place names, then by source."""
-    text = F.lower(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(snippet, F.lit(""))))
+    return geo_tag_of(geo_text(title, snippet), source)
+
+
+def geo_text(title: Column, snippet: Column) -> Column:
+    return F.lower(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(snippet, F.lit(""))))
+
+
+def geo_tag_of(text: Column, source: Column) -> Column:
+    """The same from the item's text in lower case; a column of its own spares building it for every place."""
     tag = F.when(F.lit(False), F.struct(F.lit("").alias("region"), F.lit("").alias("country")))
     for words, region, country in fv.GEO_KEYWORDS:
         tag = tag.when(_has_word(text, words), F.struct(F.lit(region).alias("region"), F.lit(country).alias("country")))

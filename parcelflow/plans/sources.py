@@ -6,7 +6,7 @@ from parcelflow import schemas
 from parcelflow.functions import text
 from parcelflow.operators import filters
 from parcelflow.plans.registry import query
-from parcelflow.session import fresh_path
+from parcelflow.session import fresh_path, materialise
 from parcelflow.sources import readers, sinks
 from parcelflow.sources.bindings import table, view, view_sql
 
@@ -108,7 +108,7 @@ SELECT source, concat(CASE doc_id % 4 WHEN 0 THEN 'Doha notes ' WHEN 1 THEN 'Rom
     WHEN regexp_matches(t, '[^a-z0-9_]philippines[^a-z0-9_]') THEN 'Asia' WHEN source = 'Khaleej Times' THEN 'GCC' ELSE 'Global' END AS region
 FROM tagged""")
 def scan_feed_items(spark, sf_dir):
-    items = readers.feed_items(_feed_bodies(spark, sf_dir), "body", "source")
+    items = materialise(readers.feed_items(_feed_bodies(spark, sf_dir), "body", "source"), "items")
     day = readers.news_items(items.select("title", "published_date")).withColumnRenamed("published_date", "published_day")
     return items.drop("country").join(day, "title")
 

@@ -75,13 +75,17 @@ def feed_items(bodies: DataFrame, body: str, source: str) -> DataFrame:
 
 
 def items_of(documents: DataFrame) -> DataFrame:
-    """The items of readable documents as feed_items returns them."""
-    parsed = documents.where(F.col("reason").isNull()).select("source", F.explode("items").alias("item"))
+    """The items of readable documents as feed_items returns them.
+
+    Each document is parsed once: a filter on the reason, or an explode that leaves out empty lists, would be pushed below the parser and parse
+    it again for each of its terms. Places are looked up in one lower-case text per item.
+    """
+    readable = F.when(F.col("reason").isNull(), F.col("items"))
+    parsed = documents.select("source", F.posexplode_outer(readable).alias("_pos", "item")).where(F.col("_pos").isNotNull())
     fields = {"title": "title", "link": "link", "snippet": "description", "published_date": "pubDate", "category": "category"}
     clean = [F.coalesce(text.strip(F.col(f"item.{tag}")), F.lit("")).alias(name) for name, tag in fields.items()]
-    items = parsed.select("source", *clean)
-    tag = text.geo_tag(F.col("title"), F.col("snippet"), F.col("source"))
-    return items.withColumn("_tag", tag).select("*", "_tag.region", "_tag.country").drop("_tag")
+    items = parsed.select("source", *clean).withColumn("_text", text.geo_text(F.col("title"), F.col("snippet")))
+    return items.withColumn("_tag", text.geo_tag_of(F.col("_text"), F.col("source"))).select("*", "_tag.region", "_tag.country").drop("_tag", "_text")
 
 
 def news_items(items: DataFrame) -> DataFrame:

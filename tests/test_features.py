@@ -166,6 +166,17 @@ def test_every_feed_document_is_read_or_rejected(spark):
     assert sum(r["items"] for r in counts) == readers.items_of(documents).count() == 2
 
 
+def test_a_feed_document_is_parsed_once(spark, tmp_path):
+    """The parser stood in the plan five times: for the items and for each term of the filters pushed below it."""
+    many = "<rss><channel><item><title>Oman</title></item><item/><item><title>b</title><description>x</description></item></channel></rss>"
+    bodies = [("s", many), ("s", "<rss><channel/></rss>"), ("s", "<rss"), ("s", None), (None, "<rss><channel><item><title>c</title></item></channel></rss>")]
+    spark.createDataFrame(bodies, "source string, body string").write.parquet(str(tmp_path / "b"))
+    items = readers.feed_items(spark.read.parquet(str(tmp_path / "b")), "body", "source")
+    assert sorted((r["source"] or "", r["title"], r["snippet"], r["region"]) for r in items.collect()) == [
+        ("", "c", "", "Global"), ("s", "", "", "Global"), ("s", "Oman", "", "GCC"), ("s", "b", "x", "Global")]
+    assert items._jdf.queryExecution().optimizedPlan().toString().count("from_xml") == 1
+
+
 def test_every_event_document_is_read_or_rejected(spark):
     docs = [(1, '{"has_relevant_event": true, "events": []}'), (2, '{"has_relevant_event": true, "events": ['), (3, None), (4, " "), (5, '{"has_relevant_event": false}'), (6, "text")]
     df = spark.createDataFrame(docs, "article_id int, doc string").withColumns({"d": F.lit("2024-01-01"), "t": F.lit("title")})
