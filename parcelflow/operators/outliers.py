@@ -51,9 +51,20 @@ def _within_rooms(df: DataFrame, bounds: DataFrame, room: str, area: str) -> Dat
     return df.join(bounds, room).where(F.col(area).between(F.col("_lo"), F.col("_hi"))).select(*df.columns)
 
 
-def trim_all(df: DataFrame) -> DataFrame:
-    """Both treatments in order."""
-    return trim_by_group(trim_area_by_rooms(df))
+TRIM_COLUMNS = ["rooms_en", "procedure_area", "area_name_en", "meter_sale_price"]
+
+
+def trim_all(df: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Both treatments in order.
+
+    All bounds are taken from the four columns they need, which are stored once: df may be a join that each pass would run again. stored has
+    these columns of df if the caller has them already.
+    """
+    slim = materialise(df.select(*TRIM_COLUMNS), "trim-columns") if stored is None else stored
+    room, area, group, value = TRIM_COLUMNS
+    by_room = _room_bounds(slim, room, area, None)
+    by_group = _group_bounds(_within_rooms(slim, by_room, room, area), group, value, 0.01, 0.99, None)
+    return _within_group(_within_rooms(df, by_room, room, area), by_group, group, value, fv.MIN_TRIM_ROWS)
 
 
 def _seen(observed: Observation, rows: DataFrame) -> int:
