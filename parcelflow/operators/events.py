@@ -113,7 +113,8 @@ def area_scores(signals: DataFrame, sensitivity: DataFrame, period: str = "publi
 def month_scores(rows: DataFrame, sensitivity: DataFrame) -> DataFrame:
     """Scores per (month, area): contributions are summed per month before squashing, so months are unique."""
     monthly = rows.withColumn("month", dates.month_start(F.col("published_date")))
-    return area_scores(squash(channel_sums(monthly, "month"), "month"), sensitivity, "month")
+    sums = materialise(channel_sums(monthly, "month"), "sums")  # a row per month and channel, read four times; the events behind it once
+    return area_scores(squash(sums, "month"), sensitivity, "month")
 
 
 def dominant_event(events: DataFrame, code: str = "event_code", by: list[str] = ()) -> DataFrame:

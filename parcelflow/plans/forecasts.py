@@ -186,24 +186,24 @@ adjusted AS (SELECT area_id, area_name_en, month, predictions, sent, hump, CASE
   CASE WHEN t < 0 THEN predictions ELSE predictions * (1 + v0 * sent - CASE WHEN abs(v0) > 0.0001 THEN hump * 0.02 ELSE 0 END) END AS adjusted_pred FROM curves)"""
 
 
-def area_forecast(spark, sf_dir, steps=12):
-    """Trend forecast from the cut month on, with the area's id as text ('3.0')."""
-    past = filters.up_to_month(area_panel(spark, sf_dir), "month", CUT)
+def area_forecast(spark, sf_dir, steps=12, series=None):
+    """Trend forecast from the cut month on, with the area's id as text ('3.0'). series: the area panel, if it is there already."""
+    past = filters.up_to_month(area_panel(spark, sf_dir) if series is None else series, "month", CUT)
     ids = view(spark, sf_dir, "sensitivity_wide").select(F.col("area").alias("area_name_en"), "area_id")
     ahead = forecast.trend(past, "area_name_en", "month", "monthly_price", steps)
     return ahead.join(ids, "area_name_en").withColumnRenamed("prediction", "predictions")
 
 
-def merged_forecast(spark, sf_dir):
+def merged_forecast(spark, sf_dir, series=None):
     ids = view(spark, sf_dir, "sensitivity_wide").select("area", "area_id")
     scores = month_scores(spark, sf_dir).join(ids, "area").select("month", "area_id", "macro_news_factor", "drivers")
     scores = materialise(scores, "scores")
-    merged = joins.by_month_and_area(area_forecast(spark, sf_dir), scores)
+    merged = joins.by_month_and_area(area_forecast(spark, sf_dir, series=series), scores)
     return merged.withColumn("macro_news_factor", F.coalesce("macro_news_factor", F.lit(0.0))), scores
 
 
-def adjusted_forecast(spark, sf_dir):
-    merged, scores = merged_forecast(spark, sf_dir)
+def adjusted_forecast(spark, sf_dir, series=None):
+    merged, scores = merged_forecast(spark, sf_dir, series)
     merged = materialise(merged, "merged")
     shock = panel.last_nonzero(merged, "area_id", "month", "macro_news_factor")
     event = ev.dominant_event(view(spark, sf_dir, "news"))
@@ -239,9 +239,10 @@ SPLICE_SQL = f"""{NEWS_SQL},
 sp AS (SELECT area_name_en, month, monthly_price AS median_price FROM past UNION ALL SELECT area_name_en, month, predictions FROM merged)"""
 
 
-def spliced(spark, sf_dir):
-    past = filters.up_to_month(area_panel(spark, sf_dir), "month", CUT).withColumnRenamed("monthly_price", "median_price")
-    return forecast.splice(past, area_forecast(spark, sf_dir))
+def spliced(spark, sf_dir, series=None):
+    series = area_panel(spark, sf_dir) if series is None else series
+    past = filters.up_to_month(series, "month", CUT).withColumnRenamed("monthly_price", "median_price")
+    return forecast.splice(past, area_forecast(spark, sf_dir, series=series))
 
 
 @query("fc_splice", ctes=SPLICE_SQL, sql="SELECT area_name_en, month, round(median_price, 4) AS median_price FROM sp")
@@ -254,10 +255,11 @@ SELECT s.area_name_en, last_day(s.month) AS month, round(median_price, 4) AS med
 LEFT JOIN adjusted a ON a.area_name_en = s.area_name_en AND a.month = s.month""")
 def join_request_news(spark, sf_dir):
     """Series with the latest news row of each month."""
-    news = adjusted_forecast(spark, sf_dir).select("area_name_en", "month", "adjusted_pred")
+    series = area_panel(spark, sf_dir)
+    news = materialise(adjusted_forecast(spark, sf_dir, series).select("area_name_en", "month", "adjusted_pred"), "news")
     twice = news.unionByName(news.withColumn("month", F.last_day("month")))
     latest = joins.latest_news(twice, "area_name_en", "month", [F.desc("month"), F.desc("adjusted_pred")])
-    rows = spliced(spark, sf_dir).withColumn("month", F.last_day("month")).join(latest, ["area_name_en", "month"], "left")
+    rows = spliced(spark, sf_dir, series).withColumn("month", F.last_day("month")).join(latest, ["area_name_en", "month"], "left")
     return rows.withColumns({c: F.round(c, 4) for c in ("median_price", "adjusted_pred")})
 
 
@@ -307,7 +309,11 @@ def history(spark, sf_dir):
 
 
 def latest_rows(hist):
-    return joins.keep_one(hist, ["area_name_en"], [F.desc("instance_date"), *(F.col(c) for c in TXN_ORDER)])
+    """The first row of each area's last day. Only rows of that day are sorted, not the whole history."""
+    last = materialise(hist.groupBy("area_name_en").agg(F.max("instance_date").alias("last")), "last-days")
+    same = F.col("h.area_name_en").eqNullSafe(F.col("l.area_name_en")) & F.col("h.instance_date").eqNullSafe(F.col("l.last"))
+    rows = hist.alias("h").join(last.alias("l"), same, "left_semi").select("h.*")
+    return joins.keep_one(rows, ["area_name_en"], [F.desc("instance_date"), *(F.col(c) for c in TXN_ORDER)])
 
 
 def request_tables(spark, sf_dir):
