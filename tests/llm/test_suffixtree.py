@@ -1,10 +1,12 @@
 """Suffix-tree scores against a plain model over dictionaries."""
 
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,3 +150,33 @@ def test_query_learns_from_words_and_contexts_that_occur_twice(spark, docs, tmp_
     docs(list(text.items())).write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: r["score"] - r["base_score"] for r in queries.op13_lmscore(spark, str(tmp_path)).collect()}
     assert min(got[train[0]], got[train[1]]) > 40 and max(got[i] for i in text if i not in train[:2]) < 10
+
+
+def test_rows_asked_and_counts_are_dropped_as_soon_as_they_are_used(spark, docs, monkeypatch):
+    """The rows asked lay beside the blocks, and the sums of words and counts of every length stayed to the end."""
+    made, asked, plain = [], [], suffixtree.fresh_path
+
+    def watched(spark, label):
+        asked.append(sum(name == "blocks" and os.path.isdir(f"{p}/kind={suffixtree.ASK}") for name, p in made))
+        made.append((label, plain(spark, label)))
+        return made[-1][1]
+
+    table, score = docs(random_docs(random.Random(2), 40)), lambda: {r["doc_id"]: r["score"] for r in suffixtree.scores(table, 2, 2, 0.0).collect()}
+    whole = score()
+    monkeypatch.setattr(suffixtree, "fresh_path", watched)
+    monkeypatch.setattr(suffixtree, "input_bytes", lambda df: 40_000)
+    monkeypatch.setattr(suffixtree, "BLOCK_BYTES", 1000)
+    monkeypatch.setattr(suffixtree, "WAVES", waves := 2)
+    parts = score()
+    assert parts.keys() == whole.keys() and all(math.isclose(parts[k], whole[k], rel_tol=1e-6) for k in whole)
+    assert [label for label, _ in made] == ["blocks", "words", "blocks", "counted", *waves * ["blocks"], "counted", *waves * ["blocks"]]
+    assert asked == [0, 1, 0, 1, *range(waves), waves, *waves * [0]]
+    assert [name for name, p in made if os.path.isdir(p)] == waves * ["blocks"]
+
+
+def test_small_numbers_take_little_once_packed():
+    values = np.random.default_rng(0).integers(0, 200, 10_000)
+    assert len(suffixtree._packed(a=values)) < 11_000 and np.array_equal(suffixtree._unpacked(suffixtree._packed(a=values, b=values[:0]))["a"], values)
+    column = suffixtree._stretches(values.astype(np.int64), np.array([9000, 0, 1000]))
+    back, sizes = suffixtree._values(column, np.int64)
+    assert np.array_equal(back, values) and sizes.tolist() == [9000, 0, 1000] and sum(map(len, column.to_pylist())) < 11_000
