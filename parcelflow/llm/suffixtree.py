@@ -40,6 +40,8 @@ BUCKET = 1 << 22  # occurrences of a context whose next symbols are counted toge
 NATS = 256  # steps per nat of the suffix's log-probability when contexts are judged
 SPREAD = np.uint32(1 << 31)  # marks a context whose pairs lie in several buckets
 NUMBER_BITS = 20  # of a word's symbol that tell the task which numbered it
+TEXTS = 2000  # rows of an Arrow batch of documents
+WIDE = 100  # rows of an Arrow batch that hold what is asked and answered: some MB
 RARE, END = 0, 1  # symbols; those of frequent words follow
 BLOCK, ASK, CONTEXT = 0, 1, 2  # kinds of stored rows: a block's documents, what it asks or is answered, sums of a context or of words
 WORDS = "kind tinyint, block bigint, slot int, bucket int, names binary, counts binary, n bigint, z binary"
@@ -146,6 +148,7 @@ def _read(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
         plain = np.ones(len(tokens), bool)
         plain[np.cumsum(sizes) - 1] = False
         tokens[plain] = ids
+        del found, ids, plain
         out = part.column("held_out").to_numpy(zero_copy_only=False)
         learned = np.bincount(tokens[np.repeat(~out, sizes)], minlength=len(distinct) + 1)[:-1]
         order = np.argsort(-np.bincount(tokens, minlength=len(distinct) + 1), kind="stable")  # frequent words get small numbers
@@ -168,22 +171,26 @@ def _read(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
 
 
 def _whole_buckets(batches: Iterator[pa.RecordBatch], run) -> Iterator[pa.RecordBatch]:
-    """run(rows) over rows that are sorted by bucket, always with all of a bucket's rows."""
+    """run(rows) over rows that are sorted by bucket, one bucket at a time with all of its rows; memory is given back after each."""
     held: list[pa.RecordBatch] = []
+
+    def whole() -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
+        yield from run(table)
+
     for batch in batches:
         if not batch.num_rows:
             continue
         bucket = batch.column("bucket").to_numpy()
-        cut = int(np.searchsorted(bucket, bucket[-1], "left"))  # the last one may go on in the next batch
-        if held and held[-1].column("bucket")[-1].as_py() != bucket[0]:
-            yield from run(pa.Table.from_batches(held).combine_chunks())
-            held = []
-        if cut:
-            yield from run(pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks())
-            held = []
-        held.append(batch.slice(cut))
+        starts = np.flatnonzero(np.diff(bucket, prepend=bucket[0] - 1))
+        for start, end in zip(starts, np.append(starts[1:], len(bucket))):
+            if held and held[-1].column("bucket")[-1].as_py() != bucket[start]:
+                yield from whole()
+                give_back()
+            held.append(batch.slice(start, end - start))  # the last one may go on in the next batch
     if held:
-        yield from run(pa.Table.from_batches(held).combine_chunks())
+        yield from whole()
 
 
 def _named(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -221,6 +228,7 @@ def _asks(
     """
     symbols = held["symbols"]
     pairs, first, slot = np.unique(key, return_index=True, return_inverse=True)
+    del key
     own, symbol = np.divmod(pairs, len(symbols))
     bucket = _dealt(contexts[own], symbols[symbol] % (1 + often[own] // BUCKET), buckets)
     order = np.argsort(bucket, kind="stable")
@@ -314,6 +322,7 @@ def _stepped(block: int, z: bytes, answers: pa.Table, length: int, depth: int, l
     left = 1 - _values(asked.column("owns"), np.int64)[0] / np.maximum(scale, 1)
     at_run = contexts.column("slot").to_numpy()
     scale[at_run], left[at_run] = contexts.column("x").to_numpy(), contexts.column("left").to_numpy()
+    del asked, contexts
     scale, left = np.repeat(scale, runs), np.repeat(left, runs)
     kept = scale > 0  # contexts that are not retained pass their suffix's distribution on
     gain = np.zeros(len(count))
@@ -325,6 +334,7 @@ def _stepped(block: int, z: bytes, answers: pa.Table, length: int, depth: int, l
         gained = np.zeros(n_tokens)
         gained[at] = gain[slot]
         held["ln"] = held["ln"] + _sums(gained, sizes)
+        del gained
     if length == depth:
         doc_id = pa.array(held["doc_id"], mask=held["no_id"])
         columns = [doc_id, *(pa.array(held[c]) for c in ("held_out", "sizes", "n_known", "base_ln", "ln"))]
@@ -335,10 +345,13 @@ def _stepped(block: int, z: bytes, answers: pa.Table, length: int, depth: int, l
     starts = np.cumsum(sizes) - sizes
     after[starts] = -1
     here = np.flatnonzero(after[:-1] >= 0)
+    key = [after[here] * len(held["symbols"]) + held["own"][here]]
+    del after
     now = np.zeros(n_tokens)
     now[at] = (before + gain)[slot]
-    key = after[here] * len(held["symbols"]) + held["own"][here]
-    slot, rows, more = _asks(block, held, key, here, child, count, now[here], buckets, kind)
+    ln = [now[here]]
+    del now, at, slot, before, gain, scale, left, kept
+    slot, rows, more = _asks(block, held, key.pop(), here, child, count, ln.pop(), buckets, kind)
     if length + 1 == depth:  # all that is left is to add up: each document's pairs, in whatever order
         doc = np.searchsorted(np.cumsum(sizes), here, "right")
         sorted_slot = slot[np.lexsort((slot, doc))]
@@ -387,13 +400,15 @@ def _counted(batches: Iterator[pa.RecordBatch], least: int, gain: float, kind) -
         spread, sizes = (sizes & SPREAD) > 0, (sizes & ~SPREAD).astype(np.int64)
         steps, per_row = _values(table.column("symbols"), kind)
         counts, lns = _values(table.column("counts"), np.uint32)[0], _values(table.column("lns"), np.uint16)[0]
-        starts, steps = np.cumsum(sizes) - sizes, steps.astype(np.int64)
-        upto = np.cumsum(steps)
-        symbol = upto - np.repeat(upto[starts] - steps[starts], sizes)
+        starts, upto = np.cumsum(sizes) - sizes, np.cumsum(steps, dtype=np.int64)
+        symbol = upto - np.repeat(upto[starts] - steps[starts].astype(np.int64), sizes)
+        del steps, upto
         if np.dtype(kind).itemsize > 4:
             symbol = np.unique(symbol, return_inverse=True)[1]
         contexts, place, which = np.unique(context, return_index=True, return_inverse=True)
-        pair, first, at = np.unique(np.repeat(which, sizes) << 32 | symbol, return_index=True, return_inverse=True)
+        symbol |= np.repeat(which, sizes) << 32
+        pair, first, at = np.unique(symbol, return_index=True, return_inverse=True)
+        del symbol
         total = np.bincount(at, weights=counts, minlength=len(pair)).astype(np.int64)
         of = pair >> 32
         add = lambda values: np.bincount(of, weights=values, minlength=len(contexts))
@@ -422,14 +437,15 @@ def _by_bucket(asked: DataFrame, run, schema: str) -> DataFrame:
     return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(releasing(run), schema)
 
 
-def _kept(df: DataFrame, label: str) -> tuple[str, DataFrame]:
+def _kept(df: DataFrame, label: str, rows: int = WIDE) -> tuple[str, DataFrame]:
     """(folder, table) of df as stored, with a folder for each kind of rows, which can be dropped on its own; shuffle files are freed."""
     spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
     name = "spark.sql.maxConcurrentOutputFileWriters"  # a file for each kind is open at once; otherwise a task sorts its rows by kind
     before = spark.conf.get(name)
     spark.conf.set(name, "8")
     try:
-        df.write.partitionBy("kind").parquet(path) if "kind" in df.columns else df.write.parquet(path)
+        with text_batches(spark, rows):
+            df.write.partitionBy("kind").parquet(path) if "kind" in df.columns else df.write.parquet(path)
     finally:
         spark.conf.set(name, before)
     release(spark)
@@ -486,8 +502,7 @@ def scores(
     def name(batches):
         yield from _named(batches, least)
 
-    with text_batches(spark):
-        path, stored = _kept(rows.mapInArrow(releasing(run), WORDS), "blocks")
+    path, stored = _kept(rows.mapInArrow(releasing(run), WORDS), "blocks", TEXTS)
     ends = stored.filter(F.col("kind") == BLOCK).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     asked = stored.filter(F.col("kind") == ASK).select("block", "slot", "bucket", "names", "counts")
     made, named = _kept(_by_bucket(asked, name, NAMED), "words")

@@ -23,12 +23,12 @@ def split(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     first = solid & ~before
     kept = data[solid]
     starts = np.flatnonzero(first[solid])
-    counted = np.concatenate(([0], np.cumsum(first, dtype=np.int64)))
+    counted = np.searchsorted(np.flatnonzero(first), offsets)  # words that begin before each row
     ends = np.append(starts, len(kept)).astype(np.int64)
     if lower:
         kept = _LOWER[kept]
     words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(kept))])
-    return words, counted[offsets]
+    return words, counted
 
 
 def numbered(words: pa.Array) -> tuple[np.ndarray, pa.Array]:

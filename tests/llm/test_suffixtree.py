@@ -3,14 +3,16 @@
 import math
 import os
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.llm import queries, suffixtree
+from parcelflow.llm import queries, suffixtree, words
 
 SF = "/root/testdata/sf0.001"
 END = ""
@@ -180,3 +182,28 @@ def test_small_numbers_take_little_once_packed():
     column = suffixtree._stretches(values.astype(np.int64), np.array([9000, 0, 1000]))
     back, sizes = suffixtree._values(column, np.int64)
     assert np.array_equal(back, values) and sizes.tolist() == [9000, 0, 1000] and sum(map(len, column.to_pylist())) < 11_000
+
+
+def test_a_bucket_is_worked_on_alone():
+    """All buckets of an Arrow batch but the last were held, expanded and counted together, whatever their size."""
+    batches = [pa.RecordBatch.from_pydict({"bucket": pa.array(b, pa.int32()), "n": pa.array(n)}) for b, n in (([1, 1, 2, 3], [0, 1, 2, 3]), ([], []), ([3, 3], [4, 5]), ([5, 6], [6, 7]))]
+    seen = []
+
+    def run(table):
+        seen.append((set(table.column("bucket").to_pylist()), table.column("n").to_pylist()))
+        yield from table.to_batches()
+
+    out = [n for batch in suffixtree._whole_buckets(iter(batches), run) for n in batch.column("n").to_pylist()]
+    assert seen == [({1}, [0, 1]), ({2}, [2]), ({3}, [3, 4, 5]), ({5}, [6]), ({6}, [7])] and out == list(range(8))
+
+
+def test_words_of_each_row_are_counted_without_a_number_per_byte():
+    rows = pa.array([b"", b"a  bc", None, b" d", b"e", b"\t", b"f g "], pa.large_binary())
+    found, offsets = words.split(rows)
+    assert found.to_pylist() == [b"a", b"bc", b"d", b"e", b"f", b"g"] and offsets.tolist() == [0, 0, 2, 2, 3, 4, 4, 6]
+    rows = pa.array([b"word " * 400_000], pa.large_binary())
+    tracemalloc.start()
+    words.split(rows)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 12 * 2_000_000
