@@ -6,6 +6,7 @@ rows: profiles and the distinct history combinations meet on subsets of equal co
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -209,12 +210,14 @@ def report(history: DataFrame, ahead: DataFrame, news: DataFrame, pivot: Column,
 def answer(
     requests: DataFrame, history: DataFrame, ranges: DataFrame, latest: DataFrame, centres: DataFrame, adjusted: DataFrame,
     fields: dict[str, str], cols: list[str], start: str, end: str, today: str, locked: list[str] = (),
+    shape: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Reports of a batch of requests. Requests whose area cannot be found get no row.
 
     history: transactions with area_name_en, the match columns, instance_date and meter_sale_price. adjusted:
     (area_name_en, month end, predictions, adjusted_pred). fields: request fields with their types; cols: the fields
-    history is matched on. start, end (the pivot month) and today bound the series.
+    history is matched on. start, end (the pivot month) and today bound the series. shape formats the reports, which have one row per
+    profile; they are stored before the requests meet them, so nothing of a report is computed again for each request.
     """
     resolved = resolve_defaults(resolve_area(requests, centres), ranges, latest, fields, locked)
     keyed = with_profile(resolved.where(F.col("area_name_en").isNotNull()), cols).select("request_id", "profile", "area_name_en", *cols)
@@ -226,6 +229,7 @@ def answer(
     ahead = profiles.select("profile", "area_name_en").join(adjusted, "area_name_en")
     pivot, now = (F.last_day(F.lit(d).cast("date")) for d in (end, today))
     answers = report(past, ahead.select("profile", "month", "predictions"), ahead.select("profile", "month", "adjusted_pred"), pivot, now)
+    answers = materialise(shape(answers) if shape else answers, "answers")
     return keyed.select("request_id", "profile", "area_name_en").join(answers, "profile").drop("profile")
 
 

@@ -317,10 +317,16 @@ def latest_rows(hist):
 
 
 def request_tables(spark, sf_dir):
-    """History, and value ranges of the areas with enough rows; the others fall back to their latest row."""
+    """History, and value ranges of the areas with enough rows; the others fall back to their latest row.
+
+    Rows are reduced to distinct values with the smallest and largest unit of each before values are listed, which takes a row per field.
+    """
     hist = history(spark, sf_dir)
     large = filters.min_group_count(hist.select("area_name_en", *FIELDS, "procedure_area"), "area_name_en", RANGE_ROWS)
-    return hist, materialise(aggregates.value_ranges(large, "area_name_en", list(FIELDS), "procedure_area"), "ranges")
+    sizes = F.array_distinct(F.array(F.min("procedure_area"), F.max("procedure_area")))
+    held = large.groupBy("area_name_en", *FIELDS).agg(sizes.alias("_sizes"))
+    held = materialise(held.select("area_name_en", *FIELDS, F.explode("_sizes").alias("procedure_area")), "distinct-values")
+    return hist, materialise(aggregates.value_ranges(held, "area_name_en", list(FIELDS), "procedure_area"), "ranges")
 
 
 def resolved_requests(spark, sf_dir):
@@ -476,13 +482,13 @@ def req_forecast_report(spark, sf_dir):
     """One row per request: history, pivot, forecast and news-adjusted forecast of its profile."""
     hist, ranges = request_tables(spark, sf_dir)
     adjusted = materialise(adjusted_forecast(spark, sf_dir).withColumn("month", F.last_day("month")), "adjusted")
-    out = profile.answer(
+    line = lambda s: F.concat_ws(" ", s["timestamp"], s["value"].cast("string"))
+    lists = ["before_prediction", "prediction_point", "forecast", "news_adjusted_forecast"]
+    return profile.answer(
         view(spark, sf_dir, "requests"), hist, ranges, latest_rows(hist), view(spark, sf_dir, "centres"), adjusted, FIELDS, COLS,
         SERIES_START, SERIES_END, "2001-11-01", locked=["trans_group_en"],
+        shape=lambda reports: reports.withColumns({c: F.array_join(F.transform(c, line), "; ") for c in lists}),
     )
-    line = lambda s: F.concat_ws(" ", s["timestamp"], s["value"].cast("string"))
-    lists = ["before_prediction", "prediction_point", "forecast", "news_adjusted_forecast"]
-    return out.withColumns({c: F.array_join(F.transform(c, line), "; ") for c in lists})
 
 
 @query("req_area_catalog", ctes=HISTORY_SQL, sql="""

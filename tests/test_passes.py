@@ -68,3 +68,16 @@ def test_latest_rows_rank_only_the_last_day(spark, stored):
     got = sorted(map(key, forecasts.latest_rows(hist).collect()))
     assert got == sorted(map(key, plain.collect())) == [("", 8), ("A", 4), ("B", 2)]
     assert [label for label, _ in stored] == ["last-days"]
+
+
+def test_reports_are_formatted_once_per_profile(spark, monkeypatch):
+    """Lists of months were put together for every request, though many requests share a profile; values were listed from a row per fact and field."""
+    seen = {}
+
+    def plan(df, label):
+        seen[label] = df._jdf.queryExecution().optimizedPlan().toString()
+
+    monkeypatch.setattr(session, "observers", [plan])
+    out = RUNNERS["req_forecast_report"](spark, SF)
+    assert "array_join" in seen["answers"] and "array_join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert "distinct-values-" in seen["ranges"] or "Expand" not in seen["distinct-values"]
