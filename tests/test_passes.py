@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from parcelflow import fixed_values as fv
 from parcelflow import session
-from parcelflow.operators import events, joins, outliers
+from parcelflow.operators import events, joins, outliers, profile
 from parcelflow.plans import RUNNERS, forecasts
 from parcelflow.sources import bindings
 
@@ -81,3 +82,17 @@ def test_reports_are_formatted_once_per_profile(spark, monkeypatch):
     out = RUNNERS["req_forecast_report"](spark, SF)
     assert "array_join" in seen["answers"] and "array_join" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert "distinct-values-" in seen["ranges"] or "Expand" not in seen["distinct-values"]
+
+
+def test_groups_copy_counts_not_facts(spark, stored):
+    """Counts of areas and of groups are those of the history with its group copies; the facts were joined with the group names."""
+    group, members = next((g, [m for n, m in fv.AREA_GROUPS if n.lower() == g.lower()]) for _, g in fv.AREA_STAND_INS if any(n.lower() == g.lower() for n, _ in fv.AREA_GROUPS))
+    data = [(a, " x " if i % 2 else "x", f"2024-0{1 + i % 3}-09", float(i % 4) if i % 5 else None) for i in range(60) for a in (members[i % len(members)], "Z", None)] + [(group, None, "2024-01-02", 1.0)]
+    hist = spark.createDataFrame(data, "area_name_en string, c string, d string, p double").withColumn("d", F.col("d").cast("date"))
+    want = profile.price_counts(profile.group_history(hist), ["c"], date="d", price="p")
+    got = profile.group_counts(profile.price_counts(hist, ["c"], date="d", price="p"), ["c"])
+    key = lambda r: tuple(map(str, (r[c] for c in want.columns)))
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect())) and group in {r["area_name_en"] for r in got.collect()}
+    RUNNERS["req_forecast_report"](spark, SF)
+    labels = dict(stored)
+    assert labels["area-counts"] == 0 and "price-counts" in labels
