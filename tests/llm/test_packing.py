@@ -114,6 +114,23 @@ def test_pieces_that_cannot_share_end_at_once(spark, docs):
     assert used == 50
 
 
+def test_poor_bins_are_dealt_again_while_a_deal_fills_any(spark, monkeypatch):
+    """Of 360 pieces most cannot share: after the first deal, which leaves more than half, none was dealt again."""
+    rnd = random.Random(5)
+    rows = [(i, i, 0, 0, length, 0) for i, length in enumerate([1500] * 240 + [rnd.randrange(400, 700) for _ in range(120)])]
+    dealt, plain = [], packing.materialise
+    monkeypatch.setattr(packing, "materialise", lambda df, label: (lambda t: dealt.append((label, t.count())) or t)(plain(df, label)))
+    found = packing.pack(spark.createDataFrame(rows, packing.PIECES), district_rows=40).collect()
+    left = [360, *(n for label, n in dealt if label == "open")]
+    assert len(left) > 2 and left[1] > 180 and all(a >= b for a, b in zip(left, left[1:]))
+    assert left[-1] == left[-2] or -(-left[-2] // 40) == 1
+    bins = {}
+    for r in found:
+        bins[r["sequence_id"]] = bins.get(r["sequence_id"], 0) + r["length"]
+    assert sorted(r["doc_id"] for r in found) == list(range(360)) and max(bins.values()) <= 2048
+    assert sum(n >= 0.98 * 2048 for n in bins.values()) >= len([n for n in left if n]) - 1
+
+
 def test_children_hold_every_item_once_and_bins_fit():
     rnd = random.Random(9)
     lengths = [rnd.randrange(1, 100) for _ in range(300)]
