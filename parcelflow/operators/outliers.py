@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from parcelflow import fixed_values as fv
 from parcelflow.operators.quantiles import column_quantiles, group_quantiles
-from parcelflow.session import materialise
+from parcelflow.session import drop, materialise
 
 
 def trim_by_group(
@@ -60,10 +60,12 @@ def trim_all(df: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     All bounds are taken from the four columns they need, which are stored once: df may be a join that each pass would run again. stored has
     these columns of df if the caller has them already.
     """
-    slim = materialise(df.select(*TRIM_COLUMNS), "trim-columns") if stored is None else stored
+    made: list[str] = []
+    slim = materialise(df.select(*TRIM_COLUMNS), "trim-columns", made) if stored is None else stored
     room, area, group, value = TRIM_COLUMNS
     by_room = _room_bounds(slim, room, area, None)
     by_group = _group_bounds(_within_rooms(slim, by_room, room, area), group, value, 0.01, 0.99, None)
+    drop(df.sparkSession, made)
     return _within_group(_within_rooms(df, by_room, room, area), by_group, group, value, fv.MIN_TRIM_ROWS)
 
 

@@ -11,7 +11,7 @@ from parcelflow import fixed_values as fv
 from parcelflow import schemas
 from parcelflow.functions import dates, text
 from parcelflow.operators import blocks, events, filters, forecast, impute, joins, outliers, panel
-from parcelflow.session import materialise
+from parcelflow.session import drop, materialise, release
 
 def micro_table(projects: DataFrame, developers: DataFrame, buildings: DataFrame, units: DataFrame, order: list[str]) -> DataFrame:
     """Projects, developers, buildings and units linked into one row per link key. order ranks units within a key."""
@@ -64,13 +64,20 @@ def training_table(
 
     order is a total order of the transactions; it decides every "first known" value.
     """
-    df = outliers.trim_all(filters.exclude_rooms(cleaned))
+    spark, trimmed, matched = cleaned.sparkSession, [], []
+    df = materialise(outliers.trim_all(filters.exclude_rooms(cleaned)), "trimmed", trimmed)
+    release(spark)
     parts = ["property_sub_type_id", "area_id", "project_number", "rooms_en", "procedure_area"]
     df = df.withColumn("trans_ubp_key", text.link_key(*map(F.col, parts)))
     micro = micro.drop("area_id_u", "project_number") if "project_number" in df.columns else micro
-    df = joins.merge(df, micro, ["trans_ubp_key"], "left").drop(*fv.MICRO_ONLY)
-    # The link join is the one large shuffle. Five statistics and the result need its rows, so it is done once.
+    df = materialise(joins.merge(df, micro, ["trans_ubp_key"], "left").drop(*fv.MICRO_ONLY), "matched", matched)
+    drop(spark, trimmed)
+    release(spark)
+    # Up to three joins shuffle all rows. Five statistics and the result need them, so they are done once; stored columns are a fraction of
+    # shuffled rows, so each join is stored, and its shuffle freed, before the next one writes its own.
     df = materialise(joins.enrich_developers(df, projects, developers), "linked")
+    drop(spark, matched)
+    release(spark)
     df = joins.backfill_developer_names(df, order)
     df = df.withColumn("developer_name_en", text.developer_from_project(F.col("developer_name_en"), F.col("project_name_en")))
     df = df.withColumns({c: text.strip(F.col(c)) for c in ("building_name_en", "developer_name_en", "project_name_en")})

@@ -96,7 +96,7 @@ def stage_training(spark, sf_dir):
     units = transactions(spark, sf_dir, *TXN_ORDER, *parts, "unit_balcony_area")
     key = stages.text.link_key(*map(F.col, parts))
     micro = stages.joins.keep_one(units.withColumn("trans_ubp_key", key), ["trans_ubp_key"], [F.col(c) for c in TXN_ORDER])
-    micro = micro.select("trans_ubp_key", "unit_balcony_area")
+    micro = stages.materialise(micro.select("trans_ubp_key", "unit_balcony_area"), "micro")  # so its shuffles are gone when the facts are linked
     out = stages.training_table(facts, micro, view(spark, sf_dir, "projects"), view(spark, sf_dir, "developers"), TXN_ORDER)
     nums = ["has_parking", "unit_balcony_area", "built_up_area", "swimming_pools"]
     return out.select(

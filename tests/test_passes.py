@@ -1,5 +1,7 @@
 """Queries read a join or a panel that several steps need once, and rank no more rows than they must."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +62,17 @@ def test_trim_all_takes_its_bounds_from_stored_columns(spark, stored):
     assert [label for label, _ in stored] == ["trim-columns", "bounds", "bounds"] and max(n for label, n in stored if label == "bounds") < 2
 
 
+def test_training_stores_each_join_of_the_facts_and_drops_what_was_read(spark, stored):
+    """The joins with projects, link keys and parts were one job, so the shuffles of all of them lay on the disks at once."""
+    folder = session.work_dir(spark)
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    assert RUNNERS["stage_training"](spark, SF).count() > 0
+    joins_of = dict(stored)
+    assert joins_of["matched"] == 1 and joins_of["linked"] == 2 and [label for label, _ in stored].index("micro") < [label for label, _ in stored].index("matched")
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before}
+    assert "linked" in left and not left & {"trim-columns", "trimmed", "matched"}
+
+
 def test_latest_rows_rank_only_the_last_day(spark, stored):
     order = {c: F.lit(0) for c in bindings.TXN_ORDER if c not in ("instance_date", "l_orderkey")}
     data = [("A", "2024-01-01", 1), ("A", "2024-03-01", 5), ("A", "2024-03-01", 4), ("A", None, 0), ("B", None, 3), ("B", None, 2), (None, "2023-01-01", 9), (None, "2024-01-01", 8)]
